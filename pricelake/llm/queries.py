@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pricelake.llm import bpe, chat
+from pricelake.llm import bpe, chat, jaccard, mixing
 
 QUERIES = {
     "op3_bpe": bpe.op3_bpe,
+    "op4_jaccard_join": jaccard.op4_jaccard_join,
     "op6_chat_format": chat.op6_chat_format,
+    "op7_mix": mixing.op7_mix,
 }
 
 ORACLES = {"op6_chat_format": chat.ORACLE_OP6}
