@@ -173,7 +173,8 @@ def _join_classes(docs: DataFrame, classes: DataFrame, frequent: np.ndarray, wid
     """All links that matter for components: (a, b) by set_id."""
     postings = stage(_postings(docs, frequent, width, percent).dropDuplicates(["element", "set_id"]), "jaccard-postings")
     lists = postings.groupBy("element").agg(F.count("*").alias("length"), F.min("set_id").alias("leader")).filter("length > 1")
-    entries = stage(postings.join(lists.drop("length"), "element"), "jaccard-entries")
+    lists = stage(lists.drop("length"), "jaccard-lists")
+    entries = stage(postings.join(lists, "element"), "jaccard-entries")
     names = classes.select("set_id", "class_doc", F.col("n").cast("int").alias("n"))
 
     # first the leaders' answers: pairs that share enough posted elements to be likely

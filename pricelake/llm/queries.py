@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pricelake.llm import bpe, chat, jaccard, mixing
+from pricelake.llm import bpe, chat, jaccard, mixing, substring
 
 QUERIES = {
     "op3_bpe": bpe.op3_bpe,
     "op4_jaccard_join": jaccard.op4_jaccard_join,
     "op6_chat_format": chat.op6_chat_format,
     "op7_mix": mixing.op7_mix,
+    "op8_substring": substring.op8_substring,
 }
 
 ORACLES = {"op6_chat_format": chat.ORACLE_OP6}
