@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pricelake.llm import bpe, chat, jaccard, mixing, substring
+from pricelake.llm import ann, bpe, chat, jaccard, mixing, substring, topk
 
 QUERIES = {
+    "op1_topk": topk.op1_topk,
     "op3_bpe": bpe.op3_bpe,
     "op4_jaccard_join": jaccard.op4_jaccard_join,
+    "op5_nearest": ann.op5_nearest,
     "op6_chat_format": chat.op6_chat_format,
     "op7_mix": mixing.op7_mix,
     "op8_substring": substring.op8_substring,
 }
 
-ORACLES = {"op6_chat_format": chat.ORACLE_OP6}
+ORACLES = {
+    "op1_topk": topk.ORACLE_OP1,
+    "op6_chat_format": chat.ORACLE_OP6,
+}
