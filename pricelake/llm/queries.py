@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pricelake.llm import ann, bpe, chat, jaccard, mixing, substring, topk
+from pricelake.llm import ann, bpe, chat, jaccard, mixing, pii, substring, topk
 
 QUERIES = {
     "op1_topk": topk.op1_topk,
+    "op2_pii": pii.op2_pii,
     "op3_bpe": bpe.op3_bpe,
     "op4_jaccard_join": jaccard.op4_jaccard_join,
     "op5_nearest": ann.op5_nearest,
