@@ -6,11 +6,12 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Set only where the session names no shared folder (tests, local runs).
 LOCAL_CHECKPOINT_DIR = "/tmp/pricelake-checkpoints"
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -31,10 +32,20 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/pricelake/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES)
+    spark.conf.set(FREE_SHUFFLES, "true")  # once the table is written, the shuffles behind it are of no use
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_side(rows: DataFrame, limit: int = 1_000_000) -> DataFrame:
+    """``rows``, of a few numbers each, marked for broadcast if they are counted to be at most ``limit``."""
+    return F.broadcast(rows) if rows.count() <= limit else rows
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -58,17 +69,14 @@ def text_of(value: str | None) -> str:
     return value or ""
 
 
-_WORD_HASH = Memo(xxhash.xxh64_intdigest)
-
-
 def ascii_words(text: str | None) -> list[bytes]:
     """Maximal runs outside space and U+0009..U+000D, as UTF-8 (bytes.split's own set)."""
     return (text or "").encode("utf-8", "surrogatepass").split()
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    """A 64-bit hash for each word."""
-    return np.fromiter(map(_WORD_HASH.__getitem__, words), dtype=np.uint64, count=len(words))
+def utf8(column: pa.Array) -> list[bytes]:
+    """Each text's bytes; a null text is empty."""
+    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -94,17 +102,47 @@ def _grown(powers: np.ndarray, base: int, n: int) -> np.ndarray:
     return powers
 
 
-def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Hash of every run of ``width`` consecutive word hashes, by polynomial prefix sums modulo 2**64."""
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+
+
+def _prefix_sums(values: np.ndarray) -> np.ndarray:
+    """Sums of value * base**place before each place, modulo 2**64; grows the tables of powers."""
     global _powers, _inverse_powers
+    n = len(values)
+    _powers, _inverse_powers = _grown(_powers, _BASE, n), _grown(_inverse_powers, _BASE_INVERSE, n)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(values * _powers[:n], out=sums[1:])
+    return sums
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """A 64-bit hash for each of ascii_words' words, without cutting the text into words."""
+    signs = np.frombuffer(data, np.uint8)
+    if not len(signs):
+        return np.empty(0, np.uint64)
+    space = _SPACE[signs]
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    bounds = np.concatenate([[] if space[0] else [0], edges, [] if space[-1] else [len(signs)]]).astype(np.int64)
+    starts, ends = bounds[0::2], bounds[1::2]
+    sums = _prefix_sums(signs + np.uint64(1))
+    return mix64((sums[ends] - sums[starts]) * _inverse_powers[starts])
+
+
+def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Hash of every run of ``width`` consecutive word hashes."""
     n = len(hashes)
     if n < width:
         return np.empty(0, np.uint64)
-    _powers, _inverse_powers = _grown(_powers, _BASE, n), _grown(_inverse_powers, _BASE_INVERSE, n)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(hashes * _powers[:n], out=sums[1:])
+    sums = _prefix_sums(hashes)
     return mix64((sums[width:] - sums[:-width]) * _inverse_powers[: n - width + 1])
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Distinct values, ascending."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
 def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)

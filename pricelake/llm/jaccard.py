@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import ascii_words, batch_of, mix64, stage, window_hashes, word_hashes
+from pricelake.llm.common import batch_of, distinct, small_side, stage, utf8, window_hashes, word_hashes
 from pricelake.llm.components import components
 
 #: An element posted by at least this many sets of one task's share is reported as frequent.
@@ -37,16 +37,18 @@ LOCAL_FREQUENT = 8
 COUNTED_AT_ONCE = 1_000_000
 #: Elements put last in the order: the most frequent, at most this many (8 bytes each).
 FREQUENT_LIMIT, FREQUENT_SETS = 200_000, 40
-#: Up to so many ids are sent to every executor; beyond, documents and ids are shuffled.
-BROADCAST_IDS = 1_000_000
+#: Up to so many rows of two numbers are sent to every executor; beyond, both sides are shuffled.
+BROADCAST_ROWS = 1_000_000
+#: Leaders that a set asks first; a matter of speed only.
+LEADERS = 3
+#: Sets that meet in one task, at most about twice as many.
+CELL = 256
 
 
-def shingle_set(text: str | None, width: int) -> np.ndarray:
+def shingle_set(text: bytes, width: int) -> np.ndarray:
     """Distinct shingles' hashes, ascending; A-Z lower-cased, no other sign changed."""
-    words = ascii_words(text and text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
-    if not words:
-        return np.empty(0, np.uint64)
-    return np.unique(window_hashes(word_hashes(words), min(width, len(words))))
+    words = word_hashes(text.lower())
+    return distinct(window_hashes(words, min(width, len(words)))) if len(words) else words
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -92,7 +94,7 @@ class Frequencies:
 
 DIGEST = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64()), ("element", pa.int64()), ("sets", pa.int64())])
 POSTING = pa.schema([("element", pa.int64()), ("set_id", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
-SET = pa.schema([("set_id", pa.int64()), ("n", pa.int32()), ("elements", pa.list_(pa.int64()))])
+SET = pa.schema([("cell", pa.int64()), ("set_id", pa.int64()), ("elements", pa.list_(pa.int64()))])
 
 
 def _digests(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -102,10 +104,10 @@ def _digests(docs: DataFrame, width: int, percent: int) -> DataFrame:
         frequencies = Frequencies()
         for batch in batches:
             out = []
-            for text in batch["text"]:
-                elements = shingle_set(text.as_py(), width)
+            for text in utf8(batch["text"]):
+                elements = shingle_set(text, width)
                 out.append((len(elements), set_id(elements)))
-                frequencies.add(elements[: 2 * prefix_length(len(elements), percent) + 2])
+                frequencies.add(elements[: prefix_length(len(elements), percent)])
             nothing = [None] * len(out)
             yield batch_of(DIGEST, batch["doc_id"], *(zip(*out) if out else ([], [])), nothing, nothing)
         frequencies.prune(LOCAL_FREQUENT)
@@ -122,8 +124,8 @@ def _postings(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) -
         seen: set[int] = set()  # a set that this task has posted isn't posted again
         for batch in batches:
             columns: list[list[np.ndarray]] = [[], [], [], []]
-            for text in batch["text"]:
-                elements = shingle_set(text.as_py(), width)
+            for text in utf8(batch["text"]):
+                elements = shingle_set(text, width)
                 n, name = len(elements), set_id(elements)
                 if not n or name in seen:
                     continue
@@ -138,91 +140,134 @@ def _postings(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) -
     return docs.select("text").mapInArrow(post, "element long, set_id long, n int, pos int")
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """The whole sets of the classes in ``nodes`` (doc_id), one row each."""
-    if nodes.count() <= BROADCAST_IDS:
-        nodes = F.broadcast(nodes)
-    wanted = docs.select("doc_id", "text").join(nodes, "doc_id", "left_semi")
+def _enough(overlap: Column, n_a: Column, n_b: Column, percent: int) -> Column:
+    """100 * overlap >= percent * union, in whole numbers."""
+    return (100 + percent) * overlap.cast("long") >= percent * (n_a.cast("long") + n_b.cast("long"))
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t.as_py(), width) for t in batch["text"]]
-            yield batch_of(SET, [set_id(s) for s in sets], [len(s) for s in sets], [s.view(np.int64) for s in sets])
 
-    return wanted.mapInArrow(read, "set_id long, n int, elements array<long>")
+class Answers:
+    """Overlaps among sets that lie in one cell, derived from their overlaps with one of them.
 
+    For a reference R with |a & R| known, a set is R without some elements and with others;
+    of two sets, overlap = |R| - |R\\a| - |R\\b| + |(R\\a) & (R\\b)| + |(a\\R) & (b\\R)|, which
+    touches only the differences. Sets unlike every reference become references.
+    """
 
-def _enough(overlap: Column, n_a: Column, n_b: Column, percent: int) -> Column:
-    """100 * overlap >= percent * union, in whole numbers."""
-    return (100 + percent) * overlap.cast("long") >= percent * (n_a.cast("long") + n_b.cast("long"))
+    #: A set within this Jaccard similarity of a reference is kept as differences.
+    SIMILAR = 0.6
 
+    def __init__(self, sets: dict[int, np.ndarray]):
+        self.sets, self.references, self.of = sets, [], {}
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are within the threshold."""
-    side = lambda x: sets.select(F.col("set_id").alias(x), F.col("n").alias(f"{x}_size"), F.col("elements").alias(f"{x}_set"))
-    return (
-        pairs.select("a", "b")
-        .join(side("a"), "a")
-        .join(side("b"), "b")
-        .filter(_enough(F.size(F.array_intersect("a_set", "b_set")), F.col("a_size"), F.col("b_size"), percent))
-        .select("a", "b")
-    )
+    def _described(self, name: int) -> tuple[int, frozenset, frozenset]:
+        if name not in self.of:
+            own = self.sets[name]
+            for k, r in enumerate(self.references[-4:], max(0, len(self.references) - 4)):
+                common = len(np.intersect1d(own, r, assume_unique=True)) if 0.6 < len(own) / len(r) < 1.7 else 0
+                if common >= self.SIMILAR * (len(own) + len(r) - common):
+                    self.of[name] = (k, frozenset(np.setdiff1d(r, own, assume_unique=True).tolist()), frozenset(np.setdiff1d(own, r, assume_unique=True).tolist()))
+                    break
+            else:
+                self.references.append(own)
+                self.of[name] = (len(self.references) - 1, frozenset(), frozenset())
+        return self.of[name]
+
+    def overlap(self, a: int, b: int) -> int:
+        (ra, minus_a, plus_a), (rb, minus_b, plus_b) = self._described(a), self._described(b)
+        if ra != rb:
+            return len(np.intersect1d(self.sets[a], self.sets[b], assume_unique=True))
+        return len(self.references[ra]) - len(minus_a) - len(minus_b) + len(minus_a & minus_b) + len(plus_a & plus_b)
+
+    def linked(self, a: int, b: int, percent: int) -> bool:
+        n = len(self.sets[a]) + len(self.sets[b])
+        low = min(len(self.sets[a]), len(self.sets[b]))
+        return (100 + percent) * low >= percent * n and (100 + percent) * self.overlap(a, b) >= percent * n
+
+
+def _links_of(docs: DataFrame, pairs: DataFrame, names: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are within the threshold.
+
+    Sets travel once per cell, not once per pair: a set's home is its least partner, homes
+    of many sets are cut into parts of about CELL sets, and a cell is a pair of parts.
+    """
+    both = pairs.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("node"), F.col("a").alias("other")))
+    homes = both.groupBy("node").agg(F.least("node", F.min("other")).alias("hub"))
+    homes = stage(homes, "jaccard-homes")
+    parts = homes.groupBy("hub").agg(F.ceil(F.count("*") / CELL).alias("parts"))
+    homes = stage(homes.join(parts, "hub").select("node", F.xxhash64("hub", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("home")), "jaccard-parts")
+    side = lambda x: homes.select(F.col("node").alias(x), F.col("home").alias(f"{x}_home"))
+    cell = F.xxhash64(F.least("a_home", "b_home"), F.greatest("a_home", "b_home"))
+    placed = stage(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", cell.alias("cell")), "jaccard-cells")
+    visits = placed.select(F.col("a").alias("set_id"), "cell").union(placed.select("b", "cell")).distinct()
+    visits = visits.groupBy("set_id").agg(F.collect_list("cell").alias("cells"))
+    visits = stage(visits.join(names, "set_id").select(F.col("class_doc").alias("doc_id"), "set_id", "cells"), "jaccard-visits")
+    wanted = docs.select("doc_id", "text").join(small_side(visits, BROADCAST_ROWS), "doc_id").select("text", "set_id", "cells")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[int, int, np.ndarray]] = []
+            for text, name, cells in zip(utf8(batch["text"]), batch["set_id"].to_pylist(), batch["cells"].to_pylist()):
+                elements = shingle_set(text, width)
+                if set_id(elements) == name:  # else another row of the same doc_id
+                    out += [(c, name, elements.view(np.int64)) for c in cells]
+            yield batch_of(SET, *(zip(*out) if out else ([], [], [])))
+
+    def answer(key, sets: pa.Table, cell_pairs: pa.Table) -> pa.Table:
+        elements = {}
+        for name, values in zip(sets["set_id"].to_pylist(), sets["elements"].combine_chunks()):
+            elements.setdefault(name, values.values.to_numpy().view(np.uint64))
+        answers = Answers(elements)
+        found = [(a, b) for a, b in sorted(zip(cell_pairs["a"].to_pylist(), cell_pairs["b"].to_pylist())) if answers.linked(a, b, percent)]
+        return pa.table([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    sets = wanted.mapInArrow(read, "cell long, set_id long, elements array<long>")
+    links = sets.groupBy("cell").cogroup(placed.groupBy("cell")).applyInArrow(answer, "a long, b long")
+    return stage(links, "jaccard-links")
 
 
 def _join_classes(docs: DataFrame, classes: DataFrame, frequent: np.ndarray, width: int, percent: int) -> DataFrame:
     """All links that matter for components: (a, b) by set_id."""
-    postings = stage(_postings(docs, frequent, width, percent).dropDuplicates(["element", "set_id"]), "jaccard-postings")
-    lists = postings.groupBy("element").agg(F.count("*").alias("length"), F.min("set_id").alias("leader")).filter("length > 1")
-    lists = stage(lists.drop("length"), "jaccard-lists")
-    entries = stage(postings.join(lists, "element"), "jaccard-entries")
+    postings = stage(_postings(docs, frequent, width, percent), "jaccard-postings")
+    lists = stage(postings.groupBy("element").agg(F.count("*").alias("length")).filter("length > 1").select("element"), "jaccard-lists")
+    entries = stage(postings.join(lists, "element").dropDuplicates(["element", "set_id"]), "jaccard-entries")
     names = classes.select("set_id", "class_doc", F.col("n").cast("int").alias("n"))
 
-    # first the leaders' answers: pairs that share enough posted elements to be likely
-    n_leader = names.select(F.col("set_id").alias("leader"), F.col("n").alias("n_leader"))
+    # first the leaders' answers: each set asks the leaders with which it shares most lists
+    leaders = entries.groupBy("element").agg(F.min("set_id").alias("leader"))
     likely = (
-        entries.filter("set_id <> leader")
+        entries.join(leaders, "element")
+        .filter("set_id <> leader")
         .groupBy("set_id", "leader", "n")
         .agg(F.count("*").alias("shared"))
-        .join(n_leader, "leader")
-        .filter(_enough(F.least("n", "n_leader"), F.col("n"), F.col("n_leader"), percent))
         .filter(F.col("shared") >= 0.05 * F.col("n"))
-        .select(F.col("set_id").alias("a"), F.col("leader").alias("b"))
+        .groupBy("set_id")
+        .agg(F.slice(F.sort_array(F.collect_list(F.struct("shared", "leader")), asc=False), 1, LEADERS).alias("leaders"))
+        .select("set_id", F.explode("leaders.leader").alias("leader"))
+        .select(F.least("set_id", "leader").alias("a"), F.greatest("set_id", "leader").alias("b"))
+        .distinct()
     )
-    likely = stage(likely, "jaccard-likely")
-    linked = _links_of(docs, likely, names, width, percent)
-    roots = components(linked)
+    linked = _links_of(docs, stage(likely, "jaccard-likely"), names, width, percent)
+    roots = small_side(components(linked).withColumnRenamed("node", "set_id"), BROADCAST_ROWS)
 
     # then only lists where different components still meet
-    placed = stage(
-        entries.drop("leader")
-        .join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
-        .withColumn("root", F.coalesce("root", "set_id")),
-        "jaccard-placed",
-    )
-    mixed = placed.groupBy("element").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("element")
+    placed = entries.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+    mixed = stage(placed.groupBy("element").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("element"), "jaccard-mixed")
     block = F.floor(F.log("n") / math.log(100 / percent)).cast("int")  # linked sizes are in the same or the next block
     rest = stage(placed.join(mixed, "element", "left_semi").withColumn("size_block", block), "jaccard-rest")
     side = lambda x: rest.select("element", *(F.col(c).alias(f"{x}_{c}") for c in ("set_id", "n", "pos", "root", "size_block")))
     left = side("a").withColumn("size_block", F.explode(F.array(*(F.col("a_size_block") + d for d in (-1, 0, 1)))))
     right = side("b").withColumnRenamed("b_size_block", "size_block")
-    ahead = 1 + F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos")) - 1  # this element and what can follow it
     met = left.join(right, ["element", "size_block"]).filter((F.col("a_set_id") < F.col("b_set_id")) & (F.col("a_root") != F.col("b_root")))
-    met = met.filter(_enough(ahead + F.least("a_pos", "b_pos"), F.col("a_n"), F.col("b_n"), percent))
+    # what precedes the entry in both sets, the entry, and what can follow it
+    most = F.least("a_pos", "b_pos") + F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos"))
+    met = met.filter(_enough(most, F.col("a_n"), F.col("b_n"), percent))
     pairs = (
         met.groupBy("a_set_id", "b_set_id", "a_n", "b_n")
         .agg(F.count("*").alias("shared"), F.max("a_pos").alias("a_last"), F.max("b_pos").alias("b_last"))
         .filter(_enough(F.col("shared") + F.least(F.col("a_n") - F.col("a_last"), F.col("b_n") - F.col("b_last")) - 1, F.col("a_n"), F.col("b_n"), percent))
         .select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b"))
     )
-    pairs = stage(pairs, "jaccard-pairs")
-    return linked.unionByName(_links_of(docs, pairs, names, width, percent))
-
-
-def _links_of(docs: DataFrame, pairs: DataFrame, names: DataFrame, width: int, percent: int) -> DataFrame:
-    ends = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    nodes = stage(names.join(ends, "set_id").select(F.col("class_doc").alias("doc_id")), "jaccard-nodes")
-    sets = stage(_sets(docs, nodes, width).dropDuplicates(["set_id"]), "jaccard-sets")
-    return stage(_verified(pairs, sets, percent), "jaccard-links")
+    return linked.unionByName(_links_of(docs, stage(pairs, "jaccard-pairs"), names, width, percent))
 
 
 def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:

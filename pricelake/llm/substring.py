@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import ascii_words, batch_of, stage, window_hashes, word_hashes
+from pricelake.llm.common import ascii_words, batch_of, stage, utf8, window_hashes, word_hashes
 
 PERIOD = 31
 #: Up to so many rows, of so many numbers in all, are sent to every executor; beyond, texts are shuffled.
@@ -69,10 +69,6 @@ def difference_cover(period: int) -> tuple[int, ...]:
     return tuple(sorted({*range(r), *(k * r % period for k in range(r + 1))}))
 
 
-def text_key(words: list[bytes]) -> int:
-    return xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63)
-
-
 def anchor_positions(n: int, width: int, period: int) -> np.ndarray:
     at = np.arange(max(0, n - width + 1))
     return at[np.isin(at % period, difference_cover(period))]
@@ -99,8 +95,8 @@ def _columns(schema: pa.Schema, columns: list[list[np.ndarray]]) -> pa.RecordBat
 def _classes(docs: DataFrame) -> DataFrame:
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [ascii_words(t.as_py()) for t in batch["text"]]
-            yield batch_of(CLASS, batch["doc"], [text_key(w) for w in words], [len(w) for w in words])
+            words = [word_hashes(t) for t in utf8(batch["text"])]
+            yield batch_of(CLASS, batch["doc"], [xxhash.xxh3_64_intdigest(w.tobytes()) - (1 << 63) for w in words], [len(w) for w in words])
 
     return docs.mapInArrow(digest, "doc long, text_key long, n_words long")
 
@@ -111,11 +107,11 @@ def _anchors(docs: DataFrame, length: int, period: int) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns: list[list[np.ndarray]] = [[], [], []]
-            for doc, text in zip(batch["doc"].to_pylist(), batch["text"]):
-                words = ascii_words(text.as_py())
+            for doc, text in zip(batch["doc"].to_pylist(), utf8(batch["text"])):
+                words = word_hashes(text)
                 if len(words) >= length:
                     at = anchor_positions(len(words), width, period)
-                    for column, values in zip(columns, (window_hashes(word_hashes(words), width)[at].view(np.int64), np.full(len(at), doc), at)):
+                    for column, values in zip(columns, (window_hashes(words, width)[at].view(np.int64), np.full(len(at), doc), at)):
                         column.append(values)
             if columns[0]:
                 yield _columns(ANCHOR, columns)
@@ -129,11 +125,11 @@ def _windows(docs: DataFrame, length: int) -> DataFrame:
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns: list[list[np.ndarray]] = [[], [], []]
-            for doc, text, runs in zip(batch["doc"].to_pylist(), batch["text"], batch["runs"]):
-                words = ascii_words(text.as_py())
+            for doc, text, runs in zip(batch["doc"].to_pylist(), utf8(batch["text"]), batch["runs"]):
+                words = word_hashes(text)
                 at = inside(np.array(runs.as_py(), np.int64), max(0, len(words) - length + 1))
                 if len(at):
-                    for column, values in zip(columns, (window_hashes(word_hashes(words), length)[at].view(np.int64), np.full(len(at), doc), at)):
+                    for column, values in zip(columns, (window_hashes(words, length)[at].view(np.int64), np.full(len(at), doc), at)):
                         column.append(values)
             if columns[0]:
                 yield _columns(WINDOW, columns)
