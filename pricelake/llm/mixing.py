@@ -81,12 +81,14 @@ def split_quotas(draws: list[int], shards: int, seed: int = SEED) -> np.ndarray:
     return out
 
 
-def mix(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, texts: bool = False) -> DataFrame:
     """Per document row: doc_id, size, source, source_size, target, and draws: an array of
-    (pass, shard, place, words), where a draw of fewer words than size takes a prefix."""
+    (pass, shard, place, words), where a draw of fewer words than size takes a prefix.
+    With ``texts``, also row: all columns of docs."""
     spark = docs.sparkSession
     key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null"))
     sized = docs.select(
+        *([F.struct(docs.columns).alias("row")] if texts else []),
         "doc_id",
         "source",
         key.alias("source_key"),
@@ -149,6 +151,7 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     whole = rows.filter(F.coalesce(~cut, F.lit(True))).withColumn("last_words", F.col("size"))
     last = F.element_at("block_draws", -1)["pass"]
     return whole.unionByName(partial).select(
+        *(["row"] if texts else []),
         "doc_id",
         "size",
         "source",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricelake.llm import ann, bpe, chat, jaccard, mixing, pii, substring, topk
+from pricelake.llm import ann, bpe, chat, jaccard, mixing, pii, quality, substring, topk, toxicity
 
 QUERIES = {
     "op1_topk": topk.op1_topk,
@@ -13,6 +13,8 @@ QUERIES = {
     "op6_chat_format": chat.op6_chat_format,
     "op7_mix": mixing.op7_mix,
     "op8_substring": substring.op8_substring,
+    "op9_quality": quality.op9_quality,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLES = {
