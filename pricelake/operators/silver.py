@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pricelake.functions import keys
-from pricelake.functions.numbers import exact, valid_gtin
-from pricelake.functions.package import package
+from pricelake.functions.numbers import exact, rounded, valid_gtin
+from pricelake.functions.package import PACKAGE_COLUMNS, with_package
 from pricelake.functions.text import first_non_empty, trimmed
 from pricelake.operators.bronze import text_at
 from pricelake.operators.dedupe import dedupe
@@ -62,12 +62,12 @@ def with_listing(bronze: DataFrame) -> DataFrame:
     sku = first_non_empty(t("raw_product.sku"), t("sku"))
     uom = first_non_empty(t("unit_raw"), t("raw_product.uom"), t("raw_product.uomName"))
     unit = first_non_empty(t("unit_raw"), t("raw_product.uomName"), t("raw_product.uom"))
-    return bronze.filter(skip_reason(p, F.col("quality_status")).isNull()).select(
+    rows = bronze.filter(skip_reason(p, F.col("quality_status")).isNull()).select(
         "*",
         source_id.alias("source_product_id"),
         keys.listing_key(F.col("retailer_id"), source_id, sku, uom).alias("retailer_product_id"),
-        package(first_non_empty(t("product_name_raw"), t("raw_product.name")), t("package_size_raw"), unit).alias("package"),
     )
+    return with_package(rows, first_non_empty(t("product_name_raw"), t("raw_product.name")), t("package_size_raw"), unit)
 
 
 def products(bronze: DataFrame, normalized_at: str) -> DataFrame:
@@ -100,7 +100,7 @@ def products(bronze: DataFrame, normalized_at: str) -> DataFrame:
         F.col("observed_at").alias("last_seen_at"),
         F.lit(True).alias("is_active"),
         F.lit(normalized_at).alias("normalized_at"),
-        "package.*",
+        *PACKAGE_COLUMNS,
     )
 
 
@@ -112,7 +112,7 @@ def latest_products(rows: DataFrame) -> DataFrame:
 def discount(current: Column, listed: Column) -> tuple[Column, Column]:
     """(amount, percent to 4 places); both null unless the listed price is positive."""
     amount = F.when((listed > 0) & current.isNotNull(), F.greatest(exact(listed) - exact(current), F.lit(0).cast("decimal(28,12)")))
-    return amount, F.round((amount / exact(listed) * 100).cast("decimal(28,12)"), 4)
+    return amount, rounded(amount.cast("double") / listed * 100, 4)
 
 
 def availability(stock: Column) -> Column:
@@ -153,7 +153,7 @@ def observations(bronze: DataFrame, normalized_at: str) -> DataFrame:
         (flag_at(p, "is_on_promotion") | cut | mechanic).alias("is_on_promotion"),
         F.col("run_id").alias("source_run_id"),
         F.col("bronze_record_key").alias("source_bronze_record_key"),
-        row_quality(F.col("quality_status"), F.col("package.package_parse_status")).alias("data_quality_status"),
+        row_quality(F.col("quality_status"), F.col("package_parse_status")).alias("data_quality_status"),
         F.lit(normalized_at).alias("normalized_at"),
     )
 

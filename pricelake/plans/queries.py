@@ -183,7 +183,7 @@ def silver_products(spark, sf_dir):
 
 @query(with_views("obs listing", f"""SELECT sha256(listing_key || '|' || coalesce(store_code, 'None') || '|' || observed_at || '|' || source_bronze_record_key) AS observation_id, listing_key AS retailer_product_id, observation_date, current_price,
   CAST(CASE WHEN listed_price > 0 THEN greatest(CAST(listed_price AS DECIMAL(28, 12)) - CAST(current_price AS DECIMAL(28, 12)), 0) END AS DOUBLE) AS discount_amount,
-  CAST(CASE WHEN listed_price > 0 THEN round(CAST(greatest(CAST(listed_price AS DECIMAL(28, 12)) - CAST(current_price AS DECIMAL(28, 12)), 0) / listed_price * 100 AS DECIMAL(28, 12)), 4) END AS DOUBLE) AS discount_percent,
+  CAST(CASE WHEN listed_price > 0 THEN round(CAST(CAST(greatest(CAST(listed_price AS DECIMAL(28, 12)) - CAST(current_price AS DECIMAL(28, 12)), 0) AS DOUBLE) / listed_price * 100 AS DECIMAL(28, 12)), 4) END AS DOUBLE) AS discount_percent,
   CASE WHEN k > 40 THEN 'in_stock' ELSE 'out_of_stock' END AS availability_status, is_price_discount OR has_promo_mechanic AS is_on_promotion,
   CASE WHEN data_quality_status = 'warning' OR parse IN ('selling_unit_fallback', 'parse_failed') THEN 'warning' ELSE 'valid' END AS data_quality_status
 FROM (SELECT *, {SILVER_KEY} AS listing_key FROM obs o JOIN listing l USING (retailer_product_id)) WHERE coalesce(data_quality_status, '') <> 'quarantined' AND current_price IS NOT NULL"""))
@@ -496,7 +496,7 @@ def price_across_retailers(spark, sf_dir):
 
 
 @query(with_views(FACT, """SELECT retailer_id, snapshot_date, count(*) AS n, max(pct) AS max_percent, min(pct) AS min_percent FROM (
-  SELECT *, CAST(round(CAST((CAST(listed_price AS DECIMAL(28, 12)) - CAST(current_price AS DECIMAL(28, 12))) / listed_price * 100 AS DECIMAL(28, 12)), 4) AS DOUBLE) AS pct FROM fact WHERE listed_price > current_price) GROUP BY 1, 2"""))
+  SELECT *, CAST(round(CAST(CAST(CAST(listed_price AS DECIMAL(28, 12)) - CAST(current_price AS DECIMAL(28, 12)) AS DOUBLE) / listed_price * 100 AS DECIMAL(28, 12)), 4) AS DOUBLE) AS pct FROM fact WHERE listed_price > current_price) GROUP BY 1, 2"""))
 def discounts(spark, sf_dir):
     amount, percent = silver.discount(F.col("current_price"), F.col("listed_price"))
     return doubles(serving.discounts(fact(spark, sf_dir).withColumns({"discount_amount": amount, "discount_percent": percent})))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from pricelake.functions.package import package
+from pricelake.functions.package import PACKAGE_COLUMNS, with_package
 from pricelake.operators.silver import availability
 
 UNITS = ["kg", "g", "ml", "l", " x 20cm", ""]
@@ -63,9 +63,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
     name = F.concat("p_name", F.lit(" "), F.col("p_size").cast("string"), pick(UNITS, key))
     unit = F.when(key % 7 != 0, pick(SELLING, key))
-    rows = read(spark, sf_dir, "part").select(
-        "*", name.alias("product_name"), package(name, F.lit(None).cast("string"), unit).alias("package")
-    )
+    rows = with_package(read(spark, sf_dir, "part").withColumn("product_name", name), name, F.lit(None).cast("string"), unit)
     return rows.select(
         F.concat(F.lit("p"), key.cast("string")).alias("retailer_product_id"),
         F.concat(F.lit("r"), (key % 5).cast("string")).alias("retailer_id"),
@@ -76,7 +74,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("run_1").alias("source_run_id"),
         F.lit("part.jsonl").alias("source_file"),
         key.alias("source_line_number"),
-        "package.*",
+        *PACKAGE_COLUMNS,
     )
 
 
