@@ -116,15 +116,20 @@ def _prefix_sums(values: np.ndarray) -> np.ndarray:
     return sums
 
 
-def word_hashes(data: bytes) -> np.ndarray:
-    """A 64-bit hash for each of ascii_words' words, without cutting the text into words."""
-    signs = np.frombuffer(data, np.uint8)
+def word_bounds(signs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of ascii_words' words in the bytes of a text."""
     if not len(signs):
-        return np.empty(0, np.uint64)
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     space = _SPACE[signs]
     edges = np.flatnonzero(space[1:] != space[:-1]) + 1
     bounds = np.concatenate([[] if space[0] else [0], edges, [] if space[-1] else [len(signs)]]).astype(np.int64)
-    starts, ends = bounds[0::2], bounds[1::2]
+    return bounds[0::2], bounds[1::2]
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """A 64-bit hash for each of ascii_words' words, without cutting the text into words."""
+    signs = np.frombuffer(data, np.uint8)
+    starts, ends = word_bounds(signs)
     sums = _prefix_sums(signs + np.uint64(1))
     return mix64((sums[ends] - sums[starts]) * _inverse_powers[starts])
 

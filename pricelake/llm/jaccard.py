@@ -1,8 +1,9 @@
 """Exact Jaccard join of word-shingle sets with set-relation skipping.
 
 Documents with equal sets are one class, so copies are never paired. Each class posts the
-first elements of its set in one global order (elements found frequent last, else by hash)
-to index lists; two sets within the threshold share a posted element. Lists are read in
+first elements of its set in one global order to index lists; two sets within the
+threshold share a posted element. A first round, in the order of hashes, leaves the sets
+that meet any other; for these, elements are counted and frequent ones come last. Lists are read in
 blocks of like set size, and a pair of entries is skipped where its positions show that
 the sets can't overlap enough. Answers are derived from similar sets' answers: every
 list's leader answers first for all members; sets that those answers already join are not
@@ -31,14 +32,13 @@ from pyspark.sql import functions as F
 from pricelake.llm.common import batch_of, distinct, small_side, stage, utf8, window_hashes, word_hashes
 from pricelake.llm.components import components
 
-#: An element posted by at least this many sets of one task's share is reported as frequent.
-LOCAL_FREQUENT = 8
-#: Elements counted between two prunings of a task's counts.
-COUNTED_AT_ONCE = 1_000_000
-#: Elements put last in the order: the most frequent, at most this many (8 bytes each).
-FREQUENT_LIMIT, FREQUENT_SETS = 200_000, 40
+#: Elements put last in the order: those of at least FREQUENT_SETS sets, and of the most
+#: sets if there are more than FREQUENT_LIMIT of them (8 bytes each on every executor).
+FREQUENT_LIMIT, FREQUENT_SETS = 1_000_000, 3
 #: Up to so many rows of two numbers are sent to every executor; beyond, both sides are shuffled.
 BROADCAST_ROWS = 1_000_000
+#: The first round posts one element more for every so many.
+MORE = 40
 #: Leaders that a set asks first; a matter of speed only.
 LEADERS = 3
 #: Sets that meet in one task, at most about twice as many.
@@ -69,56 +69,49 @@ def ordered(elements: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return np.concatenate([elements[~late], elements[late]])
 
 
-class Frequencies:
-    """Lossy counts of elements: what is frequent in the task's share survives."""
-
-    def __init__(self):
-        self.keys, self.counts = np.empty(0, np.uint64), np.empty(0, np.int64)
-        self.waiting: list[np.ndarray] = []
-        self.held = self.rounds = 0
-
-    def add(self, elements: np.ndarray) -> None:
-        self.waiting.append(elements)
-        self.held += len(elements)
-        if self.held >= COUNTED_AT_ONCE:
-            self.prune()
-
-    def prune(self, least: int | None = None) -> None:
-        self.rounds += 1
-        keys, at, n = np.unique(np.concatenate([self.keys, *self.waiting]), return_inverse=True, return_counts=True)
-        counts = n.astype(np.int64)
-        counts[at[: len(self.keys)]] += self.counts - 1
-        keep = counts > (self.rounds if least is None else least - 1)
-        self.keys, self.counts, self.waiting, self.held = keys[keep], counts[keep], [], 0
-
-
-DIGEST = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64()), ("element", pa.int64()), ("sets", pa.int64())])
+DIGEST = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64())])
+COUNT = pa.schema([("element", pa.int64()), ("sets", pa.int64())])
 POSTING = pa.schema([("element", pa.int64()), ("set_id", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
 SET = pa.schema([("cell", pa.int64()), ("set_id", pa.int64()), ("elements", pa.list_(pa.int64()))])
 
 
-def _digests(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Per document (doc_id, n, set_id), and per task rows (element, sets) of frequent elements."""
+def _digests(docs: DataFrame, width: int) -> DataFrame:
+    """doc_id, n and set_id of every document."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequencies = Frequencies()
         for batch in batches:
-            out = []
-            for text in utf8(batch["text"]):
-                elements = shingle_set(text, width)
-                out.append((len(elements), set_id(elements)))
-                frequencies.add(elements[: prefix_length(len(elements), percent)])
-            nothing = [None] * len(out)
-            yield batch_of(DIGEST, batch["doc_id"], *(zip(*out) if out else ([], [])), nothing, nothing)
-        frequencies.prune(LOCAL_FREQUENT)
-        nothing = [None] * len(frequencies.keys)
-        yield batch_of(DIGEST, nothing, nothing, nothing, frequencies.keys.view(np.int64), frequencies.counts)
+            sets = [shingle_set(text, width) for text in utf8(batch["text"])]
+            yield batch_of(DIGEST, batch["doc_id"], [len(s) for s in sets], [set_id(s) for s in sets])
 
-    return docs.select("doc_id", "text").mapInArrow(digest, "doc_id long, n long, set_id long, element long, sets long")
+    return docs.select("doc_id", "text").mapInArrow(digest, "doc_id long, n long, set_id long")
 
 
-def _postings(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(frequent)
+def _frequent(texts: DataFrame, width: int) -> np.ndarray:
+    """Elements of many of the texts' sets, ascending; at most FREQUENT_LIMIT."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(text, width) for text in utf8(batch["text"])]
+            if sets:
+                elements, n = np.unique(np.concatenate(sets), return_counts=True)
+                yield batch_of(COUNT, elements.view(np.int64), n)
+
+    counts = texts.select("text").mapInArrow(count, "element long, sets long").groupBy("element").agg(F.sum("sets").alias("sets")).filter(F.col("sets") >= FREQUENT_SETS)
+    counts = stage(counts, "jaccard-counts")
+    least, held = FREQUENT_SETS, 0
+    for row in counts.groupBy(F.least("sets", F.lit(10_000)).alias("sets")).agg(F.count("*").alias("n")).orderBy(F.desc("sets")).collect():
+        held += row.n
+        if held > FREQUENT_LIMIT:
+            least = row.sets + 1
+            break
+    chosen = counts.filter(F.col("sets") >= least).select("element").toArrow()["element"].to_numpy()
+    return np.sort(chosen.view(np.uint64))
+
+
+def _postings(texts: DataFrame, frequent: np.ndarray, width: int, percent: int, more: int = 0) -> DataFrame:
+    """The first elements of every set in the global order: element, set_id, n, pos.
+    ``more``: one element beyond the prefix for every so many elements of the set."""
+    sent = texts.sparkSession.sparkContext.broadcast(frequent)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # a set that this task has posted isn't posted again
@@ -131,13 +124,26 @@ def _postings(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) -
                     continue
                 if len(seen) < 1_000_000:
                     seen.add(name)
-                first = ordered(elements, sent.value)[: prefix_length(n, percent)]
+                first = ordered(elements, sent.value)[: prefix_length(n, percent) + (n // more if more else 0)]
                 for column, values in zip(columns, (first.view(np.int64), np.full(len(first), name), np.full(len(first), n), np.arange(len(first)))):
                     column.append(values)
             if columns[0]:
                 yield batch_of(POSTING, *(np.concatenate(c).astype(f.type.to_pandas_dtype()) for c, f in zip(columns, POSTING)))
 
-    return docs.select("text").mapInArrow(post, "element long, set_id long, n int, pos int")
+    return texts.select("text").mapInArrow(post, "element long, set_id long, n int, pos int")
+
+
+def _suspects(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id of one document for each set that may have a partner, by hash order alone.
+
+    With m elements more than the prefix posted on both sides, two linked sets share at
+    least 1 + m of them; a partner of a set of n elements has at least percent * n / 100.
+    """
+    postings = stage(_postings(docs, np.empty(0, np.uint64), width, percent, MORE).drop("pos"), "jaccard-first")
+    lists = stage(postings.groupBy("element").agg(F.count("*").alias("length")).filter("length > 1").select("element"), "jaccard-met")
+    met = postings.join(lists, "element").groupBy("set_id", "n").agg(F.count("*").alias("met"))
+    sets = met.filter(F.col("met") >= 1 + F.floor(F.floor(percent * F.col("n") / 100) / MORE)).select("set_id").distinct()
+    return stage(classes.join(sets, "set_id").select(F.col("class_doc").alias("doc_id")), "jaccard-suspects")
 
 
 def _enough(overlap: Column, n_a: Column, n_b: Column, percent: int) -> Column:
@@ -225,9 +231,11 @@ def _links_of(docs: DataFrame, pairs: DataFrame, names: DataFrame, width: int, p
     return stage(links, "jaccard-links")
 
 
-def _join_classes(docs: DataFrame, classes: DataFrame, frequent: np.ndarray, width: int, percent: int) -> DataFrame:
+def _join_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """All links that matter for components: (a, b) by set_id."""
-    postings = stage(_postings(docs, frequent, width, percent), "jaccard-postings")
+    suspects = small_side(_suspects(docs, classes, width, percent), BROADCAST_ROWS)
+    texts = docs.select("doc_id", "text").join(suspects, "doc_id", "left_semi")
+    postings = stage(_postings(texts, _frequent(texts, width), width, percent), "jaccard-postings")
     lists = stage(postings.groupBy("element").agg(F.count("*").alias("length")).filter("length > 1").select("element"), "jaccard-lists")
     entries = stage(postings.join(lists, "element").dropDuplicates(["element", "set_id"]), "jaccard-entries")
     names = classes.select("set_id", "class_doc", F.col("n").cast("int").alias("n"))
@@ -272,14 +280,9 @@ def _join_classes(docs: DataFrame, classes: DataFrame, frequent: np.ndarray, wid
 
 def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """Per document row: doc_id, n_shingles, component_id and class_doc (the least doc_id with an equal set)."""
-    read = stage(_digests(docs, width, percent), "jaccard-digests")
-    digests = read.filter("n is not null").select("doc_id", "n", "set_id")
-    found = read.filter("sets is not null").groupBy("element").agg(F.sum("sets").alias("sets")).filter(F.col("sets") >= FREQUENT_SETS)
-    top = found.orderBy(F.desc("sets"), "element").limit(FREQUENT_LIMIT).select("element").collect()
-    frequent = np.sort(np.array([r.element for r in top], np.int64).view(np.uint64))
-
+    digests = stage(_digests(docs, width), "jaccard-digests")
     classes = stage(digests.filter("n > 0").groupBy("set_id", "n").agg(F.min("doc_id").alias("class_doc")), "jaccard-classes")
-    roots = components(_join_classes(docs, classes, frequent, width, percent))
+    roots = components(_join_classes(docs, classes, width, percent))
     rooted = classes.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     least = rooted.groupBy("root").agg(F.min("class_doc").alias("component_id"))
     named = stage(rooted.join(least, "root").select("set_id", "n", "class_doc", "component_id"), "jaccard-named")
