@@ -17,53 +17,55 @@ and doc_id are never inputs.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import Memo, batch_of, text_of
+from pricelake.llm.common import batch_of, distinct, mix64, utf8, word_bounds, word_hashes
 from pricelake.llm.labels import fold, labelled
 
-WORD_BUCKETS, SHAPE_BUCKETS, DIMENSIONS, NONZERO, REACH = 1 << 14, 1 << 9, 48, 6, 2
+WORD_BUCKETS, SHAPE_BUCKETS, DIMENSIONS, NONZERO, REACH = 1 << 14, 1 << 9, 32, 4, 2
 ITEMS = WORD_BUCKETS + SHAPE_BUCKETS
 #: Labelled rows that the network is fitted on, at most: those whose ids hash lowest.
 SAMPLE = 12_000
 HIDDEN, EPOCHS, SEED = 24, 60, 17
 THRESHOLD = 0.7
-CHUNK = 60_000
+CHUNK = 8_192
 
-_CLASSES = [(re.compile(p), s) for p, s in ((r"[A-ZÀ-ÖØ-Þ]{2,}", "XX"), (r"[A-ZÀ-ÖØ-Þ]", "X"), (r"[0-9]+", "9"), (r"[^\W\d_A-Z]+", "x"))]
+#: Of each byte: is it an upper-case letter, a digit, a sign that is neither letter nor digit (ASCII)?
+_UPPER, _DIGIT, _SIGN = (np.array([b < 128 and test(chr(b)) for b in range(256)]) for test in (str.isupper, str.isdigit, lambda c: not c.isalnum()))
 
 
-def shape(word: str) -> str:
-    """Runs of like signs by class; other signs stand for themselves, up to two of a kind."""
-    for pattern, sign in _CLASSES:
-        word = pattern.sub(sign, word)
-    return re.sub(r"(.)\1{2,}", r"\1\1", word)[:12]
+def document_items(text: bytes) -> np.ndarray:
+    """A code for each word: its bucket, and the bucket of its shape.
 
+    A shape is: no, first or most letters upper case; digits or not; how many other signs,
+    up to three; and the last byte if it is such a sign.
+    """
+    signs = np.frombuffer(text, np.uint8)
+    starts, ends = word_bounds(signs)
+    if not len(starts):
+        return np.empty(0, np.int32)
+    within = lambda kind: np.diff(np.concatenate([[0], np.cumsum(kind[signs], dtype=np.int32)])[np.column_stack([starts, ends])])[:, 0]
+    upper, others = within(_UPPER), within(_SIGN)
+    last = signs[ends - 1]
+    case = np.where(2 * upper > ends - starts - others, 2, np.minimum(upper, 1))
+    key = ((case * 2 + (within(_DIGIT) > 0)) * 4 + np.minimum(others, 3)) * 128 + np.where(_SIGN[last], last, 0)
+    shapes = mix64(key.astype(np.uint64)) % np.uint64(SHAPE_BUCKETS)
+    return (word_hashes(text.lower()) % np.uint64(WORD_BUCKETS) * np.uint64(SHAPE_BUCKETS) + shapes).astype(np.int32)
 
-def items_of(word: str) -> tuple[int, int]:
-    bucket = xxhash.xxh32_intdigest(word.lower().encode("utf-8", "surrogatepass")) % WORD_BUCKETS
-    return bucket, WORD_BUCKETS + xxhash.xxh32_intdigest(shape(word).encode("utf-8", "surrogatepass")) % SHAPE_BUCKETS
 
-
-_ITEMS = Memo(items_of, 400_000)
-
-
-def document_items(text: str | None) -> np.ndarray:
-    """Per word its two items."""
-    words = text_of(text).split()
-    return np.array(list(map(_ITEMS.__getitem__, words)), np.int64).reshape(-1, 2)
+def split_items(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(word buckets, shape buckets), in the narrow type that sorts fastest."""
+    return (codes // SHAPE_BUCKETS).astype(np.uint16), (codes % SHAPE_BUCKETS).astype(np.uint16)
 
 
 def index_vectors(seed: int = SEED) -> np.ndarray:
-    """The fixed sparse vectors of all items."""
+    """The fixed sparse vectors of all items: words, then shapes."""
     rng = np.random.default_rng(seed)
     out = np.zeros((ITEMS, DIMENSIONS), np.float32)
     places = np.argsort(rng.random((ITEMS, DIMENSIONS)), axis=1)[:, :NONZERO]
@@ -75,26 +77,30 @@ class ContextSums:
     """Sums of neighbours' index vectors by item."""
 
     def __init__(self):
-        self.index = index_vectors()
+        index = index_vectors()
+        self.words, self.shapes = index[:WORD_BUCKETS], index[WORD_BUCKETS:]
         self.sums = np.zeros((ITEMS, DIMENSIONS), np.float64)
         self.counts = np.zeros(ITEMS, np.int64)
 
-    def add(self, items: np.ndarray) -> None:
-        """Items of consecutive words; neighbours are up to REACH words away."""
-        for start in range(0, len(items), CHUNK):
-            part = items[max(0, start - REACH) : start + CHUNK + REACH]
-            own = slice(start - max(0, start - REACH), start - max(0, start - REACH) + min(CHUNK, len(items) - start))
-            vectors = self.index[part[:, 0]] + self.index[part[:, 1]]
+    def add(self, codes: np.ndarray) -> None:
+        """Codes of consecutive words; neighbours are up to REACH words away."""
+        for start in range(0, len(codes), CHUNK):
+            low = max(0, start - REACH)
+            buckets, shapes = split_items(codes[low : start + CHUNK + REACH])
+            own = slice(start - low, start - low + min(CHUNK, len(codes) - start))
+            vectors = self.words[buckets] + self.shapes[shapes]
             around = np.zeros_like(vectors)
-            for d in range(1, min(REACH, len(part) - 1) + 1):
+            for d in range(1, min(REACH, len(buckets) - 1) + 1):
                 around[d:] += vectors[:-d]
                 around[:-d] += vectors[d:]
-            for column in (0, 1):
-                ids = part[own, column]
+            around = around[own]
+            for ids, base in ((buckets[own], 0), (shapes[own], WORD_BUCKETS)):
                 order = np.argsort(ids, kind="stable")
-                kinds, first, n = np.unique(ids[order], return_index=True, return_counts=True)
-                self.sums[kinds] += np.add.reduceat(around[own][order], first, axis=0)
-                self.counts[kinds] += n
+                ranked = ids[order]
+                first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+                kinds = ranked[first].astype(np.int64) + base
+                self.sums[kinds] += np.add.reduceat(around[order], first, axis=0)
+                self.counts[kinds] += np.diff(np.append(first, len(ranked)))
 
 
 SUMS = pa.schema([("item", pa.int32()), ("n", pa.int64()), ("vector", pa.list_(pa.float64()))])
@@ -105,10 +111,10 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, waiting, held = ContextSums(), [], 0
-        gap = np.full((REACH, 2), [0, WORD_BUCKETS], np.int64)  # texts are neighbours of nothing but this filler
+        gap = np.zeros(REACH, np.int32)  # texts are neighbours of nothing but this filler
         for batch in batches:
-            for text in batch["text"]:
-                waiting += [document_items(text.as_py()), gap]
+            for text in utf8(batch["text"]):
+                waiting += [document_items(text), gap]
                 held += len(waiting[-2])
                 if held >= CHUNK:
                     sums.add(np.concatenate(waiting))
@@ -128,18 +134,27 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     return (table / np.where(norm > 0, norm, 1)).astype(np.float32)
 
 
-def pooled(items: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+class Pool:
     """A document's features: mean vectors of words and of shapes, their spread, repetition, length."""
-    out = np.zeros(3 * DIMENSIONS + 3)
-    if len(items):
-        words, shapes = vectors[items[:, 0]], vectors[items[:, 1]]
-        out[:DIMENSIONS] = words.mean(axis=0)
-        out[DIMENSIONS : 2 * DIMENSIONS] = shapes.mean(axis=0)
-        out[2 * DIMENSIONS : 3 * DIMENSIONS] = shapes.std(axis=0)
-        out[-3] = (items[1:] == items[:-1]).all(axis=1).mean() if len(items) > 1 else 0.0
-        out[-2] = len(np.unique(items[:, 0])) / math.sqrt(len(items))
-        out[-1] = math.log1p(len(items))
-    return out
+
+    WIDTH = 3 * DIMENSIONS + 3
+
+    def __init__(self, vectors: np.ndarray):
+        self.words, shapes = vectors[:WORD_BUCKETS], vectors[WORD_BUCKETS:].astype(np.float64)
+        self.shapes = np.hstack([shapes, shapes**2])
+
+    def features(self, text: bytes) -> np.ndarray:
+        out, codes = np.zeros(self.WIDTH), document_items(text)
+        if n := len(codes):
+            buckets, shapes = split_items(codes)
+            out[:DIMENSIONS] = self.words[buckets].mean(axis=0)
+            moments = np.bincount(shapes, minlength=SHAPE_BUCKETS) @ self.shapes / n
+            out[DIMENSIONS : 2 * DIMENSIONS] = moments[:DIMENSIONS]
+            out[2 * DIMENSIONS : 3 * DIMENSIONS] = np.sqrt(np.maximum(moments[DIMENSIONS:] - moments[:DIMENSIONS] ** 2, 0))
+            out[-3] = (codes[1:] == codes[:-1]).mean() if n > 1 else 0.0
+            out[-2] = len(distinct(codes)) / math.sqrt(n)
+            out[-1] = math.log1p(n)
+        return out
 
 
 @dataclass
@@ -209,11 +224,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pool = Pool(sent.value)
         for batch in batches:
-            yield batch_of(FEATURES, batch["label"], [pooled(document_items(t.as_py()), sent.value) for t in batch["text"]])
+            yield batch_of(FEATURES, batch["label"], [pool.features(t) for t in utf8(batch["text"])])
 
     found = rows.mapInArrow(features, "label int, features array<double>").toPandas()
-    x = np.stack(found["features"].to_list()) if len(found) else np.zeros((0, 3 * DIMENSIONS + 3))
+    x = np.stack(found["features"].to_list()) if len(found) else np.zeros((0, Pool.WIDTH))
     order = np.lexsort([*x.T[-3:], found["label"].to_numpy()]) if len(found) else []
     return vectors, fit_network(x[order], found["label"].to_numpy(float)[order])
 
@@ -225,8 +241,9 @@ def score(docs: DataFrame, vectors: np.ndarray, network: Network) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, net = sent.value
+        pool = Pool(table)
         for batch in batches:
-            x = np.array([pooled(document_items(t.as_py()), table) for t in batch["text"]]).reshape(-1, 3 * DIMENSIONS + 3)
+            x = np.array([pool.features(t) for t in utf8(batch["text"])]).reshape(-1, Pool.WIDTH)
             yield batch.append_column(name, pa.array(net.scores(x), pa.float64()))
 
     return docs.mapInArrow(run, docs.drop(name).schema.add(name, "double"))

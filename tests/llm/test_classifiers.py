@@ -66,20 +66,21 @@ def test_fold(spark):
 
 def test_context_sums_like_a_loop():
     rng = np.random.default_rng(1)
-    items = np.column_stack([rng.integers(0, 20, 500), quality.WORD_BUCKETS + rng.integers(0, 5, 500)])
-    sums = quality.ContextSums()
-    sums.add(items)
+    codes = (rng.integers(0, 20, 500) * quality.SHAPE_BUCKETS + rng.integers(0, 5, 500)).astype(np.int32)
+    items = np.column_stack([codes // quality.SHAPE_BUCKETS, quality.WORD_BUCKETS + codes % quality.SHAPE_BUCKETS])
+    sums, index = quality.ContextSums(), quality.index_vectors()
+    sums.add(codes)
     want = np.zeros_like(sums.sums)
     for i in range(len(items)):
         for d in (-2, -1, 1, 2):
             if 0 <= i + d < len(items):
                 for x in items[i]:
-                    want[x] += sums.index[items[i + d]].sum(axis=0)
+                    want[x] += index[items[i + d]].sum(axis=0)
     assert np.allclose(sums.sums, want, atol=1e-3)
     old, quality.CHUNK = quality.CHUNK, 37
     try:
         parts = quality.ContextSums()
-        parts.add(items)
+        parts.add(codes)
     finally:
         quality.CHUNK = old
     assert np.allclose(parts.sums, sums.sums, atol=1e-3) and (parts.counts == sums.counts).all()
