@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +33,8 @@ from pricelake.llm.common import batch_of, mix64, small_side, stage, text_of
 from pricelake.llm.labels import fold, labelled
 
 ORDER = 5
-SLOT_BITS = 20
-SLOTS = 1 << SLOT_BITS
+#: Slots, as powers of two, for runs of so many signs.
+SLOT_BITS = {1: 12, 2: 15, 3: 17, 4: 19, 5: 20}
 DISCOUNT = 0.75
 #: Signs that the lowest model spreads its rest over.
 ALPHABET = 1 << 12
@@ -75,8 +76,8 @@ def runs(words: list[str]) -> tuple[np.ndarray, dict[int, np.ndarray], np.ndarra
     return word[at], hashes, at
 
 
-def slots(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+def slots(hashes: np.ndarray, k: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - SLOT_BITS[k])).astype(np.int64)
 
 
 COUNTS = pa.schema([("toxic", pa.int64()), ("ordinary", pa.int64()), *((f"g{k}", pa.int64()) for k in range(1, ORDER + 1)), *((f"h{k}", pa.int64()) for k in range(1, ORDER))])
@@ -105,14 +106,14 @@ def _counts(rows: DataFrame) -> DataFrame:
 
 
 def _by_slot(df: DataFrame, key: str, **values) -> tuple[np.ndarray, ...]:
-    """Arrays over slots; at most SLOTS rows reach the driver."""
-    slot = F.shiftrightunsigned(F.col(key), 64 - SLOT_BITS).cast("int")
-    rows = df.groupBy(slot.alias("slot")).agg(*(v.alias(k) for k, v in values.items())).toPandas()
+    """Arrays over the slots of ``key`` (g or h and a run's length), whose number bounds what reaches the driver."""
+    bits = SLOT_BITS[int(key[1:])]
+    slot = F.shiftrightunsigned(F.col(key), 64 - bits).cast("int")
+    rows = df.groupBy(slot.alias("slot")).agg(*(v.alias(k) for k, v in values.items())).toArrow()
     out = []
     for name in values:
-        column = np.zeros(SLOTS, np.float32)
-        if len(rows):
-            column[rows["slot"].to_numpy()] = rows[name].to_numpy()
+        column = np.zeros(1 << bits, np.float32)
+        column[rows["slot"].to_numpy()] = rows[name].to_numpy()
         out.append(column)
     return tuple(out)
 
@@ -132,14 +133,14 @@ class TwoModels:
         word, h, at = runs(words)
         total, kinds = self.lowest
         p = np.full(len(at), 1.0 / ALPHABET)
-        single = self.shared[1][0][slots(h[1][at])]
+        single = self.shared[1][0][slots(h[1][at], 1)]
         p = np.maximum(single - DISCOUNT, 0) / max(total, 1) + (DISCOUNT * kinds / max(total, 1) if total else 1.0) * p
         for k in range(2, ORDER):
             counts, totals, types = self.shared[k]
-            history = slots(h[k - 1][at - 1])
+            history = slots(h[k - 1][at - 1], k - 1)
             t = totals[history]
-            p = np.where(t > 0, (np.maximum(counts[slots(h[k][at])] - DISCOUNT, 0) + DISCOUNT * types[history] * p) / np.maximum(t, 1), p)
-        own, history = slots(h[ORDER][at]), slots(h[ORDER - 1][at - 1])
+            p = np.where(t > 0, (np.maximum(counts[slots(h[k][at], k)] - DISCOUNT, 0) + DISCOUNT * types[history] * p) / np.maximum(t, 1), p)
+        own, history = slots(h[ORDER][at], ORDER), slots(h[ORDER - 1][at - 1], ORDER - 1)
         logs = []
         for c in (0, 1):
             t = self.histories[c][history]
@@ -221,7 +222,7 @@ FEATURES = pa.schema([("label", pa.int32()), ("features", pa.list_(pa.float64())
 
 @dataclass
 class Scorer:
-    models: TwoModels
+    models: Broadcast  # of TwoModels
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
@@ -247,19 +248,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
 
     found = texts.join(F.broadcast(chosen), "doc_id").select("text", "label").mapInArrow(features, "label int, features array<double>").toPandas()
     x = np.stack(found["features"].to_list()) if len(found) else np.zeros((0, Evidence.SIZE))
-    return Scorer(models, *fit_logistic(x, found["label"].to_numpy(float)))
+    return Scorer(sent, *fit_logistic(x, found["label"].to_numpy(float)))
 
 
 def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
     """docs with a column ``toxicity_score``; all columns stay."""
-    sent = docs.sparkSession.sparkContext.broadcast(scorer)
     name = "toxicity_score"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        evidence = Evidence(sent.value.models)
+        evidence = Evidence(scorer.models.value)
         for batch in batches:
             x = np.array([evidence.features(t.as_py()) for t in batch["text"]]).reshape(-1, Evidence.SIZE)
-            yield batch.append_column(name, pa.array(sent.value.scores(x), pa.float64()))
+            yield batch.append_column(name, pa.array(scorer.scores(x), pa.float64()))
 
     return docs.mapInArrow(run, docs.drop(name).schema.add(name, "double"))
 
