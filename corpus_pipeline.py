@@ -43,12 +43,8 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row for each time the mix draws a document; a draw of a part keeps that many first words."""
-    drawn = mixing.mix(docs, texts=True).select("row", F.explode("draws").alias("draw"), "size")
-    text = mixing.first_words(F.col("row.text"), F.col("draw.words"), F.col("size"))
-    rows = drawn.select("row.*", text.alias("drawn_text")).withColumn("text", F.col("drawn_text"))
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(docs.columns)
+    rows = mixing.drawn(docs)
+    return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else rows
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

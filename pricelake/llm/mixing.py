@@ -18,7 +18,12 @@ doc_ids repeat; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from itertools import islice
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -172,10 +177,28 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, texts: bool = F
     )
 
 
-def first_words(text: Column, words: Column, size: Column) -> Column:
-    """The prefix of ``text`` that holds ``words`` words."""
-    pattern = F.concat(F.lit(r"^(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){"), words.cast("string"), F.lit("}"))
-    return F.when(words >= size, text).otherwise(F.call_function("regexp_extract", text, pattern, F.lit(0)))
+def first_words(text: str | None, words: int) -> str:
+    """The prefix of ``text`` that holds so many words."""
+    end = 0
+    for m in islice(re.finditer(WORD, text or ""), words):
+        end = m.end()
+    return (text or "")[:end]
+
+
+def drawn(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """A row of docs for each draw; the one draw of a part in each source keeps that many first words."""
+    rows = mix(docs, shards, seed, texts=True).select("row", F.explode("draws").alias("draw"), "size")
+    part = F.col("draw.words") < F.col("size")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k = batch.schema.get_field_index("text")
+            texts = [first_words(t, n) for t, n in zip(batch["text"].to_pylist(), batch["drawn_words"].to_pylist())]
+            yield batch.set_column(k, batch.schema.field(k), pa.array(texts, batch.schema.field(k).type)).drop_columns(["drawn_words"])
+
+    whole = rows.filter(~part).select("row.*")
+    cuts = rows.filter(part).select("row.*", F.col("draw.words").alias("drawn_words"))
+    return whole.unionByName(cuts.mapInArrow(cut, docs.schema))
 
 
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

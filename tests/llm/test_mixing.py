@@ -51,7 +51,16 @@ def test_mix(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
-def test_first_words(spark):
-    df = spark.createDataFrame([("  a bb\tc ", 2, 3), ("a b", 2, 2)], "t string, w int, n int")
-    got = [r[0] for r in df.select(mixing.first_words(F.col("t"), F.col("w"), F.col("n"))).collect()]
-    assert got == ["  a bb", "a b"]
+def test_first_words():
+    assert mixing.first_words("  a bb\tc ", 2) == "  a bb" and mixing.first_words(None, 3) == "" and mixing.first_words("a b", 0) == ""
+    assert mixing.first_words("w " * 100_000, 50_000).count("w") == 50_000
+
+
+def test_drawn_rows(spark):
+    rows = [(i, " ".join(["w"] * (3 + i % 7)), "abc"[i % 3], i) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, draw int")
+    got = mixing.drawn(docs, shards=4)
+    assert got.columns == docs.columns
+    words = {r.source: r.n for r in got.groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).collect()}
+    target = {r.source: round(r.target) for r in mixing.mix(docs, shards=4).collect()}
+    assert words == target
