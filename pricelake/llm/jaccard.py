@@ -39,8 +39,8 @@ FREQUENT_LIMIT, FREQUENT_SETS = 1_000_000, 3
 BROADCAST_ROWS = 1_000_000
 #: The first round posts one element more for every so many.
 MORE = 40
-#: Leaders that a set asks first; a matter of speed only.
-LEADERS = 3
+#: Leaders that a set asks in each of so many rounds; a matter of speed only.
+LEADERS, LEADER_ROUNDS = 2, 2
 #: Sets that meet in one task, at most about twice as many.
 CELL = 256
 
@@ -240,22 +240,28 @@ def _join_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int)
     entries = stage(postings.join(lists, "element").dropDuplicates(["element", "set_id"]), "jaccard-entries")
     names = classes.select("set_id", "class_doc", F.col("n").cast("int").alias("n"))
 
-    # first the leaders' answers: each set asks the leaders with which it shares most lists
-    leaders = entries.groupBy("element").agg(F.min("set_id").alias("leader"))
-    likely = (
-        entries.join(leaders, "element")
-        .filter("set_id <> leader")
-        .groupBy("set_id", "leader", "n")
-        .agg(F.count("*").alias("shared"))
-        .filter(F.col("shared") >= 0.05 * F.col("n"))
-        .groupBy("set_id")
-        .agg(F.slice(F.sort_array(F.collect_list(F.struct("shared", "leader")), asc=False), 1, LEADERS).alias("leaders"))
-        .select("set_id", F.explode("leaders.leader").alias("leader"))
-        .select(F.least("set_id", "leader").alias("a"), F.greatest("set_id", "leader").alias("b"))
-        .distinct()
-    )
-    linked = _links_of(docs, stage(likely, "jaccard-likely"), names, width, percent)
-    roots = small_side(components(linked).withColumnRenamed("node", "set_id"), BROADCAST_ROWS)
+    # first the leaders' answers: each set asks the most central sets with which it shares lists
+    central = entries.groupBy("set_id").agg(F.count("*").alias("lists"))
+    weighed = stage(entries.join(small_side(central, BROADCAST_ROWS), "set_id"), "jaccard-weighed")
+    linked, roots = None, None
+    for _ in range(LEADER_ROUNDS):
+        placed = weighed.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id")) if roots else weighed.withColumn("root", F.col("set_id"))
+        best = F.max_by(F.struct("set_id", "root"), F.struct("lists", "set_id")).alias("best")
+        leaders = placed.groupBy("element").agg(best).select("element", F.col("best.set_id").alias("leader"), F.col("best.root").alias("leader_root"))
+        likely = (
+            placed.join(leaders, "element")
+            .filter("root <> leader_root")
+            .groupBy("set_id", "leader", "n")
+            .agg(F.count("*").alias("shared"))
+            .groupBy("set_id")
+            .agg(F.slice(F.sort_array(F.collect_list(F.struct("shared", "leader")), asc=False), 1, LEADERS).alias("leaders"))
+            .select("set_id", F.explode("leaders.leader").alias("leader"))
+            .select(F.least("set_id", "leader").alias("a"), F.greatest("set_id", "leader").alias("b"))
+            .distinct()
+        )
+        found = _links_of(docs, stage(likely, "jaccard-likely"), names, width, percent)
+        linked = stage(linked.unionByName(found), "jaccard-linked") if linked else found
+        roots = small_side(components(linked).withColumnRenamed("node", "set_id"), BROADCAST_ROWS)
 
     # then only lists where different components still meet
     placed = entries.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
