@@ -302,3 +302,17 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("class_doc")
+
+
+ORACLE_OP4 = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(w) - 3, 1) + 1), lambda i: md5(array_to_string(w[i:i + 3], ' ')))) END AS shingles FROM t
+), e AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, (SELECT min(b) FROM reach WHERE a = doc_id) AS component_id FROM s
+"""

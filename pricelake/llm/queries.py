@@ -19,5 +19,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_topk": topk.ORACLE_OP1,
+    "op4_jaccard_join": jaccard.ORACLE_OP4,
     "op6_chat_format": chat.ORACLE_OP6,
+    "op8_substring": substring.ORACLE_OP8,
 }

@@ -205,3 +205,14 @@ def remove_repeats(docs: DataFrame, length: int = 50, period: int = PERIOD) -> D
 def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return removed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE_OP8 = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), h AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM t WHERE len(w) >= 50)
+), f AS (SELECT h, min(doc_id) AS first_doc FROM h GROUP BY h
+), g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM h JOIN f USING (h) WHERE doc_id > first_doc
+), words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM t
+), kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN g USING (doc_id, i) GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256 FROM t LEFT JOIN kept USING (doc_id)
+"""
