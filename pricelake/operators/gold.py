@@ -106,7 +106,6 @@ def dim_store(observations: DataFrame) -> DataFrame:
 
 def dim_date(observations: DataFrame) -> DataFrame:
     day = F.col("observation_date").cast("date")
-    week_day = F.weekday(day) + 1
     return observations.filter(day.isNotNull()).select(day.alias("d")).distinct().select(
         F.date_format("d", "yyyyMMdd").cast("int").alias("date_key"),
         F.col("d").cast("string").alias("calendar_date"),
