@@ -8,8 +8,9 @@ log-likelihoods; documents are compared by that difference, normalised by length
 whole text, over each line, and for the strongest words. A logistic function of these,
 fitted on labelled rows whose counts were left out, gives the score.
 
-Counts cover all labelled rows and are summed by Spark. Runs of signs are hashed to a
-fixed number of slots, which bounds what goes to the executors.
+Counts cover all labelled rows outside that fold (one row in five) and are summed by Spark.
+Runs of signs are hashed to a fixed number of slots, which bounds what goes to the
+executors.
 
 Defined cases: a null or empty text has no evidence and gets the score of none; texts are
 read whole; equal texts get equal scores; without labels of both kinds the score is the
