@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 #: Set only where the session names no shared folder (tests, local runs).
 LOCAL_CHECKPOINT_DIR = "/tmp/pricelake-checkpoints"
-FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is written: shuffles behind it are freed afterwards, and whole texts go to
+#: Python in batches small enough for several copies of one.
+STAGING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -32,12 +34,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/pricelake/{label}-{uuid.uuid4().hex}"
-    before = spark.conf.get(FREE_SHUFFLES)
-    spark.conf.set(FREE_SHUFFLES, "true")  # once the table is written, the shuffles behind it are of no use
+    before = {name: spark.conf.get(name) for name in STAGING}
+    for name, value in STAGING.items():
+        spark.conf.set(name, value)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(FREE_SHUFFLES, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     return spark.read.schema(df.schema).parquet(path)
 
 
