@@ -8,9 +8,11 @@ log-likelihoods; documents are compared by that difference, normalised by length
 whole text, over each line, and for the strongest words. A logistic function of these,
 fitted on labelled rows whose counts were left out, gives the score.
 
-Counts cover all labelled rows outside that fold (one row in five) and are summed by Spark.
-Runs of signs are hashed to a fixed number of slots, which bounds what goes to the
-executors.
+Counts cover all labelled rows outside that fold (one row in five), are summed by Spark and
+stay in staged tables under the full 64-bit hash of a run. What the models say is looked up
+once for every run of the corpus, by joins with these tables. The runs found in the most
+parts of the corpus go to the executors; the values of any others are joined to the
+documents that hold them, so nothing is shared between runs and nothing has a fixed size.
 
 Defined cases: a null or empty text has no evidence and gets the score of none; texts are
 read whole; equal texts get equal scores; without labels of both kinds the score is the
@@ -23,19 +25,18 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricelake.llm.common import batch_of, mix64, small_side, stage, text_of
 from pricelake.llm.labels import fold, labelled
 
 ORDER = 5
-#: Slots, as powers of two, for runs of so many signs.
-SLOT_BITS = {1: 12, 2: 15, 3: 17, 4: 19, 5: 20}
 DISCOUNT = 0.75
 #: Signs that the lowest model spreads its rest over.
 ALPHABET = 1 << 12
@@ -45,6 +46,10 @@ CALIBRATION_FOLDS = 5
 BROADCAST_LABELS = 1_000_000
 THRESHOLD = 0.7
 KNOWN_WORDS = 400_000
+#: Words whose runs are cut at a time, and runs a task remembers as sent.
+WORDS_AT_ONCE, KNOWN_RUNS = 20_000, 2_000_000
+#: Runs whose values go to every executor, at most; the values of rarer ones are joined to documents.
+SENT_RUNS = 2_000_000
 START, END = "\x02", "\x03"
 _STEP = 0x9E3779B97F4A7C15
 
@@ -77,10 +82,6 @@ def runs(words: list[str]) -> tuple[np.ndarray, dict[int, np.ndarray], np.ndarra
     return word[at], hashes, at
 
 
-def slots(hashes: np.ndarray, k: int) -> np.ndarray:
-    return (hashes >> np.uint64(64 - SLOT_BITS[k])).astype(np.int64)
-
-
 COUNTS = pa.schema([("toxic", pa.int64()), ("ordinary", pa.int64()), *((f"g{k}", pa.int64()) for k in range(1, ORDER + 1)), *((f"h{k}", pa.int64()) for k in range(1, ORDER))])
 
 
@@ -106,65 +107,126 @@ def _counts(rows: DataFrame) -> DataFrame:
     return rows.select("text", "label").mapInArrow(count, ", ".join(f"{f.name} long" for f in COUNTS))
 
 
-def _by_slot(df: DataFrame, key: str, **values) -> tuple[np.ndarray, ...]:
-    """Arrays over the slots of ``key`` (g or h and a run's length), whose number bounds what reaches the driver."""
-    bits = SLOT_BITS[int(key[1:])]
-    slot = F.shiftrightunsigned(F.col(key), 64 - bits).cast("int")
-    rows = df.groupBy(slot.alias("slot")).agg(*(v.alias(k) for k, v in values.items())).toArrow()
-    out = []
-    for name in values:
-        column = np.zeros(1 << bits, np.float32)
-        column[rows["slot"].to_numpy()] = rows[name].to_numpy()
-        out.append(column)
-    return tuple(out)
+KINDS = pa.schema([*((f"g{k}", pa.int64()) for k in range(1, ORDER + 1)), *((f"h{k}", pa.int64()) for k in range(1, ORDER))])
+
+
+def _kinds(docs: DataFrame) -> DataFrame:
+    """All runs of ORDER signs in the texts, with g_k and h_k as in _counts; n: parts of the corpus that hold one."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[str] = set()
+        sent = np.empty(0, np.uint64)
+        for batch in batches:
+            new: set[str] = set()
+            for text in batch["text"]:
+                new.update(words_of(text.as_py()))
+            words = list(new - met)
+            if len(met) > KNOWN_WORDS:
+                met.clear()
+            met |= new
+            for start in range(0, len(words), WORDS_AT_ONCE):
+                _, h, at = runs(words[start : start + WORDS_AT_ONCE])
+                kinds, first = np.unique(h[ORDER][at], return_index=True)
+                fresh = ~np.isin(kinds, sent, assume_unique=True)
+                first = first[fresh]
+                sent = np.concatenate([sent, kinds[fresh]]) if len(sent) < KNOWN_RUNS else kinds
+                columns = [h[k][at][first].view(np.int64) for k in range(1, ORDER + 1)] + [h[k][at - 1][first].view(np.int64) for k in range(1, ORDER)]
+                yield batch_of(KINDS, *columns)
+
+    found = docs.select("text").mapInArrow(find, ", ".join(f"{f.name} long" for f in KINDS))
+    return found.groupBy(f"g{ORDER}").agg(F.count("*").alias("n"), *(F.first(f.name).alias(f.name) for f in KINDS if f.name != f"g{ORDER}"))
+
+
+def _runs(counts: DataFrame) -> DataFrame:
+    """The classes' counts of every run of ORDER signs."""
+    keep = [f.name for f in COUNTS if f.name[0] in "gh" and f.name != f"g{ORDER}"]
+    return stage(counts.groupBy(f"g{ORDER}").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"), *(F.first(c).alias(c) for c in keep)), "toxicity-runs")
 
 
-@dataclass
 class TwoModels:
-    """Counts by slot: of the classes' own runs, and the shared continuation counts."""
+    """Staged counts by full hash: of the classes' own runs, and the shared continuation counts.
 
-    runs: tuple[np.ndarray, np.ndarray]  # toxic, ordinary
-    histories: tuple[np.ndarray, np.ndarray]
-    kinds: tuple[np.ndarray, np.ndarray]
-    shared: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # k: count of g_k; total and kinds of its history
-    lowest: tuple[float, float]  # total and kinds of single signs
+    Continuation counts of k signs are the kinds of runs of k + 1 that end in them.
+    """
 
-    def differences(self, words: list[str]) -> np.ndarray:
-        """log P(word | toxic) - log P(word | ordinary)."""
-        word, h, at = runs(words)
-        total, kinds = self.lowest
-        p = np.full(len(at), 1.0 / ALPHABET)
-        single = self.shared[1][0][slots(h[1][at], 1)]
-        p = np.maximum(single - DISCOUNT, 0) / max(total, 1) + (DISCOUNT * kinds / max(total, 1) if total else 1.0) * p
+    def __init__(self, top: DataFrame):
+        self.runs = top
+        self.histories = stage(top.groupBy(f"h{ORDER - 1}").agg(F.sum("toxic").alias("t"), F.sum("ordinary").alias("o"), F.count_if(F.col("toxic") > 0).alias("tk"), F.count_if(F.col("ordinary") > 0).alias("ok")), "toxicity-histories")
+        self.endings: dict[int, DataFrame] = {}
+        self.totals: dict[int, DataFrame] = {}
+        for k in range(ORDER - 1, 0, -1):
+            above = self.endings.get(k + 1, top)
+            keep = [c for c in above.columns if c[0] in "gh" and int(c[1:]) < k]
+            self.endings[k] = stage(above.groupBy(f"g{k}").agg(F.count("*").alias(f"n{k}"), *(F.first(c).alias(c) for c in keep)), f"toxicity-endings-{k}")
+            if k > 1:
+                self.totals[k] = stage(self.endings[k].groupBy(f"h{k - 1}").agg(F.sum(f"n{k}").alias(f"total{k}"), F.count("*").alias(f"types{k}")), f"toxicity-totals-{k}")
+
+    def values(self, docs: DataFrame) -> DataFrame:
+        """run, n and value, log P(last sign | toxic) - log P(it | ordinary), for the texts' runs; one without a row is 0."""
+        found = _kinds(docs).join(small_side(self.histories), f"h{ORDER - 1}")
+        found = found.join(small_side(self.runs.select(f"g{ORDER}", "toxic", "ordinary")), f"g{ORDER}", "left")
+        for k in range(1, ORDER):
+            found = found.join(small_side(self.endings[k].select(f"g{k}", f"n{k}")), f"g{k}", "left")
+            if k > 1:
+                found = found.join(small_side(self.totals[k]), f"h{k - 1}", "left")
+        total, kinds = self.endings[1].agg(F.coalesce(F.sum("n1"), F.lit(0)), F.count("*")).first()
+        above = lambda count: F.greatest(F.coalesce(F.col(count), F.lit(0)) - F.lit(DISCOUNT), F.lit(0.0))
+        p = above("n1") / F.lit(float(max(total, 1))) + F.lit(DISCOUNT * kinds / max(total, 1) / ALPHABET)
+        columns = ["toxic", "ordinary", "t", "o", "tk", "ok", *(f"{c}{k}" for k in range(2, ORDER) for c in ("n", "total", "types"))]
+        found = found.select(F.col(f"g{ORDER}").alias("run"), "n", *columns, p.alias("p"))
         for k in range(2, ORDER):
-            counts, totals, types = self.shared[k]
-            history = slots(h[k - 1][at - 1], k - 1)
-            t = totals[history]
-            p = np.where(t > 0, (np.maximum(counts[slots(h[k][at], k)] - DISCOUNT, 0) + DISCOUNT * types[history] * p) / np.maximum(t, 1), p)
-        own, history = slots(h[ORDER][at], ORDER), slots(h[ORDER - 1][at - 1], ORDER - 1)
-        logs = []
-        for c in (0, 1):
-            t = self.histories[c][history]
-            logs.append(np.log(np.where(t > 0, (np.maximum(self.runs[c][own] - DISCOUNT, 0) + DISCOUNT * self.kinds[c][history] * p) / np.maximum(t, 1), p)))
-        return np.bincount(word, weights=logs[0] - logs[1], minlength=len(words))
+            smoothed = (above(f"n{k}") + F.lit(DISCOUNT) * F.col(f"types{k}") * F.col("p")) / F.col(f"total{k}")
+            found = found.withColumn("p", F.coalesce(smoothed, F.col("p")))
+        logs = [F.log(F.when(F.col(t) > 0, (above(own) + F.lit(DISCOUNT) * F.col(kinds) * F.col("p")) / F.col(t)).otherwise(F.col("p"))) for own, t, kinds in (("toxic", "t", "tk"), ("ordinary", "o", "ok"))]
+        return stage(found.select("run", "n", (logs[0] - logs[1]).alias("value")), "toxicity-values")
+
+    def differences(self, words: list[str]) -> np.ndarray:
+        """log P(word | toxic) - log P(word | ordinary) of a few words."""
+        rows = self.values(self.runs.sparkSession.createDataFrame([(w,) for w in words], "text string"))
+        return RunValues.of(rows).by_word(words)
 
 
 def count_models(rows: DataFrame) -> TwoModels:
-    """rows: text and label. Continuation counts of k signs are the kinds of runs of k + 1 that end in them."""
-    tables = {ORDER: stage(_counts(rows).groupBy(f"g{ORDER}").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"), *(F.first(f.name).alias(f.name) for f in COUNTS if f.name[0] in "gh" and f.name != f"g{ORDER}")), "toxicity-runs")}
-    for k in range(ORDER - 1, 0, -1):
-        keep = [c for c in tables[k + 1].columns if c[0] in "gh" and int(c[1:]) < k]
-        tables[k] = stage(tables[k + 1].groupBy(f"g{k}").agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in keep)), f"toxicity-endings-{k}")
-    top = tables[ORDER]
-    own = _by_slot(top, f"g{ORDER}", toxic=F.sum("toxic"), ordinary=F.sum("ordinary"))
-    history = _by_slot(top, f"h{ORDER - 1}", t=F.sum("toxic"), o=F.sum("ordinary"), tk=F.count_if(F.col("toxic") > 0), ok=F.count_if(F.col("ordinary") > 0))
-    shared = {}
-    for k in range(1, ORDER):
-        (counts,) = _by_slot(tables[k], f"g{k}", n=F.sum("n"))
-        totals, types = _by_slot(tables[k], f"h{k - 1}", total=F.sum("n"), types=F.count("*")) if k > 1 else (np.zeros(1, np.float32),) * 2
-        shared[k] = (counts, totals, types)
-    lowest = tables[1].agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    return TwoModels(own, history[:2], history[2:], shared, (float(lowest[0]), float(lowest[1])))
+    """rows: text and label."""
+    return TwoModels(_runs(_counts(rows)))
+
+
+@dataclass
+class RunValues:
+    """Values of runs, by ascending hash; runs that are not among them have the value 0."""
+
+    keys: np.ndarray
+    values: np.ndarray
+
+    @classmethod
+    def of(cls, rows: DataFrame) -> RunValues:
+        table = rows.select("run", "value").toArrow()
+        return cls.sorted(table["run"].to_numpy(), table["value"].to_numpy())
+
+    @classmethod
+    def sorted(cls, keys: np.ndarray, values: np.ndarray) -> RunValues:
+        keys = np.asarray(keys, np.int64).view(np.uint64)
+        order = np.argsort(keys)
+        return cls(keys[order], np.asarray(values, np.float64)[order])
+
+    def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, found) of each hash."""
+        if not len(self.keys):
+            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        return at, self.keys[at] == hashes
+
+    def by_word(self, words: list[str]) -> np.ndarray:
+        word, h, at = runs(words)
+        place, found = self.places(h[ORDER][at])
+        weights = np.where(found, self.values[place], 0.0) if len(self.keys) else np.zeros(len(at))
+        return np.bincount(word, weights=weights, minlength=len(words))
+
+    def lacking(self, words: list[str]) -> np.ndarray:
+        """Distinct runs of the words that are not among these."""
+        _, h, at = runs(words)
+        kinds = np.unique(h[ORDER][at])
+        return kinds[~self.places(kinds)[1]]
 
 
 class Evidence:
@@ -172,21 +234,26 @@ class Evidence:
 
     SIZE = 6
 
-    def __init__(self, models: TwoModels):
-        self.models, self.known = models, {}
+    def __init__(self, sent: RunValues):
+        self.sent, self.known = sent, {}
 
     def learn(self, words: set[str]) -> None:
         if len(self.known) > KNOWN_WORDS:
             self.known = {}
         new = [w for w in words if w not in self.known]
-        for start in range(0, len(new), 20_000):
-            part = new[start : start + 20_000]
-            self.known.update(zip(part, self.models.differences(part).tolist()))
+        for start in range(0, len(new), WORDS_AT_ONCE):
+            part = new[start : start + WORDS_AT_ONCE]
+            self.known.update(zip(part, self.sent.by_word(part).tolist()))
 
-    def features(self, text: str | None) -> list[float]:
+    def features(self, text: str | None, rare: RunValues | None = None) -> list[float]:
+        """rare: values of the text's runs that were not sent."""
         lines = [line.lower().split() for line in text_of(text).split("\n")]
-        self.learn({w for line in lines for w in line})
+        words = {w for line in lines for w in line}
+        self.learn(words)
         known = self.known
+        if rare and words:
+            listed = list(words)
+            known = {w: known[w] + more for w, more in zip(listed, rare.by_word(listed).tolist())}
         by_line = [[known[w] for w in line] for line in lines if line]
         every = sorted((d for line in by_line for d in line), reverse=True)
         if not every:
@@ -196,6 +263,51 @@ class Evidence:
         return [sum(every) / signs, best_line, *(every[:3] + [every[-1]] * 3)[:3], len(every) ** -0.5]
 
 
+RARE = pa.schema([("_text", pa.int64()), ("run", pa.int64())])
+
+
+def _with_rare(docs: DataFrame, rare: DataFrame, sent: RunValues) -> DataFrame:
+    """docs with ``_rare``, the values of their runs that are in ``rare``; by text, so equal texts get equal lists."""
+    keyed = docs.withColumn("_text", F.xxhash64("text"))
+    held = docs.sparkSession.sparkContext.broadcast(sent)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, text in zip(batch["_text"].to_pylist(), batch["text"]):
+                if words := list(set(words_of(text.as_py()))):
+                    kinds = held.value.lacking(words)
+                    yield batch_of(RARE, np.full(len(kinds), key), kinds.view(np.int64))
+
+    wanted = keyed.select("_text", "text").mapInArrow(find, "_text long, run long").distinct()
+    lists = wanted.join(rare.select("run", "value"), "run").groupBy("_text").agg(F.sort_array(F.collect_list(F.struct("run", "value"))).alias("_rare"))
+    return keyed.join(stage(lists, "toxicity-rare"), "_text", "left").drop("_text")
+
+
+def with_features(docs: DataFrame, models: TwoModels, name: str, kind: T.DataType, finish: Callable[[np.ndarray], pa.Array]) -> DataFrame:
+    """docs with a column ``name``, what ``finish`` makes of their features; all columns stay."""
+    docs = docs.drop(name)
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, kind)])
+    values = models.values(docs)
+    most = values.orderBy(F.desc("n"), "run").limit(SENT_RUNS)
+    few = values.count() <= SENT_RUNS
+    frequent = values if few else stage(most, "toxicity-frequent")
+    table = RunValues.of(frequent)
+    sent = docs.sparkSession.sparkContext.broadcast(table)
+    rows = docs if few else _with_rare(docs, values.join(frequent.select("run"), "run", "left_anti"), table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        evidence = Evidence(sent.value)
+        for batch in batches:
+            rare = [None] * len(batch)
+            if not few:
+                rare = [r and RunValues.sorted([x["run"] for x in r], [x["value"] for x in r]) for r in batch["_rare"].to_pylist()]
+                batch = batch.drop_columns(["_rare"])
+            x = np.array([evidence.features(t.as_py(), r) for t, r in zip(batch["text"], rare)]).reshape(-1, Evidence.SIZE)
+            yield batch.append_column(name, finish(x))
+
+    return rows.mapInArrow(run, schema)
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 400) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """(mean, scale, weights, bias) of least log loss by Newton steps with a slight penalty."""
     width = x.shape[1]
@@ -218,20 +330,14 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 400) -> tuple[np.nda
     return mean, scale, w[:-1], float(w[-1])
 
 
-FEATURES = pa.schema([("label", pa.int32()), ("features", pa.list_(pa.float64()))])
-
-
 @dataclass
 class Scorer:
-    models: Broadcast  # of TwoModels
+    models: TwoModels
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
     bias: float
 
-    def scores(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(((x - self.mean) / self.scale * self.weights).sum(axis=1) + self.bias, -500, 500)))
-
 
 def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
     """Counts from all labelled rows but a fold of them; the logistic function from that fold."""
@@ -239,30 +345,21 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
     calibrates = F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION_FOLDS)) == 0
     texts = docs.select("doc_id", "text")
     models = count_models(texts.join(small_side(labels.filter(~calibrates), BROADCAST_LABELS), "doc_id"))
-    sent = docs.sparkSession.sparkContext.broadcast(models)
     chosen = labels.filter(calibrates).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_SAMPLE)
-
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        evidence = Evidence(sent.value)
-        for batch in batches:
-            yield batch_of(FEATURES, batch["label"], [evidence.features(t.as_py()) for t in batch["text"]])
-
-    found = texts.join(F.broadcast(chosen), "doc_id").select("text", "label").mapInArrow(features, "label int, features array<double>").toPandas()
+    rows = stage(texts.join(F.broadcast(chosen), "doc_id").select("text", "label"), "toxicity-calibration")
+    found = with_features(rows, models, "features", T.ArrayType(T.DoubleType()), lambda x: pa.array(list(x), pa.list_(pa.float64()))).select("label", "features").toPandas()
     x = np.stack(found["features"].to_list()) if len(found) else np.zeros((0, Evidence.SIZE))
-    return Scorer(sent, *fit_logistic(x, found["label"].to_numpy(float)))
+    return Scorer(models, *fit_logistic(x, found["label"].to_numpy(float)))
 
 
 def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
     """docs with a column ``toxicity_score``; all columns stay."""
-    name = "toxicity_score"
+    mean, scale, weights, bias = scorer.mean, scorer.scale, scorer.weights, scorer.bias
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        evidence = Evidence(scorer.models.value)
-        for batch in batches:
-            x = np.array([evidence.features(t.as_py()) for t in batch["text"]]).reshape(-1, Evidence.SIZE)
-            yield batch.append_column(name, pa.array(scorer.scores(x), pa.float64()))
+    def finish(x: np.ndarray) -> pa.Array:
+        return pa.array(1 / (1 + np.exp(-np.clip(((x - mean) / scale * weights).sum(axis=1) + bias, -500, 500))), pa.float64())
 
-    return docs.mapInArrow(run, docs.drop(name).schema.add(name, "double"))
+    return with_features(docs, scorer.models, "toxicity_score", T.DoubleType(), finish)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

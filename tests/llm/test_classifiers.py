@@ -142,3 +142,27 @@ def test_models_like_plain_kneser_ney(spark):
     plain = plain_models(rows)
     words = ["a", "ab", "éab", "abababab", "zz", "bé", "a" * 30]
     assert np.allclose(models.differences(words), [plain(w) for w in words], atol=1e-4)
+
+
+def test_rare_runs_share_nothing(spark):
+    """More distinct runs than 2**20 between a few toxic ones: each keeps its own counts."""
+    rng = random.Random(12)
+    word = lambda: "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(7))
+    ordinary = [(" ".join(word() for _ in range(1000)), 0) for _ in range(250)]
+    models = toxicity.count_models(spark.createDataFrame([*ordinary, ("zogg wuxx", 1)], "text string, label int").repartition(4))
+    plain = toxicity.count_models(spark.createDataFrame([("zogg wuxx", 1)], "text string, label int"))
+    assert models.runs.count() > 1 << 20
+    own = {r.g5: (r.toxic, r.ordinary) for r in models.runs.join(plain.runs.select("g5"), "g5").collect()}
+    assert len(own) == plain.runs.count() and all(toxic == 1 and plain_runs == 0 for toxic, plain_runs in own.values())
+    totals = {r.h4: (r.t, r.o, r.tk, r.ok) for r in models.histories.join(plain.histories.select("h4"), "h4").collect()}
+    start = {k for k, v in totals.items() if v[1]}
+    assert len(start) == 1 and all(v[1] == v[3] == 0 for k, v in totals.items() if k not in start)
+
+
+def test_scores_do_not_depend_on_what_is_sent(spark, tmp_path, monkeypatch):
+    corpus(spark, tmp_path, 200)
+    query = lambda: sorted((r.doc_id, r.score) for r in toxicity.op10_toxicity(spark, str(tmp_path)).collect())
+    want = query()
+    monkeypatch.setattr(toxicity, "SENT_RUNS", 40)
+    got = query()
+    assert [i for i, _ in got] == [i for i, _ in want] and np.allclose([s for _, s in got], [s for _, s in want], atol=1e-6)
