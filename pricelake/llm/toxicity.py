@@ -5,11 +5,11 @@ of five signs inside a word; below, both share one chain of continuation counts,
 over both classes, so rare and inflected expressions are smoothed alike and the classes
 differ only where their own counts speak. A word's evidence is the difference of its two
 log-likelihoods; documents are compared by that difference, normalised by length, over the
-whole text, over each line, and for the strongest words. A logistic function of these,
-fitted on labelled rows whose counts were left out, gives the score.
+whole text, over each line, and for the strongest words. A logistic function of these
+gives the score; it is fitted on a fold of the labelled rows (one row in five), by models
+whose counts leave that fold out. Scores come from models that count all labelled rows.
 
-Counts cover all labelled rows outside that fold (one row in five), are summed by Spark and
-stay in staged tables under the full 64-bit hash of a run. What the models say is looked up
+Counts are summed by Spark and stay in staged tables under the full 64-bit hash of a run. What the models say is looked up
 once for every run of the corpus, by joins with these tables. The runs found in the most
 parts of the corpus go to the executors; the values of any others are joined to the
 documents that hold them, so nothing is shared between runs and nothing has a fixed size.
@@ -40,7 +40,7 @@ ORDER = 5
 DISCOUNT = 0.75
 #: Signs that the lowest model spreads its rest over.
 ALPHABET = 1 << 12
-#: Labelled rows, outside the counts, on which the logistic function is fitted, at most.
+#: Labelled rows on which the logistic function is fitted, by counts without them, at most.
 CALIBRATION_SAMPLE = 20_000
 CALIBRATION_FOLDS = 5
 BROADCAST_LABELS = 1_000_000
@@ -186,9 +186,10 @@ class TwoModels:
         return RunValues.of(rows).by_word(words)
 
 
-def count_models(rows: DataFrame) -> TwoModels:
-    """rows: text and label."""
-    return TwoModels(_runs(_counts(rows)))
+def count_models(rows: DataFrame, more_than: TwoModels | None = None) -> TwoModels:
+    """rows: text and label, counted besides what ``more_than`` counts."""
+    counts = _counts(rows)
+    return TwoModels(_runs(counts.unionByName(more_than.runs) if more_than else counts))
 
 
 @dataclass
@@ -340,7 +341,7 @@ class Scorer:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
-    """Counts from all labelled rows but a fold of them; the logistic function from that fold."""
+    """The logistic function from a fold of the labelled rows, by counts of the others; then counts of all."""
     labels = stage(labelled(labels, "toxic"), "toxicity-labels")
     calibrates = F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION_FOLDS)) == 0
     texts = docs.select("doc_id", "text")
@@ -349,7 +350,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
     rows = stage(texts.join(F.broadcast(chosen), "doc_id").select("text", "label"), "toxicity-calibration")
     found = with_features(rows, models, "features", T.ArrayType(T.DoubleType()), lambda x: pa.array(list(x), pa.list_(pa.float64()))).select("label", "features").toPandas()
     x = np.stack(found["features"].to_list()) if len(found) else np.zeros((0, Evidence.SIZE))
-    return Scorer(models, *fit_logistic(x, found["label"].to_numpy(float)))
+    every = count_models(texts.join(small_side(labels.filter(calibrates), BROADCAST_LABELS), "doc_id"), models)
+    return Scorer(every, *fit_logistic(x, found["label"].to_numpy(float)))
 
 
 def score(docs: DataFrame, scorer: Scorer) -> DataFrame:

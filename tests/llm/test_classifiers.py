@@ -166,3 +166,17 @@ def test_scores_do_not_depend_on_what_is_sent(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(toxicity, "SENT_RUNS", 40)
     got = query()
     assert [i for i, _ in got] == [i for i, _ in want] and np.allclose([s for _, s in got], [s for _, s in want], atol=1e-6)
+
+
+def test_all_labelled_rows_are_counted(spark):
+    texts = [(i, "plain words here" if i % 2 else f"zogg{chr(97 + i % 26)}{chr(97 + i // 26)} here") for i in range(120)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i, _ in texts], "doc_id long, toxic int")
+    models = toxicity.fit(docs, labels).models
+    want = Counter()
+    for i, text in texts:
+        want[1 - i % 2] += sum(len(w) + 1 for w in toxicity.words_of(text))
+    got = models.runs.agg(F.sum("toxic"), F.sum("ordinary")).first()
+    assert tuple(got) == (want[1], want[0])
+    whole = toxicity.count_models(docs.join(labels.withColumnRenamed("toxic", "label"), "doc_id"))
+    assert np.allclose(models.differences(["zoggaa", "here", "x"]), whole.differences(["zoggaa", "here", "x"]))
