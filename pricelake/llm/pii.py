@@ -5,8 +5,8 @@ them, a semi-Markov model looks for what the patterns miss (a phone number witho
 plus sign, an address whose signs are spelled out, a card number in unusual groups). A
 candidate is a run of tokens of bounded length; its features see the whole span (digit
 groups, shape, checksum, what stands before and after), and dynamic programming over the
-gap chooses boundaries and kinds jointly. Only gaps near a trigger are decoded, as no
-other span can score above the rest. The weights are those of an averaged structured
+gap chooses boundaries and kinds jointly. Every gap is decoded; stretches without a digit
+or an at-mark within reach are passed over, as they hold no candidate. The weights are those of an averaged structured
 perceptron, trained here on lines that a seeded generator annotates.
 
 Defined cases: a null text is the empty text, without spans; whole texts are read, of any
@@ -77,11 +77,12 @@ def base_spans(text: str) -> list[Span]:
 # ---------------------------------------------------------------------------
 # The semi-Markov model
 
-#: Most tokens of an entity, and code points of context around a trigger.
-MOST_TOKENS, AROUND = 24, 48
+#: Most tokens of an entity.
+MOST_TOKENS = 24
 TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|\s|[^A-Za-z0-9\s]")
-#: Something a pattern may have missed: many digits close together, an at sign, or one spelled out.
-TRIGGER = re.compile(r"[0-9](?:[\x20().\-/]{0,2}[0-9]){6}|@|[\[({<]\x20?at\x20?[\])}>]|\x20dot\x20", re.IGNORECASE)
+#: A candidate holds so many digits, or an at-mark after its start.
+LEAST_DIGITS = 4
+DIGITS_OR_MARK = re.compile(r"[0-9]+|@|\bat\b", re.IGNORECASE)
 SPELLED_AT = re.compile(r"(?:[\[({<]\x20?at\x20?[\])}>]|\x20at\x20)", re.IGNORECASE)
 SPELLED_DOT = re.compile(r"(?:[\[({<]\x20?dot\x20?[\])}>]|\x20dot\x20)", re.IGNORECASE)
 SPELLED_EMAIL = re.compile(r"[\w.%+-]+\x20?(?:@|[\[({<]\x20?at\x20?[\])}>]|\bat\b)\x20?[\w-]+(?:\x20?(?:\.|[\[({<]\x20?dot\x20?[\])}>]|\bdot\b)\x20?[\w-]+)+", re.IGNORECASE)
@@ -149,25 +150,34 @@ class SemiMarkov:
 
     def decode(self, text: str, low: int, high: int) -> list[Span]:
         """Spans in text[low:high] with the greatest total score; what is in no span scores 0."""
-        tokens = [(low + m.start(), low + m.end()) for m in TOKEN.finditer(text[low:high])]
+        out: list[Span] = []
+        for start, end, marks in _stretches(text, low, high):
+            out += self._decode(text, start, end, marks)
+        return out
+
+    def _decode(self, text: str, low: int, high: int, marks: list[int]) -> list[Span]:
+        tokens = [m.span() for m in TOKEN.finditer(text, low, high)]
         n = len(tokens)
         digits = [0]
         for a, b in tokens:
-            digits.append(digits[-1] + (b - a if text[a].isdigit() else 0))
-        marks = [m.start() + low for m in re.finditer(r"@|\bat\b", text[low:high], re.IGNORECASE)]
-        best, back = [0.0] * (n + 1), [None] * (n + 1)
+            digits.append(digits[-1] + (b - a if "0" <= text[a] <= "9" else 0))
+        best, back, met = [0.0] * (n + 1), [None] * (n + 1), 0
         for j in range(1, n + 1):
             best[j], back[j] = best[j - 1], None
             end = tokens[j - 1][1]
+            while met < len(marks) and marks[met] < end:
+                met += 1
             if not text[tokens[j - 1][0]].isalnum():
                 continue
-            for i in range(j - 1, max(-1, j - 1 - MOST_TOKENS), -1):
+            last_mark, least = marks[met - 1] if met else -1, max(0, j - MOST_TOKENS)
+            if tokens[least][0] >= last_mark and digits[j] - digits[least] < LEAST_DIGITS:
+                continue
+            for i in range(j - 1, least - 1, -1):
                 start = tokens[i][0]
                 first = text[start]
                 if not (first.isalnum() or first in "+("):
                     continue
-                address = any(start < m < end for m in marks)
-                if not address and (digits[j] - digits[i] < 4 or first.isalpha()):
+                if start >= last_mark and (digits[j] - digits[i] < LEAST_DIGITS or first.isalpha()):
                     continue
                 features = span_features(text, start, end)
                 for kind in KINDS:
@@ -185,6 +195,41 @@ class SemiMarkov:
         return out[::-1]
 
 
+def _tokens_back(text: str, low: int, at: int) -> int:
+    """The start of the token MOST_TOKENS before ``at``, or low."""
+    size = 8 * MOST_TOKENS
+    while True:
+        start = max(low, at - size)
+        tokens = [m.start() for m in TOKEN.finditer(text, start, at)][start > low :]  # the first may be cut
+        if len(tokens) >= MOST_TOKENS:
+            return tokens[-MOST_TOKENS]
+        if start == low:
+            return low
+        size *= 4
+
+
+def _stretches(text: str, low: int, high: int) -> list[tuple[int, int, list[int]]]:
+    """Disjoint stretches, with their at-marks, that hold all candidates of text[low:high].
+
+    A candidate holds digits or an at-mark, and no more than MOST_TOKENS tokens.
+    """
+    out: list[list] = []
+    for m in DIGITS_OR_MARK.finditer(text[low:high]):
+        at, end = m.start() + low, m.end() + low
+        for k, token in enumerate(TOKEN.finditer(text, end, high), 1):
+            end = token.end()
+            if k == MOST_TOKENS:
+                break
+        start = at if out and at < out[-1][1] else _tokens_back(text, low, at)
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([start, end, []])
+        if not text[at].isdigit():
+            out[-1][2].append(at)
+    return [tuple(x) for x in out]
+
+
 def _line(rng: random.Random) -> tuple[str, list[Span]]:
     """A line of invented words with annotated entities and look-alikes."""
     syllables = ("an", "er", "the", "ou", "re", "ti", "os", "de", "la", "ie", "ment", "che", "ra", "no")
@@ -274,28 +319,12 @@ def trained(lines: int = 700, rounds: int = 4, seed: int = 5) -> dict[str, dict[
 def all_spans(text: str, model: SemiMarkov) -> tuple[list[Span], list[Span]]:
     """(base, added): what the model adds never touches a base span."""
     base = base_spans(text)
-    taken = sorted((a, b) for _, a, b in base)
-    stretches: list[list[int]] = []
-    k = 0
-    for m in TRIGGER.finditer(text):
-        while k < len(taken) and taken[k][1] <= m.start():
-            k += 1
-        if k < len(taken) and taken[k][0] <= m.start() and m.end() <= taken[k][1]:
-            continue
-        low, high = max(0, m.start() - AROUND), min(len(text), m.end() + AROUND)
-        if stretches and low <= stretches[-1][1]:
-            stretches[-1][1] = max(high, stretches[-1][1])
-        else:
-            stretches.append([low, high])
     added: list[Span] = []
-    for low, high in stretches:
-        # whole words at both ends
-        while low > 0 and text[low - 1].isalnum() and low > stretches[0][0] - 2 * AROUND:
-            low -= 1
-        for a, b in [(x, y) for x, y in taken if y > low and x < high] + [(high, high)]:
-            if a > low:
-                added += model.decode(text, low, min(a, high))
-            low = max(low, b)
+    low = 0
+    for a, b in [*sorted((a, b) for _, a, b in base), (len(text), len(text))]:
+        if a > low:
+            added += model.decode(text, low, a)
+        low = max(low, b)
     return base, sorted(set(added), key=lambda s: (KINDS.index(s[0]), s[1]))
 
 

@@ -63,3 +63,31 @@ def test_query(spark, tmp_path):
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     assert {r.doc_id: r.text for r in pii.redact(docs).collect()} == {1: "mail [EMAIL] now", 2: None, 3: "", 4: "[CARD] and [IP]"}
     assert pii.find_pii(docs.limit(0)).count() == 0
+
+
+def test_forms_without_other_triggers_are_found():
+    model = pii.SemiMarkov(pii.trained())
+    forms = {"ip": ["192[.]168[.]10[.]5", "192 . 168 . 10 . 5", "10,20,30,40"], "email": ["anna at mail.com", "anna at mail[dot]com", "anna at mail (dot) com"]}
+    for kind, values in forms.items():
+        for value in values:
+            text = "the order went out to us from " + value + " and was then closed by them"
+            assert any(k == kind and a < text.index(value) + len(value) and b > text.index(value) for k, a, b in pii.all_spans(text, model)[1]), value
+
+
+def test_all_spans_on_held_out_lines():
+    model, rng = pii.SemiMarkov(pii.trained()), random.Random(999)
+    right = gold = 0
+    for _ in range(200):
+        text, spans = pii._line(rng)
+        base, added = pii.all_spans(text, model)
+        right += len({*base, *added} & set(spans))
+        gold += len(spans)
+    assert right / gold > 0.93
+
+
+def test_stretches_hold_every_candidate():
+    model, rng = pii.SemiMarkov(pii.trained()), random.Random(7)
+    for _ in range(30):
+        text = " ".join(pii._line(rng)[0] if rng.random() < 0.4 else "na" * rng.randrange(1, 30) + " le" * 40 for _ in range(4))
+        marks = [m.start() for m in re.finditer(r"@|\bat\b", text, re.IGNORECASE)]
+        assert model.decode(text, 0, len(text)) == model._decode(text, 0, len(text), marks)
