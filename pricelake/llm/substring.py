@@ -12,9 +12,9 @@ Equal texts are one class beforehand: only the smallest document of a class take
 and in the others every window repeats. Windows are judged on the input.
 
 Defined cases: a null or empty text has no words; a text of fewer words than a window
-loses nothing; rows that repeat a doc_id with the same text are judged alike, and where
-their texts differ, what is found in one is removed from all; a null doc_id is larger than
-any other; an empty table gives an empty result; other columns are ignored.
+loses nothing; rows that repeat a doc_id, a null one too, are judged alike where their
+texts are the same and each by its own words where they differ; a null doc_id is larger
+than any other; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,10 +36,13 @@ BROADCAST_ROWS, BROADCAST_NUMBERS = 1_000_000, 4_000_000
 #: A text all of whose words go.
 ALL = -1
 
-CLASS = pa.schema([("doc", pa.int64()), ("text_key", pa.int64()), ("n_words", pa.int64())])
-ANCHOR = pa.schema([("anchor", pa.int64()), ("doc", pa.int64()), ("pos", pa.int32())])
-RUNS = pa.schema([("doc", pa.int64()), ("runs", pa.list_(pa.int32()))])
-WINDOW = pa.schema([("window", pa.int64()), ("doc", pa.int64()), ("pos", pa.int32())])
+#: What names a text: its document, and a hash, as a doc_id may come with several texts.
+ROW = ["doc", "text_key"]
+
+CLASS = pa.schema([("doc", pa.int64()), ("text_key", pa.int64()), ("class_key", pa.int64()), ("n_words", pa.int64())])
+ANCHOR = pa.schema([("anchor", pa.int64()), ("doc", pa.int64()), ("text_key", pa.int64()), ("pos", pa.int32())])
+RUNS = pa.schema([("doc", pa.int64()), ("text_key", pa.int64()), ("runs", pa.list_(pa.int32()))])
+WINDOW = pa.schema([("window", pa.int64()), ("doc", pa.int64()), ("text_key", pa.int64()), ("pos", pa.int32())])
 KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
 NULL_DOC = (1 << 63) - 1
 
@@ -96,9 +99,9 @@ def _classes(docs: DataFrame) -> DataFrame:
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = [word_hashes(t) for t in utf8(batch["text"])]
-            yield batch_of(CLASS, batch["doc"], [xxhash.xxh3_64_intdigest(w.tobytes()) - (1 << 63) for w in words], [len(w) for w in words])
+            yield batch_of(CLASS, batch["doc"], batch["text_key"], [xxhash.xxh3_64_intdigest(w.tobytes()) - (1 << 63) for w in words], [len(w) for w in words])
 
-    return docs.mapInArrow(digest, "doc long, text_key long, n_words long")
+    return docs.mapInArrow(digest, "doc long, text_key long, class_key long, n_words long")
 
 
 def _anchors(docs: DataFrame, length: int, period: int) -> DataFrame:
@@ -106,75 +109,79 @@ def _anchors(docs: DataFrame, length: int, period: int) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: list[list[np.ndarray]] = [[], [], []]
-            for doc, text in zip(batch["doc"].to_pylist(), utf8(batch["text"])):
+            columns: list[list[np.ndarray]] = [[], [], [], []]
+            for doc, key, text in zip(batch["doc"].to_pylist(), batch["text_key"].to_pylist(), utf8(batch["text"])):
                 words = word_hashes(text)
                 if len(words) >= length:
                     at = anchor_positions(len(words), width, period)
-                    for column, values in zip(columns, (window_hashes(words, width)[at].view(np.int64), np.full(len(at), doc), at)):
+                    for column, values in zip(columns, (window_hashes(words, width)[at].view(np.int64), np.full(len(at), doc), np.full(len(at), key), at)):
                         column.append(values)
             if columns[0]:
                 yield _columns(ANCHOR, columns)
 
-    return docs.mapInArrow(find, "anchor long, doc long, pos int")
+    return docs.mapInArrow(find, "anchor long, doc long, text_key long, pos int")
 
 
 def _windows(docs: DataFrame, length: int) -> DataFrame:
-    """Hashes of the whole windows that start in ``runs``; docs: doc, text, runs."""
+    """Hashes of the whole windows that start in ``runs``; docs: doc, text_key, text, runs."""
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: list[list[np.ndarray]] = [[], [], []]
-            for doc, text, runs in zip(batch["doc"].to_pylist(), utf8(batch["text"]), batch["runs"]):
+            columns: list[list[np.ndarray]] = [[], [], [], []]
+            for doc, key, text, runs in zip(batch["doc"].to_pylist(), batch["text_key"].to_pylist(), utf8(batch["text"]), batch["runs"]):
                 words = word_hashes(text)
                 at = inside(np.array(runs.as_py(), np.int64), max(0, len(words) - length + 1))
                 if len(at):
-                    for column, values in zip(columns, (window_hashes(words, length)[at].view(np.int64), np.full(len(at), doc), at)):
+                    for column, values in zip(columns, (window_hashes(words, length)[at].view(np.int64), np.full(len(at), doc), np.full(len(at), key), at)):
                         column.append(values)
             if columns[0]:
                 yield _columns(WINDOW, columns)
 
-    return docs.select("doc", "text", "runs").mapInArrow(extend, "window long, doc long, pos int")
+    return docs.select(*ROW, "text", "runs").mapInArrow(extend, "window long, doc long, text_key long, pos int")
 
 
 def _runs(positions: DataFrame, before: int, after: int) -> DataFrame:
-    """doc and runs: the union of [pos - before, pos + after) over the document's positions."""
+    """doc, text_key and runs: the union of [pos - before, pos + after) over the text's positions."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = [np.array(p.as_py(), np.int64) for p in batch["positions"]]
-            yield batch_of(RUNS, batch["doc"], [merged(np.maximum(0, p - before), p + after) for p in at])
+            yield batch_of(RUNS, batch["doc"], batch["text_key"], [merged(np.maximum(0, p - before), p + after) for p in at])
 
-    found = positions.groupBy("doc").agg(F.collect_set("pos").alias("positions"))
-    return found.mapInArrow(merge, "doc long, runs array<int>")
+    found = positions.groupBy(*ROW).agg(F.collect_set("pos").alias("positions"))
+    return found.mapInArrow(merge, "doc long, text_key long, runs array<int>")
 
 
 def _with(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
-    """docs joined with rows on doc; rows go to all executors only if their counted size is small."""
+    """docs joined with rows on ROW; rows go to all executors only if their counted size is small."""
     numbers = F.sum(F.size("runs")) if "runs" in rows.columns else F.lit(0)
     n, total = rows.agg(F.count("*"), F.coalesce(numbers, F.lit(0))).first()
     few = n <= BROADCAST_ROWS and total <= BROADCAST_NUMBERS
-    return docs.join(F.broadcast(rows) if few else rows, "doc", how)
+    return docs.join(F.broadcast(rows) if few else rows, ROW, how)
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.coalesce("doc_id", F.lit(NULL_DOC)).alias("doc"), F.xxhash64("text").alias("text_key"), "text")
 
 
 def find_repeats(docs: DataFrame, length: int = 50, period: int = PERIOD) -> DataFrame:
-    """doc (doc_id, a null one as the largest) and runs of words to remove; ALL for a copy of
-    a smaller document's text. Documents that keep every word have no row."""
-    texts = docs.select(F.coalesce("doc_id", F.lit(NULL_DOC)).alias("doc"), "text")
+    """doc (doc_id, a null one as the largest), text_key and runs of words to remove; ALL for a copy of
+    a smaller document's text. Texts that keep every word have no row."""
+    texts = _texts(docs)
     classes = stage(_classes(texts).filter(F.col("n_words") >= length), "substring-classes")
-    least = classes.groupBy("text_key", "n_words").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least <> most").drop("most")
-    copies = stage(classes.join(stage(least, "substring-least"), ["text_key", "n_words"]).filter("doc > least").select("doc").distinct(), "substring-copies")
+    least = classes.groupBy("class_key", "n_words").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least <> most").drop("most")
+    copies = stage(classes.join(stage(least, "substring-least"), ["class_key", "n_words"]).filter("doc > least").select(*ROW).distinct(), "substring-copies")
     texts = _with(texts, copies, "left_anti")
 
     anchors = _anchors(texts, length, period)
     shared = anchors.groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low <> high").select("anchor")
-    met = anchors.join(stage(shared, "substring-shared"), "anchor").select("doc", "pos")
+    met = anchors.join(stage(shared, "substring-shared"), "anchor").select(*ROW, "pos")
     around = stage(_runs(met, length - (length - period + 1), 1), "substring-around")
 
     windows = _windows(_with(texts, around, "inner"), length)
     first = windows.groupBy("window").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low <> high").drop("high")
-    repeats = windows.join(stage(first, "substring-first"), "window").filter("doc > low").select("doc", "pos")
-    everything = copies.select("doc", F.array(F.lit(ALL)).alias("runs"))
+    repeats = windows.join(stage(first, "substring-first"), "window").filter("doc > low").select(*ROW, "pos")
+    everything = copies.select(*ROW, F.array(F.lit(ALL)).alias("runs"))
     return stage(_runs(repeats, 0, length).unionByName(everything), "substring-repeats")
 
 
@@ -197,8 +204,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, period: int = PERIOD) -> D
                 out.append((len(words), len(words) - len(kept), b" ".join(kept).decode("utf-8", "surrogatepass")))
             yield batch_of(KEPT, batch["doc_id"], *(zip(*out) if out else ([], [], [])))
 
-    texts = docs.select("doc_id", F.coalesce("doc_id", F.lit(NULL_DOC)).alias("doc"), "text")
-    marked = _with(texts, find_repeats(docs, length, period), "left")
+    marked = _with(_texts(docs), find_repeats(docs, length, period), "left")
     return marked.select("doc_id", "text", "runs").mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string")
 
 

@@ -66,3 +66,13 @@ def test_repeated_rows_nulls_and_empty_table(spark):
     got = sorted((r.doc_id or 0, r.n_removed) for r in substring.remove_repeats(docs).collect())
     assert got == [(0, 60), (4, 0), (4, 0), (9, 60)]
     assert substring.remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_texts_of_one_id_lose_only_their_own_words(spark):
+    text = " ".join(map(str, range(60)))
+    clean = {i: " ".join(f"{i}c{k}" for k in range(80)) for i in (None, 7)}
+    part = {i: " ".join(f"{i}p{k}" for k in range(30)) for i in (None, 7)}
+    rows = [(1, text), *((i, t) for i in (None, 7) for t in (text, clean[i], f"{part[i]} {text}"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.kept, r.n_words) for r in substring.remove_repeats(docs).collect()}
+    assert got == {(1, text, 60), *((i, *kept) for i in (None, 7) for kept in (("", 60), (clean[i], 80), (part[i], 90)))}
