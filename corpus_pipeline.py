@@ -17,9 +17,15 @@ from pricelake.llm.labels import fold
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go; learned from the labels of its fold."""
+    """Documents that the quality classifier rejects go; learned from the labels of its fold.
+
+    All stay where the labels fit no network (fewer than eight, or of one kind only).
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(fold(F.col("doc_id"), 4) != 2)
-    scored = quality.score(docs, *quality.fit(docs, labels))
+    vectors, network = quality.fit(docs, labels)
+    if not network.fitted:
+        return docs
+    scored = quality.score(docs, vectors, network)
     return scored.filter(F.col("quality_score") >= quality.THRESHOLD).select(docs.columns)
 
 

@@ -168,6 +168,8 @@ class Network:
     w2: np.ndarray
     b2: float
     temperature: float = 1.0
+    #: False if the labels did not suffice: all scores are then their smoothed share.
+    fitted: bool = True
 
     def logits(self, x: np.ndarray) -> np.ndarray:
         # row by row: in one large product, equal rows can differ in the last digit
@@ -184,7 +186,7 @@ def fit_network(x: np.ndarray, y: np.ndarray, seed: int = SEED) -> Network:
     prior = (y.sum() + 1) / (len(y) + 2)
     width = x.shape[1]
     if len(y) < 8 or y.min(initial=1) == y.max(initial=0):
-        return Network(np.zeros(width), np.ones(width), np.zeros((width, 1)), np.zeros(1), np.zeros(1), float(np.log(prior / (1 - prior))))
+        return Network(np.zeros(width), np.ones(width), np.zeros((width, 1)), np.zeros(1), np.zeros(1), float(np.log(prior / (1 - prior))), fitted=False)
     order = rng.permutation(len(y))
     held, fit = order[: len(y) // 4], order[len(y) // 4 :]
     mean, scale = x[fit].mean(axis=0), x[fit].std(axis=0) + 1e-3

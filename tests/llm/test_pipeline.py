@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 import corpus_pipeline
 from pricelake.llm import pii
 
@@ -34,3 +36,11 @@ def test_stages_on_a_small_table(spark, tmp_path):
     assert abs(sum(len((r.text or "").split()) for r in kept[3]) - 1.5 * sum(sizes.values())) <= 3
     assert len(kept[4]) == len(kept[3]) and {r.n_tokens > 0 for r in kept[4]} <= {True, False}
     assert [c for c in d.columns] == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+@pytest.mark.parametrize("labels", [[], [(i, 0, 0) for i in range(40)], [(1, 1, 0)], [(1, 1, 0), (2, 0, 0), (3, 0, 0)]])
+def test_quality_stage_keeps_all_without_a_network(spark, tmp_path, labels):
+    docs = spark.createDataFrame([(i, f"clean words {i}") for i in range(40)] + [(40, None)], "doc_id long, text string")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.quality_stage(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == list(range(41))
