@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 LOCAL_CHECKPOINT_DIR = "/tmp/pricelake-checkpoints"
 #: While a table is written: shuffles behind it are freed afterwards, and whole texts go to
 #: Python in batches small enough for several copies of one.
-STAGING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
+STAGING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -1,13 +1,20 @@
 """Exact Jaccard join of word-shingle sets with set-relation skipping.
 
-Documents with equal sets are one class, so copies are never paired. Each class posts the
-first elements of its set in one global order to index lists; two sets within the
-threshold share a posted element. A first round, in the order of hashes, leaves the sets
-that meet any other; for these, elements are counted and frequent ones come last. Lists are read in
-blocks of like set size, and a pair of entries is skipped where its positions show that
-the sets can't overlap enough. Answers are derived from similar sets' answers: every
-list's leader answers first for all members; sets that those answers already join are not
-compared again, and only lists that join different components are expanded.
+Documents with equal sets are one class, so copies are never paired. Each text is shingled
+into a set once; sets whose first elements meet no other set's are left out, and the others
+are written as a table that all later steps read. Their elements are counted, and each set
+posts its first elements, rare ones before frequent ones, to index lists.
+
+Skipping by position: an entry at position k of a set of n elements, if it is the first
+that two linked sets share, admits partners of at most ``reach`` elements (what is left of
+the set must hold the whole overlap). Lists are read in blocks of like size; an entry visits
+only blocks whose sizes and reaches admit it and whose sets aren't joined with it already,
+and only such a visit becomes a row.
+
+Answers from similar sets: every list's leader answers first for its members. The overlap
+with a leader is kept, and two sets with one leader are not compared where the elements that
+they lack of it or have beside it leave too little in common. Inside a cell, overlaps are
+derived from the differences to a similar set.
 
 The order of the elements is a matter of speed only; the links are exact for any order.
 Shingles and sets are identified by 64-bit hashes (a set also by its size).
@@ -15,7 +22,9 @@ Shingles and sets are identified by 64-bit hashes (a set also by its size).
 Defined cases: a null or empty text, or one of white space only, has an empty set, links
 with nothing and is its own component; a text with fewer words than a shingle has one
 element; repeated rows and equal sets share a component; rows with a null doc_id take part
-but don't name a component; an empty table gives an empty result.
+and bridge others, but don't name a component (it is null where all its rows' ids are); only
+doc_id and text are read, so other columns, whatever their names, change nothing; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,17 +41,19 @@ from pyspark.sql import functions as F
 from pricelake.llm.common import batch_of, distinct, small_side, stage, utf8, window_hashes, word_hashes
 from pricelake.llm.components import components
 
-#: Elements put last in the order: those of at least FREQUENT_SETS sets, and of the most
-#: sets if there are more than FREQUENT_LIMIT of them (8 bytes each on every executor).
-FREQUENT_LIMIT, FREQUENT_SETS = 1_000_000, 3
-#: Up to so many rows of two numbers are sent to every executor; beyond, both sides are shuffled.
+#: Elements ordered by their count: those of at least FREQUENT_SETS sets, and of the most
+#: sets if there are more than FREQUENT_LIMIT of them (9 bytes each on every executor).
+FREQUENT_LIMIT, FREQUENT_SETS = 1_000_000, 2
+#: Up to so many rows of a few numbers are sent to every executor; beyond, both sides are shuffled.
 BROADCAST_ROWS = 1_000_000
 #: The first round posts one element more for every so many.
 MORE = 40
 #: Leaders that a set asks in each of so many rounds; a matter of speed only.
 LEADERS, LEADER_ROUNDS = 2, 2
-#: Sets that meet in one task, at most about twice as many.
-CELL = 256
+#: Elements of the sets that meet in one task, at most about twice as many.
+CELL_ELEMENTS = 250_000
+#: Blocks of like size in a factor 100 / percent of sizes.
+BLOCKS = 4
 
 
 def shingle_set(text: bytes, width: int) -> np.ndarray:
@@ -60,43 +71,91 @@ def set_id(elements: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(elements.tobytes()) - (1 << 63)
 
 
-def ordered(elements: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The global order: elements that aren't frequent first, each part by hash."""
+def reach(n: Column, pos: Column, percent: int) -> Column:
+    """Most elements of a linked set with which the element at ``pos`` is the first in common."""
+    return F.floor((100 + percent) * (n - pos).cast("long") / percent).cast("long") - n
+
+
+def ordered(elements: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The global order: by rank (0 for elements that aren't frequent), each part by hash."""
     if not len(frequent) or not len(elements):
         return elements
-    at = np.searchsorted(frequent, elements)
-    late = frequent[np.minimum(at, len(frequent) - 1)] == elements
-    return np.concatenate([elements[~late], elements[late]])
+    at = np.minimum(np.searchsorted(frequent, elements), len(frequent) - 1)
+    return elements[np.argsort(np.where(frequent[at] == elements, rank[at], 0), kind="stable")]
 
 
-DIGEST = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64())])
-COUNT = pa.schema([("element", pa.int64()), ("sets", pa.int64())])
+DIGEST = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64()), ("first", pa.list_(pa.int64()))])
+SET = pa.schema([("set_id", pa.int64()), ("n", pa.int32()), ("elements", pa.list_(pa.int64()))])
 POSTING = pa.schema([("element", pa.int64()), ("set_id", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
-SET = pa.schema([("cell", pa.int64()), ("set_id", pa.int64()), ("elements", pa.list_(pa.int64()))])
 
 
-def _digests(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n and set_id of every document."""
+def lists_of(arrays: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, arrays)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(arrays).view(np.int64) if arrays else [], pa.int64()))
+
+
+def unseen(name: int, seen: set[int]) -> bool:
+    """Whether a task meets a set for the first time; forgets nothing, stops noting at a million."""
+    if name in seen:
+        return False
+    if len(seen) < 1_000_000:
+        seen.add(name)
+    return True
+
+
+def _digests(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Of every document row: doc_id, text_key, n, set_id, and its first elements by hash.
+
+    With m elements more than the prefix posted on both sides, two linked sets share at
+    least 1 + m of them. A task posts a set once, however many rows have it.
+    """
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            sets = [shingle_set(text, width) for text in utf8(batch["text"])]
-            yield batch_of(DIGEST, batch["doc_id"], [len(s) for s in sets], [set_id(s) for s in sets])
+            sizes, names, firsts = [], [], []
+            for text in utf8(batch["text"]):
+                elements = shingle_set(text, width)
+                n, name = len(elements), set_id(elements)
+                sizes.append(n)
+                names.append(name)
+                firsts.append(elements[: prefix_length(n, percent) + n // MORE if n and unseen(name, seen) else 0])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"].cast(pa.int64()), batch["text_key"], pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), lists_of(firsts)], schema=DIGEST)
+
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    return keyed.mapInArrow(digest, "doc_id long, text_key long, n long, set_id long, first array<long>")
+
 
-    return docs.select("doc_id", "text").mapInArrow(digest, "doc_id long, n long, set_id long")
+def _suspects(digests: DataFrame, percent: int) -> DataFrame:
+    """set_id and class_doc of each set that may have a partner, by hash order alone."""
+    posted = digests.filter(F.size("first") > 0)
+    entries = posted.select("set_id", "n", F.explode("first").alias("element"))
+    lists = entries.groupBy("element").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).filter("low <> high").select("element")
+    met = entries.join(stage(lists, "jaccard-met"), "element").groupBy("set_id", "n").agg(F.count("*").alias("met"))
+    classes = digests.filter("n > 0").groupBy("set_id", "n").agg(F.min("doc_id").alias("class_doc"), F.count(F.when(F.size("first") > 0, 1)).alias("times"))
+    least = 1 + F.floor(F.floor(percent * F.col("n") / 100) / MORE)  # a partner has percent * n / 100 elements or more
+    return stage(met.join(classes, ["set_id", "n"]).filter(F.col("met") >= F.col("times") * least).select("set_id", "class_doc"), "jaccard-suspects")
 
 
-def _frequent(texts: DataFrame, width: int) -> np.ndarray:
-    """Elements of many of the texts' sets, ascending; at most FREQUENT_LIMIT."""
+def _sets(docs: DataFrame, suspects: DataFrame, width: int) -> DataFrame:
+    """set_id, n and elements of the suspects' sets; a set may occur more than once."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            sets = [shingle_set(text, width) for text in utf8(batch["text"])]
-            if sets:
-                elements, n = np.unique(np.concatenate(sets), return_counts=True)
-                yield batch_of(COUNT, elements.view(np.int64), n)
+            rows = [(name, s) for s in (shingle_set(text, width) for text in utf8(batch["text"])) if len(s) and unseen(name := set_id(s), seen)]
+            yield pa.RecordBatch.from_arrays([pa.array([name for name, _ in rows], pa.int64()), pa.array([len(s) for _, s in rows], pa.int32()), lists_of([s for _, s in rows])], schema=SET)
+
+    wanted = small_side(suspects.filter("class_doc IS NOT NULL").select(F.col("class_doc").alias("doc_id")).distinct(), BROADCAST_ROWS)
+    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+    if not suspects.filter("class_doc IS NULL").isEmpty():
+        texts = texts.unionByName(docs.filter("doc_id IS NULL").select("doc_id", "text"))
+    return stage(texts.select("text").mapInArrow(read, "set_id long, n int, elements array<long>"), "jaccard-sets")
 
-    counts = texts.select("text").mapInArrow(count, "element long, sets long").groupBy("element").agg(F.sum("sets").alias("sets")).filter(F.col("sets") >= FREQUENT_SETS)
+
+def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Elements of the most sets, ascending, at most FREQUENT_LIMIT, and their ranks by the logarithm of the count."""
+    counts = sets.select(F.explode("elements").alias("element")).groupBy("element").agg(F.count("*").alias("sets")).filter(F.col("sets") >= FREQUENT_SETS)
     counts = stage(counts, "jaccard-counts")
     least, held = FREQUENT_SETS, 0
     for row in counts.groupBy(F.least("sets", F.lit(10_000)).alias("sets")).agg(F.count("*").alias("n")).orderBy(F.desc("sets")).collect():
@@ -104,46 +163,32 @@ def _frequent(texts: DataFrame, width: int) -> np.ndarray:
         if held > FREQUENT_LIMIT:
             least = row.sets + 1
             break
-    chosen = counts.filter(F.col("sets") >= least).select("element").toArrow()["element"].to_numpy()
-    return np.sort(chosen.view(np.uint64))
+    chosen = counts.filter(F.col("sets") >= least).select("element", F.floor(F.log2("sets")).cast("byte").alias("rank")).toArrow()
+    elements, rank = chosen["element"].to_numpy().view(np.uint64), chosen["rank"].to_numpy()
+    order = np.argsort(elements)
+    return elements[order], rank[order]
 
 
-def _postings(texts: DataFrame, frequent: np.ndarray, width: int, percent: int, more: int = 0) -> DataFrame:
-    """The first elements of every set in the global order: element, set_id, n, pos.
-    ``more``: one element beyond the prefix for every so many elements of the set."""
-    sent = texts.sparkSession.sparkContext.broadcast(frequent)
+def _entries(sets: DataFrame, percent: int) -> DataFrame:
+    """Index entries that may meet another's: element, set_id, n, reach."""
+    sent = sets.sparkSession.sparkContext.broadcast(_frequent(sets))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # a set that this task has posted isn't posted again
+        frequent, rank = sent.value
         for batch in batches:
-            columns: list[list[np.ndarray]] = [[], [], [], []]
-            for text in utf8(batch["text"]):
-                elements = shingle_set(text, width)
-                n, name = len(elements), set_id(elements)
-                if not n or name in seen:
-                    continue
-                if len(seen) < 1_000_000:
-                    seen.add(name)
-                first = ordered(elements, sent.value)[: prefix_length(n, percent) + (n // more if more else 0)]
-                for column, values in zip(columns, (first.view(np.int64), np.full(len(first), name), np.full(len(first), n), np.arange(len(first)))):
-                    column.append(values)
-            if columns[0]:
-                yield batch_of(POSTING, *(np.concatenate(c).astype(f.type.to_pandas_dtype()) for c, f in zip(columns, POSTING)))
-
-    return texts.select("text").mapInArrow(post, "element long, set_id long, n int, pos int")
+            arrays, names = batch["elements"], batch["set_id"].to_numpy()
+            values, ends = arrays.values.to_numpy().view(np.uint64), arrays.offsets.to_numpy()
+            firsts = [ordered(values[a:b], frequent, rank)[: prefix_length(b - a, percent)] for a, b in zip(ends, ends[1:])]
+            sizes = np.array([len(f) for f in firsts], np.int64)
+            columns = [np.concatenate([*firsts, values[:0]]).view(np.int64), np.repeat(names, sizes), np.repeat(np.diff(ends), sizes), np.concatenate([*map(np.arange, sizes), sizes[:0]])]
+            yield batch_of(POSTING, *(c.astype(f.type.to_pandas_dtype()) for c, f in zip(columns, POSTING)))
 
-
-def _suspects(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id of one document for each set that may have a partner, by hash order alone.
-
-    With m elements more than the prefix posted on both sides, two linked sets share at
-    least 1 + m of them; a partner of a set of n elements has at least percent * n / 100.
-    """
-    postings = stage(_postings(docs, np.empty(0, np.uint64), width, percent, MORE).drop("pos"), "jaccard-first")
-    lists = stage(postings.groupBy("element").agg(F.count("*").alias("length")).filter("length > 1").select("element"), "jaccard-met")
-    met = postings.join(lists, "element").groupBy("set_id", "n").agg(F.count("*").alias("met"))
-    sets = met.filter(F.col("met") >= 1 + F.floor(F.floor(percent * F.col("n") / 100) / MORE)).select("set_id").distinct()
-    return stage(classes.join(sets, "set_id").select(F.col("class_doc").alias("doc_id")), "jaccard-suspects")
+    postings = sets.select("set_id", "elements").mapInArrow(post, "element long, set_id long, n int, pos int")
+    postings = stage(postings.select("element", "set_id", "n", reach(F.col("n"), F.col("pos"), percent).alias("reach")), "jaccard-postings")
+    lists = postings.groupBy("element").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"), F.min("n").alias("least"), F.max("reach").alias("most"))
+    lists = stage(lists.filter("low <> high").select("element", "least", "most"), "jaccard-lists")
+    met = postings.join(lists, "element").filter("least <= reach AND n <= most").select("element", "set_id", "n", "reach")
+    return stage(met.dropDuplicates(["element", "set_id"]), "jaccard-entries")
 
 
 def _enough(overlap: Column, n_a: Column, n_b: Column, percent: int) -> Column:
@@ -184,124 +229,124 @@ class Answers:
             return len(np.intersect1d(self.sets[a], self.sets[b], assume_unique=True))
         return len(self.references[ra]) - len(minus_a) - len(minus_b) + len(minus_a & minus_b) + len(plus_a & plus_b)
 
-    def linked(self, a: int, b: int, percent: int) -> bool:
-        n = len(self.sets[a]) + len(self.sets[b])
-        low = min(len(self.sets[a]), len(self.sets[b]))
-        return (100 + percent) * low >= percent * n and (100 + percent) * self.overlap(a, b) >= percent * n
 
+def _overlaps(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """pairs (a, b, n_a, n_b) with the overlap of their whole sets.
 
-def _links_of(docs: DataFrame, pairs: DataFrame, names: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are within the threshold.
-
-    Sets travel once per cell, not once per pair: a set's home is its least partner, homes
-    of many sets are cut into parts of about CELL sets, and a cell is a pair of parts.
+    Sets travel once per cell, not once per pair: a set's home is the partner with the most
+    partners, homes of many elements are cut into parts, and a cell is a pair of parts.
     """
-    both = pairs.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("node"), F.col("a").alias("other")))
-    homes = both.groupBy("node").agg(F.least("node", F.min("other")).alias("hub"))
-    homes = stage(homes, "jaccard-homes")
-    parts = homes.groupBy("hub").agg(F.ceil(F.count("*") / CELL).alias("parts"))
-    homes = stage(homes.join(parts, "hub").select("node", F.xxhash64("hub", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("home")), "jaccard-parts")
+    both = pairs.select(F.col("a").alias("node"), F.col("n_a").alias("n"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("node"), F.col("n_b").alias("n"), F.col("a").alias("other")))
+    degrees = stage(both.groupBy("node", "n").agg(F.count("*").alias("degree")), "jaccard-degrees")
+    of_other = small_side(degrees.select(F.col("node").alias("other"), F.col("degree").alias("others")), BROADCAST_ROWS)
+    best = both.join(of_other, "other").groupBy("node").agg(F.max(F.struct("others", "other")).alias("best"))
+    hub = F.when(F.struct("degree", "node") > F.struct("best.others", "best.other"), F.col("node")).otherwise(F.col("best.other"))
+    homes = stage(degrees.join(best, "node").select("node", "n", hub.alias("hub")), "jaccard-homes")
+    parts = homes.groupBy("hub").agg(F.ceil(F.sum("n") / CELL_ELEMENTS).alias("parts"))
+    homes = stage(homes.join(small_side(parts, BROADCAST_ROWS), "hub").select("node", F.xxhash64("hub", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("home")), "jaccard-parts")
+    homes = small_side(homes, BROADCAST_ROWS)
     side = lambda x: homes.select(F.col("node").alias(x), F.col("home").alias(f"{x}_home"))
     cell = F.xxhash64(F.least("a_home", "b_home"), F.greatest("a_home", "b_home"))
-    placed = stage(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", cell.alias("cell")), "jaccard-cells")
+    placed = stage(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", cell.alias("cell")), "jaccard-cells")
     visits = placed.select(F.col("a").alias("set_id"), "cell").union(placed.select("b", "cell")).distinct()
-    visits = visits.groupBy("set_id").agg(F.collect_list("cell").alias("cells"))
-    visits = stage(visits.join(names, "set_id").select(F.col("class_doc").alias("doc_id"), "set_id", "cells"), "jaccard-visits")
-    wanted = docs.select("doc_id", "text").join(small_side(visits, BROADCAST_ROWS), "doc_id").select("text", "set_id", "cells")
+    visits = stage(visits.groupBy("set_id").agg(F.collect_list("cell").alias("cells")), "jaccard-visits")
+    sent = sets.join(small_side(visits, BROADCAST_ROWS), "set_id").select(F.explode("cells").alias("cell"), "set_id", "elements")
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple[int, int, np.ndarray]] = []
-            for text, name, cells in zip(utf8(batch["text"]), batch["set_id"].to_pylist(), batch["cells"].to_pylist()):
-                elements = shingle_set(text, width)
-                if set_id(elements) == name:  # else another row of the same doc_id
-                    out += [(c, name, elements.view(np.int64)) for c in cells]
-            yield batch_of(SET, *(zip(*out) if out else ([], [], [])))
-
-    def answer(key, sets: pa.Table, cell_pairs: pa.Table) -> pa.Table:
+    def answer(key, there: pa.Table, cell_pairs: pa.Table) -> pa.Table:
         elements = {}
-        for name, values in zip(sets["set_id"].to_pylist(), sets["elements"].combine_chunks()):
+        for name, values in zip(there["set_id"].to_pylist(), there["elements"].combine_chunks()):
             elements.setdefault(name, values.values.to_numpy().view(np.uint64))
         answers = Answers(elements)
-        found = [(a, b) for a, b in sorted(zip(cell_pairs["a"].to_pylist(), cell_pairs["b"].to_pylist())) if answers.linked(a, b, percent)]
-        return pa.table([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-    sets = wanted.mapInArrow(read, "cell long, set_id long, elements array<long>")
-    links = sets.groupBy("cell").cogroup(placed.groupBy("cell")).applyInArrow(answer, "a long, b long")
-    return stage(links, "jaccard-links")
+        cell_pairs = cell_pairs.sort_by([("a", "ascending"), ("b", "ascending")])
+        overlap = [answers.overlap(a, b) for a, b in zip(cell_pairs["a"].to_pylist(), cell_pairs["b"].to_pylist())]
+        return cell_pairs.select(["a", "b", "n_a", "n_b"]).append_column("overlap", pa.array(overlap, pa.int64()))
+
+    answered = sent.groupBy("cell").cogroup(placed.groupBy("cell")).applyInArrow(answer, "a long, b long, n_a int, n_b int, overlap long")
+    return stage(answered, "jaccard-overlaps")
+
+
+def _leaders(entries: DataFrame, weights: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Pairs of each set with the leaders with which it shares the most lists."""
+    placed = entries.join(weights, "set_id")
+    placed = placed.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id")) if roots else placed.withColumn("root", F.col("set_id"))
+    best = F.max_by(F.struct("set_id", "n", "root"), F.struct("weight", "set_id")).alias("best")
+    leaders = placed.groupBy("element").agg(best).select("element", F.col("best.set_id").alias("leader"), F.col("best.n").alias("leader_n"), F.col("best.root").alias("leader_root"))
+    return (
+        placed.join(leaders, "element")
+        .filter("root <> leader_root")
+        .groupBy("set_id", "n", "leader", "leader_n")
+        .agg(F.count("*").alias("shared"))
+        .groupBy("set_id", "n")
+        .agg(F.slice(F.sort_array(F.collect_list(F.struct("shared", "leader", "leader_n")), asc=False), 1, LEADERS).alias("leaders"))
+        .select("set_id", "n", F.explode("leaders").alias("l"))
+        .select(F.least("set_id", "l.leader").alias("a"), F.greatest("set_id", "l.leader").alias("b"), F.when(F.col("set_id") < F.col("l.leader"), F.col("n")).otherwise(F.col("l.leader_n")).alias("n_a"), F.when(F.col("set_id") < F.col("l.leader"), F.col("l.leader_n")).otherwise(F.col("n")).alias("n_b"))
+        .distinct()
+    )
 
 
-def _join_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+def _meetings(entries: DataFrame, roots: DataFrame, answers: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets, not yet in one component, that an index list and the known answers allow."""
+    placed = entries.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+    placed = placed.withColumn("block", F.floor(BLOCKS * F.log("n") / math.log(100 / percent)).cast("int"))
+    placed = stage(placed, "jaccard-placed")
+    mixed = placed.groupBy("element").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("element")
+    rest = placed.join(stage(mixed, "jaccard-mixed"), "element", "left_semi")
+    # of its answers a set keeps the one with the most in common: who, what it lacks of it, what it has beside it
+    known = lambda x, y: answers.select(F.col(x).alias("set_id"), F.struct("overlap", F.col(y).alias("leader"), (F.col(f"n_{y}") - F.col("overlap")).alias("lacks"), (F.col(f"n_{x}") - F.col("overlap")).alias("beside")).alias("answer"))
+    best = known("a", "b").unionByName(known("b", "a")).groupBy("set_id").agg(F.max("answer").alias("answer"))
+    rest = stage(rest.join(small_side(best, BROADCAST_ROWS), "set_id", "left"), "jaccard-rest")
+    # blocks of a list by component, with their bounds; an entry visits those with sets as large as its own or larger
+    blocks = rest.groupBy("element", "block", "root").agg(F.min("n").alias("least"), F.max("n").alias("largest"), F.max("reach").alias("most"))
+    last = F.floor(BLOCKS * F.log("reach") / math.log(100 / percent)).cast("int")
+    visits = rest.filter("reach >= n").select("element", *(F.col(c).alias(f"a_{c}") for c in ("set_id", "n", "reach", "root", "answer")), F.explode(F.sequence("block", F.greatest("block", last))).alias("block"))
+    visits = visits.join(blocks, ["element", "block"]).filter("a_root <> root AND least <= a_reach AND largest >= a_n AND a_n <= most").drop("least", "largest", "most")
+    partners = rest.select("element", "block", "root", *(F.col(c).alias(f"b_{c}") for c in ("set_id", "n", "reach", "answer")))
+    later = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_set_id") < F.col("b_set_id")))
+    common = F.col("a_n") - F.col("a_answer.beside") + F.col("a_answer.lacks")  # the common leader's size
+    most = common - F.greatest("a_answer.lacks", "b_answer.lacks") + F.least("a_answer.beside", "b_answer.beside")
+    skipped = (F.col("a_answer.leader") == F.col("b_answer.leader")) & ~_enough(most, F.col("a_n"), F.col("b_n"), percent)
+    met = visits.join(partners, ["element", "block", "root"]).filter(later & (F.col("b_n") <= F.col("a_reach")) & (F.col("a_n") <= F.col("b_reach")) & ~F.coalesce(skipped, F.lit(False)))
+    return stage(met.select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b"), F.col("a_n").alias("n_a"), F.col("b_n").alias("n_b")).distinct(), "jaccard-pairs")
+
+
+def _join_classes(docs: DataFrame, digests: DataFrame, width: int, percent: int) -> DataFrame:
     """All links that matter for components: (a, b) by set_id."""
-    suspects = small_side(_suspects(docs, classes, width, percent), BROADCAST_ROWS)
-    texts = docs.select("doc_id", "text").join(suspects, "doc_id", "left_semi")
-    postings = stage(_postings(texts, _frequent(texts, width), width, percent), "jaccard-postings")
-    lists = stage(postings.groupBy("element").agg(F.count("*").alias("length")).filter("length > 1").select("element"), "jaccard-lists")
-    entries = stage(postings.join(lists, "element").dropDuplicates(["element", "set_id"]), "jaccard-entries")
-    names = classes.select("set_id", "class_doc", F.col("n").cast("int").alias("n"))
-
-    # first the leaders' answers: each set asks the most central sets with which it shares lists
-    central = entries.groupBy("set_id").agg(F.count("*").alias("lists"))
-    weighed = stage(entries.join(small_side(central, BROADCAST_ROWS), "set_id"), "jaccard-weighed")
-    linked, roots = None, None
+    sets = _sets(docs, _suspects(digests, percent), width)
+    entries = _entries(sets, percent)
+    enough = _enough(F.col("overlap"), F.col("n_a"), F.col("n_b"), percent)
+    # leaders are the sets that meet the most others
+    lengths = entries.groupBy("element").agg(F.count("*").alias("length"))
+    weights = small_side(stage(entries.join(lengths, "element").groupBy("set_id").agg(F.sum("length").alias("weight")), "jaccard-weights"), BROADCAST_ROWS)
+    answers, roots = None, None
     for _ in range(LEADER_ROUNDS):
-        placed = weighed.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id")) if roots else weighed.withColumn("root", F.col("set_id"))
-        best = F.max_by(F.struct("set_id", "root"), F.struct("lists", "set_id")).alias("best")
-        leaders = placed.groupBy("element").agg(best).select("element", F.col("best.set_id").alias("leader"), F.col("best.root").alias("leader_root"))
-        likely = (
-            placed.join(leaders, "element")
-            .filter("root <> leader_root")
-            .groupBy("set_id", "leader", "n")
-            .agg(F.count("*").alias("shared"))
-            .groupBy("set_id")
-            .agg(F.slice(F.sort_array(F.collect_list(F.struct("shared", "leader")), asc=False), 1, LEADERS).alias("leaders"))
-            .select("set_id", F.explode("leaders.leader").alias("leader"))
-            .select(F.least("set_id", "leader").alias("a"), F.greatest("set_id", "leader").alias("b"))
-            .distinct()
-        )
-        found = _links_of(docs, stage(likely, "jaccard-likely"), names, width, percent)
-        linked = stage(linked.unionByName(found), "jaccard-linked") if linked else found
-        roots = small_side(components(linked).withColumnRenamed("node", "set_id"), BROADCAST_ROWS)
-
-    # then only lists where different components still meet
-    placed = entries.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    mixed = stage(placed.groupBy("element").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("element"), "jaccard-mixed")
-    block = F.floor(F.log("n") / math.log(100 / percent)).cast("int")  # linked sizes are in the same or the next block
-    rest = stage(placed.join(mixed, "element", "left_semi").withColumn("size_block", block), "jaccard-rest")
-    side = lambda x: rest.select("element", *(F.col(c).alias(f"{x}_{c}") for c in ("set_id", "n", "pos", "root", "size_block")))
-    left = side("a").withColumn("size_block", F.explode(F.array(*(F.col("a_size_block") + d for d in (-1, 0, 1)))))
-    right = side("b").withColumnRenamed("b_size_block", "size_block")
-    met = left.join(right, ["element", "size_block"]).filter((F.col("a_set_id") < F.col("b_set_id")) & (F.col("a_root") != F.col("b_root")))
-    # what precedes the entry in both sets, the entry, and what can follow it
-    most = F.least("a_pos", "b_pos") + F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos"))
-    met = met.filter(_enough(most, F.col("a_n"), F.col("b_n"), percent))
-    pairs = (
-        met.groupBy("a_set_id", "b_set_id", "a_n", "b_n")
-        .agg(F.count("*").alias("shared"), F.max("a_pos").alias("a_last"), F.max("b_pos").alias("b_last"))
-        .filter(_enough(F.col("shared") + F.least(F.col("a_n") - F.col("a_last"), F.col("b_n") - F.col("b_last")) - 1, F.col("a_n"), F.col("b_n"), percent))
-        .select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b"))
-    )
-    return linked.unionByName(_links_of(docs, stage(pairs, "jaccard-pairs"), names, width, percent))
+        found = _overlaps(sets, stage(_leaders(entries, weights, roots), "jaccard-likely"))
+        answers = answers.unionByName(found) if answers else found
+        roots = small_side(components(answers.filter(enough).select("a", "b")).withColumnRenamed("node", "set_id"), BROADCAST_ROWS)
+    last = _overlaps(sets, _meetings(entries, roots, answers, percent))
+    return answers.unionByName(last).filter(enough).select("a", "b")
 
 
 def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
-    """Per document row: doc_id, n_shingles, component_id and class_doc (the least doc_id with an equal set)."""
-    digests = stage(_digests(docs, width), "jaccard-digests")
-    classes = stage(digests.filter("n > 0").groupBy("set_id", "n").agg(F.min("doc_id").alias("class_doc")), "jaccard-classes")
-    roots = components(_join_classes(docs, classes, width, percent))
-    rooted = classes.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+    """Per document row: doc_id, text_key (xxhash64 of the text), n_shingles, component_id,
+    set_id and class_doc (the least doc_id with an equal set)."""
+    digests = stage(_digests(docs, width, percent), "jaccard-digests")
+    roots = components(_join_classes(docs, digests, width, percent))
+    classes = digests.filter("n > 0").groupBy("set_id", "n").agg(F.min("doc_id").alias("class_doc"))
+    rooted = stage(classes.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id")), "jaccard-rooted")
     least = rooted.groupBy("root").agg(F.min("class_doc").alias("component_id"))
-    named = stage(rooted.join(least, "root").select("set_id", "n", "class_doc", "component_id"), "jaccard-named")
-    return digests.join(named, ["set_id", "n"], "left").select(
+    named = stage(rooted.join(least, "root").select("set_id", "n", "root", "class_doc", "component_id"), "jaccard-named")
+    return digests.drop("first").join(named, ["set_id", "n"], "left").select(
         "doc_id",
+        "text_key",
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
         F.coalesce("class_doc", "doc_id").alias("class_doc"),
+        "root",
     )
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("class_doc")
+    return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_shingles", "component_id")
 
 
 ORACLE_OP4 = r"""

@@ -59,6 +59,23 @@ def test_repeated_rows_and_empty_table(spark):
     assert jaccard.jaccard_components(docs.limit(0)).count() == 0
 
 
+def test_null_ids_bridge_others(spark):
+    base = [f"w{i}" for i in range(60)]
+    one, two, three = (" ".join(base[:k] + [f"x{i}" for i in range(k, 60)]) for k in (60, 57, 54))
+    docs = spark.createDataFrame([(9, one), (None, two), (4, three), (None, "quite another text of a few words"), (7, "a b c")], "doc_id long, text string")
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in jaccard.jaccard_components(docs, 4, 85).collect()}
+    assert got == {(9, 57): 4, (None, 57): 4, (4, 57): 4, (None, 4): None, (7, 1): 7}
+
+
+def test_reach_admits_linked_sets_alone():
+    for percent in (60, 85):
+        for n in range(1, 60):
+            for m in range(n, 90):
+                need = -(-percent * (n + m) // (100 + percent))
+                for pos in range(n):
+                    assert (n - pos >= need) == (m <= (100 + percent) * (n - pos) // percent - n)
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 30)] + [(50, 40), (60, 60)], "a long, b long")
     got = {r.node: r.root for r in components(links).collect()}
