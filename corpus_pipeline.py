@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.llm import bpe, jaccard, mixing, pii, quality
-from pricelake.llm.common import stage
+from pricelake.llm.common import small_side, stage
 from pricelake.llm.labels import fold
 
 
@@ -32,13 +32,22 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents that with the smallest doc_id stays, in one row.
 
-    Near duplicates are sets of five-word shingles with a similarity of 0.8 or more. Documents
-    without words are linked with nothing and stay; rows that repeat a doc_id become one.
+    Near duplicates are sets of five-word shingles with a similarity of 0.8 or more. Rows
+    equal in doc_id and text are one document, a null doc_id included. In a group whose ids
+    repeat or are all null, the smallest id comes first, a null last, then the least hash of
+    the text. Documents without words are linked with nothing and stay.
     """
-    groups = jaccard.jaccard_components(docs, width=5, percent=80)
-    keep = stage(groups.filter(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select("doc_id").distinct(), "pipeline-kept")
-    # a null doc_id names nothing: such rows stay unless equal in all columns
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["doc_id"]), "left_semi").dropDuplicates(["doc_id", "text"]).select(docs.columns)
+    rows = jaccard.jaccard_components(docs, width=5, percent=80).groupBy("doc_id", "text_key", "root").agg(F.count("*").alias("times"))
+    rows = stage(rows, "pipeline-rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key", "times")).alias("first")
+    kept = rows.filter("root IS NOT NULL").groupBy("root").agg(first).select("first.doc_id", "first.text_key", "first.times")
+    kept = stage(kept.unionByName(rows.filter("root IS NULL").select("doc_id", "text_key", "times")), "pipeline-kept")
+
+    def those(keep: DataFrame) -> DataFrame:
+        keep = small_side(keep.select("doc_id", "text_key"))
+        return docs.join(keep, docs["doc_id"].eqNullSafe(keep["doc_id"]) & (F.xxhash64(docs["text"]) == keep["text_key"]), "left_semi")
+
+    return those(kept.filter("times = 1")).unionByName(those(kept.filter("times > 1")).dropDuplicates(["doc_id", "text"]))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
