@@ -38,6 +38,16 @@ def test_stages_on_a_small_table(spark, tmp_path):
     assert [c for c in d.columns] == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
 
+def test_near_duplicates_with_null_ids_and_repeated_rows(spark):
+    text = " ".join(f"w{i}" for i in range(80))
+    near, other = text.replace("w40 ", "w4O "), "some other words that are here in one row alone"
+    rows = [(5, text, 1), (5, text, 2), (3, near, 3), (None, near, 4), (8, other, 5), (None, "all by itself is this text without an id", 6), (6, "", 7), (6, None, 8), (None, "", 9), (5, other + " x", 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, text_key int")
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs, "")
+    assert kept.columns == docs.columns and sorted(r.text_key for r in kept.collect()) in ([3, 5, 6, 7, 8, 9, 10], [3, 5, 6, 7, 8, 9])
+    assert corpus_pipeline.near_duplicate_stage(spark, docs.limit(0), "").count() == 0
+
+
 @pytest.mark.parametrize("labels", [[], [(i, 0, 0) for i in range(40)], [(1, 1, 0)], [(1, 1, 0), (2, 0, 0), (3, 0, 0)]])
 def test_quality_stage_keeps_all_without_a_network(spark, tmp_path, labels):
     docs = spark.createDataFrame([(i, f"clean words {i}") for i in range(40)] + [(40, None)], "doc_id long, text string")
