@@ -26,7 +26,8 @@ import json
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
+from operator import itemgetter
 
 import pyarrow as pa
 import regex
@@ -62,6 +63,7 @@ class MergeList:
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.token_bytes |= {i: s.encode() for s, i in self.added.items()}
         self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        self.rank, self.made = {p: rank for p, (rank, _) in self.merges.items()}, [vocab[a + b] for a, b in pairs]
         self.byte_ids = [0] * 256
         for sign, b in symbols.items():
             self.byte_ids[b] = vocab[sign]
@@ -104,13 +106,16 @@ class MergeList:
         ids = [self.byte_ids[b] for b in data]
         if len(ids) > MEMO_BYTES:
             return self._merge_long(ids)
-        merges = self.merges
-        while len(ids) > 1:
-            best = min(((merges[p][0], k) for k, p in enumerate(zip(ids, ids[1:])) if p in merges), default=None)
-            if best is None:
-                break
-            k = best[1]
-            ids[k : k + 2] = [merges[ids[k], ids[k + 1]][1]]
+        rank, made, never = self.rank, self.made, len(self.made)
+        ranks = [rank.get(p, never) for p in zip(ids, ids[1:])]
+        while ranks and (least := min(ranks)) < never:
+            k = ranks.index(least)
+            ids[k : k + 2] = [made[least]]
+            del ranks[k]
+            if k:
+                ranks[k - 1] = rank.get((ids[k - 1], ids[k]), never)
+            if k < len(ranks):
+                ranks[k] = rank.get((ids[k], ids[k + 1]), never)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
@@ -149,40 +154,73 @@ class MergeList:
 
 
 class Encoder:
-    """Text to ids, piece by piece."""
+    """Text to ids, piece by piece.
+
+    A pretoken's ids, their decimal text and their bytes are kept together, so that a word
+    costs one look at the memo, however many ids it has.
+    """
 
     def __init__(self, merges: MergeList):
         self.merges = merges
         self.pretoken, self.cut = regex.compile(PRETOKEN), regex.compile(SAFE_CUT)
         self.added = regex.compile("|".join(map(regex.escape, sorted(merges.added, key=len, reverse=True)))) if merges.added else None
-        self.memo = Memo(lambda word: tuple(merges.transduce(word.encode("utf-8", "surrogatepass"))), 300_000)
+        self.memo = Memo(self._written, 300_000)
 
-    def _pieces(self, text: str) -> Iterator[str]:
-        start = 0
-        while len(text) - start > PIECE_CHARS and (cut := self.cut.search(text, start + PIECE_CHARS)):
+    def _written(self, word: str) -> tuple[tuple[int, ...], str, bytes]:
+        """ids, their decimal text, and the bytes that the ids stand for."""
+        ids = tuple(self.merges.merge(word.encode("utf-8", "surrogatepass")))
+        return ids, ",".join(map(str, ids)), b"".join(map(self.merges.token_bytes.__getitem__, ids))
+
+    def _pieces(self, text: str, start: int, end: int) -> Iterator[str]:
+        """Pieces of whole pretokens of about PIECE_CHARS; a pretoken longer than that is one piece."""
+        while end - start > PIECE_CHARS and (cut := self.cut.search(text, start + PIECE_CHARS, end)):
             yield text[start : cut.end()]
             start = cut.end()
-        yield text[start:] if start else text
-
-    def _ordinary(self, text: str) -> Iterator[list[int]]:
-        for piece in self._pieces(text):
-            words = self.pretoken.findall(piece)
-            if len(piece) > 8 * len(words) and max(map(len, words)) > MEMO_BYTES:
-                # long pretokens go past the memo, which keeps its size bounded
-                yield list(chain.from_iterable(self.memo[w] if len(w) <= MEMO_BYTES else self.merges.transduce(w.encode("utf-8", "surrogatepass")) for w in words))
-            else:
-                yield list(chain.from_iterable(map(self.memo.__getitem__, words)))
-
-    def encode(self, text: str) -> Iterator[list[int]]:
-        """Runs of ids, in order."""
+        yield text[start:end]
+
+    def _pretokens(self, piece: str) -> Iterator[list[str]]:
+        """Lists of pretokens, of bounded length even in a piece without a safe cut."""
+        if len(piece) <= 2 * PIECE_CHARS:
+            yield self.pretoken.findall(piece)
+            return
+        few, size = [], 0
+        for m in self.pretoken.finditer(piece):
+            few.append(m[0])
+            size += len(m[0])
+            if size >= PIECE_CHARS:
+                yield few
+                few, size = [], 0
+        yield few
+
+    def runs(self, text: str) -> Iterator[list[tuple[tuple[int, ...], str, bytes]]]:
+        """Runs of (ids, decimal text, bytes), in order; long pretokens come window by window."""
         start = 0
         for m in self.added.finditer(text) if self.added else ():
-            if m.start() > start:
-                yield from self._ordinary(text[start : m.start()])
-            yield [self.merges.added[m[0]]]
+            yield from self._ordinary(text, start, m.start())
+            i = self.merges.added[m[0]]
+            yield [((i,), str(i), self.merges.token_bytes[i])]
             start = m.end()
-        if start < len(text):
-            yield from self._ordinary(text[start:] if start else text)
+        yield from self._ordinary(text, start, len(text))
+
+    def _ordinary(self, text: str, start: int, end: int) -> Iterator[list[tuple[tuple[int, ...], str, bytes]]]:
+        memo = self.memo
+        for piece in self._pieces(text, start, end) if end > start else ():
+            for words in self._pretokens(piece):
+                if len(piece) <= 8 * len(words) or max(map(len, words), default=0) <= MEMO_BYTES:
+                    yield list(map(memo.__getitem__, words))
+                    continue
+                for word in words:  # long pretokens go past the memo, which keeps its size bounded
+                    yield from [[memo[word]]] if len(word) <= MEMO_BYTES else self._long(word)
+
+    def _long(self, word: str) -> Iterator[list[tuple[tuple[int, ...], str, bytes]]]:
+        ids, size = self.merges.transduce(word.encode("utf-8", "surrogatepass")), self.merges.token_bytes
+        while few := tuple(islice(ids, 4096)):
+            yield [(few, ",".join(map(str, few)), b"".join(map(size.__getitem__, few)))]
+
+    def encode(self, text: str) -> Iterator[list[int]]:
+        """Runs of ids, in order."""
+        for run in self.runs(text):
+            yield list(chain.from_iterable(map(itemgetter(0), run)))
 
 
 class Decoder:
@@ -192,7 +230,10 @@ class Decoder:
         self.token_bytes, self.machine = merges.token_bytes, codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, ids: Iterable[int], last: bool = False) -> str:
-        return self.machine.decode(b"".join(map(self.token_bytes.__getitem__, ids)), last)
+        return self.feed_bytes(b"".join(map(self.token_bytes.__getitem__, ids)), last)
+
+    def feed_bytes(self, data: bytes, last: bool = False) -> str:
+        return self.machine.decode(data, last)
 
 
 @lru_cache(maxsize=2)
@@ -239,15 +280,15 @@ def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(vocabulary)
-        written = {i: str(i) for i in code.merges.token_bytes}
         for batch in batches:
             out: list[tuple[int, str, str]] = []
             for text in batch["text"]:
                 n, ids_hash, text_hash, back = 0, hashlib.sha256(), hashlib.sha256(), Decoder(code.merges)
-                for ids in code.encode(text_of(text.as_py())):
-                    ids_hash.update((("," if n else "") + ",".join(map(written.__getitem__, ids))).encode())
-                    text_hash.update(back.feed(ids).encode())
-                    n += len(ids)
+                for run in code.runs(text_of(text.as_py())):
+                    ids, written, data = zip(*run)
+                    ids_hash.update((("," if n else "") + ",".join(written)).encode())
+                    text_hash.update(back.feed_bytes(b"".join(data)).encode())
+                    n += sum(map(len, ids))
                 text_hash.update(back.feed((), True).encode())
                 out.append((n, ids_hash.hexdigest(), text_hash.hexdigest()))
             yield batch_of(ROUND_TRIP, batch["doc_id"], *(zip(*out) if out else ([], [], [])))

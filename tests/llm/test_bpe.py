@@ -34,6 +34,28 @@ def test_random_texts(library):
         assert ids_of(text) == library.encode(text, add_special_tokens=False).ids
 
 
+def test_long_text_without_blanks_stays_small():
+    import tracemalloc
+
+    code = bpe.encoder(PATH)
+    line, n = "ein\nWort, und noch eins\t", 12_000
+    for text in (line.replace(" ", "\n") * n, "ab" * 150_000, "\n" * 300_000):
+        tracemalloc.start()
+        runs = most = 0
+        for run in code.runs(text):
+            runs, most = runs + 1, max(most, len(run))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert runs > 1 and most <= bpe.PIECE_CHARS and peak < 40 * bpe.PIECE_CHARS + 6 * len(text)
+
+
+def test_runs_carry_what_the_ids_stand_for():
+    code = bpe.encoder(PATH)
+    for text in SAMPLES:
+        for ids, written, data in (x for run in code.runs(text) for x in run):
+            assert written == ",".join(map(str, ids)) and data == b"".join(code.merges.token_bytes[i] for i in ids)
+
+
 def test_windows_agree_with_one_merge():
     m, rng = bpe.merge_list(PATH), random.Random(7)
     assert 1 < m.lookahead < 4096
