@@ -42,7 +42,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.staged_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables from which nothing will be read any more."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.staged_at)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small_side(rows: DataFrame, limit: int = 1_000_000) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import stage
+from pricelake.llm.common import discard, stage
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -21,7 +21,7 @@ def components(links: DataFrame) -> DataFrame:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         step = stage(both.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("node"), F.least("a", "least").alias("root")), "cc-step")
         to = lambda side: step.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
-        links = stage(
+        before, links = links, stage(
             links.join(to("a"), "a")
             .join(to("b"), "b")
             .select(F.least("a_root", "b_root").alias("a"), F.greatest("a_root", "b_root").alias("b"))
@@ -29,6 +29,7 @@ def components(links: DataFrame) -> DataFrame:
             .distinct(),
             "cc-links",
         )
+        discard(before)
         if mapping is None:
             mapping = step
         else:

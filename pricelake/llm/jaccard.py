@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import batch_of, distinct, small_side, stage, utf8, window_hashes, word_hashes
+from pricelake.llm.common import batch_of, discard, distinct, small_side, stage, utf8, window_hashes, word_hashes
 from pricelake.llm.components import components
 
 #: Elements ordered by their count: those of at least FREQUENT_SETS sets, and of the most
@@ -46,12 +46,14 @@ from pricelake.llm.components import components
 FREQUENT_LIMIT, FREQUENT_SETS = 1_000_000, 2
 #: Up to so many rows of a few numbers are sent to every executor; beyond, both sides are shuffled.
 BROADCAST_ROWS = 1_000_000
+#: The same for rows of one number.
+BROADCAST_NUMBERS = 2_000_000
 #: The first round posts one element more for every so many.
 MORE = 40
 #: Leaders that a set asks in each of so many rounds; a matter of speed only.
 LEADERS, LEADER_ROUNDS = 2, 2
 #: Elements of the sets that meet in one task, at most about twice as many.
-CELL_ELEMENTS = 250_000
+CELL_ELEMENTS = 60_000
 #: Blocks of like size in a factor 100 / percent of sizes.
 BLOCKS = 4
 
@@ -131,10 +133,13 @@ def _suspects(digests: DataFrame, percent: int) -> DataFrame:
     posted = digests.filter(F.size("first") > 0)
     entries = posted.select("set_id", "n", F.explode("first").alias("element"))
     lists = entries.groupBy("element").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).filter("low <> high").select("element")
-    met = entries.join(stage(lists, "jaccard-met"), "element").groupBy("set_id", "n").agg(F.count("*").alias("met"))
+    lists = stage(lists, "jaccard-met")
+    met = entries.join(small_side(lists, BROADCAST_NUMBERS), "element").groupBy("set_id", "n").agg(F.count("*").alias("met"))
     classes = digests.filter("n > 0").groupBy("set_id", "n").agg(F.min("doc_id").alias("class_doc"), F.count(F.when(F.size("first") > 0, 1)).alias("times"))
     least = 1 + F.floor(F.floor(percent * F.col("n") / 100) / MORE)  # a partner has percent * n / 100 elements or more
-    return stage(met.join(classes, ["set_id", "n"]).filter(F.col("met") >= F.col("times") * least).select("set_id", "class_doc"), "jaccard-suspects")
+    suspects = stage(met.join(classes, ["set_id", "n"]).filter(F.col("met") >= F.col("times") * least).select("set_id", "class_doc"), "jaccard-suspects")
+    discard(lists)
+    return suspects
 
 
 def _sets(docs: DataFrame, suspects: DataFrame, width: int) -> DataFrame:
@@ -164,6 +169,7 @@ def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             least = row.sets + 1
             break
     chosen = counts.filter(F.col("sets") >= least).select("element", F.floor(F.log2("sets")).cast("byte").alias("rank")).toArrow()
+    discard(counts)
     elements, rank = chosen["element"].to_numpy().view(np.uint64), chosen["rank"].to_numpy()
     order = np.argsort(elements)
     return elements[order], rank[order]
@@ -187,8 +193,10 @@ def _entries(sets: DataFrame, percent: int) -> DataFrame:
     postings = stage(postings.select("element", "set_id", "n", reach(F.col("n"), F.col("pos"), percent).alias("reach")), "jaccard-postings")
     lists = postings.groupBy("element").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"), F.min("n").alias("least"), F.max("reach").alias("most"))
     lists = stage(lists.filter("low <> high").select("element", "least", "most"), "jaccard-lists")
-    met = postings.join(lists, "element").filter("least <= reach AND n <= most").select("element", "set_id", "n", "reach")
-    return stage(met.dropDuplicates(["element", "set_id"]), "jaccard-entries")
+    met = postings.join(small_side(lists, BROADCAST_ROWS), "element").filter("least <= reach AND n <= most").select("element", "set_id", "n", "reach")
+    entries = stage(met.dropDuplicates(["element", "set_id"]), "jaccard-entries")
+    discard(postings, lists)
+    return entries
 
 
 def _enough(overlap: Column, n_a: Column, n_b: Column, percent: int) -> Column:
@@ -243,9 +251,9 @@ def _overlaps(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     hub = F.when(F.struct("degree", "node") > F.struct("best.others", "best.other"), F.col("node")).otherwise(F.col("best.other"))
     homes = stage(degrees.join(best, "node").select("node", "n", hub.alias("hub")), "jaccard-homes")
     parts = homes.groupBy("hub").agg(F.ceil(F.sum("n") / CELL_ELEMENTS).alias("parts"))
-    homes = stage(homes.join(small_side(parts, BROADCAST_ROWS), "hub").select("node", F.xxhash64("hub", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("home")), "jaccard-parts")
-    homes = small_side(homes, BROADCAST_ROWS)
-    side = lambda x: homes.select(F.col("node").alias(x), F.col("home").alias(f"{x}_home"))
+    parts = stage(homes.join(small_side(parts, BROADCAST_ROWS), "hub").select("node", F.xxhash64("hub", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("home")), "jaccard-parts")
+    near = small_side(parts, BROADCAST_ROWS)
+    side = lambda x: near.select(F.col("node").alias(x), F.col("home").alias(f"{x}_home"))
     cell = F.xxhash64(F.least("a_home", "b_home"), F.greatest("a_home", "b_home"))
     placed = stage(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", cell.alias("cell")), "jaccard-cells")
     visits = placed.select(F.col("a").alias("set_id"), "cell").union(placed.select("b", "cell")).distinct()
@@ -262,18 +270,20 @@ def _overlaps(sets: DataFrame, pairs: DataFrame) -> DataFrame:
         return cell_pairs.select(["a", "b", "n_a", "n_b"]).append_column("overlap", pa.array(overlap, pa.int64()))
 
     answered = sent.groupBy("cell").cogroup(placed.groupBy("cell")).applyInArrow(answer, "a long, b long, n_a int, n_b int, overlap long")
-    return stage(answered, "jaccard-overlaps")
+    overlaps = stage(answered, "jaccard-overlaps")
+    discard(degrees, homes, parts, placed, visits)
+    return overlaps
 
 
 def _leaders(entries: DataFrame, weights: DataFrame, roots: DataFrame | None) -> DataFrame:
     """Pairs of each set with the leaders with which it shares the most lists."""
     placed = entries.join(weights, "set_id")
     placed = placed.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id")) if roots else placed.withColumn("root", F.col("set_id"))
-    best = F.max_by(F.struct("set_id", "n", "root"), F.struct("weight", "set_id")).alias("best")
-    leaders = placed.groupBy("element").agg(best).select("element", F.col("best.set_id").alias("leader"), F.col("best.n").alias("leader_n"), F.col("best.root").alias("leader_root"))
+    best = F.max_by(F.struct("set_id", "n", "reach", "root"), F.struct("weight", "set_id")).alias("best")
+    leaders = placed.groupBy("element").agg(best).select("element", F.col("best.set_id").alias("leader"), F.col("best.n").alias("leader_n"), F.col("best.reach").alias("leader_reach"), F.col("best.root").alias("leader_root"))
     return (
         placed.join(leaders, "element")
-        .filter("root <> leader_root")
+        .filter("root <> leader_root AND leader_n <= reach AND n <= leader_reach")
         .groupBy("set_id", "n", "leader", "leader_n")
         .agg(F.count("*").alias("shared"))
         .groupBy("set_id", "n")
@@ -290,7 +300,8 @@ def _meetings(entries: DataFrame, roots: DataFrame, answers: DataFrame, percent:
     placed = placed.withColumn("block", F.floor(BLOCKS * F.log("n") / math.log(100 / percent)).cast("int"))
     placed = stage(placed, "jaccard-placed")
     mixed = placed.groupBy("element").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("element")
-    rest = placed.join(stage(mixed, "jaccard-mixed"), "element", "left_semi")
+    mixed = stage(mixed, "jaccard-mixed")
+    rest = placed.join(small_side(mixed, BROADCAST_NUMBERS), "element", "left_semi")
     # of its answers a set keeps the one with the most in common: who, what it lacks of it, what it has beside it
     known = lambda x, y: answers.select(F.col(x).alias("set_id"), F.struct("overlap", F.col(y).alias("leader"), (F.col(f"n_{y}") - F.col("overlap")).alias("lacks"), (F.col(f"n_{x}") - F.col("overlap")).alias("beside")).alias("answer"))
     best = known("a", "b").unionByName(known("b", "a")).groupBy("set_id").agg(F.max("answer").alias("answer"))
@@ -306,36 +317,42 @@ def _meetings(entries: DataFrame, roots: DataFrame, answers: DataFrame, percent:
     most = common - F.greatest("a_answer.lacks", "b_answer.lacks") + F.least("a_answer.beside", "b_answer.beside")
     skipped = (F.col("a_answer.leader") == F.col("b_answer.leader")) & ~_enough(most, F.col("a_n"), F.col("b_n"), percent)
     met = visits.join(partners, ["element", "block", "root"]).filter(later & (F.col("b_n") <= F.col("a_reach")) & (F.col("a_n") <= F.col("b_reach")) & ~F.coalesce(skipped, F.lit(False)))
-    return stage(met.select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b"), F.col("a_n").alias("n_a"), F.col("b_n").alias("n_b")).distinct(), "jaccard-pairs")
+    pairs = stage(met.select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b"), F.col("a_n").alias("n_a"), F.col("b_n").alias("n_b")).distinct(), "jaccard-pairs")
+    discard(placed, mixed, rest)
+    return pairs
 
 
-def _join_classes(docs: DataFrame, digests: DataFrame, width: int, percent: int) -> DataFrame:
+def _join_classes(sets: DataFrame, percent: int) -> DataFrame:
     """All links that matter for components: (a, b) by set_id."""
-    sets = _sets(docs, _suspects(digests, percent), width)
     entries = _entries(sets, percent)
     enough = _enough(F.col("overlap"), F.col("n_a"), F.col("n_b"), percent)
     # leaders are the sets that meet the most others
-    lengths = entries.groupBy("element").agg(F.count("*").alias("length"))
-    weights = small_side(stage(entries.join(lengths, "element").groupBy("set_id").agg(F.sum("length").alias("weight")), "jaccard-weights"), BROADCAST_ROWS)
+    lengths = stage(entries.groupBy("element").agg(F.count("*").alias("length")), "jaccard-lengths")
+    weights = stage(entries.join(small_side(lengths, BROADCAST_ROWS), "element").groupBy("set_id").agg(F.sum("length").alias("weight")), "jaccard-weights")
     answers, roots = None, None
     for _ in range(LEADER_ROUNDS):
-        found = _overlaps(sets, stage(_leaders(entries, weights, roots), "jaccard-likely"))
+        found = _overlaps(sets, stage(_leaders(entries, small_side(weights, BROADCAST_ROWS), roots), "jaccard-likely"))
         answers = answers.unionByName(found) if answers else found
         roots = small_side(components(answers.filter(enough).select("a", "b")).withColumnRenamed("node", "set_id"), BROADCAST_ROWS)
     last = _overlaps(sets, _meetings(entries, roots, answers, percent))
+    discard(entries, lengths, weights)
     return answers.unionByName(last).filter(enough).select("a", "b")
 
 
 def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """Per document row: doc_id, text_key (xxhash64 of the text), n_shingles, component_id,
     set_id and class_doc (the least doc_id with an equal set)."""
-    digests = stage(_digests(docs, width, percent), "jaccard-digests")
-    roots = components(_join_classes(docs, digests, width, percent))
+    posted = stage(_digests(docs, width, percent), "jaccard-digests")
+    suspects, digests = _suspects(posted, percent), stage(posted.drop("first"), "jaccard-rows")
+    discard(posted)
+    sets = _sets(docs, suspects, width)
+    roots = components(_join_classes(sets, percent))
+    discard(suspects, sets)
     classes = digests.filter("n > 0").groupBy("set_id", "n").agg(F.min("doc_id").alias("class_doc"))
     rooted = stage(classes.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id")), "jaccard-rooted")
     least = rooted.groupBy("root").agg(F.min("class_doc").alias("component_id"))
     named = stage(rooted.join(least, "root").select("set_id", "n", "root", "class_doc", "component_id"), "jaccard-named")
-    return digests.drop("first").join(named, ["set_id", "n"], "left").select(
+    return digests.join(named, ["set_id", "n"], "left").select(
         "doc_id",
         "text_key",
         F.col("n").alias("n_shingles"),

@@ -61,7 +61,8 @@ def test_repeated_rows_and_empty_table(spark):
 
 def test_null_ids_bridge_others(spark):
     base = [f"w{i}" for i in range(60)]
-    one, two, three = (" ".join(base[:k] + [f"x{i}" for i in range(k, 60)]) for k in (60, 57, 54))
+    tail = base[:57] + ["x", "y", "z"]
+    one, two, three = " ".join(base), " ".join(tail), " ".join(["v", "w", *tail[2:]])  # one and three alone are not alike enough
     docs = spark.createDataFrame([(9, one), (None, two), (4, three), (None, "quite another text of a few words"), (7, "a b c")], "doc_id long, text string")
     got = {(r.doc_id, r.n_shingles): r.component_id for r in jaccard.jaccard_components(docs, 4, 85).collect()}
     assert got == {(9, 57): 4, (None, 57): 4, (4, 57): 4, (None, 4): None, (7, 1): 7}
