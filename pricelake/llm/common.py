@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 import numpy as np
@@ -9,20 +10,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Set only where the session names no shared folder (tests, local runs).
-LOCAL_CHECKPOINT_DIR = "/tmp/pricelake-checkpoints"
+_local: dict[str, str] = {}
 #: While a table is written: shuffles behind it are freed afterwards, and whole texts go to
 #: Python in batches small enough for several copies of one.
 STAGING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one if unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder named by ``spark.checkpoint.dir``. Where it is unset, a folder of this
+    run alone is made, which only a session whose executors share the driver's disk can use."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _local.get(spark.sparkContext.applicationId)
     if not shared:
-        shared = LOCAL_CHECKPOINT_DIR
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(shared)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = _local[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="pricelake-")
     return shared
 
 
@@ -54,6 +55,14 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of docs is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def small_side(rows: DataFrame, limit: int = 1_000_000) -> DataFrame:
     """``rows``, of a few numbers each, marked for broadcast if they are counted to be at most ``limit``."""
     return F.broadcast(rows) if rows.count() <= limit else rows

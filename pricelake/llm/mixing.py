@@ -6,24 +6,25 @@ exact number of block draws. A binary tree over the output shards splits the vec
 block draws: at each node the left half's share is one multivariate hypergeometric draw.
 At a leaf a shard knows its exact quota of every source, and takes that many consecutive
 draws of the source's permuted block sequence: shards are disjoint by construction.
-Inside a shard, rows are ordered by a keyed hash.
+What a shard draws is the mix: a draw outside all leaves is not taken. Inside a shard, rows
+are ordered by a keyed hash.
+
+Documents are drawn whole. Of each source one block is drawn in part, and there documents
+are taken, in the order of a keyed hash, as long as they bring the source nearer to its target.
 
 Only one row per source reaches the driver. Blocks are a fixed number per source, so a
 source with most of the rows is spread over all of them.
 
 Defined cases: a null text has size 0; a null source is a source of its own, ordered last;
 a source without words has target 0; every row is a document of its own, also where
-doc_ids repeat; an empty table gives an empty result; other columns are ignored.
+doc_ids repeat; rows that agree in doc_id and text are drawn from one block; documents of
+size 0 are never drawn; an empty table gives an empty result; other columns, whatever their
+names, only travel along.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-from itertools import islice
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -34,7 +35,8 @@ from pricelake.llm.common import stage
 WEIGHTS = (5, 2, 1)
 SHARE, LIMIT = 1.5, 2.0
 BLOCKS_PER_SOURCE = 4096
-SHARDS = 64
+#: Shards: as many as give each about WORDS_PER_SHARD words, within these limits.
+SHARDS, MOST_SHARDS, WORDS_PER_SHARD = 64, 8192, 50_000_000
 SEED = 20240607
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -86,9 +88,14 @@ def split_quotas(draws: list[int], shards: int, seed: int = SEED) -> np.ndarray:
     return out
 
 
-def mix(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, texts: bool = False) -> DataFrame:
+def _shards(words: int) -> int:
+    """More shards for more words, so that each is of a size that one task can order."""
+    return min(MOST_SHARDS, max(SHARDS, -(-words // WORDS_PER_SHARD)))
+
+
+def mix(docs: DataFrame, shards: int | None = None, seed: int = SEED, texts: bool = False) -> DataFrame:
     """Per document row: doc_id, size, source, source_size, target, and draws: an array of
-    (pass, shard, place, words), where a draw of fewer words than size takes a prefix.
+    (shard, pass, place), one for each time that a shard draws the document, whole.
     With ``texts``, also row: all columns of docs."""
     spark = docs.sparkSession
     key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null"))
@@ -125,83 +132,49 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, texts: bool = F
         .withColumn("room", F.when(F.col("pass") == F.col("passes"), F.col("rest") - F.coalesce("before", F.lit(0))))
         .filter((F.col("pass") < F.col("passes")) | (F.col("room") > 0))
         .withColumn("draw", F.col("pass") * F.col("n_blocks") + F.col("place"))
-        .select("source_key", "block", "words", "pass", "place", "room", "draw")
+        .select("source_key", "block", "words", "pass", "room", "draw")
     )
     drawn = stage(drawn, "mix-drawn")
     counts = {r.source_key: r.n for r in drawn.groupBy("source_key").agg(F.count("*").alias("n")).collect()}
-    quota = split_quotas([counts.get(r.source_key, 0) for r in per_source], shards, seed)
-    ends = spark.createDataFrame(
-        [(r.source_key, [int(x) for x in e]) for r, e in zip(per_source, quota.cumsum(axis=0).T)],
-        "source_key string, shard_ends array<long>",
+    # the tree's leaves: each shard has its own stretch of every source's permuted sequence
+    quota = split_quotas([counts.get(r.source_key, 0) for r in per_source], shards or _shards(sum(owed)), seed)
+    ends = quota.cumsum(axis=0)
+    leaves = spark.createDataFrame(
+        [(r.source_key, int(s), int(e[s] - quota[s, k]), int(e[s])) for k, (r, e) in enumerate(zip(per_source, ends.T)) for s in np.flatnonzero(quota[:, k])],
+        "source_key string, shard int, first long, past long",
     )
+    stretches = leaves.withColumn("draw", F.explode(F.sequence("first", F.col("past") - 1))).select("source_key", "shard", "draw")
     per_block = (
-        drawn.join(ends, "source_key")
-        .withColumn("shard", F.size(F.filter("shard_ends", lambda e: e <= F.col("draw"))))
+        stretches.join(drawn, ["source_key", "draw"])
         .groupBy("source_key", "block")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("pass", "shard", "place"))).alias("block_draws"),
-            F.max("room").alias("room"),
-            F.max("words").alias("words"),
-        )
+        .agg(F.sort_array(F.collect_list(F.struct("pass", "shard"))).alias("block_draws"), F.max("room").alias("room"), F.max("words").alias("words"))
     )
-    rows = sized.join(per_block, ["source_key", "block"], "left").join(plan.drop("passes", "rest", "n_blocks"), "source_key")
-    cut = F.col("room") < F.col("words")  # of the blocks, one in each source is taken in part
+    rows = sized.join(per_block, ["source_key", "block"], "left").join(plan.drop("rest", "n_blocks"), "source_key")
+    cut = F.col("room") < F.col("words")  # of the blocks, one in each source is taken in part: documents while they bring it nearer to the rest
     inside = Window.partitionBy("source_key", "block").orderBy("draw_key", "doc_id", "size")
     partial = (
         rows.filter(cut)
         .withColumn("before", F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .withColumn("last_words", F.least("size", F.greatest(F.lit(0), F.col("room") - F.col("before"))))
+        .withColumn("fits", 2 * F.col("before") + F.col("size") <= 2 * F.col("room"))
         .drop("before")
     )
-    whole = rows.filter(F.coalesce(~cut, F.lit(True))).withColumn("last_words", F.col("size"))
-    last = F.element_at("block_draws", -1)["pass"]
+    whole = rows.filter(F.coalesce(~cut, F.lit(True))).withColumn("fits", F.lit(True))
+    own = F.filter(F.coalesce("block_draws", F.array().cast("array<struct<pass:int,shard:int>>")), lambda d: (F.col("fits") | (d["pass"] < F.col("passes"))) & (F.col("size") > 0))
     return whole.unionByName(partial).select(
         *(["row"] if texts else []),
-        "doc_id",
-        "size",
-        "source",
-        "source_size",
-        "target",
-        F.filter(
-            F.transform(
-                F.coalesce("block_draws", F.array().cast("array<struct<pass:int,shard:int,place:bigint>>")),
-                lambda d: F.struct(
-                    d["pass"].alias("pass"),
-                    d["shard"].alias("shard"),
-                    F.xxhash64(F.lit(seed), d["pass"], "draw_key").alias("place"),
-                    F.when(d["pass"] == last, F.col("last_words")).otherwise(F.col("size")).alias("words"),
-                ),
-            ),
-            lambda d: d["words"] > 0,
-        ).alias("draws"),
+        *["doc_id", "size", "source", "source_size", "target"],
+        F.transform(own, lambda d: F.struct(d["shard"].alias("shard"), d["pass"].alias("pass"), F.xxhash64(F.lit(seed), d["pass"], "draw_key").alias("place"))).alias("draws"),
     )
 
 
-def first_words(text: str | None, words: int) -> str:
-    """The prefix of ``text`` that holds so many words."""
-    end = 0
-    for m in islice(re.finditer(WORD, text or ""), words):
-        end = m.end()
-    return (text or "")[:end]
-
-
-def drawn(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """A row of docs for each draw; the one draw of a part in each source keeps that many first words."""
-    rows = mix(docs, shards, seed, texts=True).select("row", F.explode("draws").alias("draw"), "size")
-    part = F.col("draw.words") < F.col("size")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            k = batch.schema.get_field_index("text")
-            texts = [first_words(t, n) for t, n in zip(batch["text"].to_pylist(), batch["drawn_words"].to_pylist())]
-            yield batch.set_column(k, batch.schema.field(k), pa.array(texts, batch.schema.field(k).type)).drop_columns(["drawn_words"])
-
-    whole = rows.filter(~part).select("row.*")
-    cuts = rows.filter(part).select("row.*", F.col("draw.words").alias("drawn_words"))
-    return whole.unionByName(cuts.mapInArrow(cut, docs.schema))
+def drawn(docs: DataFrame, shards: int | None = None, seed: int = SEED) -> DataFrame:
+    """The mix: a row of docs for each draw, shard by shard, and in the order of place inside a shard."""
+    rows = mix(docs, shards, seed, texts=True).select("row", F.explode("draws").alias("draw"))
+    return rows.repartition(F.col("draw.shard")).sortWithinPartitions("draw.shard", "draw.place", "draw.pass").select("row.*")
 
 
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    taken = F.aggregate("draws", F.lit(0).cast("long"), lambda total, d: total + d["words"])
-    return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    taken = F.aggregate("draws", F.lit(0).cast("long"), lambda total, _: total + F.col("size"))
+    by_shard = F.array_join(F.transform(F.array_sort("draws"), lambda d: d["shard"].cast("string")), ",")
+    return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), by_shard.alias("shards"))

@@ -65,7 +65,7 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
 def base_spans(text: str) -> list[Span]:
     out: list[Span] = [("email", a, b) for a, b in _emails(text)] if "@" in text else []
     if DIGIT.search(text):
-        out += [("ip", *m.span()) for m in IP.finditer(text) if all(len(x.lstrip("0")) < 4 and int(x) <= 255 for x in m[0].split("."))]
+        out += [("ip", *m.span()) for m in IP.finditer(text) if all(len(y := x.lstrip("0")) < 4 and int(y or "0") <= 255 for x in m[0].split("."))]
         for m in CARD.finditer(text):
             if m.end() - m.start() >= 16 and 16 <= len(digits := NOT_DIGITS.sub("", m[0])) <= 19 and luhn(digits):
                 out.append(("card", *m.span()))

@@ -11,7 +11,7 @@ chosen on a part of that sample turns it into a probability.
 Defined cases: a null or empty text has a zero vector and the score that this gets; texts
 are read whole; equal texts get equal scores; without labels of both kinds the score is
 the smoothed share of label 1; an empty table gives an empty result; labels, lang, source
-and doc_id are never inputs.
+and doc_id are never inputs; other columns stay as they are, but for one that has the score's name.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from pricelake.llm.common import batch_of, distinct, mix64, utf8, word_bounds, word_hashes
 from pricelake.llm.labels import fold, labelled
@@ -236,10 +237,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     return vectors, fit_network(x[order], found["label"].to_numpy(float)[order])
 
 
-def score(docs: DataFrame, vectors: np.ndarray, network: Network) -> DataFrame:
-    """docs with a column ``quality_score``; all columns stay."""
+def score(docs: DataFrame, vectors: np.ndarray, network: Network, name: str = "quality_score") -> DataFrame:
+    """docs with a column ``name``, in place of one already called so; all others stay."""
+    docs = docs.drop(name)
     sent = docs.sparkSession.sparkContext.broadcast((vectors, network))
-    name = "quality_score"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, net = sent.value
@@ -248,7 +249,7 @@ def score(docs: DataFrame, vectors: np.ndarray, network: Network) -> DataFrame:
             x = np.array([pool.features(t) for t in utf8(batch["text"])]).reshape(-1, Pool.WIDTH)
             yield batch.append_column(name, pa.array(net.scores(x), pa.float64()))
 
-    return docs.mapInArrow(run, docs.drop(name).schema.add(name, "double"))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
 def with_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ documents that hold them, so nothing is shared between runs and nothing has a fi
 Defined cases: a null or empty text has no evidence and gets the score of none; texts are
 read whole; equal texts get equal scores; without labels of both kinds the score is the
 smoothed share of label 1; an empty table gives an empty result; labels, lang, source and
-doc_id are never inputs.
+doc_id are never inputs; other columns stay as they are, but for one that has the score's name.
 """
 
 from __future__ import annotations
@@ -269,7 +269,7 @@ RARE = pa.schema([("_text", pa.int64()), ("run", pa.int64())])
 
 def _with_rare(docs: DataFrame, rare: DataFrame, sent: RunValues) -> DataFrame:
     """docs with ``_rare``, the values of their runs that are in ``rare``; by text, so equal texts get equal lists."""
-    keyed = docs.withColumn("_text", F.xxhash64("text"))
+    keyed = docs.withColumn("_text", F.xxhash64("text"))  # names are free: the caller has seen to it
     held = docs.sparkSession.sparkContext.broadcast(sent)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

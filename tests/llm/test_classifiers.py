@@ -57,6 +57,15 @@ def test_no_labels_and_no_rows(spark, tmp_path, query):
     assert query(spark, str(tmp_path)).count() == 0
 
 
+@pytest.mark.parametrize("module,name", [(quality, "quality_score"), (toxicity, "toxicity_score")])
+def test_columns_that_clash(spark, module, name):
+    docs = spark.createDataFrame([(i, f"some words {i} " * 4000, "old", 1) for i in range(12)], f"doc_id long, text string, {name} string, label int")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(12)], "doc_id long, quality int, toxic int")
+    fitted = module.fit(docs, labels)
+    got = module.score(docs, *fitted) if module is quality else module.score(docs, fitted)
+    assert got.columns == ["doc_id", "text", "label", name] and all(0 <= r[name] <= 1 and r.label == 1 for r in got.collect())
+
+
 def test_fold(spark):
     import zlib
 

@@ -15,6 +15,12 @@ def plain(text):
     return out + [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 8 <= len(digits(m[0])) <= 15]
 
 
+def test_long_runs_of_digits():
+    zeros = "0" * 6000
+    assert pii.base_spans(f"{zeros}1.2.3.{zeros}") == [("ip", 0, 2 * len(zeros) + 6)]
+    assert pii.base_spans("9" * 6000 + ".2.3.4") == []
+
+
 @settings(max_examples=1500, deadline=None)
 @given(st.text(alphabet="a@.1207 +-(9)é%\n", max_size=60))
 def test_base_like_plain_patterns(text):
