@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.llm import bpe, jaccard, mixing, pii, quality
-from pricelake.llm.common import small_side, stage
+from pricelake.llm.common import free_name, small_side, stage
 from pricelake.llm.labels import fold
 
 
@@ -25,8 +25,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     vectors, network = quality.fit(docs, labels)
     if not network.fitted:
         return docs
-    scored = quality.score(docs, vectors, network)
-    return scored.filter(F.col("quality_score") >= quality.THRESHOLD).select(docs.columns)
+    name = free_name(docs, "quality_score")
+    return quality.score(docs, vectors, network, name).filter(F.col(name) >= quality.THRESHOLD).drop(name)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,9 +57,8 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row for each time the mix draws a document; a draw of a part keeps that many first words."""
-    rows = mixing.drawn(docs)
-    return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else rows
+    """One row for each time the mix draws a document, shard by shard."""
+    return mixing.drawn(docs)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
