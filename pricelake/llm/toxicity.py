@@ -5,7 +5,7 @@ of five signs inside a word; below, both share one chain of continuation counts,
 over both classes, so rare and inflected expressions are smoothed alike and the classes
 differ only where their own counts speak. A word's evidence is the difference of its two
 log-likelihoods; documents are compared by that difference, normalised by length, over the
-whole text, over each line, and for the strongest words. A logistic function of these
+whole text, over each line, and for the strongest words, which are also counted. A logistic function of these
 gives the score; it is fitted on a fold of the labelled rows (one row in five), by models
 whose counts leave that fold out. Scores come from models that count all labelled rows.
 
@@ -22,9 +22,12 @@ doc_id are never inputs; other columns stay as they are, but for one that has th
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import neg
 from typing import Callable
 
 import numpy as np
@@ -233,7 +236,9 @@ class RunValues:
 class Evidence:
     """A document's features, with the differences of the words met so far."""
 
-    SIZE = 6
+    SIZE = 9
+    #: Words with at least so much evidence are counted.
+    STRONG = (1.0, 2.5)
 
     def __init__(self, sent: RunValues):
         self.sent, self.known = sent, {}
@@ -261,7 +266,9 @@ class Evidence:
             return [0.0] * self.SIZE
         signs = sum(len(w) + 1 for line in lines for w in line)
         best_line = max(sum(line) / len(line) for line in by_line)
-        return [sum(every) / signs, best_line, *(every[:3] + [every[-1]] * 3)[:3], len(every) ** -0.5]
+        strong = [math.log1p(bisect_left(every, -least, key=neg)) for least in self.STRONG]
+        excess = sum(max(d - self.STRONG[0], 0.0) for d in every[: 1 + int(math.expm1(strong[0]) + 0.5)]) / math.sqrt(len(every))
+        return [sum(every) / signs, best_line, *(every[:3] + [every[-1]] * 3)[:3], len(every) ** -0.5, *strong, excess]
 
 
 RARE = pa.schema([("_text", pa.int64()), ("run", pa.int64())])
