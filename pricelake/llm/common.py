@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 _local: dict[str, str] = {}
 #: While a table is written: shuffles behind it are freed afterwards, and whole texts go to
 #: Python in batches small enough for several copies of one.
-STAGING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+STAGING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -27,6 +29,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return shared
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """STAGING's settings, for as long as a job of an operator's own runs."""
+    before = {name: spark.conf.get(name) for name in STAGING}
+    for name, value in STAGING.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
@@ -35,14 +50,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/pricelake/{label}-{uuid.uuid4().hex}"
-    before = {name: spark.conf.get(name) for name in STAGING}
-    for name, value in STAGING.items():
-        spark.conf.set(name, value)
-    try:
+    with small_batches(spark):
         df.write.parquet(path)
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
     table = spark.read.schema(df.schema).parquet(path)
     table.staged_at = path
     return table

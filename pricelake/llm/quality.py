@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from pricelake.llm.common import batch_of, distinct, mix64, utf8, word_bounds, word_hashes
+from pricelake.llm.common import batch_of, distinct, mix64, small_batches, utf8, word_bounds, word_hashes
 from pricelake.llm.labels import fold, labelled
 
 WORD_BUCKETS, SHAPE_BUCKETS, DIMENSIONS, NONZERO, REACH = 1 << 14, 1 << 9, 32, 4, 2
@@ -128,7 +128,8 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     parts = docs.select("text").mapInArrow(add, "item int, n long, vector array<double>")
     total = parts.groupBy("item").agg(*[F.sum(F.col("vector")[d]).alias(f"v{d}") for d in range(DIMENSIONS)])
     table = np.zeros((ITEMS, DIMENSIONS))
-    rows = total.toPandas()  # at most ITEMS rows
+    with small_batches(docs.sparkSession):
+        rows = total.toPandas()  # at most ITEMS rows
     if len(rows):
         table[rows["item"].to_numpy()] = rows[[f"v{d}" for d in range(DIMENSIONS)]].to_numpy()
     norm = np.linalg.norm(table, axis=1, keepdims=True)
@@ -231,7 +232,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
         for batch in batches:
             yield batch_of(FEATURES, batch["label"], [pool.features(t) for t in utf8(batch["text"])])
 
-    found = rows.mapInArrow(features, "label int, features array<double>").toPandas()
+    with small_batches(docs.sparkSession):
+        found = rows.mapInArrow(features, "label int, features array<double>").toPandas()
     x = np.stack(found["features"].to_list()) if len(found) else np.zeros((0, Pool.WIDTH))
     order = np.lexsort([*x.T[-3:], found["label"].to_numpy()]) if len(found) else []
     return vectors, fit_network(x[order], found["label"].to_numpy(float)[order])

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricelake.llm.common import batch_of, mix64, small_side, stage, text_of
+from pricelake.llm.common import batch_of, mix64, small_batches, small_side, stage, text_of
 from pricelake.llm.labels import fold, labelled
 
 ORDER = 5
@@ -355,7 +355,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
     models = count_models(texts.join(small_side(labels.filter(~calibrates), BROADCAST_LABELS), "doc_id"))
     chosen = labels.filter(calibrates).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_SAMPLE)
     rows = stage(texts.join(F.broadcast(chosen), "doc_id").select("text", "label"), "toxicity-calibration")
-    found = with_features(rows, models, "features", T.ArrayType(T.DoubleType()), lambda x: pa.array(list(x), pa.list_(pa.float64()))).select("label", "features").toPandas()
+    with small_batches(docs.sparkSession):
+        found = with_features(rows, models, "features", T.ArrayType(T.DoubleType()), lambda x: pa.array(list(x), pa.list_(pa.float64()))).select("label", "features").toPandas()
     x = np.stack(found["features"].to_list()) if len(found) else np.zeros((0, Evidence.SIZE))
     every = count_models(texts.join(small_side(labels.filter(calibrates), BROADCAST_LABELS), "doc_id"), models)
     return Scorer(every, *fit_logistic(x, found["label"].to_numpy(float)))
