@@ -292,6 +292,7 @@ def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
                 text_hash.update(back.feed((), True).encode())
                 out.append((n, ids_hash.hexdigest(), text_hash.hexdigest()))
             yield batch_of(ROUND_TRIP, batch["doc_id"], *(zip(*out) if out else ([], [], [])))
+        code.memo.clear()  # a worker outlives the task
 
     return docs.select("doc_id", "text").mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 

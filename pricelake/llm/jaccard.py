@@ -45,9 +45,9 @@ from pricelake.llm.components import components
 #: sets if there are more than FREQUENT_LIMIT of them (9 bytes each on every executor).
 FREQUENT_LIMIT, FREQUENT_SETS = 1_000_000, 2
 #: Up to so many rows of a few numbers are sent to every executor; beyond, both sides are shuffled.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 300_000
 #: The same for rows of one number.
-BROADCAST_NUMBERS = 2_000_000
+BROADCAST_NUMBERS = 500_000
 #: The first round posts one element more for every so many.
 MORE = 40
 #: Leaders that a set asks in each of so many rounds; a matter of speed only.
