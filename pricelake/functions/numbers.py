@@ -24,12 +24,17 @@ def positive(value: Column) -> Column:
     return F.when(value > 0, value)
 
 
+def is_number(value: Column) -> Column:
+    """Whether a VARIANT is a JSON number."""
+    return F.coalesce(F.schema_of_variant(value).rlike("^(BIGINT|DOUBLE|DECIMAL|FLOAT|INT)"), F.lit(False))
+
+
 def money(value: Column) -> Column:
-    """1.234,5 is 1234.5; with one kind of separator only, all separators go."""
-    text = F.regexp_replace(value.cast("string"), r"[^0-9,.]", "")
+    """A JSON number as it is; of text, 1.234,5 is 1234.5, and with one kind of separator only, all separators go."""
+    text = F.regexp_replace(F.try_variant_get(value, "$", "string"), r"[^0-9,.\-]", "")
     both = text.contains(",") & text.contains(".")
     plain = F.when(both, F.replace(F.replace(text, F.lit("."), F.lit("")), F.lit(","), F.lit("."))).otherwise(F.regexp_replace(text, "[.,]", ""))
-    return F.nullif(plain, F.lit("")).try_cast("double")
+    return F.when(is_number(value), F.try_variant_get(value, "$", "double")).otherwise(F.nullif(plain, F.lit("")).try_cast("double"))
 
 
 def currency_price(value: Column) -> Column:
@@ -39,9 +44,15 @@ def currency_price(value: Column) -> Column:
     return positive(digits_number(F.coalesce(marked, text)))
 
 
+def payload_price(value: Column) -> Column:
+    """A positive JSON number without its fraction, or the price in a text."""
+    number = F.try_variant_get(value, "$", "double")
+    return F.when(is_number(value) & (number > 0), number.cast("bigint")).when(~is_number(value), currency_price(F.try_variant_get(value, "$", "string")))
+
+
 def discount_label(price: Column, list_price: Column, sign: str = "-") -> Column:
-    """-N%, half to even; empty without a discount."""
-    percent = F.bround((1 - price / list_price) * 100).cast("int")
+    """-N%, half to even, of the list price in doubles; empty without a discount."""
+    percent = F.bround((list_price - price) * F.lit(100) / list_price.cast("double")).cast("int")
     return F.when((list_price > 0) & (price > 0) & (price < list_price), F.concat(F.lit(sign), percent.cast("string"), F.lit("%"))).otherwise("")
 
 

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelake.functions.keys import ONLINE_STORE
-from pricelake.functions.numbers import currency_price, digits_number, discount_label, money, positive
-from pricelake.functions.text import collapsed, first_non_empty
+from pricelake.functions.numbers import digits_number, discount_label, money, payload_price, positive
+from pricelake.functions.text import collapsed
 from pricelake.operators.bronze import text_at
 
 ZONE = "Asia/Ho_Chi_Minh"
@@ -34,16 +34,22 @@ def price(payload: Column, field: str) -> Column:
 
 
 def lowered(payload: Column) -> Column:
-    """A map of the payload's scalar fields by lower-cased key; the first of equal keys stays."""
-    entries = F.map_entries(F.try_variant_get(payload, "$", "map<string,string>"))
+    """A map of the payload's fields, as VARIANT, by lower-cased key; the first of equal keys stays."""
+    entries = F.map_entries(F.try_variant_get(payload, "$", "map<string,variant>"))
     pairs = F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
     firsts = F.filter(pairs, lambda e, i: F.array_position(F.transform(pairs, lambda x: x["key"]), e["key"]) == i + 1)
     return F.map_from_entries(firsts)
 
 
+def text_of(value: Column) -> Column:
+    """A VARIANT scalar as text with white space collapsed; null for blank text, objects and arrays."""
+    return F.nullif(collapsed(F.try_variant_get(value, "$", "string")), F.lit(""))
+
+
 def first_value(fields: Column, names: list[str]) -> Column:
-    """The first non-empty value of ``lowered`` fields by case-insensitive name."""
-    return first_non_empty(*[F.try_element_at(fields, F.lit(n.lower())) for n in names])
+    """The first non-empty value of ``lowered`` fields by case-insensitive name, as VARIANT."""
+    values = [F.try_element_at(fields, F.lit(n.lower())) for n in names]
+    return F.coalesce(*[F.when(text_of(v).isNotNull(), v) for v in values])
 
 
 def envelope(offers: DataFrame, retailer: str) -> DataFrame:
@@ -161,35 +167,68 @@ def mm_offers(payloads: DataFrame) -> DataFrame:
     )
 
 
-#: Text fields of a payload, and of its chosen price entry, that name a promotion.
-BHX_TEXTS = ["promotionText", "promotion_text", "campaign", "label", "promotionGift", "discountText"]
-BHX_PRICE_TEXTS = ["promotionText", "labelText"]
+#: Fields of a payload that hold promotion texts, in order; lists of promotions; the
+#: fields that name one of them; and kinds that mark a promotion.
+BHX_TEXTS = ("promotionText", "promotionTextFS", "textPromotion", "textPromtionNonBlue", "textPromtionNonBlueFS", "label", "promotion", "giftText", "gift_text")
+BHX_LISTS = ("listCombo", "combos", "gifts", "giftProducts", "lstGift")
+BHX_NAMES = ("name", "title", "label", "promotionText", "textPromotion", "textPromtionNonBlue", "description", "content")
+BHX_KINDS = ("comboType", "productProType", "promotionType", "giftType")
+BUY_TOGETHER, BUY_MANY, LISTED_PROMOTIONS = "Khuyến mãi mua kèm", "Khuyến mãi mua nhiều", 5
+BHX_ENTRY = "array<struct<price:variant,sysPrice:variant,salePriceNonBlue:variant,discountPercent:variant,promotionText:variant,label:variant,isBuyTogether:variant,quantityCondition:variant>>"
+
+
+def truthy(value: Column) -> Column:
+    """Whether a VARIANT scalar is neither null, blank, zero nor false."""
+    return F.coalesce(~F.lower(text_of(value)).isin("0", "0.0", "false"), F.lit(False))
+
+
+def _filled(value: Column) -> Column:
+    """Whether a VARIANT is an array or object with content."""
+    return F.coalesce(F.size(F.try_variant_get(value, "$", "array<variant>")) > 0, F.size(F.try_variant_get(value, "$", "map<string,variant>")) > 0, F.lit(False))
+
+
+def _promotion_name(value: Column) -> Column:
+    """A promotion object's first text, or the text itself."""
+    return F.coalesce(*[text_of(F.try_variant_get(value, f"$.{n}", "variant")) for n in BHX_NAMES], text_of(value))
 
 
 def bhx_offers(payloads: DataFrame) -> DataFrame:
-    """The cheapest discounted price entry, else the cheapest; kept if discounted or otherwise promoted."""
-    p = F.col("payload")
-    entries = F.try_variant_get(p, "$.productPrices", "array<struct<price:string,sysPrice:string,discountPercent:string,promotionText:string,labelText:string>>")
-    priced = F.filter(F.transform(entries, lambda e: F.struct(currency_price(e["price"]).alias("price"), currency_price(e["sysPrice"]).alias("listed"), *[e[f].alias(f) for f in ("discountPercent", *BHX_PRICE_TEXTS)])), lambda e: e["price"].isNotNull())
-    rows = payloads.select("payload", priced.alias("prices"))
-    rows = rows.select("payload", F.coalesce(F.array_min(F.filter("prices", lambda e: e["listed"] > e["price"])), F.array_min("prices")).alias("chosen"))
-    texts = F.array_distinct(F.array_compact(F.array(*[clean(p, f) for f in BHX_TEXTS], *[F.nullif(collapsed(F.col("chosen")[f]), F.lit("")) for f in BHX_PRICE_TEXTS])))
-    cut = F.coalesce(F.col("chosen.listed") > F.col("chosen.price"), F.lit(False))
-    combos = F.size(F.coalesce(F.try_variant_get(p, "$.listCombo", "array<variant>"), F.array()))
-    url = F.coalesce(clean(p, "url"), clean(p, "productUrl"), clean(p, "link"))
+    """The cheapest discounted price entry, else the cheapest, the first of equals; kept if discounted
+    or promoted in any other way: a text, a list of promotions or campaigns, a popup, a kind, or a
+    price entry for several items. Promotions without any text are counted but not named."""
+    p, c = F.col("payload"), F.col
+    at = lambda field: F.try_variant_get(p, f"$.{field}", "variant")
+    entries = F.coalesce(F.try_variant_get(p, "$.productPrices", BHX_ENTRY), F.array().cast(BHX_ENTRY))
+    rows = payloads.select("payload", entries.alias("entries"), lowered(p).alias("f"))
+    priced = F.transform("entries", lambda e, i: F.struct(payload_price(e["price"]).alias("price"), i.alias("place"), payload_price(e["sysPrice"]).alias("listed"), *[text_of(e[f]).alias(f) for f in ("discountPercent", "promotionText", "label")], *[truthy(e[f]).alias(f) for f in ("isBuyTogether", "quantityCondition")]))
+    rows = rows.withColumn("prices", F.filter(priced, lambda e: e["price"].isNotNull()))
+    rows = rows.withColumn("chosen", F.coalesce(F.array_min(F.filter("prices", lambda e: e["listed"] > e["price"])), F.array_min("prices")))
+    listed = [F.coalesce(F.transform(F.slice(F.try_variant_get(p, f"$.{f}", "array<variant>"), 1, LISTED_PROMOTIONS), _promotion_name), F.array(_promotion_name(at(f)))) for f in BHX_LISTS]
+    chosen = [c("chosen.label"), c("chosen.promotionText"), c("chosen.discountPercent"), F.when(c("chosen.isBuyTogether"), BUY_TOGETHER), F.when(c("chosen.quantityCondition"), BUY_MANY)]
+    texts = F.array_distinct(F.array_compact(F.concat(F.array(*[text_of(at(f)) for f in BHX_TEXTS], *chosen), *listed)))
+    cut = F.coalesce(c("chosen.listed") > c("chosen.price"), F.lit(False))
+    of_entry = F.exists("entries", lambda e: truthy(e["isBuyTogether"]) | truthy(e["quantityCondition"]) | text_of(e["label"]).isNotNull() | text_of(e["promotionText"]).isNotNull() | payload_price(e["salePriceNonBlue"]).isNotNull())
+    other = reduce(lambda a, b: a | b, [F.size("texts") > 0, *[_filled(at(f)) for f in (*BHX_LISTS, "lstCampaingInfo")], truthy(at("isShowPopupPromotion")), *[truthy(at(f)) for f in BHX_KINDS], F.coalesce(of_entry, F.lit(False))])
+    v = lambda *names: text_of(first_value(c("f"), list(names)))
+    name, url = v("productName", "product_name", "name", "title", "displayName"), v("url", "productUrl", "product_url", "link", "href", "slug")
     campaigns = F.try_variant_get(p, "$.lstCampaingInfo", "array<struct<startTime:string,dueTime:string>>")
     times = lambda f: F.filter(F.transform(campaigns, lambda x: collapsed(x[f])), lambda t: t != "")
-    kept = rows.filter(F.col("chosen").isNotNull() & clean(p, "name").isNotNull() & (cut | (F.size(texts) > 0) | (combos > 0)))
+    kept = rows.withColumn("texts", texts).withColumn("cut", cut).filter(c("chosen").isNotNull() & name.isNotNull() & (c("cut") | other))
     return kept.select(
-        clean(p, "name").alias("name"),
+        name.alias("name"),
         F.when(_web(url), url).otherwise(F.concat(F.lit(BHX_SITE), F.when(url.startswith("/"), "").otherwise("/"), url)).alias("url"),
-        clean(p, "image").alias("image"),
-        F.col("chosen.price").alias("sale_price"),
-        F.when(cut, F.col("chosen.listed")).alias("original_price"),
-        F.when(cut, F.coalesce(F.nullif(collapsed(F.col("chosen.discountPercent")), F.lit("")), discount_label(F.col("chosen.price"), F.col("chosen.listed")))).otherwise("").alias("discount"),
-        F.array_join(texts, "; ").alias("promotion"),
-        clean(p, "productCode").alias("sku"),
-        clean(p, "id").alias("product_id"),
+        v("image", "imageUrl", "image_url", "thumbnail", "picture", "avatar").alias("image"),
+        c("chosen.price").alias("sale_price"),
+        F.when(c("cut"), c("chosen.listed")).alias("original_price"),
+        F.when(c("cut"), F.coalesce("chosen.discountPercent", discount_label(c("chosen.price"), c("chosen.listed"), sign=""))).otherwise("").alias("discount"),
+        F.when(c("cut"), "category_sale").otherwise("category_promotion").alias("promotion_type"),
+        F.array_join("texts", "; ").alias("promotion"),
+        text_of(at("category.name")).alias("category_name"),
+        text_of(at("brandName")).alias("brand"),
+        v("unit", "unitName", "quantity").alias("unit"),
+        text_of(at("productCode")).alias("sku"),
+        text_of(at("id")).alias("product_id"),
+        F.array_compact(F.transform(F.try_variant_get(p, "$.listCombo", "array<variant>"), _promotion_name)).alias("combos"),
         F.array_min(times("startTime")).alias("sale_start_at"),
         F.array_max(times("dueTime")).alias("sale_end_at"),
         F.lit("network_json").alias("source"),
@@ -204,9 +243,9 @@ def winmart_offers(payloads: DataFrame) -> DataFrame:
     listed = F.coalesce(money(v("listedPrice", "listPrice", "originalPrice", "oldPrice", "basePrice", "regularPrice")), F.when(promo.isNotNull() & (raw != promo), raw))
     zero = lambda x: F.when(x != 0, x)
     return rows.select(
-        v("productId", "product_id", "id", "sku", "code", "itemId").alias("source_product_id"),
-        v("productName", "product_name", "name", "title", "displayName").alias("product_name_raw"),
-        v("unit", "uomName", "uom", "measureUnit").alias("unit_raw"),
+        text_of(v("productId", "product_id", "id", "sku", "code", "itemId")).alias("source_product_id"),
+        text_of(v("productName", "product_name", "name", "title", "displayName")).alias("product_name_raw"),
+        text_of(v("unit", "uomName", "uom", "measureUnit")).alias("unit_raw"),
         listed.alias("listed_price"),
         promo.alias("promo_price"),
         F.coalesce(money(v("currentPrice")), zero(promo), zero(raw), listed).alias("current_price"),
@@ -223,22 +262,78 @@ def enriched(records: DataFrame, categories: DataFrame) -> DataFrame:
     )
 
 
-def product_walk(spark_rows: DataFrame, name: str = "payload", deepest: int = 12, inside: bool = True) -> DataFrame:
-    """Every nested object that looks like a product (a name, and a price or an id), distinct by content.
+#: Keys, in lower case, by which an object counts as a product.
+PRODUCT_NAMES = ("name", "productname", "product_name", "title", "displayname")
+PRODUCT_IDS = ("id", "productid", "product_id", "sku", "code", "itemid", "item_id")
 
-    A recursive query over the objects' children; ``inside``: also below a hit.
+
+def looks_like_product(node: Column) -> Column:
+    """A name, and a key with "price" in it, or an id beside a key with "product" or "sku" in it."""
+    keys = F.transform(F.map_keys(F.try_variant_get(node, "$", "map<string,variant>")), F.lower)
+    any_of = lambda names: F.arrays_overlap(keys, F.array(*[F.lit(n) for n in names]))
+    priced, hinted = F.exists(keys, lambda k: k.contains("price")), F.exists(keys, lambda k: k.contains("product") | k.contains("sku"))
+    return F.coalesce(any_of(PRODUCT_NAMES) & (priced | (any_of(PRODUCT_IDS) & hinted)), F.lit(False))
+
+
+def children(node: Column) -> Column:
+    """The arrays and objects directly inside an array or object."""
+    inside = F.coalesce(F.try_variant_get(node, "$", "array<variant>"), F.map_values(F.try_variant_get(node, "$", "map<string,variant>")), F.array().cast("array<variant>"))
+    return F.filter(inside, lambda x: F.schema_of_variant(x).rlike("^(OBJECT|ARRAY)"))
+
+
+def nesting(payload: Column) -> Column:
+    """How deep arrays and objects are nested, from the brackets of the JSON text."""
+    bare = F.regexp_replace(F.to_json(payload), r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', "")
+    signs = F.split(F.regexp_replace(bare, r"[^\[\]{}]", ""), "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(state: Column, sign: Column) -> Column:
+        now = state["now"] + F.when(sign.isin("[", "{"), 1).when(sign.isin("]", "}"), -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
+
+    return F.aggregate(signs, start, step, lambda state: state["most"])
+
+
+def product_walk(rows: DataFrame, name: str = "payload") -> DataFrame:
+    """Every nested object that looks like a product, at any depth, distinct by content.
+
+    One row per payload: level by level, its objects and arrays are a column, as many levels
+    as the deepest payload has.
     """
-    spark_rows.createOrReplaceTempView("_walk_source")
-    hit = "(variant_get(v, '$.name') IS NOT NULL AND (variant_get(v, '$.price') IS NOT NULL OR variant_get(v, '$.id') IS NOT NULL))"
-    below = "" if inside else f"AND NOT coalesce({hit}, false)"
-    rows = spark_rows.sparkSession.sql(f"""
-        WITH RECURSIVE walk(v, depth) AS (
-          SELECT {name}, 0 FROM _walk_source
-          UNION ALL
-          SELECT c.value, depth + 1 FROM walk, LATERAL variant_explode(v) AS c
-          WHERE depth < {deepest} AND (schema_of_variant(c.value) LIKE 'OBJECT%' OR schema_of_variant(c.value) LIKE 'ARRAY%') {below}
-        ) SELECT to_json(v) AS product FROM walk WHERE schema_of_variant(v) LIKE 'OBJECT%' AND {hit}""")
-    return rows.distinct()
+    deepest = rows.agg(F.coalesce(F.max(nesting(F.col(name))), F.lit(0))).first()[0]
+    level, levels = rows.select(F.array(name).alias("nodes"), F.array().cast("array<variant>").alias("hits")), max(1, deepest)
+    for _ in range(levels):
+        level = level.select(F.flatten(F.transform("nodes", children)).alias("nodes"), F.concat("hits", F.filter("nodes", looks_like_product)).alias("hits"))
+    return level.select(F.explode("hits").alias("v")).select(F.to_json("v").alias("product")).distinct()
+
+
+MENU_PATHS = ("GroupV2", "")
+
+
+def menu_categories(payloads: DataFrame, key: str) -> DataFrame:
+    """Categories of nested menus: key, id, name, url, parent_name; of equal urls the last in the
+    order of the menu, where a node's children come before its other fields."""
+    deepest = payloads.agg(F.coalesce(F.max(nesting(F.col("payload"))), F.lit(0))).first()[0]
+    text = lambda node, field: F.coalesce(text_of(F.try_variant_get(node, f"$.{field}", "variant")), F.lit(""))
+    listed = lambda node: F.coalesce(*[F.when(F.size(F.try_variant_get(node, f"$.{f}", "array<variant>")) > 0, F.try_variant_get(node, f"$.{f}", "array<variant>")) for f in ("childrens", "children")], F.array().cast("array<variant>"))
+    kind = "array<struct<node:variant,parent_name:string,place:array<int>>>"
+
+    def below(n: Column) -> Column:
+        node, place = n["node"], n["place"]
+        parent = F.when(text(node, "name") != "", text(node, "name")).otherwise(n["parent_name"])
+        at = lambda nodes, group: F.transform(nodes, lambda x, i: F.struct(x.alias("node"), parent.alias("parent_name"), F.concat(place, F.array(F.lit(group), i)).alias("place")))
+        others = F.map_values(F.map_filter(F.try_variant_get(node, "$", "map<string,variant>"), lambda k, _: ~k.isin("childrens", "children")))
+        inside = F.coalesce(F.try_variant_get(node, "$", "array<variant>"), others, F.array().cast("array<variant>"))
+        return F.filter(F.concat(at(listed(node), 0), at(inside, 1)), lambda x: F.schema_of_variant(x["node"]).rlike("^(OBJECT|ARRAY)"))
+
+    level = payloads.select(key, F.array(F.struct(F.col("payload").alias("node"), F.lit("").alias("parent_name"), F.array().cast("array<int>").alias("place"))).alias("nodes"), F.array().cast(kind).alias("hits"))
+    for _ in range(max(1, deepest)):
+        hit = lambda n: (text(n["node"], "url") != "") & (text(n["node"], "name") != "") & text(n["node"], "path").isin(*MENU_PATHS)
+        level = level.select(key, F.flatten(F.transform("nodes", below)).alias("nodes"), F.concat("hits", F.filter("nodes", hit)).alias("hits"))
+    rows = level.select(key, F.explode("hits").alias("h")).select(
+        key, "h.place", F.nullif(text(F.col("h.node"), "id"), F.lit("")).alias("id"), text(F.col("h.node"), "name").alias("name"), F.trim(text(F.col("h.node"), "url"), F.lit("/")).alias("url"), F.col("h.parent_name").alias("parent_name")
+    )
+    return rows.groupBy(key, "url").agg(F.max_by(F.struct("id", "name", "parent_name"), "place").alias("last")).select(key, "last.id", "last.name", "url", "last.parent_name")
 
 
 def valid_offers(offers: DataFrame) -> DataFrame:

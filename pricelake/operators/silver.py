@@ -18,8 +18,9 @@ def select_datasets(bronze: DataFrame) -> DataFrame:
     """Of each run the best datasets only: products_enriched, products, *_promotions_*, any."""
     name = F.col("source_dataset")
     rank = F.when(name == "products_enriched", 1).when(name == "products", 2).when(name.contains("_promotions_"), 3).otherwise(4)
-    best = F.min("_rank").over(Window.partitionBy("run_id"))
-    return bronze.withColumn("_rank", rank).withColumn("_best", best).filter("_rank = _best").drop("_rank", "_best")
+    ranked = bronze.withColumn("_rank", rank)
+    best = ranked.groupBy("run_id").agg(F.min("_rank").alias("_rank"))  # a row for each run, combined before the shuffle
+    return ranked.join(best.withColumnRenamed("run_id", "_run"), F.col("run_id").eqNullSafe(F.col("_run")) & (ranked["_rank"] == best["_rank"]), "left_semi").drop("_rank")
 
 
 def number_at(payload: Column, field: str) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pricelake.functions import numbers
 from pricelake.operators import landing, promo_cards, upsert
 from pricelake.operators.dedupe import dedupe, merge_fields
 from pricelake.plans import views
@@ -63,20 +64,23 @@ def landing_mm(spark, sf_dir):
 
 
 @query("""SELECT p_partkey AS product_id, CAST(CASE WHEN p_partkey % 4 IN (1, 2) THEN p_size * 1000 ELSE p_size * 900 END AS BIGINT) AS sale_price,
-  CAST(CASE p_partkey % 4 WHEN 1 THEN p_size * 1000 + 500 WHEN 2 THEN p_size * 2000 END AS DOUBLE) AS original_price, concat_ws('; ', CASE WHEN p_partkey % 3 = 0 THEN p_type END, CASE WHEN p_partkey % 5 = 0 THEN p_brand END) AS promotion
-FROM part WHERE p_partkey % 4 IN (1, 2) OR p_partkey % 3 = 0 OR p_partkey % 5 = 0""")
+  CAST(CASE p_partkey % 4 WHEN 1 THEN p_size * 1000 + 500 WHEN 2 THEN p_size * 2000 END AS DOUBLE) AS original_price,
+  concat_ws('; ', CASE WHEN p_partkey % 3 = 0 THEN p_type END, CASE WHEN p_partkey % 7 = 0 THEN 'text' END, CASE WHEN p_partkey % 5 = 0 THEN p_brand END, CASE WHEN p_partkey % 11 = 0 AND p_partkey % 4 IN (1, 2) THEN 'Khuyến mãi mua kèm' END, CASE WHEN p_partkey % 13 = 0 THEN p_name || ' gift' END) AS promotion,
+  CASE WHEN p_partkey % 4 IN (1, 2) THEN 'category_sale' ELSE 'category_promotion' END AS promotion_type, CASE WHEN p_partkey % 4 = 2 THEN '50%' WHEN p_partkey % 4 = 1 THEN CAST(round_even(CAST(50000 AS DOUBLE) / (p_size * 1000 + 500), 0) AS INTEGER) || '%' ELSE '' END AS discount
+FROM part WHERE p_partkey % 4 IN (1, 2) OR p_partkey % 3 = 0 OR p_partkey % 5 = 0 OR p_partkey % 7 = 0 OR p_partkey % 11 = 0 OR p_partkey % 13 = 0 OR p_partkey % 17 = 0 OR p_partkey % 19 = 0""")
 def landing_bhx(spark, sf_dir):
-    entry = lambda p, s: F.struct(_text(p, "₫").alias("price"), s.alias("sysPrice"))
-    prices = F.array(entry(price(), F.when(pk() % 4 != 0, listed_price())), entry((F.col("p_size") * 900).cast("bigint"), F.lit(None).cast("bigint")))
-    rows = payloads(spark, sf_dir, name=F.col("p_name"), productPrices=prices, promotionText=F.when(pk() % 3 == 0, F.col("p_type")), label=F.when(pk() % 5 == 0, F.col("p_brand")), id=pk(), url=F.lit("a/b"), image=F.lit("http://i/x"))
-    return landing.bhx_offers(rows).select(F.col("product_id").cast("bigint").alias("product_id"), "sale_price", F.col("original_price").cast("double").alias("original_price"), "promotion")
+    entry = lambda p, s, together: F.struct(p.alias("price"), s.alias("sysPrice"), together.alias("isBuyTogether"))
+    prices = F.array(entry(_text(price(), "₫"), F.when(pk() % 4 != 0, listed_price()), pk() % 11 == 0), entry(_text((F.col("p_size") * 900).cast("bigint"), "₫"), F.lit(None).cast("bigint"), F.lit(False)))
+    gift = F.when(pk() % 13 == 0, F.array(F.struct(F.lit(" ").alias("name"), _text(F.col("p_name"), "  gift").alias("title"))))
+    rows = payloads(spark, sf_dir, productName=F.col("p_name"), productPrices=prices, promotionText=F.when(pk() % 3 == 0, F.col("p_type")), textPromotion=F.when(pk() % 7 == 0, " text "), label=F.when(pk() % 5 == 0, F.col("p_brand")), lstGift=gift, giftType=F.when(pk() % 17 == 0, 2).otherwise(0), lstCampaingInfo=F.when(pk() % 19 == 0, F.array(F.struct(F.lit("2024").alias("startTime")))), id=pk(), url=F.lit("a/b"), image=F.lit("http://i/x"))
+    return landing.bhx_offers(rows).select(F.col("product_id").cast("bigint").alias("product_id"), "sale_price", F.col("original_price").cast("double").alias("original_price"), "promotion", "promotion_type", "discount")
 
 
-@query("""SELECT p_partkey AS source_product_id, CAST(CASE WHEN p_partkey % 3 = 0 THEN p_size * 1000 + 0.5 WHEN p_partkey % 3 = 1 THEN p_size * 1000 END AS DOUBLE) AS listed_price, CASE WHEN p_partkey % 3 <> 2 THEN CAST(p_size * 900 AS DOUBLE) END AS promo_price,
+@query("""SELECT p_partkey AS source_product_id, CAST(CASE WHEN p_partkey % 6 = 0 THEN p_size + 0.25 WHEN p_partkey % 3 = 0 THEN p_size * 1000 + 0.5 WHEN p_partkey % 3 = 1 THEN p_size * 1000 END AS DOUBLE) AS listed_price, CASE WHEN p_partkey % 3 <> 2 THEN CAST(p_size * 900 AS DOUBLE) END AS promo_price,
   CAST(CASE WHEN p_partkey % 3 = 2 THEN p_size * 1000 ELSE p_size * 900 END AS DOUBLE) AS current_price FROM part""")
 def landing_winmart(spark, sf_dir):
     listed = F.when(pk() % 3 == 0, F.concat(F.regexp_replace((F.col("p_size") * 1000).cast("string"), r"000$", ".000"), F.lit(",5")))
-    rows = payloads(spark, sf_dir, PRICE=price(), LISTEDprice=listed, salePrice=F.when(pk() % 3 != 2, (F.col("p_size") * 900).cast("bigint")), ProductId=pk())
+    rows = payloads(spark, sf_dir, PRICE=price(), LISTEDprice=F.when(pk() % 6 != 0, listed), listprice=F.when(pk() % 6 == 0, F.col("p_size") + F.lit(0.25)), salePrice=F.when(pk() % 3 != 2, (F.col("p_size") * 900).cast("bigint")), ProductId=pk())
     return landing.winmart_offers(rows).select(F.col("source_product_id").cast("bigint").alias("source_product_id"), "listed_price", "promo_price", "current_price")
 
 
@@ -97,14 +101,41 @@ def landing_enriched(spark, sf_dir):
 
 
 @query("""SELECT '{"id":' || p_partkey || ',"name":"' || p_name || '","price":' || p_size || '}' AS product FROM part
-UNION SELECT '{"id":"c","name":"' || p_type || '"}' FROM part""")
+UNION SELECT '{"productName":"' || p_name || '","salePrice":' || p_size || '}' FROM part UNION SELECT '{"ProductSku":"s","Title":"' || p_brand || '","id":"1"}' FROM part""")
 def json_product_walk(spark, sf_dir):
     product = F.struct(pk().alias("id"), F.col("p_name").alias("name"), F.col("p_size").alias("price"))
     category = F.struct(F.lit("c").alias("id"), F.col("p_type").alias("name"))
-    rows = payloads(spark, sf_dir, data=F.struct(F.array(F.struct(F.array(product, product).alias("items")), F.struct(F.array(product).alias("items"))).alias("list"), category.alias("cat")))
+    deep = F.struct(F.col("p_name").alias("productName"), F.col("p_size").alias("salePrice"))
+    for _ in range(20):
+        deep = F.struct(deep.alias("a"))
+    hinted = F.struct(F.lit("s").alias("ProductSku"), F.col("p_brand").alias("Title"), F.lit("1").alias("id"))
+    rows = payloads(spark, sf_dir, data=F.struct(F.array(F.struct(F.array(product, product).alias("items")), F.struct(F.array(product).alias("items"))).alias("list"), category.alias("cat"), deep.alias("deep"), hinted.alias("hinted")))
     return landing.product_walk(rows)
 
 
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'a' END AS id, p_type AS name, 'menu/a' AS url, 'Top' AS parent_name FROM part
+UNION ALL SELECT p_partkey, NULL, p_name, 'menu/b' || (p_partkey % 3), p_type FROM part UNION ALL SELECT p_partkey, NULL, 'Top', 'top', '' FROM part WHERE p_partkey % 5 <> 0
+UNION ALL SELECT p_partkey, NULL, p_brand, 'deep', 'Top' FROM part""")
+def menu_flatten(spark, sf_dir):
+    """Menus of a category with a child under each name of the key, one repeated, one not a group."""
+    none = F.lit(None).cast("string")
+    node = lambda url, name, path=none, id=none: [id.alias("id"), url.alias("url"), name.alias("name"), path.alias("path")]
+    leaf = F.array(F.struct(*node(_text("/menu/b", pk() % 3, "/"), F.col("p_name"), F.lit("GroupV2"))), F.struct(*node(F.lit("no"), F.lit("no"), F.lit("other"))))
+    group = F.struct(*node(F.lit("menu/a"), F.col("p_type"), id=F.when(pk() % 2 == 0, "a")), leaf.alias("childrens"))
+    early = F.struct(*node(F.lit("deep"), F.lit("first")), F.when(F.lit(False), leaf).alias("childrens"))
+    late = F.struct(F.struct(F.array(F.struct(F.lit("/deep").alias("url"), _text(" ", F.col("p_brand"), " ").alias("name"))).alias("x")).alias("y"))
+    rows = payloads(spark, sf_dir, url=F.lit("top"), name=F.lit("Top"), path=F.when(pk() % 5 != 0, "").otherwise("page"), children=F.array(group, early), more=late)
+    return landing.menu_categories(rows, "p_partkey")
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN '-28%' ELSE '-' || CAST(round_even(CAST(p_size * 100 AS DOUBLE) / (p_size + 7), 0) AS INTEGER) || '%' END AS label FROM part""")
+def discount_labels(spark, sf_dir):
+    """Labels of list prices and cuts, ties half to even (715 of 1000)."""
+    size = F.col("p_size").cast("bigint")
+    sale, listed = F.when(size % 2 == 0, 715).otherwise(F.lit(7)), F.when(size % 2 == 0, 1000).otherwise(size + 7)
+    return views.read(spark, sf_dir, "part").select("p_partkey", numbers.discount_label(sale, listed).alias("label"))
+
+
 @query("""SELECT DISTINCT page_id, href, nullif(regexp_extract(href, '--s(\\d+)(?:[/?#]|$)', 1), '') AS item_no, nullif(regexp_extract(href, '-i\\.(\\d+)', 1), '') AS category_id
 FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a\\s[^>]*?href="([^"]*)"', 1)) AS href FROM pages)""")
 def page_links(spark, sf_dir):

@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from pricelake.functions.text import first_non_empty
 
 #: Input files that every run may have; promotion files match a pattern.
-KNOWN_FILES = ("products.jsonl", "products_enriched.jsonl", "promotions.jsonl", "promo_cards.jsonl")
+KNOWN_FILES = ("products.jsonl", "products_discounted.jsonl", "promo_cards.jsonl", "promo_hydrated_products.jsonl", "products_enriched.jsonl", "unmatched_promo_cards.jsonl")
 PROMOTION_FILES = r"_promotions_.*\.jsonl$"
 
 

@@ -67,6 +67,9 @@ def test_text_and_numbers(spark):
     assert one(spark, text.identity_text(F.col("a")), a="Sữa  TH-true\tMILK!") == "sua th true milk"
     assert one(spark, text.category_text(F.col("a")), a=" Đồ  Uống ") == "đồ uống"
     for value, want in (("1.234,5", 1234.5), ("1.234", 1234.0), ("99,000", 99000.0), ("", None), ("x", None)):
-        assert one(spark, numbers.money(F.col("a")), a=value) == want
+        assert one(spark, numbers.money(F.variant_get(F.to_variant_object(F.struct("a")), "$.a", "variant")), a=value) == want
+    for json, want in (("12.5", 12.5), ("9.75", 9.75), ("1234", 1234.0), ('"9.750"', 9750.0)):
+        assert one(spark, numbers.money(F.try_parse_json("a")), a=json) == want
+    assert one(spark, numbers.payload_price(F.try_parse_json("a")), a="12500.9") == 12500 and one(spark, numbers.payload_price(F.try_parse_json("a")), a='"12.500đ"') == 12500
     assert one(spark, numbers.currency_price(F.col("a")), a="Giá 12.500đ/kg 3") == 12500
-    assert one(spark, numbers.discount_label(F.col("a").cast("int"), F.lit(200)), a="151") == "-24%"
+    assert one(spark, numbers.discount_label(F.col("a").cast("int"), F.lit(200)), a="151") == "-24%" and one(spark, numbers.discount_label(F.col("a").cast("int"), F.lit(1000)), a="715") == "-28%"
