@@ -15,7 +15,7 @@ Defined cases: vectors that are null, zero, empty, or hold a null or non-finite
 and rows with a null id, take no part; vectors of another length than the commonest in the
 sample are compared with none; repeated rows (same id and vector) count once; a query
 never meets its own id; fewer candidates than k give fewer rows; an empty table gives an
-empty result.
+empty result; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

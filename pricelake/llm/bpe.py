@@ -15,7 +15,8 @@ The added token strings of the file are found in the text first and have their o
 that file's library does by default.
 
 Defined cases: a null text is the empty text (no ids); texts of any length are encoded
-whole; equal texts give equal ids; an empty table gives an empty result.
+whole; equal texts give equal ids; an empty table gives an empty result; other columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations

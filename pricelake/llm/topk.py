@@ -17,7 +17,8 @@ Defined cases: vectors that are null, or hold a null or non-finite component, ta
 repeated rows (same id and components) count once; rows of one id with different
 vectors are candidates of their own and ask together; a query never meets rows of its own id; rows with a
 null id take no part; scores must fit a long; vectors of different lengths never meet; fewer than k candidates
-give fewer rows; an empty table gives an empty result.
+give fewer rows; an empty table gives an empty result; other columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations
