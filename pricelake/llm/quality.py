@@ -2,8 +2,9 @@
 
 Random indexing: every context item has a fixed sparse vector of +1 and -1; the vector of
 a word is the sum of its neighbours' vectors over the whole corpus, summed per task and
-then per item. Items are hash buckets of words and of their shapes, a fixed number of
-them, so the table that goes to the executors has a fixed size. A document is the mean of
+then per item. Items are hash buckets of words and of their shapes. Distinct words of the
+corpus are counted first, and there are as many word buckets, up to WORD_BUCKETS: the table
+goes to all executors, so it needs a bound (25 MB). A document is the mean of
 its items' vectors, with the share of words that repeat the one before. A two-layer numpy
 network, fitted on a bounded sample of labelled rows, gives a logit, and a temperature
 chosen on a part of that sample turns it into a probability.
@@ -17,8 +18,11 @@ and doc_id are never inputs; other columns stay as they are, but for one that ha
 from __future__ import annotations
 
 import math
+import sys
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,59 +33,87 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from pricelake.llm.common import batch_of, distinct, mix64, small_batches, utf8, word_bounds, word_hashes
 from pricelake.llm.labels import fold, labelled
 
-WORD_BUCKETS, SHAPE_BUCKETS, DIMENSIONS, NONZERO, REACH = 1 << 14, 1 << 9, 32, 4, 2
-ITEMS = WORD_BUCKETS + SHAPE_BUCKETS
+#: Word buckets at most and at least; in between, the power of two that holds all distinct words.
+WORD_BUCKETS, LEAST_BUCKETS = 1 << 17, 1 << 12
+SHAPE_BUCKETS, DIMENSIONS, NONZERO, REACH = 1 << 9, 48, 6, 2
 #: Labelled rows that the network is fitted on, at most: those whose ids hash lowest.
 SAMPLE = 12_000
 HIDDEN, EPOCHS, SEED = 24, 60, 17
 THRESHOLD = 0.7
 CHUNK = 8_192
 
-#: Of each byte: is it an upper-case letter, a digit, a sign that is neither letter nor digit (ASCII)?
-_UPPER, _DIGIT, _SIGN = (np.array([b < 128 and test(chr(b)) for b in range(256)]) for test in (str.isupper, str.isdigit, lambda c: not c.isalnum()))
+_UPPER, _DIGIT, _SIGN = 1, 2, 4
 
 
-def document_items(text: bytes) -> np.ndarray:
+@cache
+def sign_kinds() -> np.ndarray:
+    """Of each code point: is it an upper-case letter, a digit, or neither letter, mark, number nor blank?"""
+    kinds = np.zeros(sys.maxunicode + 1, np.uint8)
+    for k in range(len(kinds)):
+        group = unicodedata.category(chr(k))
+        kinds[k] = _UPPER if group in ("Lu", "Lt") else _DIGIT if group == "Nd" else _SIGN if group[0] in "PSC" and group not in ("Cn", "Co", "Cs") else 0
+    return kinds
+
+
+def folded_hashes(text: bytes) -> np.ndarray:
+    """Hashes of the words in lower case."""
+    return word_hashes(text.lower() if text.isascii() else text.decode("utf-8", "replace").lower().encode())
+
+
+def document_items(text: bytes, word_buckets: int = WORD_BUCKETS) -> np.ndarray:
     """A code for each word: its bucket, and the bucket of its shape.
 
-    A shape is: no, first or most letters upper case; digits or not; how many other signs,
-    up to three; and the last byte if it is such a sign.
+    A shape is: no, first or most letters upper case; digits or not; how many signs that are
+    neither letters nor digits, up to four; which they are if they are at most three, or else
+    the last one.
     """
-    signs = np.frombuffer(text, np.uint8)
-    starts, ends = word_bounds(signs)
+    points = np.frombuffer(text, np.uint8) if text.isascii() else np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    starts, ends = word_bounds(np.minimum(points, 255).astype(np.uint8))
     if not len(starts):
         return np.empty(0, np.int32)
-    within = lambda kind: np.diff(np.concatenate([[0], np.cumsum(kind[signs], dtype=np.int32)])[np.column_stack([starts, ends])])[:, 0]
-    upper, others = within(_UPPER), within(_SIGN)
-    last = signs[ends - 1]
+    kinds = sign_kinds()[points]
+
+    def within(values: np.ndarray) -> np.ndarray:
+        sums = np.zeros(len(points) + 1, values.dtype)
+        np.cumsum(values, out=sums[1:])
+        return sums[ends] - sums[starts]
+
+    marks = kinds == _SIGN
+    upper, others = within((kinds == _UPPER).astype(np.int32)), within(marks.astype(np.int32))
+    named = np.zeros(len(points), np.uint64)
+    named[marks] = mix64(points[marks].astype(np.uint64) + np.uint64(1))
+    last = points[ends - 1]
+    which = np.where(others <= 3, within(named), np.where(marks[ends - 1], last, 0).astype(np.uint64))
     case = np.where(2 * upper > ends - starts - others, 2, np.minimum(upper, 1))
-    key = ((case * 2 + (within(_DIGIT) > 0)) * 4 + np.minimum(others, 3)) * 128 + np.where(_SIGN[last], last, 0)
-    shapes = mix64(key.astype(np.uint64)) % np.uint64(SHAPE_BUCKETS)
-    return (word_hashes(text.lower()) % np.uint64(WORD_BUCKETS) * np.uint64(SHAPE_BUCKETS) + shapes).astype(np.int32)
+    key = (case * 2 + (within((kinds == _DIGIT).astype(np.int32)) > 0)) * 5 + np.minimum(others, 4)
+    shapes = mix64(which * np.uint64(32) + key.astype(np.uint64)) % np.uint64(SHAPE_BUCKETS)
+    return (folded_hashes(text) % np.uint64(word_buckets) * np.uint64(SHAPE_BUCKETS) + shapes).astype(np.int32)
 
 
 def split_items(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(word buckets, shape buckets), in the narrow type that sorts fastest."""
-    return (codes // SHAPE_BUCKETS).astype(np.uint16), (codes % SHAPE_BUCKETS).astype(np.uint16)
+    """(word buckets, shape buckets); the latter in the narrow type that sorts fastest."""
+    return codes // SHAPE_BUCKETS, (codes % SHAPE_BUCKETS).astype(np.uint16)
 
 
-def index_vectors(seed: int = SEED) -> np.ndarray:
+def index_vectors(word_buckets: int = WORD_BUCKETS, seed: int = SEED) -> np.ndarray:
     """The fixed sparse vectors of all items: words, then shapes."""
     rng = np.random.default_rng(seed)
-    out = np.zeros((ITEMS, DIMENSIONS), np.float32)
-    places = np.argsort(rng.random((ITEMS, DIMENSIONS)), axis=1)[:, :NONZERO]
-    np.put_along_axis(out, places, rng.choice(np.array([-1, 1], np.float32), (ITEMS, NONZERO)), axis=1)
+    out = np.zeros((word_buckets + SHAPE_BUCKETS, DIMENSIONS), np.int8)
+    for start in range(0, len(out), LEAST_BUCKETS):
+        part = out[start : start + LEAST_BUCKETS]
+        places = np.argsort(rng.random(part.shape, np.float32), axis=1)[:, :NONZERO]
+        np.put_along_axis(part, places, rng.choice(np.array([-1, 1], np.int8), places.shape), axis=1)
     return out
 
 
 class ContextSums:
     """Sums of neighbours' index vectors by item."""
 
-    def __init__(self):
-        index = index_vectors()
-        self.words, self.shapes = index[:WORD_BUCKETS], index[WORD_BUCKETS:]
-        self.sums = np.zeros((ITEMS, DIMENSIONS), np.float64)
-        self.counts = np.zeros(ITEMS, np.int64)
+    def __init__(self, word_buckets: int = WORD_BUCKETS):
+        index = index_vectors(word_buckets)
+        self.word_buckets, self.words, self.shapes = word_buckets, index[:word_buckets], index[word_buckets:]
+        self.sums = np.zeros(index.shape, np.int64)
+        self.counts = np.zeros(len(index), np.int64)
 
     def add(self, codes: np.ndarray) -> None:
         """Codes of consecutive words; neighbours are up to REACH words away."""
@@ -90,32 +122,51 @@ class ContextSums:
             buckets, shapes = split_items(codes[low : start + CHUNK + REACH])
             own = slice(start - low, start - low + min(CHUNK, len(codes) - start))
             vectors = self.words[buckets] + self.shapes[shapes]
-            around = np.zeros_like(vectors)
+            around = np.zeros_like(vectors)  # at most 2 * 2 * REACH either way
             for d in range(1, min(REACH, len(buckets) - 1) + 1):
                 around[d:] += vectors[:-d]
                 around[:-d] += vectors[d:]
             around = around[own]
-            for ids, base in ((buckets[own], 0), (shapes[own], WORD_BUCKETS)):
+            for ids, base in ((buckets[own], 0), (shapes[own], self.word_buckets)):
                 order = np.argsort(ids, kind="stable")
                 ranked = ids[order]
                 first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
                 kinds = ranked[first].astype(np.int64) + base
-                self.sums[kinds] += np.add.reduceat(around[order], first, axis=0)
+                self.sums[kinds] += np.add.reduceat(around[order], first, axis=0, dtype=np.int32)
                 self.counts[kinds] += np.diff(np.append(first, len(ranked)))
 
 
-SUMS = pa.schema([("item", pa.int32()), ("n", pa.int64()), ("vector", pa.list_(pa.float64()))])
+SUMS = pa.schema([("item", pa.int32()), ("vector", pa.list_(pa.int64()))])
+#: One in so many of all possible hashes is counted.
+COUNTED = 64
+
+
+def bucket_count(docs: DataFrame) -> int:
+    """The power of two that holds the corpus's distinct words, within the bounds.
+
+    All words whose hash lies in one of COUNTED equal ranges are counted exactly.
+    """
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.concatenate([np.empty(0, np.uint64), *(h[h < 2**64 // COUNTED] for h in map(folded_hashes, utf8(batch["text"])))])
+            yield pa.RecordBatch.from_arrays([pa.array(distinct(found).view(np.int64))], names=["word"])
+
+    with small_batches(docs.sparkSession):
+        n = COUNTED * docs.select("text").mapInArrow(words, "word long").distinct().count()
+    return min(WORD_BUCKETS, max(LEAST_BUCKETS, 1 << max(0, n - 1).bit_length()))
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """Unit context vectors of all items, from all documents; unseen items have zero vectors."""
+    buckets = bucket_count(docs)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, waiting, held = ContextSums(), [], 0
+        sums, waiting, held = ContextSums(buckets), [], 0
         gap = np.zeros(REACH, np.int32)  # texts are neighbours of nothing but this filler
         for batch in batches:
             for text in utf8(batch["text"]):
-                waiting += [document_items(text), gap]
+                waiting += [document_items(text, buckets), gap]
                 held += len(waiting[-2])
                 if held >= CHUNK:
                     sums.add(np.concatenate(waiting))
@@ -123,17 +174,20 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
         if waiting:
             sums.add(np.concatenate(waiting))
         seen = np.flatnonzero(sums.counts)
-        yield batch_of(SUMS, seen, sums.counts[seen], list(sums.sums[seen]))
+        for some in np.array_split(seen, len(seen) // CHUNK + 1):
+            vectors = pa.ListArray.from_arrays(np.arange(0, DIMENSIONS * len(some) + 1, DIMENSIONS, dtype=np.int32), sums.sums[some].ravel())
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), vectors], schema=SUMS)
 
-    parts = docs.select("text").mapInArrow(add, "item int, n long, vector array<double>")
-    total = parts.groupBy("item").agg(*[F.sum(F.col("vector")[d]).alias(f"v{d}") for d in range(DIMENSIONS)])
-    table = np.zeros((ITEMS, DIMENSIONS))
+    parts = docs.select("text").mapInArrow(add, "item int, vector array<long>")
+    total = parts.groupBy("item").agg(*[F.sum(F.col("vector")[d]).cast("float").alias(f"v{d}") for d in range(DIMENSIONS)])
+    table = np.zeros((buckets + SHAPE_BUCKETS, DIMENSIONS), np.float32)
     with small_batches(docs.sparkSession):
-        rows = total.toPandas()  # at most ITEMS rows
-    if len(rows):
-        table[rows["item"].to_numpy()] = rows[[f"v{d}" for d in range(DIMENSIONS)]].to_numpy()
+        rows = total.toArrow()  # at most a row for each bucket
+    items = rows["item"].to_numpy()
+    for d in range(DIMENSIONS):
+        table[items, d] = rows[f"v{d}"].to_numpy()
     norm = np.linalg.norm(table, axis=1, keepdims=True)
-    return (table / np.where(norm > 0, norm, 1)).astype(np.float32)
+    return table / np.where(norm > 0, norm, np.float32(1))
 
 
 class Pool:
@@ -142,11 +196,11 @@ class Pool:
     WIDTH = 3 * DIMENSIONS + 3
 
     def __init__(self, vectors: np.ndarray):
-        self.words, shapes = vectors[:WORD_BUCKETS], vectors[WORD_BUCKETS:].astype(np.float64)
+        self.words, shapes = vectors[:-SHAPE_BUCKETS], vectors[-SHAPE_BUCKETS:].astype(np.float64)
         self.shapes = np.hstack([shapes, shapes**2])
 
     def features(self, text: bytes) -> np.ndarray:
-        out, codes = np.zeros(self.WIDTH), document_items(text)
+        out, codes = np.zeros(self.WIDTH), document_items(text, len(self.words))
         if n := len(codes):
             buckets, shapes = split_items(codes)
             out[:DIMENSIONS] = self.words[buckets].mean(axis=0)

@@ -189,3 +189,19 @@ def test_all_labelled_rows_are_counted(spark):
     assert tuple(got) == (want[1], want[0])
     whole = toxicity.count_models(docs.join(labels.withColumnRenamed("toxic", "label"), "doc_id"))
     assert np.allclose(models.differences(["zoggaa", "here", "x"]), whole.differences(["zoggaa", "here", "x"]))
+
+
+def test_shapes_see_accents_and_signs():
+    shape = lambda word: int(quality.document_items(word.encode())[0] % quality.SHAPE_BUCKETS)
+    assert shape("Été") == shape("Eta") != shape("été") and shape("ÉTÉ") == shape("ABC")
+    assert len({shape(w) for w in ("a", "«a", "a»", "a…", "a–b", "a1", "٣", "¿a?", "a....")}) == 8  # both digits without a sign are alike
+    assert shape("٣") == shape("a1") and shape("日本") == shape("ab")
+    lower, upper = (quality.document_items(w.encode(), 4096) // quality.SHAPE_BUCKETS for w in ("été ab", "ÉTÉ AB"))
+    assert (lower == upper).all() and len(quality.document_items(("é " * 300_000).encode())) == 300_000
+    assert len(quality.document_items(b"\xff\xfe a")) == 2 and len(quality.document_items(b" \n")) == 0
+
+
+def test_buckets_grow_with_the_words(spark):
+    rng = random.Random(1)
+    docs = spark.createDataFrame([(" ".join(f"w{rng.randrange(60_000)}" for _ in range(3000)),) for _ in range(100)] + [(None,), ("",)], "text string")
+    assert quality.bucket_count(docs) == 1 << 16 and quality.bucket_count(docs.limit(1)) == quality.LEAST_BUCKETS == quality.bucket_count(docs.limit(0))
