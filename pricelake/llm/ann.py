@@ -6,14 +6,16 @@ network then learns a vector's part, with its neighbours' parts as soft labels;
 number of parts to probe is the least that finds the wanted share of the sample's own
 nearest neighbours.
 
-Index: every row goes to its most probable part; a part is split into blocks of bounded
-size, so a part that holds a third of the rows is no single task. Search: a query visits
-all blocks of its most probable parts, and what it finds is ranked by the inner product in
-double precision on the original vectors.
+Parts grow with the rows, one for each block of them, between bounds: finer ones would cost
+more copies of a query, more than the sample can teach would be guessed. Index: every row
+goes to its most probable part; a part is split into blocks of bounded size, so a part that
+holds a third of the rows is no single task. Search: a query visits all blocks of its most
+probable parts, and what it finds is ranked by the inner product in double precision on the
+original vectors.
 
 Defined cases: vectors that are null, zero, empty, or hold a null or non-finite component,
 and rows with a null id, take no part; vectors of another length than the commonest in the
-sample are compared with none; repeated rows (same id and vector) count once; a query
+sample are a part of their own for each length, in which their like search whole; repeated rows (same id and vector) count once; a query
 never meets its own id; fewer candidates than k give fewer rows; an empty table gives an
 empty result; other columns, whatever their names, are ignored.
 """
@@ -30,12 +32,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pricelake.llm.common import batch_of, shuffle_width, stage
+from pricelake.llm.common import batch_of, shuffle_width, small_side, stage
 from pricelake.llm.topk import usable
 
-#: Rows that the partition is learned on: those whose ids hash lowest.
+#: Rows for each part that the partition is learned on, those whose ids hash lowest, and least and most parts.
+PART_SAMPLE = 64
+LEAST_PARTS, MOST_PARTS = 16, 256
+#: Rows of the sample at least.
 SAMPLE = 4096
-PARTS = 16
 NEIGHBOURS = 10
 #: Share of the sample's nearest neighbours that the probed parts must hold.
 WANTED_RECALL = 0.96
@@ -69,9 +73,9 @@ def balanced_parts(graph: np.ndarray, x: np.ndarray, parts: int, seed: int = SEE
     part = np.zeros(n, np.int64)
     for turn in range(rounds + 1):
         if turn:
-            affinity = 0.5 * np.eye(affinity.shape[1])[part]  # a slight wish to stay
-            np.add.at(affinity, edges[:, 0], np.eye(affinity.shape[1])[part[edges[:, 1]]])
-            np.add.at(affinity, edges[:, 1], np.eye(affinity.shape[1])[part[edges[:, 0]]])
+            cells = np.concatenate([edges[:, 0] * parts + part[edges[:, 1]], edges[:, 1] * parts + part[edges[:, 0]]])
+            affinity = np.bincount(cells, minlength=n * parts).reshape(n, parts).astype(float)
+            affinity[np.arange(n), part] += 0.5  # a slight wish to stay
         choices = np.argsort(-affinity, axis=1, kind="stable")
         top = np.sort(affinity, axis=1)
         margin = top[:, -1] - (top[:, -2] if top.shape[1] > 1 else 0)
@@ -123,7 +127,12 @@ def train_router(x: np.ndarray, labels: np.ndarray, hidden: int = 64, steps: int
     return Router(*weights, probes=parts)
 
 
-def fit(sample: np.ndarray, k: int, parts: int = PARTS) -> Router:
+def part_count(rows: int) -> int:
+    """A power of two: no part is meant to be smaller than a block, within the bounds."""
+    return min(MOST_PARTS, max(LEAST_PARTS, 1 << (rows // BLOCK).bit_length()))
+
+
+def fit(sample: np.ndarray, k: int, parts: int = LEAST_PARTS) -> Router:
     """Partition, classifier and number of probes from the sample's rows."""
     scale = np.linalg.norm(sample, axis=1).mean()
     x = np.unique(sample, axis=0) / scale
@@ -131,7 +140,7 @@ def fit(sample: np.ndarray, k: int, parts: int = PARTS) -> Router:
     graph = neighbour_graph(x, NEIGHBOURS)
     part = balanced_parts(graph, x, parts)
     labels = np.eye(parts)[part]
-    labels = labels + labels[graph].sum(axis=1)
+    labels += sum(labels[graph[:, j]] for j in range(graph.shape[1]))
     router = train_router(x, labels / labels.sum(axis=1, keepdims=True))
     router.w1 = router.w1 / scale
     # the sample, as if it were the table: which parts hold a row's nearest, by rank of the part
@@ -170,45 +179,42 @@ def block_nearest(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, q
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int, parts: int = PARTS) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int, parts: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score; both sides: vec_id long and v, an array of doubles."""
     spark = vectors.sparkSession
     rows = stage(vectors.filter("vec_id is not null").select("vec_id", "v").distinct(), "ann-vectors")
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    total = rows.count()
+    parts = parts or part_count(total)
+    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(max(SAMPLE, PART_SAMPLE * parts)).toPandas()
     if sample.empty:
-        return empty
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     width = int(sample["v"].map(len).mode()[0])
-    rows = rows.filter(F.size("v") == width)
     router = spark.sparkContext.broadcast(fit(np.stack([v for v in sample["v"] if len(v) == width]), k, parts))
-    probes = router.value.probes
     routed = pa.schema([("vec_id", pa.int64()), ("v", pa.list_(pa.float64())), ("parts", pa.list_(pa.int32()))])
 
-    def route(keep: int):
+    def placed(side: DataFrame, keep: int) -> DataFrame:
+        """Rows of the common length with their ``keep`` most probable parts, others with the part of their length."""
+
         def run(batches):
             for batch in batches:
                 if batch.num_rows:
                     x = np.array(batch["v"].to_pylist(), np.float64)
                     yield batch_of(routed, batch["vec_id"], batch["v"], list(router.value.ranked(x)[:, :keep].astype(np.int32)))
 
-        return run
+        common = side.filter(F.size("v") == width).mapInArrow(run, "vec_id long, v array<double>, parts array<int>")
+        return common.select("vec_id", "v", F.explode("parts").alias("part")).unionByName(side.filter(F.size("v") != width).withColumn("part", -F.size("v")))
 
-    kind = "vec_id long, v array<double>, parts array<int>"
-    index = stage(rows.mapInArrow(route(1), kind).withColumn("part", F.element_at("parts", 1)).drop("parts"), "ann-index")
-    asked = queries.filter("vec_id is not null").select("vec_id", "v").distinct().filter(F.size("v") == width)
-    asked = stage(asked.mapInArrow(route(probes), kind).select("vec_id", "v", F.explode("parts").alias("part")), "ann-queries")
-    sizes = {r.part: r.n for r in index.groupBy("part").agg(F.count("*").alias("n")).collect()}  # a row for each part
-    total = sum(sizes.values())
+    index = stage(placed(rows, 1), "ann-index")
+    asked = stage(placed(queries.filter("vec_id is not null").select("vec_id", "v").distinct(), router.value.probes), "ann-queries")
     spread = min(shuffle_width(spark), total // LEAST_BLOCK)
-    blocks = {p: max(1, math.ceil(n / BLOCK), round(spread * n / total)) for p, n in sizes.items()}
-    n_blocks = F.create_map(*[F.lit(x) for pair in blocks.items() for x in pair])[F.col("part")]
-    down = max(1, math.ceil(asked.count() / (QUERY_BLOCK * len(blocks))))
-    cells = index.select(
-        "part", F.pmod(F.xxhash64("vec_id"), n_blocks).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("j"), F.lit(False).alias("asks"), "vec_id", "v"
-    ).unionByName(
-        asked.filter(n_blocks.isNotNull()).select(
-            "part", F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("block"), F.pmod(F.xxhash64("vec_id"), F.lit(down)).cast("int").alias("j"), F.lit(True).alias("asks"), "vec_id", "v"
-        )
+    size = F.count("*")
+    blocks = index.groupBy("part").agg(F.greatest(F.lit(1), F.ceil(size / BLOCK), F.round(F.lit(spread) * size / total)).cast("int").alias("blocks"))
+    blocks = small_side(stage(blocks, "ann-blocks"))
+    down = max(1, math.ceil(asked.count() / (QUERY_BLOCK * parts)))
+    cells = (
+        index.join(blocks, "part")
+        .select("part", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("j"), F.lit(False).alias("asks"), "vec_id", "v")
+        .unionByName(asked.join(blocks, "part").select("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("vec_id"), F.lit(down)).cast("int").alias("j"), F.lit(True).alias("asks"), "vec_id", "v"))
     )
 
     def search(cell: pd.DataFrame) -> pd.DataFrame:

@@ -96,3 +96,22 @@ def test_search_of_odd_rows(spark, tmp_path):
     assert {r.query_id for r in got} == {0, 20, 40, 60} and not {r.vec_id for r in got} & {5000, 5020, 5040, 5060}
     spark.createDataFrame([], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/none/embeddings.parquet")
     assert ann.op5_nearest(spark, f"{tmp_path}/none").count() == topk.op1_topk(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_vectors_of_every_length_are_searched(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(0, 1, 8 if i % 10 else 3 + i % 20 // 10).tolist()) for i in range(400)]
+    vectors = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    got = {}
+    for r in ann.nearest(vectors, vectors.filter("vec_id % 10 = 0"), 5).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = r.vec_id
+    for q, v in rows[::10]:
+        like = sorted((-float(np.dot(v, w)), i) for i, w in rows if i != q and len(w) == len(v))
+        assert [got[q][k] for k in range(1, 6)] == [i for _, i in like[:5]]
+
+
+def test_parts_grow_and_clusters_need_few():
+    assert [ann.part_count(n) for n in (0, 50_000, 200_000, 10**6, 10**10)] == [16, 16, 64, 256, 256]
+    rng = np.random.default_rng(6)
+    x = rng.normal(0, 1, (64, 16))[rng.integers(0, 64, 4096)] + rng.normal(0, 0.05, (4096, 16))
+    assert ann.fit(x, 20, 64).probes <= 64 / 3
