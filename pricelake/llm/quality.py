@@ -4,7 +4,7 @@ Random indexing: every context item has a fixed sparse vector of +1 and -1; the
 a word is the sum of its neighbours' vectors over the whole corpus, summed per task and
 then per item. Items are hash buckets of words and of their shapes. Distinct words of the
 corpus are counted first, and there are as many word buckets, up to WORD_BUCKETS: the table
-goes to all executors, so it needs a bound (25 MB). A document is the mean of
+goes to all executors, so it needs a bound (13 MB). A document is the mean of
 its items' vectors, with the share of words that repeat the one before. A two-layer numpy
 network, fitted on a bounded sample of labelled rows, gives a logit, and a temperature
 chosen on a part of that sample turns it into a probability.
@@ -34,13 +34,13 @@ from pricelake.llm.common import batch_of, distinct, mix64, small_batches, utf8,
 from pricelake.llm.labels import fold, labelled
 
 #: Word buckets at most and at least; in between, the power of two that holds all distinct words.
-WORD_BUCKETS, LEAST_BUCKETS = 1 << 17, 1 << 12
+WORD_BUCKETS, LEAST_BUCKETS = 1 << 16, 1 << 12
 SHAPE_BUCKETS, DIMENSIONS, NONZERO, REACH = 1 << 9, 48, 6, 2
 #: Labelled rows that the network is fitted on, at most: those whose ids hash lowest.
 SAMPLE = 12_000
 HIDDEN, EPOCHS, SEED = 24, 60, 17
 THRESHOLD = 0.7
-CHUNK = 8_192
+CHUNK = 32_768
 
 _UPPER, _DIGIT, _SIGN = 1, 2, 4
 
@@ -91,8 +91,8 @@ def document_items(text: bytes, word_buckets: int = WORD_BUCKETS) -> np.ndarray:
 
 
 def split_items(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(word buckets, shape buckets); the latter in the narrow type that sorts fastest."""
-    return codes // SHAPE_BUCKETS, (codes % SHAPE_BUCKETS).astype(np.uint16)
+    """(word buckets, shape buckets), in the narrow type that sorts fastest."""
+    return (codes // SHAPE_BUCKETS).astype(np.uint16), (codes % SHAPE_BUCKETS).astype(np.uint16)
 
 
 def index_vectors(word_buckets: int = WORD_BUCKETS, seed: int = SEED) -> np.ndarray:
