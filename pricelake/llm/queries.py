@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricelake.llm import ann, bpe, chat, jaccard, mixing, pii, quality, substring, topk, toxicity
+from pricelake.llm import ann, bpe, chat, exact, importance, jaccard, mixing, periodic, pii, quality, substring, topk, toxicity
 
 QUERIES = {
     "op1_topk": topk.op1_topk,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_substring": substring.op8_substring,
     "op9_quality": quality.op9_quality,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_periodic": periodic.op11_periodic,
+    "op12_exact_dedup": exact.op12_exact_dedup,
+    "op13_importance": importance.op13_importance,
 }
 
 ORACLES = {
@@ -22,4 +25,6 @@ ORACLES = {
     "op4_jaccard_join": jaccard.ORACLE_OP4,
     "op6_chat_format": chat.ORACLE_OP6,
     "op8_substring": substring.ORACLE_OP8,
+    "op12_exact_dedup": exact.ORACLE_OP12,
+    "op13_importance": importance.ORACLE_OP13,
 }
