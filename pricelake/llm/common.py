@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -137,14 +138,31 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
-def _prefix_sums(values: np.ndarray) -> np.ndarray:
-    """Sums of value * base**place before each place, modulo 2**64; grows the tables of powers."""
+#: Bytes of a text, or words, that are hashed at once, so that memory doesn't follow the longest text.
+AT_ONCE = 1 << 17
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def pieces(data: bytes) -> Iterator[bytes]:
+    """``data``, cut before white space into pieces of little more than AT_ONCE bytes; no word is cut."""
+    start = 0
+    while len(data) - start > AT_ONCE and (blank := _BLANK.search(data, start + AT_ONCE)):
+        yield data[start : blank.start()]
+        start = blank.start()
+    yield data[start:] if start else data
+
+
+def _prefix_sums(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of value * base**place before each place, modulo 2**64, and the inverse powers. The tables
+    of powers grow, but beyond a few pieces they aren't kept."""
     global _powers, _inverse_powers
     n = len(values)
-    _powers, _inverse_powers = _grown(_powers, _BASE, n), _grown(_inverse_powers, _BASE_INVERSE, n)
+    powers, inverse = _grown(_powers, _BASE, n), _grown(_inverse_powers, _BASE_INVERSE, n)
+    if len(powers) <= 4 * AT_ONCE:
+        _powers, _inverse_powers = powers, inverse
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * _powers[:n], out=sums[1:])
-    return sums
+    np.cumsum(values * powers[:n], out=sums[1:])
+    return sums, inverse
 
 
 def word_bounds(signs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,19 +177,24 @@ def word_bounds(signs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def word_hashes(data: bytes) -> np.ndarray:
     """A 64-bit hash for each of ascii_words' words, without cutting the text into words."""
-    signs = np.frombuffer(data, np.uint8)
-    starts, ends = word_bounds(signs)
-    sums = _prefix_sums(signs + np.uint64(1))
-    return mix64((sums[ends] - sums[starts]) * _inverse_powers[starts])
+    found = []
+    for piece in pieces(data):
+        signs = np.frombuffer(piece, np.uint8)
+        starts, ends = word_bounds(signs)
+        sums, inverse = _prefix_sums(signs + np.uint64(1))
+        found.append(mix64((sums[ends] - sums[starts]) * inverse[starts]))
+    return np.concatenate(found) if len(found) > 1 else found[0]
 
 
 def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     """Hash of every run of ``width`` consecutive word hashes."""
-    n = len(hashes)
-    if n < width:
-        return np.empty(0, np.uint64)
-    sums = _prefix_sums(hashes)
-    return mix64((sums[width:] - sums[:-width]) * _inverse_powers[: n - width + 1])
+    found = [np.empty(0, np.uint64)]
+    step = max(AT_ONCE, width)
+    for start in range(0, len(hashes) - width + 1, step):
+        sums, inverse = _prefix_sums(hashes[start : start + step + width - 1])
+        ends = sums[width:]
+        found.append(mix64((ends - sums[: len(ends)]) * inverse[: len(ends)]))
+    return np.concatenate(found) if len(found) != 2 else found[1]
 
 
 def distinct(values: np.ndarray) -> np.ndarray:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from pricelake.llm.common import batch_of, distinct, mix64, small_batches, utf8, word_bounds, word_hashes
+from pricelake.llm.common import batch_of, distinct, mix64, pieces, small_batches, utf8, word_bounds, word_hashes
 from pricelake.llm.labels import fold, labelled
 
 #: Word buckets at most and at least; in between, the power of two that holds all distinct words.
@@ -57,11 +57,16 @@ def sign_kinds() -> np.ndarray:
 
 def folded_hashes(text: bytes) -> np.ndarray:
     """Hashes of the words in lower case."""
-    return word_hashes(text.lower() if text.isascii() else text.decode("utf-8", "replace").lower().encode())
+    return np.concatenate([word_hashes(p.lower() if p.isascii() else p.decode("utf-8", "replace").lower().encode()) for p in pieces(text)])
 
 
 def document_items(text: bytes, word_buckets: int = WORD_BUCKETS) -> np.ndarray:
-    """A code for each word: its bucket, and the bucket of its shape.
+    """A code for each word: its bucket, and the bucket of its shape, piece by piece of the text."""
+    return np.concatenate([_items(piece, word_buckets) for piece in pieces(text)])
+
+
+def _items(text: bytes, word_buckets: int) -> np.ndarray:
+    """Codes of a piece of a text.
 
     A shape is: no, first or most letters upper case; digits or not; how many signs that are
     neither letters nor digits, up to four; which they are if they are at most three, or else
