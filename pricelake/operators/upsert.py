@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.operators.dedupe import dedupe
+from pricelake.sources.history import History
 
 
 def merged(history: DataFrame, batch: DataFrame, keys: list[str], precombine: str, partition: str) -> DataFrame:
@@ -19,24 +18,27 @@ def merged(history: DataFrame, batch: DataFrame, keys: list[str], precombine: st
     return dedupe(rows, [*keys, partition], [F.col(precombine), F.col("_new"), *rest], keep="last").drop("_new")
 
 
-def upsert(path: str, batch: DataFrame, keys: list[str], precombine: str, partition: str) -> None:
-    """Rewrites the touched partitions of the Parquet table at ``path``: first beside it, then in
-    its place, so the table is never read and overwritten at once. Reruns change nothing."""
-    spark = batch.sparkSession
-    writer = lambda df, mode: df.write.mode(mode).partitionBy(partition).option("partitionOverwriteMode", "dynamic")
-    try:
-        history = spark.read.option("mergeSchema", "true").parquet(path)
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing) and "UNABLE_TO_INFER_SCHEMA" not in str(missing):
-            raise
+def upsert(path: str, batch: DataFrame, keys: list[str], precombine: str, partition: str) -> int:
+    """One commit to the history at ``path``: only the touched partitions are read and written, once.
+    Reruns change nothing but the version, which is returned."""
+    table = History(batch.sparkSession, path, partition)
+    history = table.read([r[0] for r in batch.select(F.col(partition).cast("string")).distinct().collect()])
+    if history is None:
         order = [F.col(precombine), *[F.col(c).cast("string") for c in sorted(batch.columns) if c not in (*keys, precombine)]]
-        writer(dedupe(batch, [*keys, partition], order, keep="last"), "overwrite").parquet(path)
-        return
-    staging = f"{path.rstrip('/')}__staging/{uuid.uuid4().hex}"
-    writer(merged(history, batch, keys, precombine, partition), "overwrite").parquet(staging)
-    writer(spark.read.option("mergeSchema", "true").parquet(staging), "overwrite").parquet(path)
+        return table.commit(dedupe(batch, [*keys, partition], order, keep="last"))
+    return table.commit(merged(history, batch, keys, precombine, partition))
+
+
+def snapshot_of(spark: SparkSession, path: str, partition: str, value: str) -> DataFrame | None:
+    """One business date of the history at ``path``: only its folder is read. None if there is none."""
+    return History(spark, path, partition).read([value])
 
 
-def snapshot_of(history: DataFrame, partition: str, value: str) -> DataFrame:
-    """One business date; the filter on the partition column prunes the scan."""
-    return history.filter(F.col(partition) == value)
+def write_rows(rows: DataFrame, path: str, kind: str, keys: list[str], precombine: str, partition: str) -> None:
+    """``kind``: "parquet" replaces the touched partitions of a plain table, "history" upserts into a versioned one."""
+    if kind == "parquet":
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    elif kind == "history":
+        upsert(path, rows, keys, precombine, partition)
+    else:
+        raise ValueError(f"unknown kind of output: {kind}")

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from hashlib import sha256
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pricelake.functions.text import first_non_empty
+from pricelake.sources.shared import settings, small_side, staged
 
 #: Input files that every run may have; promotion files match a pattern.
 KNOWN_FILES = ("products.jsonl", "products_discounted.jsonl", "promo_cards.jsonl", "promo_hydrated_products.jsonl", "products_enriched.jsonl", "unmatched_promo_cards.jsonl")
@@ -17,24 +22,43 @@ def path_part(path: Column, name: str) -> Column:
     return F.nullif(F.regexp_extract(path, rf"/{name}=([^/]+)/", 1), F.lit(""))
 
 
-def lines(spark: SparkSession, root: str, names: list[str] | None = None) -> DataFrame:
-    """Lines of all input files below ``root`` with file name, dataset and 1-based line number.
+def _texts(spark: SparkSession, roots: str | list[str], pattern: str) -> DataFrame:
+    """value, path, _start (of the split) and _id (ascending in a split) of every line below the roots."""
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("lineSep", "\n")
+    return reader.text(roots).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_id"))
+
+
+def _splits(texts: DataFrame) -> DataFrame:
+    """Of every split: path, _start, the id of its first line, and how many lines the splits before it have."""
+    splits = texts.groupBy("path", "_start").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    before = Window.partitionBy("path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    return splits.select("path", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
 
-    Blank lines count and are then dropped. Lines are numbered by a split's offset and the
-    order inside it, one window per file.
+
+def lines(spark: SparkSession, root: str | list[str], names: list[str] | None = None, pattern: str | None = None) -> DataFrame:
+    """Lines of all input files below one root or several, with file name, dataset and 1-based line
+    number: of the known files, of those with the given names, or of all that match a pattern.
+
+    Blank lines count and are then dropped. The lines of every split are counted first; a line's
+    number is the count of the splits before its own and its place inside it, so no file is
+    gathered in one task. Only a row for each split is ordered by file. Both passes read the
+    same splits: the numbers of lines inside a split follow Spark's own row ids.
     """
-    rows = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").text(root).select(
-        F.col("value").alias("line"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_id")
-    )
+    rows = _texts(spark, root, pattern or "*.jsonl")
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     rows = rows.withColumn("source_file", name)
-    rows = rows.filter(F.col("source_file").isin(*names) if names else F.col("source_file").isin(*KNOWN_FILES) | F.col("source_file").rlike(PROMOTION_FILES))
-    number = F.row_number().over(Window.partitionBy("path").orderBy("_start", "_id"))
-    return rows.withColumn("source_line_number", number).filter(F.trim("line") != "").select(
-        "line",
+    if names:
+        rows = rows.filter(F.col("source_file").isin(*names))
+    elif not pattern:
+        rows = rows.filter(F.col("source_file").isin(*KNOWN_FILES) | F.col("source_file").rlike(PROMOTION_FILES))
+    splits = small_side(staged(_splits(rows), "splits"))
+    number = F.col("_before") + F.col("_id") - F.col("_first") + 1
+    line = F.regexp_replace("value", r"\r$", "")
+    return rows.join(splits, ["path", "_start"]).withColumn("source_line_number", number).filter(F.trim(line) != "").select(
+        line.alias("line"),
         "path",
         "source_file",
-        F.regexp_replace("source_file", r"\.jsonl$", "").alias("source_dataset"),
+        F.regexp_replace("source_file", r"\.[^.]+$", "").alias("source_dataset"),
         "source_line_number",
         path_part(F.col("path"), "store").alias("path_retailer"),
         path_part(F.col("path"), "date").alias("path_date"),
@@ -53,7 +77,7 @@ def metadata(spark: SparkSession, root: str) -> DataFrame:
 
 def with_context(rows: DataFrame, meta: DataFrame) -> DataFrame:
     """Run context on every line; metadata outranks the path."""
-    keyed = rows.withColumn("run_dir", F.regexp_replace("path", r"/[^/]+$", "")).join(F.broadcast(meta), "run_dir", "left")
+    keyed = rows.withColumn("run_dir", F.regexp_replace("path", r"/[^/]+$", "")).join(small_side(meta), "run_dir", "left")
     return keyed.select(
         *rows.columns,
         "run_dir",
@@ -65,16 +89,52 @@ def with_context(rows: DataFrame, meta: DataFrame) -> DataFrame:
     )
 
 
-def blocked_runs(context: DataFrame, strict: bool = False) -> DataFrame:
-    """Runs without a run id, retailer or date, with the first missing part; strict mode raises on use."""
+def blocked_runs(context: DataFrame, strict: bool = False, expected: DataFrame | None = None) -> DataFrame:
+    """Runs without a run id, retailer or date, with the first missing part, and of the expected ones
+    (run_dir) those without any input line; strict mode raises on use."""
     reason = F.when(F.col("run_id").isNull(), "missing_run_id").when(F.col("retailer_id").isNull(), "missing_retailer_id").when(F.col("run_date").isNull(), "missing_run_date")
     blocked = context.select("run_dir", reason.alias("reason")).filter("reason is not null").distinct()
+    if expected is not None:
+        without = expected.select("run_dir").distinct().join(context.select("run_dir").distinct(), "run_dir", "left_anti")
+        blocked = blocked.unionByName(without.withColumn("reason", F.lit("missing_input")))
     return blocked.withColumn("reason", F.raise_error(F.concat(F.lit("BLOCK_RUN "), F.col("reason")))) if strict else blocked
 
 
-def file_digests(spark: SparkSession, root: str) -> DataFrame:
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").load(root)
-    return files.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
+#: For digests: a file is one split, and at most 64 small ones share a task.
+WHOLE_FILES = {"spark.sql.files.maxPartitionBytes": str(1 << 46), "spark.sql.files.openCostInBytes": str(1 << 40)}
+
+
+def file_digests(spark: SparkSession, roots: str | list[str], glob: str = "*.jsonl") -> DataFrame:
+    """path, bytes and SHA-256 of every file's content.
+
+    A file is read by one task as a stream of pieces that end at line feeds, and the digest is
+    carried from piece to piece: no row, batch or task holds a file."""
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).option("lineSep", "\n").text(roots)
+    pieces = files.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes"), F.col("value").cast("binary").alias("value"))
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, size, read, state = None, 0, 0, sha256()
+        done = lambda: pa.RecordBatch.from_pylist([{"path": name, "bytes": size, "sha256": state.hexdigest()}])
+        for batch in batches:
+            for path, length, value in zip(batch["path"], batch["bytes"], batch["value"]):
+                if (path := path.as_py()) != name:
+                    if name is not None:
+                        yield done()
+                    name, size, read, state = path, length.as_py(), 0, sha256()
+                value = value.as_py()
+                state.update(value)
+                read += len(value)
+                if read < size:  # the last line may end without a line feed
+                    state.update(b"\n")
+                    read += 1
+        if name is not None:
+            yield done()
+
+    with settings(spark, WHOLE_FILES):
+        found = staged(pieces.mapInArrow(digest, "path string, bytes long, sha256 string"), "digests")
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(roots).select(F.col("length").alias("bytes"), "path")
+    empty = names.filter("bytes = 0").select("path", "bytes", F.lit(sha256().hexdigest()).alias("sha256"))
+    return found.unionByName(empty)
 
 
 def read_silver(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from pricelake.operators import bronze, gold, landing, promo_cards, quality, silver, upsert
 from pricelake.sources import raw
+from pricelake.sources.history import History
 
 RUN = "store=winmart/date=2026-06-29/run_id=unit_test_run"
 
@@ -107,7 +108,7 @@ def test_upsert(spark, tmp_path):
     batch = make([("a", 3, "new", "d1", "x"), ("b", 1, "late", "d1", "x"), ("z", 1, "z", "d3", "x")], ", more string")
     for _ in range(2):
         upsert.upsert(path, batch, ["id"], "at", "day")
-        got = {r.id: (r.v, r.more) for r in spark.read.option("mergeSchema", "true").parquet(path).collect()}
+        got = {r.id: (r.v, r.more) for r in History(spark, path, "day").read().collect()}
         assert got == {"a": ("new", "x"), "b": ("keep", None), "c": ("c", None), "z": ("z", "x")}
 
 
