@@ -81,22 +81,22 @@ def quarantined(records: DataFrame) -> DataFrame:
 
 
 def run_metrics(records: DataFrame, invalid: DataFrame) -> DataFrame:
-    """Long-format counts by run: status, warnings, reasons, keys, files; one pass per side."""
-    counts = lambda metric, key: records.groupBy("run_id", key.alias("key")).agg(F.count("*").alias("value")).select("run_id", F.lit(metric).alias("metric"), "key", "value")
-    spread = lambda column, metric: records.select("run_id", F.explode(column).alias("key")).groupBy("run_id", "key").agg(F.count("*").alias("value")).select("run_id", F.lit(metric).alias("metric"), "key", "value")
-    totals = records.groupBy("run_id").agg(
-        F.count("*").alias("records_written"),
-        F.count_distinct("bronze_record_key").alias("distinct_bronze_keys"),
-        F.count_if(F.col("quality_status") == "QUARANTINE").alias("quarantine_records"),
-    )
-    totals = totals.withColumn("duplicate_bronze_keys", F.col("records_written") - F.col("distinct_bronze_keys"))
-    names = ["records_written", "distinct_bronze_keys", "duplicate_bronze_keys", "quarantine_records"]
-    flat = totals.unpivot(["run_id"], names, "metric", "value").select("run_id", "metric", F.lit("all").alias("key"), "value")
-    bad = invalid.groupBy("run_id").agg(F.count("*").alias("value")).select("run_id", F.lit("invalid_json_records").alias("metric"), F.lit("all").alias("key"), "value")
-    return (
-        flat.unionByName(counts("quality_status", F.col("quality_status")))
-        .unionByName(spread("quality_warnings", "warning"))
-        .unionByName(spread("quarantine_reasons", "reason"))
-        .unionByName(counts("file", F.col("source_file")))
-        .unionByName(bad)
+    """Long-format counts by run: status, warnings, reasons, keys, files.
+
+    One pass over each side: a record is exploded into what it counts for, its key included, and
+    that is summed inside a task before it is shuffled. The groups of keys then say how many
+    records there are, how many keys, and how many records repeat one."""
+    c = F.col
+    n = lambda metric, key, value=F.lit(1): F.struct(F.lit(metric).alias("metric"), key.alias("key"), value.cast("long").alias("value"))
+    every = F.lit("all")
+    held = F.when(c("quality_status") == "QUARANTINE", 1).otherwise(0)
+    counts = F.concat(
+        F.array(n("bronze_key", c("bronze_record_key")), n("quarantine_records", every, held), n("quality_status", c("quality_status")), n("file", c("source_file"))),
+        F.transform("quality_warnings", lambda w: n("warning", w)),
+        F.transform("quarantine_reasons", lambda r: n("reason", r)),
     )
+    rows = records.select("run_id", F.explode(counts).alias("n")).unionByName(invalid.select("run_id", n("invalid_json_records", every).alias("n")))
+    summed = lambda df: df.groupBy("run_id", "n.metric", "n.key").agg(F.sum("n.value").alias("value"))
+    of_key = F.array(n("records_written", every, c("value")), n("distinct_bronze_keys", every), n("duplicate_bronze_keys", every, c("value") - 1))
+    own = F.array(F.struct("metric", "key", "value"))
+    return summed(summed(rows).select("run_id", F.explode(F.when(c("metric") == "bronze_key", of_key).otherwise(own)).alias("n")))

@@ -13,11 +13,14 @@ LINE_ORDER = ["source_file", "source_line_number"]
 
 
 def joined(bronze: DataFrame, observations: DataFrame, products: DataFrame) -> DataFrame:
-    """Bronze rows with their observation and listing, where there are any; quarantined rows stay."""
+    """Bronze rows with their observation and listing, where there are any; quarantined rows stay.
+    Rows without an observation have no listing either and don't enter its join."""
     seen = dedupe(observations, ["source_bronze_record_key"], [F.col("observation_id")], keep="last")
     seen = seen.select(F.col("source_bronze_record_key").alias("bronze_record_key"), *["observation_id", "retailer_product_id", "observation_date", "listed_price", "promo_price", "current_price", "currency", "is_price_discount", "has_promo_mechanic", "is_on_promotion"])
     listing = products.select("retailer_product_id", "product_name", F.col("category_raw").alias("product_category"))
-    rows = bronze.join(seen, "bronze_record_key", "left").join(listing, "retailer_product_id", "left")
+    rows = bronze.join(seen, "bronze_record_key", "left")
+    known = rows.filter(F.col("retailer_product_id").isNotNull()).join(listing, "retailer_product_id", "left")
+    rows = known.unionByName(rows.filter(F.col("retailer_product_id").isNull()), allowMissingColumns=True)
     return rows.withColumn("store_code", keys.store_or_unknown(F.col("store_code")))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pricelake.functions import keys
 from pricelake.functions.numbers import valid_gtin
 from pricelake.functions.text import identity_text
+from pricelake.sources.shared import small_side, staged
 
 
 def attribute_key() -> Column:
@@ -23,11 +24,20 @@ def _shared(products: DataFrame, key: str) -> DataFrame:
     return products.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min("retailer_id").alias("low"), F.max("retailer_id").alias("high")).filter("low <> high").select(key, F.lit(True).alias(f"{key}_shared"))
 
 
+def _with_shared(rows: DataFrame, keyed: DataFrame, key: str) -> DataFrame:
+    """``rows`` with whether their key is shared; rows without a key meet in no join."""
+    shared = small_side(staged(_shared(keyed, key), "identity-shared"))
+    met = rows.filter(F.col(key).isNotNull()).join(shared, key, "left")
+    return met.unionByName(rows.filter(F.col(key).isNull()).withColumn(f"{key}_shared", F.lit(None).cast("boolean")))
+
+
 def map_products(products: DataFrame) -> DataFrame:
     """One mapping row per listing. A barcode match outranks an attribute match, and rows that
-    a barcode already matches still count as evidence for attributes."""
-    keyed = products.withColumn("gtin", valid_gtin(F.col("barcode"))).withColumn("attributes", attribute_key())
-    rows = keyed.join(_shared(keyed, "gtin"), "gtin", "left").join(_shared(keyed, "attributes"), "attributes", "left")
+    a barcode already matches still count as evidence for attributes. The keys are made once, in
+    a staged table; only values that several retailers share are joined back."""
+    keyed = products.select("retailer_product_id", "retailer_id", valid_gtin(F.col("barcode")).alias("gtin"), attribute_key().alias("attributes"))
+    keyed = staged(keyed, "identity-keys")
+    rows = _with_shared(_with_shared(keyed, keyed, "gtin"), keyed, "attributes")
     method = F.when(F.col("gtin_shared"), "barcode_exact").when(F.col("attributes_shared"), "attributes_exact").otherwise("none")
     matched = F.col("match_method") != "none"
     return rows.withColumn("match_method", method).select(

@@ -10,11 +10,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pricelake.functions.keys import ONLINE_STORE
 from pricelake.functions.numbers import digits_number, discount_label, money, payload_price, positive
 from pricelake.functions.text import collapsed
 from pricelake.operators.bronze import text_at
+from pricelake.sources.shared import small_side
 
 ZONE = "Asia/Ho_Chi_Minh"
 #: Hosts and routes of product pages.
@@ -254,86 +256,48 @@ def winmart_offers(payloads: DataFrame) -> DataFrame:
 
 
 def enriched(records: DataFrame, categories: DataFrame) -> DataFrame:
-    """Discount flags, amounts and category context; categories are a reviewed list."""
+    """Discount flags, amounts and category context; the categories' size is checked before they are sent."""
     cut = F.coalesce(F.col("promo_price") < F.col("listed_price"), F.lit(False))
     amount = F.col("listed_price") - F.col("promo_price")
-    return records.join(F.broadcast(categories), "category_code", "left").withColumns(
-        {"is_price_discount": cut, "discount_amount": F.when(cut, amount), "discount_percent": F.when(cut, F.round((amount / F.col("listed_price") * 100).cast("decimal(28,12)"), 2))}
+    return records.join(small_side(categories), "category_code", "left").withColumns(
+        {"is_price_discount": cut, "is_on_promotion": cut, "discount_amount": F.when(cut, amount), "discount_percent": F.when(cut, F.round((amount / F.col("listed_price") * 100).cast("decimal(28,12)"), 2))}
     )
 
 
-#: Keys, in lower case, by which an object counts as a product.
-PRODUCT_NAMES = ("name", "productname", "product_name", "title", "displayname")
-PRODUCT_IDS = ("id", "productid", "product_id", "sku", "code", "itemid", "item_id")
-
-
-def looks_like_product(node: Column) -> Column:
-    """A name, and a key with "price" in it, or an id beside a key with "product" or "sku" in it."""
-    keys = F.transform(F.map_keys(F.try_variant_get(node, "$", "map<string,variant>")), F.lower)
-    any_of = lambda names: F.arrays_overlap(keys, F.array(*[F.lit(n) for n in names]))
-    priced, hinted = F.exists(keys, lambda k: k.contains("price")), F.exists(keys, lambda k: k.contains("product") | k.contains("sku"))
-    return F.coalesce(any_of(PRODUCT_NAMES) & (priced | (any_of(PRODUCT_IDS) & hinted)), F.lit(False))
-
-
-def children(node: Column) -> Column:
-    """The arrays and objects directly inside an array or object."""
-    inside = F.coalesce(F.try_variant_get(node, "$", "array<variant>"), F.map_values(F.try_variant_get(node, "$", "map<string,variant>")), F.array().cast("array<variant>"))
-    return F.filter(inside, lambda x: F.schema_of_variant(x).rlike("^(OBJECT|ARRAY)"))
-
-
-def nesting(payload: Column) -> Column:
-    """How deep arrays and objects are nested, from the brackets of the JSON text."""
-    bare = F.regexp_replace(F.to_json(payload), r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', "")
-    signs = F.split(F.regexp_replace(bare, r"[^\[\]{}]", ""), "")
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
-
-    def step(state: Column, sign: Column) -> Column:
-        now = state["now"] + F.when(sign.isin("[", "{"), 1).when(sign.isin("]", "}"), -1).otherwise(0)
-        return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
-
-    return F.aggregate(signs, start, step, lambda state: state["most"])
-
-
-def product_walk(rows: DataFrame, name: str = "payload") -> DataFrame:
-    """Every nested object that looks like a product, at any depth, distinct by content.
-
-    One row per payload: level by level, its objects and arrays are a column, as many levels
-    as the deepest payload has.
-    """
-    deepest = rows.agg(F.coalesce(F.max(nesting(F.col(name))), F.lit(0))).first()[0]
-    level, levels = rows.select(F.array(name).alias("nodes"), F.array().cast("array<variant>").alias("hits")), max(1, deepest)
-    for _ in range(levels):
-        level = level.select(F.flatten(F.transform("nodes", children)).alias("nodes"), F.concat("hits", F.filter("nodes", looks_like_product)).alias("hits"))
-    return level.select(F.explode("hits").alias("v")).select(F.to_json("v").alias("product")).distinct()
-
-
-MENU_PATHS = ("GroupV2", "")
-
-
-def menu_categories(payloads: DataFrame, key: str) -> DataFrame:
-    """Categories of nested menus: key, id, name, url, parent_name; of equal urls the last in the
-    order of the menu, where a node's children come before its other fields."""
-    deepest = payloads.agg(F.coalesce(F.max(nesting(F.col("payload"))), F.lit(0))).first()[0]
-    text = lambda node, field: F.coalesce(text_of(F.try_variant_get(node, f"$.{field}", "variant")), F.lit(""))
-    listed = lambda node: F.coalesce(*[F.when(F.size(F.try_variant_get(node, f"$.{f}", "array<variant>")) > 0, F.try_variant_get(node, f"$.{f}", "array<variant>")) for f in ("childrens", "children")], F.array().cast("array<variant>"))
-    kind = "array<struct<node:variant,parent_name:string,place:array<int>>>"
-
-    def below(n: Column) -> Column:
-        node, place = n["node"], n["place"]
-        parent = F.when(text(node, "name") != "", text(node, "name")).otherwise(n["parent_name"])
-        at = lambda nodes, group: F.transform(nodes, lambda x, i: F.struct(x.alias("node"), parent.alias("parent_name"), F.concat(place, F.array(F.lit(group), i)).alias("place")))
-        others = F.map_values(F.map_filter(F.try_variant_get(node, "$", "map<string,variant>"), lambda k, _: ~k.isin("childrens", "children")))
-        inside = F.coalesce(F.try_variant_get(node, "$", "array<variant>"), others, F.array().cast("array<variant>"))
-        return F.filter(F.concat(at(listed(node), 0), at(inside, 1)), lambda x: F.schema_of_variant(x["node"]).rlike("^(OBJECT|ARRAY)"))
-
-    level = payloads.select(key, F.array(F.struct(F.col("payload").alias("node"), F.lit("").alias("parent_name"), F.array().cast("array<int>").alias("place"))).alias("nodes"), F.array().cast(kind).alias("hits"))
-    for _ in range(max(1, deepest)):
-        hit = lambda n: (text(n["node"], "url") != "") & (text(n["node"], "name") != "") & text(n["node"], "path").isin(*MENU_PATHS)
-        level = level.select(key, F.flatten(F.transform("nodes", below)).alias("nodes"), F.concat("hits", F.filter("nodes", hit)).alias("hits"))
-    rows = level.select(key, F.explode("hits").alias("h")).select(
-        key, "h.place", F.nullif(text(F.col("h.node"), "id"), F.lit("")).alias("id"), text(F.col("h.node"), "name").alias("name"), F.trim(text(F.col("h.node"), "url"), F.lit("/")).alias("url"), F.col("h.parent_name").alias("parent_name")
+#: Columns of a store's context.
+CONTEXT = ["store_code", "store_group_code", "address_context", "branch_name"]
+
+
+def with_stock(records: DataFrame, quantity: str = "quantity") -> DataFrame:
+    """Stock quantity and availability from a payload's quantity, where it has one."""
+    given = F.nullif(F.col(quantity).cast("string"), F.lit(""))
+    return records.withColumns({"stock_quantity": given, "availability_raw": F.when(given.isNotNull(), F.concat(F.lit("quantity="), given))})
+
+
+def with_store_context(records: DataFrame, contexts: DataFrame, at: str = "observed_at") -> DataFrame:
+    """Each record with the context that its retailer had at its time: the last one that began by then.
+
+    contexts: retailer_id, valid_from and CONTEXT. A context lasts until the retailer's next one
+    begins, and is listed for each day on which it holds, up to the last day of a record; records
+    meet contexts by retailer and day, so a retailer with most of the rows is spread over its
+    days. Before its first context a record has none; its own branch stays where a context names
+    none. Of contexts that begin at once the greatest holds."""
+    began = contexts.groupBy("retailer_id", "valid_from").agg(F.max(F.struct(*CONTEXT)).alias("context"))
+    until = F.lead("valid_from").over(Window.partitionBy("retailer_id").orderBy("valid_from"))
+    last = records.agg(F.max(F.col(at).cast("date")).alias("last_day"))
+    spans = began.withColumn("valid_to", until).join(F.broadcast(last))
+    first, end = F.col("valid_from").cast("date"), F.coalesce(F.col("valid_to").cast("date"), "last_day")
+    days = spans.filter(first <= F.col("last_day")).withColumn("_day", F.explode(F.sequence(first, F.greatest(first, F.least(end, "last_day")))))
+    days = days.select("retailer_id", "_day", "valid_from", "valid_to", "context")
+    rows = records.withColumn("_day", F.col(at).cast("date"))
+    met = rows.alias("r").join(
+        small_side(days).alias("c"),
+        (F.col("r.retailer_id") == F.col("c.retailer_id")) & (F.col("r._day") == F.col("c._day")) & (F.col(f"r.{at}") >= F.col("c.valid_from")) & (F.col("c.valid_to").isNull() | (F.col(f"r.{at}") < F.col("c.valid_to"))),
+        "left",
     )
-    return rows.groupBy(key, "url").agg(F.max_by(F.struct("id", "name", "parent_name"), "place").alias("last")).select(key, "last.id", "last.name", "url", "last.parent_name")
+    own = [c for c in records.columns if c not in CONTEXT]
+    branch = F.coalesce("c.context.branch_name", F.col("r.branch_name")) if "branch_name" in records.columns else F.col("c.context.branch_name")
+    return met.select(*[F.col(f"r.{c}") for c in own], *[F.col(f"c.context.{c}") for c in CONTEXT[:3]], branch.alias("branch_name"))
 
 
 def valid_offers(offers: DataFrame) -> DataFrame:

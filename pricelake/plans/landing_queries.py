@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pricelake.functions import numbers
-from pricelake.operators import landing, promo_cards, upsert
+from pricelake.operators import landing, promo_cards, upsert, walk
 from pricelake.operators.dedupe import dedupe, merge_fields
 from pricelake.plans import views
 from pricelake.plans.queries import doubles, query
@@ -26,6 +26,11 @@ def payloads(spark, sf_dir, **fields):
     return rows.select(pk(), F.try_parse_json(F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))).alias("payload"))
 
 
+def as_lines(rows):
+    """The payloads as the text of a line."""
+    return rows.select(pk(), F.to_json("payload").alias("line"))
+
+
 def price():
     """A part's whole price, the same in both engines."""
     return (F.col("p_size") * 1000).cast("bigint")
@@ -100,6 +105,20 @@ def landing_enriched(spark, sf_dir):
     return doubles(done.groupBy("category_code").agg(F.count("*").alias("n"), F.count_if("is_price_discount").alias("discounted"), F.max("discount_percent").alias("max_percent"), F.max("category_name").alias("category_name")))
 
 
+@query("""WITH e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events), c AS (
+  SELECT * FROM (VALUES ('view', TIMESTAMP '2024-01-05 00:00:00', 's1', 'b1'), ('view', TIMESTAMP '2024-01-15 12:00:00', 's2', NULL), ('click', TIMESTAMP '2024-01-10 06:30:00', 's3', 'b3')) t(event_type, valid_from, store_code, branch))
+SELECT event_type AS retailer_id, store_code, branch_name, availability_raw, count(*) AS n FROM (SELECT e.event_type, c.store_code, coalesce(c.branch, 'own') AS branch_name, CASE WHEN k % 3 <> 0 THEN 'quantity=' || (k % 3) END AS availability_raw,
+  row_number() OVER (PARTITION BY event_id ORDER BY c.valid_from DESC NULLS LAST) AS place FROM e LEFT JOIN c ON c.event_type = e.event_type AND c.valid_from <= e.ts) WHERE place = 1 GROUP BY ALL""")
+def landing_context(spark, sf_dir):
+    """Stock, and the store context that held at each record's time; two contexts of one retailer over time."""
+    rows = views.read(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    records = rows.select("event_id", F.col("event_type").alias("retailer_id"), F.col("ts").cast("timestamp").alias("observed_at"), F.lit("own").alias("branch_name"), F.when(F.col("k") % 3 != 0, (F.col("k") % 3).cast("string")).otherwise("").alias("quantity"))
+    contexts = [("view", "2024-01-05 00:00:00", "s1", "b1"), ("view", "2024-01-15 12:00:00", "s2", None), ("click", "2024-01-10 06:30:00", "s3", "b3")]
+    contexts = spark.createDataFrame(contexts, "retailer_id string, at string, store_code string, branch_name string").select("retailer_id", F.to_timestamp("at").alias("valid_from"), "store_code", F.lit("g").alias("store_group_code"), F.lit("x").alias("address_context"), "branch_name")
+    done = landing.with_store_context(landing.with_stock(records), contexts)
+    return done.groupBy("retailer_id", "store_code", "branch_name", "availability_raw").agg(F.count("*").alias("n"))
+
+
 @query("""SELECT '{"id":' || p_partkey || ',"name":"' || p_name || '","price":' || p_size || '}' AS product FROM part
 UNION SELECT '{"productName":"' || p_name || '","salePrice":' || p_size || '}' FROM part UNION SELECT '{"ProductSku":"s","Title":"' || p_brand || '","id":"1"}' FROM part""")
 def json_product_walk(spark, sf_dir):
@@ -110,7 +129,7 @@ def json_product_walk(spark, sf_dir):
         deep = F.struct(deep.alias("a"))
     hinted = F.struct(F.lit("s").alias("ProductSku"), F.col("p_brand").alias("Title"), F.lit("1").alias("id"))
     rows = payloads(spark, sf_dir, data=F.struct(F.array(F.struct(F.array(product, product).alias("items")), F.struct(F.array(product).alias("items"))).alias("list"), category.alias("cat"), deep.alias("deep"), hinted.alias("hinted")))
-    return landing.product_walk(rows)
+    return walk.product_walk(as_lines(rows))
 
 
 @query("""SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'a' END AS id, p_type AS name, 'menu/a' AS url, 'Top' AS parent_name FROM part
@@ -125,7 +144,25 @@ def menu_flatten(spark, sf_dir):
     early = F.struct(*node(F.lit("deep"), F.lit("first")), F.when(F.lit(False), leaf).alias("childrens"))
     late = F.struct(F.struct(F.array(F.struct(F.lit("/deep").alias("url"), _text(" ", F.col("p_brand"), " ").alias("name"))).alias("x")).alias("y"))
     rows = payloads(spark, sf_dir, url=F.lit("top"), name=F.lit("Top"), path=F.when(pk() % 5 != 0, "").otherwise("page"), children=F.array(group, early), more=late)
-    return landing.menu_categories(rows, "p_partkey")
+    return walk.menu_categories(as_lines(rows), "p_partkey")
+
+
+@query("""SELECT '{"id":' || p_partkey || ',"name":"' || p_name || '","price":' || p_size || '}' AS product FROM part UNION SELECT '{"a":[{"name":"z' || p_partkey % 7 || '","price":1}],"sku":"s","title":"t"}' FROM part""")
+def outermost_products(spark, sf_dir):
+    """Objects 500 levels deep, and products inside products, of which the outer one counts."""
+    inner = F.concat(F.lit('{"price":'), F.col("p_size").cast("string"), F.lit(',"name":"'), F.col("p_name"), F.lit('","id":'), pk().cast("string"), F.lit("}"))
+    outer = F.concat(F.lit('{"title":"t","a":[{"price":1,"name":"z'), (pk() % 7).cast("string"), F.lit('"}],"sku":"s"}'))
+    deep = F.concat(F.repeat(F.lit('{"x":['), 250), inner, F.lit(","), outer, F.repeat(F.lit("]}"), 250))
+    return walk.product_walk(views.read(spark, sf_dir, "part").select(deep.alias("line")), outermost=True)
+
+
+@query("""SELECT p_partkey, NULL AS id, CASE WHEN p_partkey % 2 = 0 THEN 'a' ELSE 'b' END AS name, 'u' AS url, 'top' AS parent_name FROM part UNION ALL SELECT p_partkey, '7', 'top', 'top', '' FROM part""")
+def menu_key_order(spark, sf_dir):
+    """Of equal urls the last in the order of the keys counts, which isn't that of their names."""
+    node = lambda name: f'{{"url":"/u/","name":"{name}"}}'
+    fields = F.when(pk() % 2 == 0, f'"z":{node("b")},"m":[[{node("a")}]]').otherwise(f'"z":{node("a")},"m":[[{node("b")}]]')
+    lines = F.concat(F.lit('{"path":"","children":[' + node("first") + '],"id":7,"url":"top","name":"  top ",'), fields, F.lit("}"))
+    return walk.menu_categories(views.read(spark, sf_dir, "part").select("p_partkey", lines.alias("line")), "p_partkey")
 
 
 @query("""SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN '-28%' ELSE '-' || CAST(round_even(CAST(p_size * 100 AS DOUBLE) / (p_size + 7), 0) AS INTEGER) || '%' END AS label FROM part""")

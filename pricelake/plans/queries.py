@@ -480,6 +480,27 @@ def replacement_ready(spark, sf_dir):
     return reconcile.replacement_ready(*_line_versions(spark, sf_dir), LINE_KEYS, ["l_quantity", "l_extendedprice", "l_returnflag"])
 
 
+PARITY_FIELDS = ["product_name", "price", "container", "size"]
+
+
+@query("""
+SELECT 'missing_keys' AS finding, NULL AS field, count(*) AS rows FROM part WHERE p_partkey % 17 = 0 UNION ALL SELECT 'extra_keys', NULL, count(*) FROM part WHERE p_partkey % 19 = 0
+UNION ALL SELECT 'repeated_rows', 'expected', 0 UNION ALL SELECT 'repeated_rows', 'actual', count(*) FROM part WHERE p_partkey % 17 <> 0 AND p_partkey % 23 = 0
+UNION ALL SELECT 'field_mismatch', 'product_name', count(*) FROM part WHERE p_partkey % 17 <> 0 AND p_partkey % 11 = 0 UNION ALL SELECT 'field_mismatch', 'price', count(*) FROM part WHERE p_partkey % 17 <> 0 AND p_partkey % 7 = 0
+UNION ALL SELECT 'missing_column', 'container', 1 UNION ALL SELECT 'missing_column', 'size', 1""")
+def silver_parity(spark, sf_dir):
+    """Two versions of a table: rows missing, added and repeated, values changed within and beyond the
+    tolerance, values that became null, and a column that only one side has, on either side."""
+    parts = views.read(spark, sf_dir, "part")
+    key, price = F.col("p_partkey"), F.col("p_size") + F.lit(0.5)
+    expected = parts.select("p_partkey", F.col("p_name").alias("product_name"), price.alias("price"), F.col("p_brand").alias("container"))
+    name = F.when(key % 22 == 0, F.lit(None)).when(key % 11 == 0, F.upper("p_name")).otherwise(F.col("p_name"))
+    cost = F.when(key % 14 == 0, F.lit(None)).when(key % 7 == 0, price + 0.01).otherwise(price + 0.00001)
+    kept = parts.filter(key % 17 != 0).select("p_partkey", name.alias("product_name"), cost.alias("price"), F.col("p_size").alias("size"))
+    added = parts.filter(key % 19 == 0).select((-key - 1).alias("p_partkey"), F.lit("x").alias("product_name"), F.lit(1.0).alias("price"), F.lit(1).alias("size"))
+    return reconcile.parity(expected, kept.unionByName(kept.filter(key % 23 == 0)).unionByName(added), ["p_partkey"], PARITY_FIELDS)
+
+
 # --- Serving --------------------------------------------------------------
 
 def _served(spark, sf_dir):
@@ -505,7 +526,32 @@ def discounts(spark, sf_dir):
 @query(SERVED + """ SELECT a.canonical_product_id, a.snapshot_date, a.retailer_id AS a_retailer_id, b.retailer_id AS b_retailer_id, count(*) AS pairs
 FROM served a JOIN served b ON a.canonical_product_id = b.canonical_product_id AND a.measurement_type = b.measurement_type AND a.comparison_unit = b.comparison_unit AND a.snapshot_date = b.snapshot_date AND a.retailer_id < b.retailer_id GROUP BY 1, 2, 3, 4""")
 def comparable_pairs(spark, sf_dir):
-    return serving.comparable_pairs(_served(spark, sf_dir)).groupBy("canonical_product_id", "snapshot_date", "a_retailer_id", "b_retailer_id").agg(F.count("*").alias("pairs"))
+    return serving.comparable_pairs(_served(spark, sf_dir)).groupBy("canonical_product_id", "snapshot_date", "a_retailer_id", "b_retailer_id").agg(F.sum("pairs").alias("pairs"))
+
+
+CLASS_SQL = ", served_ AS (SELECT * FROM served WHERE canonical_product_id IS NOT NULL AND comparison_unit IS NOT NULL AND effective_unit_price IS NOT NULL)"
+
+
+@query(SERVED + CLASS_SQL + """, firsts AS (SELECT *, row_number() OVER (PARTITION BY canonical_product_id, measurement_type, comparison_unit, snapshot_date ORDER BY price, retailer_id) AS place FROM (
+  SELECT canonical_product_id, measurement_type, comparison_unit, snapshot_date, retailer_id, min(effective_unit_price) AS price FROM served_ GROUP BY 1, 2, 3, 4, 5))
+SELECT s.canonical_product_id, s.snapshot_date, s.retailer_id, count(*) AS listings, f.retailer_id AS other_retailer_id, f.price AS other_price, CAST(count(*) FILTER (f.price < s.effective_unit_price) AS BIGINT) AS dearer
+FROM served_ s JOIN firsts g ON g.canonical_product_id = s.canonical_product_id AND g.measurement_type = s.measurement_type AND g.comparison_unit = s.comparison_unit AND g.snapshot_date = s.snapshot_date AND g.place = 1
+JOIN firsts f ON f.canonical_product_id = s.canonical_product_id AND f.measurement_type = s.measurement_type AND f.comparison_unit = s.comparison_unit AND f.snapshot_date = s.snapshot_date AND f.place = CASE WHEN g.retailer_id = s.retailer_id THEN 2 ELSE 1 END
+GROUP BY 1, 2, 3, 5, 6""")
+def best_comparable(spark, sf_dir):
+    """Each listing against the cheapest comparable offer of another retailer, counted by offer."""
+    found = serving.best_comparable(_served(spark, sf_dir))
+    dearer = F.count_if(F.col("other_effective_unit_price") < F.col("effective_unit_price")).alias("dearer")
+    return doubles(found.groupBy("canonical_product_id", "snapshot_date", "retailer_id", "other_retailer_id", F.col("other_effective_unit_price").alias("other_price")).agg(F.count("*").alias("listings"), dearer))
+
+
+@query(with_views("listing listing_x keyed mapped", """, n AS (SELECT CASE WHEN match_method = 'barcode_exact' THEN 'prod_' || left(sha256('barcode_exact|' || gtin), 24) ELSE 'prod_' || left(sha256('attributes_exact|' || akey), 24) END AS canonical_product_id,
+  retailer_id, count(*) AS listings FROM mapped WHERE match_method <> 'none' GROUP BY ALL) SELECT a.canonical_product_id, a.retailer_id AS a_retailer_id, b.retailer_id AS b_retailer_id, CAST(a.listings * b.listings AS BIGINT) AS pairs FROM n a JOIN n b USING (canonical_product_id) WHERE a.retailer_id < b.retailer_id""").replace("\n, n AS", ",\nn AS"))
+def comparable_mapped(spark, sf_dir):
+    """Comparable listings by the canonical ids that the identity mapping gives."""
+    mapped = identity.map_products(views.listings_x(spark, sf_dir)).filter("review_status = 'matched'")
+    rows = mapped.select("canonical_product_id", "retailer_id", "retailer_product_id", F.lit("x").alias("measurement_type"), F.lit("each").alias("comparison_unit"), F.lit("2024-01-01").alias("snapshot_date"), F.lit(1.0).alias("effective_unit_price"))
+    return serving.comparable_pairs(rows).select("canonical_product_id", "a_retailer_id", "b_retailer_id", "pairs")
 
 
 @query(with_views(FACT, """SELECT snapshot_date, measurement_type, comparison_unit, retailer_id, store_code, retailer_product_id, effective_unit_price FROM (

@@ -34,7 +34,9 @@ def failed(spark: SparkSession, ledger: str, run: tuple[str, str, str], dataset:
 
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
-    """All records as a table."""
+    """All records as a table; none where no run has left one yet."""
+    if not Files(spark).names(ledger):
+        return spark.createDataFrame([], RECORD)
     return spark.read.schema(RECORD).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").json(ledger)
 
 

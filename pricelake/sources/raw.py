@@ -132,8 +132,9 @@ def file_digests(spark: SparkSession, roots: str | list[str], glob: str = "*.jso
 
     with settings(spark, WHOLE_FILES):
         found = staged(pieces.mapInArrow(digest, "path string, bytes long, sha256 string"), "digests")
-    names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(roots).select(F.col("length").alias("bytes"), "path")
-    empty = names.filter("bytes = 0").select("path", "bytes", F.lit(sha256().hexdigest()).alias("sha256"))
+    names = spark.createDataFrame([(f,) for f in files.inputFiles()], "path string")  # the driver's own list of files
+    plain = lambda path: F.regexp_replace(path, "^file:/+", "/")  # noqa: E731 - a local path is written in two ways
+    empty = names.join(found.select(F.col("path").alias("read")), plain(F.col("path")) == plain(F.col("read")), "left_anti").select("path", F.lit(0).cast("long").alias("bytes"), F.lit(sha256().hexdigest()).alias("sha256"))
     return found.unionByName(empty)
 
 

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from pricelake.operators import bronze, gold, landing, promo_cards, quality, silver, upsert
+from pricelake.operators import bronze, gold, landing, promo_cards, quality, silver, upsert, walk
 from pricelake.sources import raw
 from pricelake.sources.history import History
 
@@ -122,9 +122,9 @@ def test_promo_cards(spark):
 
 def test_walk_and_pages(spark):
     deep = '{"a":' * 15 + '{"Title":"z","salePrice":"} ] \\\\\\" {"}' + "}" * 15
-    rows = spark.createDataFrame([('{"a":[{"name":"x","price":1,"in":{"name":"y","id":2,"skuNo":"1"}},{"name":"no","id":3}]}',), (deep,), (None,), ("[]",)], "j string").select(F.try_parse_json("j").alias("payload"))
-    assert {json.loads(r.product).get("name") or json.loads(r.product)["Title"] for r in landing.product_walk(rows).collect()} == {"x", "y", "z"}
-    assert landing.product_walk(rows.limit(0)).count() == 0
+    rows = spark.createDataFrame([('{"a":[{"name":"x","price":1,"in":{"name":"y","id":2,"skuNo":"1"}},{"name":"no","id":3}]}',), (deep,), (None,), ("[]",)], "line string")
+    assert {json.loads(r.product).get("name") or json.loads(r.product)["Title"] for r in walk.product_walk(rows).collect()} == {"x", "y", "z"}
+    assert walk.product_walk(rows.limit(0)).count() == 0
     html = spark.createDataFrame([(1, '<a class="c" href="/p--s123?x">p</a><a href="/c-i.77">c</a><script id="__NEXT_DATA__" type="j">{"props":{"n":5}}</script>')], "page_id long, html string")
     got = {r.href: (r.item_no, r.category_id) for r in landing.page_links(html).collect()}
     assert got == {"/p--s123?x": ("123", None), "/c-i.77": (None, "77")}
