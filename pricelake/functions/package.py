@@ -33,10 +33,12 @@ COUNT_WORDS = ("cai", "chiec", "chai", "lon", "goi", "hop", "cuon", "vien")
 #: Units of which a price per unit may be published without a measurement.
 PUBLISHABLE_UNITS = ("each", "roll", "set", "blister")
 
+#: The patterns' units and bounds. The end of a unit is a look-ahead, since a word boundary
+#: of Java's patterns doesn't know letters beyond ASCII.
 PACK_PATTERN = rf"\b(?:{'|'.join(PACK_WORDS)})\s*(\d{{1,3}})\b"
 INLINE_PATTERN = rf"\b(\d{{1,3}})\s*(?:{'|'.join(COUNT_WORDS)})\b"
 AREA_PATTERN = r"\b(\d{2,4}(?:[,.]\d+)?)\s*[x*]\s*(\d{2,4}(?:[,.]\d+)?)(?:\s*cm)?\b"
-MEASURE_PATTERN = r"(\d+(?:[,.]\d+)?)\s*(?:kg|gram|gr|g|ml|lit|lít|l)(?![\p{L}\p{N}_])"
+MEASURE_PATTERN = r"(\d+(?:[,.]\d+)?)\s*(?:kg|g|gr|gram|ml|l|lit|lít)(?![\p{L}\p{N}_])"
 
 
 def selling_unit(unit: Column) -> Column:

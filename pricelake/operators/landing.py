@@ -45,24 +45,44 @@ def lowered(payload: Column) -> Column:
 
 def text_of(value: Column) -> Column:
     """A VARIANT scalar as text with white space collapsed; null for blank text, objects and arrays."""
-    return F.nullif(collapsed(F.try_variant_get(value, "$", "string")), F.lit(""))
+    nested = F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)")
+    return F.when(~nested, F.nullif(collapsed(F.try_variant_get(value, "$", "string")), F.lit("")))
 
 
 def first_value(fields: Column, names: list[str]) -> Column:
     """The first non-empty value of ``lowered`` fields by case-insensitive name, as VARIANT."""
-    values = [F.try_element_at(fields, F.lit(n.lower())) for n in names]
-    return F.coalesce(*[F.when(text_of(v).isNotNull(), v) for v in values])
+    values = F.array(*[F.try_element_at(fields, F.lit(n.lower())) for n in names])
+    return F.try_element_at(F.filter(values, lambda v: text_of(v).isNotNull()), F.lit(1))
+
+
+#: Canonical columns and the adapters' columns that may hold them, the first filled one counts.
+CANONICAL = {
+    "store_code": ["store_code", "store_site_code"],
+    "source_product_id": ["product_id", "sku", "barcode"],
+    "product_name_raw": ["name"],
+    "brand_raw": ["brand"],
+    "category_raw": ["category_name", "category_full_path"],
+    "unit_raw": ["unit"],
+    "source_url": ["product_url", "url", "source_url"],
+    "image_url": ["image_url", "image", "thumbnail_url", "thumbnail"],
+    "observed_at": ["crawled_at"],
+}
 
 
 def envelope(offers: DataFrame, retailer: str) -> DataFrame:
-    """Canonical names over adapters' ones: prices, flags, store, source and id."""
+    """Canonical names over adapters' ones: prices, flags, store, source and id; the offer as it
+    came is kept as raw_product, a VARIANT."""
     c = F.col
+    filled = lambda names: F.coalesce(*[F.nullif(c(n).cast("string"), F.lit("")) for n in names if n in offers.columns], F.lit(None).cast("string"))
+    named = {canonical: filled(names) for canonical, names in CANONICAL.items()}
     cut = F.coalesce((c("sale_price") > 0) & (c("original_price") > c("sale_price")), F.lit(False))
     spoken = F.coalesce(F.trim("promotion") != "", F.lit(False))
     return offers.withColumns(
         {
+            **named,
+            "raw_product": F.to_variant_object(F.struct(*offers.columns)),
             "retailer_id": F.lit(retailer),
-            "store_code": F.coalesce(F.nullif("store_code", F.lit("")), F.lit(ONLINE_STORE)) if "store_code" in offers.columns else F.lit(ONLINE_STORE),
+            "store_code": F.coalesce(named["store_code"], F.lit(ONLINE_STORE)),
             "current_price": c("sale_price"),
             "listed_price": c("original_price"),
             "promo_price": F.when(cut, c("sale_price")),
@@ -79,7 +99,8 @@ def _web(text: Column) -> Column:
 
 
 def go_offers(payloads: DataFrame) -> DataFrame:
-    """Sale test, detail lookup by key words, first image; a lower member price is the sale price."""
+    """Sale test, detail lookup by key words, first image; a lower member price is the sale price.
+    The category is a payload's own, as the page that it came from says."""
     p = F.col("payload")
     sale, listed, member = price(p, "price"), price(p, "promotion_price"), price(p, "member_price")
     gifts = F.size(F.coalesce(F.try_variant_get(p, "$.gift.list", "array<variant>"), F.array()))
@@ -100,6 +121,12 @@ def go_offers(payloads: DataFrame) -> DataFrame:
         clean(p, "id").alias("product_id"),
         looked(["trọng lượng", "dung tích"]).alias("unit"),
         looked(["thương hiệu"]).alias("brand"),
+        looked(["xuất xứ", "sản xuất tại"]).alias("origin"),
+        clean(p, "category_id").alias("category_id"),
+        clean(p, "category_name").alias("category_name"),
+        member.alias("member_price"),
+        F.coalesce(clean(p, "member_price_start_date"), clean(p, "member_price_start_time"), F.lit("")).alias("sale_start_at"),
+        F.coalesce(clean(p, "member_price_end_date"), clean(p, "member_price_end_time"), F.lit("")).alias("sale_end_at"),
         F.coalesce(text_at(p, "status") == "1", F.lit(False)).alias("in_stock"),
     )
 
@@ -143,7 +170,8 @@ def local_time(text: Column) -> Column:
 
 
 def mm_offers(payloads: DataFrame) -> DataFrame:
-    """Promotions as an array; the sale lasts from the least start to the greatest end; a lower card price wins."""
+    """Promotions and categories as arrays; the sale lasts from the least start to the greatest end; a
+    lower card price wins."""
     p = F.col("payload")
     plain, listed, card = price(p, "sale_price"), price(p, "unit_price"), price(p, "mcard_price")
     sale = F.when(card.isNotNull() & (plain.isNull() | (card < plain)), card).otherwise(plain)
@@ -152,7 +180,11 @@ def mm_offers(payloads: DataFrame) -> DataFrame:
     filled = lambda field: F.filter(F.transform("promotions", lambda x: x[field]), lambda t: t != "")
     image = clean(p, "thumbnail_image")
     rows = payloads.filter(clean(p, "name").isNotNull() & clean(p, "slug").isNotNull() & sale.isNotNull() & _web(image))
-    rows = rows.select("payload", promotions.alias("promotions"), sale.alias("sale_price"), F.when(listed > sale, listed).alias("original_price"))
+    kinds = "array<struct<id:string,name:string,name_en:string,slug:string>>"
+    tidy = lambda x, f: F.coalesce(collapsed(x[f]), F.lit("")).alias(f)
+    categories = F.filter(F.try_variant_get(p, "$.categories", kinds), lambda x: x.isNotNull())
+    categories = F.coalesce(F.transform(categories, lambda x: F.struct(x["id"].alias("id"), tidy(x, "name"), tidy(x, "name_en"), tidy(x, "slug"))), F.array().cast(kinds))
+    rows = rows.select("payload", categories.alias("categories"), promotions.alias("promotions"), sale.alias("sale_price"), F.when(listed > sale, listed).alias("original_price"))
     return rows.select(
         clean(p, "name").alias("name"),
         F.concat(F.lit(MM_SITE + "/products/"), clean(p, "slug")).alias("url"),
@@ -162,6 +194,7 @@ def mm_offers(payloads: DataFrame) -> DataFrame:
         discount_label(F.col("sale_price"), F.col("original_price")).alias("discount"),
         F.array_join(filled("name"), "; ").alias("promotion"),
         "promotions",
+        "categories",
         clean(p, "sku").alias("sku"),
         clean(p, "id").alias("product_id"),
         F.coalesce(F.array_min(filled("start_at")), F.lit("")).alias("sale_start_at"),
@@ -189,15 +222,28 @@ def _filled(value: Column) -> Column:
     return F.coalesce(F.size(F.try_variant_get(value, "$", "array<variant>")) > 0, F.size(F.try_variant_get(value, "$", "map<string,variant>")) > 0, F.lit(False))
 
 
+#: Fields by which a promotion without any text is described.
+BHX_COMPACT = ("crmProgramId", "timeLineId", "maxQuantityOrder", "remainingQuantity", "startTime", "dueTime")
+
+
+def _compact(value: Column) -> Column:
+    """A promotion object's describing fields that are filled, in JSON with sorted keys; null if there are none."""
+    at = lambda f: F.try_variant_get(value, f"$.{f}", "variant")
+    empty = lambda v: F.coalesce(F.is_variant_null(v), F.lit(True)) | F.to_json(v).isin('""', "[]", "{}")
+    text = lambda f: F.when(~empty(at(f)), F.concat(F.lit(f'"{f}": '), F.to_json(at(f))))
+    filled = F.array_join(F.array_compact(F.array(*[text(f) for f in sorted(BHX_COMPACT)])), ", ")
+    return F.when(filled != "", F.concat(F.lit("{"), filled, F.lit("}")))
+
+
 def _promotion_name(value: Column) -> Column:
-    """A promotion object's first text, or the text itself."""
-    return F.coalesce(*[text_of(F.try_variant_get(value, f"$.{n}", "variant")) for n in BHX_NAMES], text_of(value))
+    """A promotion object's first text, else its describing fields, or the text itself."""
+    return F.coalesce(*[text_of(F.try_variant_get(value, f"$.{n}", "variant")) for n in BHX_NAMES], text_of(value), _compact(value))
 
 
 def bhx_offers(payloads: DataFrame) -> DataFrame:
     """The cheapest discounted price entry, else the cheapest, the first of equals; kept if discounted
     or promoted in any other way: a text, a list of promotions or campaigns, a popup, a kind, or a
-    price entry for several items. Promotions without any text are counted but not named."""
+    price entry for several items. A promotion without any text is named by its other fields."""
     p, c = F.col("payload"), F.col
     at = lambda field: F.try_variant_get(p, f"$.{field}", "variant")
     entries = F.coalesce(F.try_variant_get(p, "$.productPrices", BHX_ENTRY), F.array().cast(BHX_ENTRY))
@@ -237,6 +283,71 @@ def bhx_offers(payloads: DataFrame) -> DataFrame:
     )
 
 
+#: Fields of a product and the names under which payloads have them.
+WINMART_TEXTS = {
+    "branch_name": ("branchName", "storeName"),
+    "brand_raw": ("brandName", "brand", "manufacturer"),
+    "category_raw": ("category", "categoryName", "cateName"),
+    "package_size_raw": ("packageSize", "size", "volume", "weight", "capacity"),
+    "promotion_text_raw": ("promotionText", "promotion", "promoText", "description"),
+    "promotion_start_date": ("promotionStartDate", "startDate"),
+    "promotion_end_date": ("promotionEndDate", "endDate"),
+    "availability_raw": ("availability", "stockStatus", "status", "inventoryStatus"),
+    "image_url": ("imageUrl", "mediaUrl", "image", "thumbnail", "thumbnailUrl", "avatar"),
+}
+#: Names of prices, links and images outside price entries, and of parts of an image object.
+BHX_SALE = ("salePrice", "sale_price", "discountPrice", "discount_price", "finalPrice", "price")
+BHX_LISTED = ("originalPrice", "original_price", "oldPrice", "old_price", "listPrice", "marketPrice")
+BHX_LINKS = ("url", "productUrl", "product_url", "link", "href", "slug")
+BHX_IMAGES = ("image", "imageUrl", "image_url", "thumbnail", "picture", "avatar")
+BHX_SIZES = ("url", "src", "large", "medium", "small")
+
+
+def bhx_walk_offers(payloads: DataFrame) -> DataFrame:
+    """Products that a walk over any payload finds: the price of the cheapest discounted entry, else of
+    the cheapest, else one beside them; an image may be an object or a list. One without a price, a
+    link and an image is no product."""
+    p, c = F.col("payload"), F.col
+    entries = F.coalesce(F.try_variant_get(p, "$.productPrices", BHX_ENTRY), F.array().cast(BHX_ENTRY))
+    priced = F.transform("entries", lambda e, i: F.struct(payload_price(e["price"]).alias("price"), i.alias("place"), payload_price(e["sysPrice"]).alias("listed"), text_of(e["discountPercent"]).alias("discount")))
+    rows = payloads.select("payload", entries.alias("entries"), lowered(p).alias("f"))
+    rows = rows.withColumn("prices", F.filter(priced, lambda e: e["price"] > 0))
+    rows = rows.withColumn("chosen", F.coalesce(F.array_min(F.filter("prices", lambda e: e["listed"] > e["price"])), F.array_min("prices")))
+
+    def first(names: tuple[str, ...]) -> Column:
+        """The first field that isn't empty, of any kind."""
+        values = F.array(*[F.try_element_at(c("f"), F.lit(n.lower())) for n in names])
+        return F.try_element_at(F.filter(values, lambda v: ~F.coalesce(F.is_variant_null(v), F.lit(True)) & (F.to_json(v) != '""')), F.lit(1))
+
+    part = lambda value, names: F.coalesce(*[text_of(F.try_variant_get(value, f"$.{n}", "variant")) for n in names])
+    names = {
+        "name": ("productName", "product_name", "name", "title", "displayName"),
+        "link": BHX_LINKS,
+        "picture": BHX_IMAGES,
+        "sale": BHX_SALE,
+        "listed": BHX_LISTED,
+        "discount": ("discount", "discountPercent", "discount_percent", "promotion"),
+        "promotion": ("promotionText", "promotion_text", "campaign", "label"),
+        "unit": ("unit", "unitName", "quantity"),
+    }
+    rows = rows.select("chosen", *[first(n).alias(field) for field, n in names.items()])
+    rows = rows.withColumns({"head": F.try_variant_get("picture", "$[0]", "variant"), **{f: text_of(c(f)) for f in ("name", "link", "discount", "promotion", "unit")}})
+    image = F.coalesce(text_of(c("picture")), part(c("picture"), BHX_SIZES), text_of(c("head")), part(c("head"), BHX_SIZES[:2]))
+    kept = rows.filter(c("name").isNotNull() & (c("chosen").isNotNull() | c("sale").isNotNull() | c("link").isNotNull() | c("picture").isNotNull()))
+    entry = c("chosen").isNotNull()
+    return kept.select(
+        "name",
+        F.when(_web(c("link")), c("link")).otherwise(F.concat(F.lit(BHX_SITE), F.when(c("link").startswith("/"), "").otherwise("/"), c("link"))).alias("url"),
+        image.alias("image"),
+        F.when(entry, c("chosen.price")).otherwise(payload_price(c("sale"))).alias("sale_price"),
+        F.when(entry, c("chosen.listed")).otherwise(payload_price(c("listed"))).alias("original_price"),
+        F.coalesce("discount", c("chosen.discount"), F.lit("")).alias("discount"),
+        F.coalesce("promotion", F.lit("")).alias("promotion"),
+        "unit",
+        F.lit("network_json").alias("source"),
+    )
+
+
 def winmart_offers(payloads: DataFrame) -> DataFrame:
     """Prices by case-insensitive names; a differing raw price stands for a missing listed one."""
     rows = payloads.select("payload", lowered(F.col("payload")).alias("f"))
@@ -251,6 +362,9 @@ def winmart_offers(payloads: DataFrame) -> DataFrame:
         listed.alias("listed_price"),
         promo.alias("promo_price"),
         F.coalesce(money(v("currentPrice")), zero(promo), zero(raw), listed).alias("current_price"),
+        money(v("discountAmount", "discount", "saveAmount")).alias("discount_amount"),
+        money(v("discountPercent", "discountRate", "percentDiscount")).alias("discount_percent"),
+        *[text_of(v(*names)).alias(field) for field, names in WINMART_TEXTS.items()],
         "payload",
     )
 
@@ -336,5 +450,17 @@ def card_prices(text: Column) -> tuple[Column, Column, Column]:
     return low, F.when(high != low, high), F.regexp_extract(text, r"-?\d+%", 0)
 
 
-def landing_counts(offers: DataFrame, category: str) -> DataFrame:
-    return offers.groupBy(category).agg(F.count("*").alias("candidates"), F.count_if(F.col("original_price") > F.col("sale_price")).alias("discounted"))
+def landing_counts(offers: DataFrame, category: str, written: DataFrame | None = None) -> DataFrame:
+    """Per category: candidates, discounted ones, and the rows that were written, where those are given."""
+    counts = offers.groupBy(category).agg(F.count("*").alias("candidates"), F.count_if(F.col("original_price") > F.col("sale_price")).alias("discounted"))
+    if written is None:
+        return counts
+    kept = written.groupBy(F.col(category).alias("_category")).agg(F.count("*").alias("written"))
+    return counts.join(kept, F.col(category).eqNullSafe(F.col("_category")), "left").select(category, "candidates", "discounted", F.coalesce("written", F.lit(0)).alias("written"))
+
+
+def page_category(html: Column) -> Column:
+    """The category that a page's data script describes; its fields are null where there is none."""
+    at = lambda path: F.try_variant_get(embedded_json(html), f"$.props.pageProps.{path}", "string")
+    names = {"category_code": "data.categoryCode", "category_name": "data.name", "category_description": "data.description", "category_image_url": "data.imageUrl", "slug": "slug"}
+    return F.struct(*[at(path).alias(name) for name, path in names.items()])

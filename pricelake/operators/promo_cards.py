@@ -129,11 +129,21 @@ def unmatched(promos: DataFrame, products: DataFrame) -> DataFrame:
     return promos.join(products.select("item_no").distinct(), "item_no", "left_anti")
 
 
-def merge_summary(attached: DataFrame) -> DataFrame:
-    return attached.agg(
+def merge_summary(attached: DataFrame, promos: DataFrame | None = None, statuses: DataFrame | None = None) -> DataFrame:
+    """Counts of a merge in one row. With the cards: how many were read, found no product, and name no
+    item; with the matches' uom_match_status: how many matches have each."""
+    row = attached.agg(
         F.count("*").alias("products_read"),
         F.count_if("is_price_discount").alias("products_with_price_discount"),
         F.count_if("has_promo_mechanic").alias("products_with_promo_cards"),
         F.count_if("is_on_promotion").alias("products_on_promotion"),
         F.coalesce(F.sum("promo_card_match_count"), F.lit(0)).alias("promo_card_matches"),
     )
+    if promos is not None:
+        without = F.coalesce(F.col("item_no"), F.lit("")) == ""
+        row = row.join(F.broadcast(promos.agg(F.count("*").alias("promo_cards_read"), F.count_if(without).alias("promo_cards_without_item_no"))))
+        row = row.join(F.broadcast(unmatched(promos, attached).agg(F.count("*").alias("promo_cards_unmatched"))))
+    if statuses is not None:
+        counted = statuses.groupBy(F.coalesce("uom_match_status", F.lit("unknown")).alias("status")).agg(F.count("*").alias("n"))
+        row = row.join(F.broadcast(counted.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("status", "n")))).alias("uom_match_status_counts"))))
+    return row

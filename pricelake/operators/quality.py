@@ -77,6 +77,15 @@ def orphans(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     return fact.join(dimension.select(key), key, "left_anti")
 
 
+def entity_issues(promotions: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
+    """rule, severity and rows: items without their promotion or product, and price discounts without a price."""
+    counted = lambda rows, rule: rows.agg(F.count("*").alias("n")).select(F.lit(rule).alias("rule_id"), F.lit("BLOCK_PUBLISH").alias("severity"), "n")
+    unpriced = promotions.filter((F.col("promotion_type") == "price_discount") & F.col("current_price").isNull())
+    rows = counted(orphans(items, promotions, "promotion_id"), "promotion_item_missing_promotion")
+    rows = rows.unionByName(counted(orphans(items, products, "retailer_product_id"), "promotion_item_missing_product"))
+    return rows.unionByName(counted(unpriced, "price_discount_missing_current_price")).filter("n > 0")
+
+
 def history_check(history: DataFrame, key: str, grain: list[str], required: list[str]) -> DataFrame:
     """One row: rows, distinct ids, repeated grains, and nulls in required columns."""
     grains = F.count_distinct(F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in grain]))

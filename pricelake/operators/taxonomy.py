@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.functions import keys
@@ -47,3 +47,17 @@ def map_categories(products: DataFrame, rules: DataFrame) -> DataFrame:
 
 def coverage(mapped: DataFrame) -> DataFrame:
     return mapped.groupBy("mapping_status", "mapping_method").agg(F.count("*").alias("categories"))
+
+
+CONFIG = "canonical_categories array<struct<canonical_category_id:string,canonical_category_name:string>>, mappings array<struct<retailer_id:string,match_type:string,value:string,canonical_category_id:string>>"
+
+
+def read_config(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(declared categories, rules in their order) of a reviewed configuration, one JSON document."""
+    config = spark.read.schema(CONFIG).option("multiLine", "true").json(path)
+    return config.select(F.inline("canonical_categories")), config.select(F.posexplode("mappings").alias("ordinal", "m")).select("ordinal", "m.*")
+
+
+def enabled_categories(categories: DataFrame) -> DataFrame:
+    """Those that are switched on; a category without the switch is off."""
+    return categories.filter(F.coalesce(F.col("enabled"), F.lit(False)))
