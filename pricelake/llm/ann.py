@@ -10,7 +10,8 @@ Parts grow with the rows, one for each block of them, between bounds: finer ones
 more copies of a query, more than the sample can teach would be guessed. Index: every row
 goes to its most probable part; a part is split into blocks of bounded size, so a part that
 holds a third of the rows is no single task. Search: a query visits all blocks of its most
-probable parts, and what it finds is ranked by the inner product in double precision on the
+probable parts, and of further ones until the visited parts, whose rows are counted, hold as
+many candidates as it wants; a part that many queries visit gets them in blocks. What it finds is ranked by the inner product in double precision on the
 original vectors.
 
 Defined cases: vectors that are null, zero, empty, or hold a null or non-finite component,
@@ -192,29 +193,37 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, parts: int | None =
     router = spark.sparkContext.broadcast(fit(np.stack([v for v in sample["v"] if len(v) == width]), k, parts))
     routed = pa.schema([("vec_id", pa.int64()), ("v", pa.list_(pa.float64())), ("parts", pa.list_(pa.int32()))])
 
-    def placed(side: DataFrame, keep: int) -> DataFrame:
-        """Rows of the common length with their ``keep`` most probable parts, others with the part of their length."""
+    def placed(side: DataFrame, keep: int, sizes: np.ndarray | None = None, wanted: int = 0) -> DataFrame:
+        """Rows of the common length with their ``keep`` most probable parts, and with as many more as it
+        takes until those of ``sizes`` hold ``wanted`` rows; others with the part of their length."""
 
         def run(batches):
             for batch in batches:
                 if batch.num_rows:
-                    x = np.array(batch["v"].to_pylist(), np.float64)
-                    yield batch_of(routed, batch["vec_id"], batch["v"], list(router.value.ranked(x)[:, :keep].astype(np.int32)))
+                    ranked = router.value.ranked(np.array(batch["v"].to_pylist(), np.float64)).astype(np.int32)
+                    probes = np.full(len(ranked), keep)
+                    if sizes is not None:
+                        probes = np.maximum(probes, 1 + (np.cumsum(sizes[ranked], axis=1) < wanted).sum(axis=1))
+                    yield batch_of(routed, batch["vec_id"], batch["v"], [r[:n] for r, n in zip(ranked, probes)])
 
         common = side.filter(F.size("v") == width).mapInArrow(run, "vec_id long, v array<double>, parts array<int>")
         return common.select("vec_id", "v", F.explode("parts").alias("part")).unionByName(side.filter(F.size("v") != width).withColumn("part", -F.size("v")))
 
     index = stage(placed(rows, 1), "ann-index")
-    asked = stage(placed(queries.filter("vec_id is not null").select("vec_id", "v").distinct(), router.value.probes), "ann-queries")
+    counted = dict(map(tuple, index.filter("part >= 0").groupBy("part").count().collect()))  # one row for each part
+    sizes = np.array([counted.get(p, 0) for p in range(router.value.w2.shape[1])])
+    same_id = rows.groupBy("vec_id").count().agg(F.max("count")).first()[0]
+    asked = placed(queries.filter("vec_id is not null").select("vec_id", "v").distinct(), router.value.probes, sizes, k + same_id)
+    asked = stage(asked, "ann-queries")
     spread = min(shuffle_width(spark), total // LEAST_BLOCK)
     size = F.count("*")
     blocks = index.groupBy("part").agg(F.greatest(F.lit(1), F.ceil(size / BLOCK), F.round(F.lit(spread) * size / total)).cast("int").alias("blocks"))
-    blocks = small_side(stage(blocks, "ann-blocks"))
-    down = max(1, math.ceil(asked.count() / (QUERY_BLOCK * parts)))
+    down = asked.groupBy("part").agg(F.ceil(size / QUERY_BLOCK).cast("int").alias("down"))
+    blocks = small_side(stage(blocks.join(down, "part"), "ann-blocks"))
     cells = (
         index.join(blocks, "part")
-        .select("part", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("j"), F.lit(False).alias("asks"), "vec_id", "v")
-        .unionByName(asked.join(blocks, "part").select("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("vec_id"), F.lit(down)).cast("int").alias("j"), F.lit(True).alias("asks"), "vec_id", "v"))
+        .select("part", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("down") - 1)).alias("j"), F.lit(False).alias("asks"), "vec_id", "v")
+        .unionByName(asked.join(blocks, "part").select("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("vec_id"), "down").cast("int").alias("j"), F.lit(True).alias("asks"), "vec_id", "v"))
     )
 
     def search(cell: pd.DataFrame) -> pd.DataFrame:

@@ -115,3 +115,18 @@ def test_parts_grow_and_clusters_need_few():
     rng = np.random.default_rng(6)
     x = rng.normal(0, 1, (64, 16))[rng.integers(0, 64, 4096)] + rng.normal(0, 0.05, (4096, 16))
     assert ann.fit(x, 20, 64).probes <= 64 / 3
+
+
+@pytest.mark.parametrize("query_block", [2048, 7])
+def test_parts_of_unequal_size_give_whole_results(spark, monkeypatch, query_block):
+    monkeypatch.setattr(ann, "QUERY_BLOCK", query_block)
+    rng = np.random.default_rng(7)
+    v = np.concatenate([rng.normal(5, 0.1, (560, 8)), rng.normal(0, 1, (40, 8))])[rng.permutation(600)]
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(40, v[3].tolist())]
+    vectors = spark.createDataFrame(rows, "vec_id long, v array<double>").repartition(3)
+    got = {}
+    for r in ann.nearest(vectors, vectors.filter("vec_id % 20 = 0"), 20).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    assert len(got) == 30
+    for q, found in got.items():
+        assert sorted(k for k, _ in found) == list(range(1, 21)) and q not in {i for _, i in found}
