@@ -10,7 +10,8 @@ weights maximise the conditional likelihood of segmentations that a seeded gener
 annotates: the log-partition and the expected features come from a forward and a backward
 pass over bounded segments. Decoding is the same dynamic programme with the maximum, so
 boundaries and kinds are chosen jointly. Every gap is decoded; stretches without a digit or
-an at-mark within reach are passed over, as they hold no candidate.
+an at-mark within reach are passed over, as they hold no candidate, and so are lists of ten
+or more figures with one separator. Spans of figures that look the same are scored once.
 
 Defined cases: a null text is the empty text, without spans; whole texts are read, of any
 length; spans count code points, end exclusive; equal texts give equal spans; an empty
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import batch_of, text_of
+from pricelake.llm.common import Memo, batch_of, text_of
 
 #: Kinds in the order of results.
 KINDS = ("email", "ip", "card", "phone")
@@ -87,10 +88,24 @@ RATE, PENALTY = 0.35, 2e-4
 #: Most tokens of an entity.
 MOST_TOKENS = 24
 TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|\s|[^A-Za-z0-9\s]")
-#: A candidate begins with no letter and holds so many digits, or is written like an address, with an at-mark.
-LEAST_DIGITS = 4
-DIGITS_OR_MARK = re.compile(r"[0-9]+|@|\bat\b", re.IGNORECASE)
+#: A candidate of digits has no letter, line break or tab, at most so many digits in groups, and at most
+#: so many other signs between two groups, a plus sign only in front. Fewer digits than a phone number or card has are a candidate
+#: only as four groups, as in an IP address. Any other candidate is written like a mail address.
+MOST_DIGITS, MOST_GROUPS, MOST_BETWEEN, LEAST_DIGITS = 19, 7, 3, 7
+#: Ten or more short figures with one separator, or in rows of cells, hold no candidate.
+FIGURES = re.compile(r"(?<![0-9])[0-9]{1,6}+(?:([\x20,;|/\t.:-]{1,3})[0-9]{1,6}+(?:\1[0-9]{1,6}+){8,}+|[,;|\t]\x20?[0-9]{1,6}+(?:(?:[,;|\t]\x20?|\r?\n)[0-9]{1,6}+){8,}+)(?![0-9])")
+#: Groups of digits with no more than MOST_BETWEEN signs between two: each candidate of digits lies in one.
+RUN = re.compile(r"[0-9]++(?:[^\w\n\r\t\v\f]{1,3}[0-9]++)*+")
+MARK = re.compile(r"@|\bat\b", re.IGNORECASE)
+#: What a mark of a candidate has behind it: the first part of a domain, and a dot.
+_DOT = r"[\w-]+\x20?(?:\.\x20?[\w-]|[\[({<]\x20?dot|dot\b)"
+DOMAIN_AHEAD = re.compile(rf"@\x20?{_DOT}|at\x20?[\])}}>]\x20?{_DOT}|at\x20?[\w-]+(?:\.[\w-]|\x20?[\[({{<]\x20?dot|\x20?dot\b)", re.IGNORECASE)
 SPELLED_EMAIL = re.compile(r"[\w.%+-]+\x20?(?:@|[\[({<]\x20?at\x20?[\])}>]|\bat\b)\x20?[\w-]+(?:\x20?(?:\.|[\[({<]\x20?dot\x20?[\])}>]|\bdot\b)\x20?[\w-]+)+", re.IGNORECASE)
+#: With a bare "at" and plain dots: no web address, and an end like a domain's.
+PLAIN_DOMAIN = re.compile(r"(?i:.*\bat\b)\x20?(?!(?i:www)\.)[\w-]+(?:\.[\w-]+)*\.(?:[a-z]{2,}|[A-Z]{2,})", re.DOTALL)
+BARE_AT = re.compile(r"\w\x20?at\x20?\w", re.IGNORECASE)
+#: Words that stand before a place more often than they name a person.
+COMMON = frozenset("was is are were be been am you me us him her it them we they he she look looking meet met stay stayed live lives lived work works worked arrive arrived sit stop stopped found available".split())
 SENTENCE_END = re.compile(r"[A-Za-z0-9][.,]\x20")
 OCTETS = re.compile(r"[0-9]{1,3}(?:[.,\x20\[\]()]+[0-9]{1,3}){3}")
 #: Words that announce a kind.
@@ -135,7 +150,11 @@ def span_features(text: str, start: int, end: int) -> list[str]:
     if SENTENCE_END.search(span):
         out.append("sentence_end")
     if letters and SPELLED_EMAIL.fullmatch(span):
-        out += ["address", "address:" + ("plain" if "@" in span else "spelled")]
+        bare = "@" not in span and BARE_AT.search(span)
+        out += ["address", "address:" + ("plain" if "@" in span else "bare" if bare else "spelled")]
+        if bare:
+            local = span.split()[0]
+            out.append("local:common" if local.lower() in COMMON else "local:plain" if local.isalpha() else "local:dotted")
     if OCTETS.fullmatch(span):
         out.append(f"octets:{all(int(g) <= 255 for g in groups)}")
     if 13 <= len(digits) <= 19 and not letters:
@@ -151,47 +170,85 @@ OUTSIDE, STATES = len(KINDS), len(KINDS) + 1
 Weights = tuple[dict[str, tuple[float, ...]], tuple[tuple[float, ...], ...]]
 
 
+def spelled_address(text: str, start: int, end: int) -> bool:
+    """Whether the span is written like a mail address, its signs spelled out or not."""
+    if not SPELLED_EMAIL.fullmatch(text, start, end):
+        return False
+    span = text[start:end]
+    return "@" in span or not BARE_AT.search(span) or "dot" in span.lower() or bool(PLAIN_DOMAIN.fullmatch(span))
+
+
 def candidates(text: str, tokens: list[tuple[int, int]], marks: list[int]) -> Iterator[tuple[int, list[int]]]:
     """(end token, first tokens) of the runs of tokens that may be an entity."""
-    digits, met = [0], 0
-    for a, b in tokens:
-        digits.append(digits[-1] + (b - a if "0" <= text[a] <= "9" else 0))
+    kinds = [("9" if "0" <= c <= "9" else "a" if c.isalnum() else "\n" if c in "\n\r\t\v\f" else c) for c in (text[a] for a, _ in tokens)]
+    sizes, met = [b - a for a, b in tokens], 0
     for j in range(1, len(tokens) + 1):
         end = tokens[j - 1][1]
         while met < len(marks) and marks[met] < end:
             met += 1
-        if not text[tokens[j - 1][0]].isalnum():
-            continue
-        last_mark, least = marks[met - 1] if met else -1, max(0, j - MOST_TOKENS)
-        if tokens[least][0] >= last_mark and digits[j] - digits[least] < LEAST_DIGITS:
-            continue
         starts = []
-        for i in range(j - 1, least - 1, -1):
-            first = text[tokens[i][0]]
-            if not (first.isalnum() or first in "+("):
-                continue
-            if digits[j] - digits[i] >= LEAST_DIGITS and not first.isalpha() or tokens[i][0] < last_mark and SPELLED_EMAIL.fullmatch(text, tokens[i][0], end):
-                starts.append(i)
+        if kinds[j - 1] == "9":
+            digits = groups = widest = between = 0
+            for i in range(j - 1, max(-1, j - 1 - MOST_TOKENS), -1):
+                kind = kinds[i]
+                if kind == "9":
+                    digits, groups, widest, between = digits + sizes[i], groups + 1, max(widest, sizes[i]), 0
+                    if digits > MOST_DIGITS or groups > MOST_GROUPS:
+                        break
+                elif kind in "a\n" or between == MOST_BETWEEN:
+                    break
+                else:
+                    between += 1
+                    if kind not in "+(":
+                        continue
+                if digits >= LEAST_DIGITS or groups == 4 and widest <= 3:
+                    starts.append(i)
+                if kind == "+":
+                    break
+        last_mark = marks[met - 1] if met else -1
+        if kinds[j - 1] in "9a" and tokens[max(0, j - MOST_TOKENS)][0] < last_mark:
+            for i in range(j - 1, max(-1, j - 1 - MOST_TOKENS), -1):
+                if tokens[i][0] < last_mark and kinds[i] in "9a" and i not in starts and spelled_address(text, tokens[i][0], end):
+                    starts.append(i)
         if starts:
             yield j, starts
 
 
+NINES = str.maketrans("012345678", "9" * 9)
+
+
 class SemiMarkov:
     """Weights of features by kind and of transitions, and the best segmentation of a stretch."""
 
     def __init__(self, weights: Weights | None = None):
         self.features, self.moves = weights or ({}, ((0.0,) * STATES,) * STATES)
+        self.known = Memo(lambda key: None, 100_000)  # scores of spans without letters, by all that their features depend on
 
     def scores(self, features: list[str]) -> list[float]:
         """Of a span with these features, as an entity of each kind."""
         known = self.features
         return [sum(x) for x in zip(*[known[f] for f in features if f in known])] or [0.0] * len(KINDS)
 
+    def span_scores(self, text: str, start: int, end: int) -> list[float]:
+        """``scores`` of a span, computed once for all spans of figures that look the same."""
+        span = text[start:end]
+        if not span.isascii() or any(map(str.isalpha, span)):
+            return self.scores(span_features(text, start, end))
+        shape = span.translate(NINES)
+        digits = shape.count("9")
+        check = luhn(NOT_DIGITS.sub("", span)) if 13 <= digits <= 19 else all(len(g) <= 3 and int(g) <= 255 for g in DIGITS.findall(span)) if digits <= 12 else None
+        cues = tuple(CUE_KIND.get(w.lower()) for w in LAST_WORDS.findall(text[max(0, start - 20) : start])[-2:])
+        key = (shape, check, text[start - 1 : start] if start else "", text[end : end + 1], cues)
+        if (found := self.known[key]) is None:
+            found = self.known[key] = self.scores(span_features(text, start, end))
+        return found
+
     def decode(self, text: str, low: int, high: int) -> list[Span]:
-        """The entities of the most probable segmentation of text[low:high]."""
+        """The entities of the most probable segmentation of text[low:high], without lists of figures."""
         out: list[Span] = []
-        for start, end, marks in _stretches(text, low, high):
-            out += self._decode(text, start, end, marks)
+        for a, b in between_figures(text, low, high):
+            for start, end, marks in _stretches(text, a, b):
+                out += self._decode(text, start, end, marks)
         return out
 
     def _decode(self, text: str, low: int, high: int, marks: list[int]) -> list[Span]:
@@ -204,6 +261,7 @@ class SemiMarkov:
         best: list[list[float]] = [[never] * OUTSIDE + [0.0]]
         back: list[list[tuple[int, int] | None]] = [[None] * STATES]
         arrive = lambda i, z: max(zip(map(float.__add__, best[i], into[z]), range(STATES)))
+        entering = Memo(lambda i: [arrive(i, kind) for kind in range(len(KINDS))])
         stay, none = into[OUTSIDE][OUTSIDE], [None] * OUTSIDE
         entity_before = False
         for j in range(1, len(tokens) + 1):
@@ -214,9 +272,8 @@ class SemiMarkov:
             here, origin, entity_before = [never] * OUTSIDE + [outside], [*none, (j - 1, y)], False
             for i in ends.get(j, ()):
                 start, end = tokens[i][0], tokens[j - 1][1]
-                scores = self.scores(span_features(text, start, end))
-                for kind in range(len(KINDS)):
-                    before, y = arrive(i, kind)
+                scores = self.span_scores(text, start, end)
+                for kind, (before, y) in enumerate(entering[i]):
                     if before + scores[kind] > here[kind]:
                         here[kind], origin[kind], entity_before = before + scores[kind], (i, y), True
             best.append(here)
@@ -231,39 +288,55 @@ class SemiMarkov:
         return out[::-1]
 
 
-def _tokens_back(text: str, low: int, at: int) -> int:
-    """The start of the token MOST_TOKENS before ``at``, or low."""
-    size = 8 * MOST_TOKENS
+def between_figures(text: str, low: int, high: int) -> Iterator[tuple[int, int]]:
+    """What is left of text[low:high] without its lists of figures."""
+    for m in FIGURES.finditer(text, low, high):
+        yield low, m.start()
+        low = m.end()
+    yield low, high
+
+
+def _tokens_back(text: str, low: int, at: int, most: int = MOST_TOKENS) -> int:
+    """The start of the token ``most`` before ``at``, or low."""
+    size = 8 * most
     while True:
         start = max(low, at - size)
         tokens = [m.start() for m in TOKEN.finditer(text, start, at)][start > low :]  # the first may be cut
-        if len(tokens) >= MOST_TOKENS:
-            return tokens[-MOST_TOKENS]
+        if len(tokens) >= most:
+            return tokens[-most]
         if start == low:
             return low
         size *= 4
 
 
-def _stretches(text: str, low: int, high: int) -> list[tuple[int, int, list[int]]]:
-    """Disjoint stretches, with their at-marks, that hold all candidates of text[low:high].
+def _tokens_on(text: str, at: int, high: int, most: int = MOST_TOKENS) -> int:
+    """The end of the token ``most`` after ``at``, or high."""
+    for k, token in enumerate(TOKEN.finditer(text, at, high), 1):
+        if k == most:
+            return token.end()
+    return high
+
 
-    A candidate holds digits or an at-mark, and no more than MOST_TOKENS tokens.
-    """
+def _stretches(text: str, low: int, high: int) -> list[tuple[int, int, list[int]]]:
+    """Disjoint stretches, with their marks, that hold all candidates of text[low:high] and at least
+    one more token on either side: runs of digit groups that are enough for a candidate, and
+    what lies within reach of marks with something like a domain behind them."""
+    spans = []
+    for m in RUN.finditer(text, low, high):
+        groups = DIGITS.findall(m[0])
+        if len(groups) >= 4 or sum(map(len, groups)) >= LEAST_DIGITS:
+            spans.append((_tokens_back(text, low, m.start(), MOST_BETWEEN + 1), _tokens_on(text, m.end(), high, 1), []))
+    for m in MARK.finditer(text, low, high):
+        if DOMAIN_AHEAD.match(text, m.start(), high):
+            spans.append((_tokens_back(text, low, m.start()), _tokens_on(text, m.end(), high), [m.start()]))
     out: list[list] = []
-    for m in DIGITS_OR_MARK.finditer(text[low:high]):
-        at, end = m.start() + low, m.end() + low
-        for k, token in enumerate(TOKEN.finditer(text, end, high), 1):
-            end = token.end()
-            if k == MOST_TOKENS:
-                break
-        start = at if out and at < out[-1][1] else _tokens_back(text, low, at)
+    for start, end, marks in sorted(spans):
         if out and start <= out[-1][1]:
             out[-1][1] = max(out[-1][1], end)
+            out[-1][2] += marks
         else:
-            out.append([start, end, []])
-        if not text[at].isdigit():
-            out[-1][2].append(at)
-    return [tuple(x) for x in out]
+            out.append([start, end, marks])
+    return [(start, end, sorted(marks)) for start, end, marks in out]
 
 
 def _line(rng: random.Random) -> tuple[str, list[Span]]:
@@ -273,8 +346,8 @@ def _line(rng: random.Random) -> tuple[str, list[Span]]:
     number = lambda n: "".join(rng.choices("0123456789", k=n))
 
     def email() -> str:
-        at = rng.choice(["@", " at ", " (at) ", "[at]", " [at] ", "(at)"])
-        dot = "." if at == "@" or rng.random() < 0.3 else rng.choice([" dot ", "[dot]", " (dot) "])
+        at = rng.choice(["@", " at ", " at ", " (at) ", "[at]", " [at] ", "(at)"])
+        dot = "." if at == "@" or rng.random() < (0.5 if at == " at " else 0.3) else rng.choice([" dot ", "[dot]", " (dot) "])
         return f"{word()}{rng.choice(['', '.', '_'])}{word()}{at}{word()}{dot}{rng.choice(['com', 'org', 'net', 'example' + dot + 'com'])}"
 
     def ip() -> str:
@@ -307,16 +380,24 @@ def _line(rng: random.Random) -> tuple[str, list[Span]]:
                 f"{word()} at {word()}",
                 f"@{word()}",
                 f"{word()} at the dot {word()}",
+                f"{rng.choice(common)} at {word()}.{rng.choice(['com', 'org', 'net', word()])}",
+                f"{rng.choice(common)} at www.{word()}.com",
+                f"{word()} at {word()}.{word().capitalize()}",
+                f"{number(2)} {number(2)} {number(2)} {number(2)}",
+                " ".join(number(rng.randrange(1, 4)) for _ in range(rng.randrange(3, 9))),
+                ", ".join(number(rng.randrange(1, 5)) for _ in range(rng.randrange(3, 9))),
                 f"#{number(7)}",
                 f"${number(7)}.00",
                 f"{number(3)} {number(3)} {number(3)} {number(3)} {number(3)} {number(3)}",
             ]
         )
 
+    common = sorted(COMMON)
     makers = {"email": email, "ip": ip, "card": card, "phone": phone}
     text, spans = "", []
     for _ in range(rng.randrange(2, 5)):
-        text += " ".join(word() for _ in range(rng.randrange(1, 5))) + " "
+        if text or rng.random() < 0.8:
+            text += " ".join(word() for _ in range(rng.randrange(1, 5))) + " "
         if rng.random() < 0.55:
             kind = rng.choice(KINDS)
             if rng.random() < 0.4:
@@ -346,7 +427,7 @@ class Lattice:
 
     def __init__(self, text: str, gold: list[Span], names: dict[str, int]):
         tokens = [m.span() for m in TOKEN.finditer(text)]
-        marks = [m.start() for m in DIGITS_OR_MARK.finditer(text) if not m[0].isdigit()]
+        marks = [m.start() for m in MARK.finditer(text)]
         spans = {(a, b): kind for kind, a, b in gold}
         self.n, self.steps, features, self.gold = len(tokens), [], [], []
         for j, starts in candidates(text, tokens, marks):
@@ -404,7 +485,7 @@ class Lattice:
 
 
 @lru_cache(maxsize=1)
-def trained(lines: int = 700, rounds: int = 5, seed: int = 5) -> Weights:
+def trained(lines: int = 1000, rounds: int = 5, seed: int = 5) -> Weights:
     """Weights of most conditional likelihood, with a slight penalty, by AdaGrad over small
     batches of lines; deterministic."""
     rng, names = random.Random(seed), {}
