@@ -29,12 +29,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pricelake.llm.common import stage
+from pricelake.llm.common import small_side, stage
 
 #: Weights by a source's place in code-point order, repeating.
 WEIGHTS = (5, 2, 1)
 SHARE, LIMIT = 1.5, 2.0
 BLOCKS_PER_SOURCE = 4096
+#: Up to so many blocks are sent to every executor; beyond, rows are shuffled to them.
+BROADCAST_BLOCKS = 200_000
 #: Shards: as many as give each about WORDS_PER_SHARD words, within these limits.
 SHARDS, MOST_SHARDS, WORDS_PER_SHARD = 64, 8192, 50_000_000
 SEED = 20240607
@@ -99,7 +101,7 @@ def mix(docs: DataFrame, shards: int | None = None, seed: int = SEED, texts: boo
     With ``texts``, also row: all columns of docs."""
     spark = docs.sparkSession
     key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null"))
-    sized = docs.select(
+    keyed = docs.select(
         *([F.struct(docs.columns).alias("row")] if texts else []),
         "doc_id",
         "source",
@@ -107,7 +109,8 @@ def mix(docs: DataFrame, shards: int | None = None, seed: int = SEED, texts: boo
         word_count(F.col("text")).alias("size"),
         F.xxhash64(F.lit(seed), "doc_id", F.xxhash64("text")).alias("draw_key"),
     ).withColumn("block", F.pmod(F.shiftrightunsigned("draw_key", 20), F.lit(BLOCKS_PER_SOURCE)).cast("int"))
-    sized = stage(sized, "mix-sized")
+    # all of this follows from a row alone, so texts are not written here but read again below
+    sized = stage(keyed.drop("row"), "mix-sized")
     blocks = stage(sized.groupBy("source_key", "block").agg(F.max("source").alias("source"), F.sum("size").alias("words")), "mix-blocks")
     per_source = blocks.groupBy("source_key").agg(F.max("source").alias("source"), F.sum("words").alias("size"), F.count("*").alias("blocks")).collect()
     per_source.sort(key=lambda r: (r.source is None, r.source or ""))
@@ -149,7 +152,8 @@ def mix(docs: DataFrame, shards: int | None = None, seed: int = SEED, texts: boo
         .groupBy("source_key", "block")
         .agg(F.sort_array(F.collect_list(F.struct("pass", "shard"))).alias("block_draws"), F.max("room").alias("room"), F.max("words").alias("words"))
     )
-    rows = sized.join(per_block, ["source_key", "block"], "left").join(plan.drop("rest", "n_blocks"), "source_key")
+    per_block = small_side(stage(per_block, "mix-per-block"), BROADCAST_BLOCKS)
+    rows = (keyed if texts else sized).join(per_block, ["source_key", "block"], "left").join(small_side(plan.drop("rest", "n_blocks"), BROADCAST_BLOCKS), "source_key")
     cut = F.col("room") < F.col("words")  # of the blocks, one in each source is taken in part: documents while they bring it nearer to the rest
     inside = Window.partitionBy("source_key", "block").orderBy("draw_key", "doc_id", "size")
     partial = (
