@@ -142,7 +142,7 @@ def dim_promotion(promotions: DataFrame) -> DataFrame:
 
 
 def fact_promotion_item(items: DataFrame, promotions: DataFrame) -> DataFrame:
-    """Items with their offer's terms; ``orphan_items`` must be empty before it is published."""
+    """Items with their offer's terms; ``quality.orphans`` must give none before it is published."""
     offer = promotions.select("promotion_id", "promotion_type", "listed_price", "promo_price", "current_price", "currency")
     return items.join(offer, "promotion_id").select(
         keys.surrogate("promofact", F.col("promotion_item_id")).alias("promotion_item_fact_id"),
@@ -155,14 +155,15 @@ def fact_promotion_item(items: DataFrame, promotions: DataFrame) -> DataFrame:
     )
 
 
-def orphan_items(items: DataFrame, promotions: DataFrame) -> DataFrame:
-    return items.join(promotions, "promotion_id", "left_anti")
+def publish_status(df: DataFrame, key: str) -> DataFrame:
+    """One row: n_rows, n_keys and whether the table may be published, or why not."""
+    counts = df.agg(F.count("*").alias("n_rows"), F.count_distinct(key).alias("n_keys"))
+    why = F.when(F.col("n_rows") == 0, "nothing to publish").when(F.col("n_rows") != F.col("n_keys"), "key is repeated or null").otherwise("publishable")
+    return counts.withColumn("status", why)
 
 
 def check_publishable(df: DataFrame, key: str) -> None:
     """Raises unless the table has rows and its key is unique and not null."""
-    rows, kinds = df.agg(F.count("*"), F.count_distinct(key)).first()
-    if not rows:
-        raise ValueError("nothing to publish")
-    if rows != kinds:
-        raise ValueError(f"{key} is repeated or null")
+    status = publish_status(df, key).first().status
+    if status != "publishable":
+        raise ValueError(f"{key}: {status}")

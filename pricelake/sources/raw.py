@@ -144,10 +144,6 @@ def read_silver(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return reader.json(path) if path.rstrip("/").endswith((".jsonl", ".json")) else reader.parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "overwrite") -> None:
-    df.write.mode(mode).partitionBy(*by).parquet(path)
-
-
 def export_lines(df: DataFrame, path: str, order: list[str]) -> None:
     """JSON lines in a global order: for exports only."""
     df.orderBy(*order).write.mode("overwrite").json(path)
@@ -171,7 +167,3 @@ def runs_to_process(candidates: DataFrame, ledger: DataFrame, output_format: str
         return candidates
     done = ledger.filter((F.col("status") == "success") & (F.col("output_format") == output_format))
     return candidates.join(done, ["retailer_id", "run_id"], "left_anti")
-
-
-def enabled(config: DataFrame) -> DataFrame:
-    return config.filter("enabled")
