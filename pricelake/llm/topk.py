@@ -9,9 +9,12 @@ of those left meet in their final scores. Bounds of many queries are computed at
 a list read to depth t, the bound that a query with a positive weight uses is the larger
 of the component and the frontier, so both bounds are matrix products.
 
-Queries and candidates meet in cells: blocks of candidates by blocks of queries, each of
-bounded size. A cell returns its k best; a window over (query, at most k per candidate
-block) makes the result.
+Candidates lie in blocks of bounded size, those alike in their largest component together. A
+block is known by its greatest and least value in each dimension, which bound a query's
+scores there. A query first visits the blocks with the best bounds, and with the k-th score
+found there it skips every other block whose bound is lower. Queries that visit a block
+meet it in cells of bounded size. A cell returns its k best; a window over (query, at most
+k per visited block) makes the result.
 
 Defined cases: vectors that are null, or hold a null or non-finite component, take no part;
 repeated rows (same id and components) count once; rows of one id with different
@@ -31,12 +34,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pricelake.llm.common import shuffle_width, stage
+from pricelake.llm.common import shuffle_width, small_side, stage
 
 #: Rows of a cell's candidate block and of its query block, on average.
 CANDIDATE_BLOCK, QUERY_BLOCK = 4096, 2048
 LEAST_BLOCK = 256
 QUERIES_AT_ONCE = 256
+#: Blocks that a query visits before it skips any, and block summaries that are compared at once.
+FIRST_VISITS, SUMMARIES = 2, 1024
 #: Depths to which lists are read, as parts of their length.
 DEPTHS = (1 / 16, 1 / 4, 1 / 2, 1.0)
 
@@ -68,8 +73,9 @@ class SortedLists:
         return np.maximum(v, high), np.where(v >= high, v, worst), np.minimum(v, low), np.where(v <= low, v, best)
 
 
-def block_top_k(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, candidate row, score) of each query's k best in the block, ties to smaller ids."""
+def block_top_k(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, read: dict[int, int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, candidate row, score) of each query's k best in the block, ties to smaller ids.
+    ``read`` gets the depth to which the lists were read for each query row."""
     order = np.lexsort([ids])
     ids, kind = ids[order], exact_type(vectors, queries)
     lists = SortedLists(vectors[order].astype(kind))
@@ -87,6 +93,8 @@ def block_top_k(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, que
             plus, minus = np.maximum(q, 0), np.minimum(q, 0)
             lower = plus @ pos_low.T + minus @ neg_low.T
             own = query_ids[rows][:, None] == ids[columns][None, :]
+            if read is not None:
+                read.update(dict.fromkeys(rows.tolist(), depth))
             if depth == n:  # everything is read: bounds are scores
                 found.append(_best(rows, columns, lower, own, k))
                 continue
@@ -132,18 +140,76 @@ def _best(rows: np.ndarray, columns: np.ndarray, score: np.ndarray, own: np.ndar
     return rows[r[keep]], columns[c[keep]], s[keep]
 
 
-def top_k(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """query_id, rank, vec_id, score; both sides: vec_id long and v, an array of longs."""
-    spark = candidates.sparkSession
-    candidates = stage(candidates.filter("vec_id is not null").select("vec_id", "v").distinct(), "topk-candidates")
-    queries = stage(queries.filter("vec_id is not null").select("vec_id", "v").distinct(), "topk-queries")
-    n, m = candidates.count(), queries.count()
+def _empty(columns: str) -> pd.DataFrame:
+    return pd.DataFrame({c: pd.Series(dtype="int64") for c in columns.split()})
+
+
+def in_blocks(candidates: DataFrame) -> DataFrame:
+    """candidates with a block: ranges of the largest component's dimension, sign and size, which
+    a hash cuts where many are equal. The rows of a range are one task's, of about CANDIDATE_BLOCK."""
+    spark, n = candidates.sparkSession, candidates.count()
     across = max(1, math.ceil(n / CANDIDATE_BLOCK), min(shuffle_width(spark), n // LEAST_BLOCK))
-    down = max(1, math.ceil(m / QUERY_BLOCK))
-    place = lambda parts: F.pmod(F.xxhash64("vec_id", "v"), F.lit(parts)).cast("int")
+    size = F.transform("v", F.abs)
+    at = F.array_position(size, F.array_max(size))
+    value = F.element_at("v", at.cast("int"))
+    placed = candidates.repartitionByRange(across, F.size("v"), at, value, F.xxhash64("vec_id", "v"))
+    return stage(placed.withColumn("block", F.spark_partition_id()), "topk-blocks")
+
+
+def _summaries(blocks: DataFrame) -> DataFrame:
+    """Of each block and length of vectors: the greatest and least value in every dimension."""
+
+    def ends(rows: pd.DataFrame) -> pd.DataFrame:
+        v = np.stack(rows["v"].to_numpy())
+        return pd.DataFrame({"block": [int(rows["block"].iloc[0])], "high": [v.max(axis=0)], "low": [v.min(axis=0)]})
+
+    return stage(blocks.groupBy("block", F.size("v").alias("width")).applyInPandas(ends, "block int, high array<long>, low array<long>"), "topk-summaries")
+
+
+def block_bounds(high: np.ndarray, low: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """The most that a query (row) can score in a block (column)."""
+    kind = exact_type(np.concatenate([high, low]), queries)
+    q = queries.astype(kind)
+    return (np.maximum(q, 0) @ high.astype(kind).T + np.minimum(q, 0) @ low.astype(kind).T).astype(np.int64)
+
+
+def _visits(queries: DataFrame, summaries: DataFrame, first: bool) -> DataFrame:
+    """vec_id, v, block and bound. Of each query the FIRST_VISITS blocks with the best bounds in a part of
+    the summaries; or else, queries having ``least``, all blocks whose bound reaches that."""
+    columns = "vec_id long, v array<long>, block int, bound long"
+    across, down = max(1, math.ceil(summaries.count() / SUMMARIES)), max(1, math.ceil(queries.count() / QUERY_BLOCK))
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
-    cells = candidates.select(place(across).alias("i"), every(down).alias("j"), F.lit(False).alias("asks"), "vec_id", "v").unionByName(
-        queries.select(every(across).alias("i"), place(down).alias("j"), F.lit(True).alias("asks"), "vec_id", "v")
+    none = lambda kind: F.lit(None).cast(kind)
+    least = none("long") if first else F.col("least")
+    cells = summaries.select(F.pmod("block", F.lit(across)).alias("i"), every(down).alias("j"), none("long").alias("vec_id"), F.col("high").alias("v"), "low", "block", none("long").alias("least")).unionByName(
+        queries.select(every(across).alias("i"), F.pmod(F.xxhash64("vec_id", "v"), F.lit(down)).cast("int").alias("j"), "vec_id", "v", none("array<bigint>").alias("low"), none("int").alias("block"), least.alias("least"))
+    )
+
+    def compare(cell: pd.DataFrame) -> pd.DataFrame:
+        out, length, asks = [], cell["v"].map(len).to_numpy(), cell["vec_id"].notna().to_numpy()
+        for width in np.unique(length[asks]):
+            q, b = cell[asks & (length == width)], cell[~asks & (length == width)]
+            if not len(b):
+                continue
+            bound = block_bounds(np.stack(b["v"].to_numpy()), np.stack(b["low"].to_numpy()), np.stack(q["v"].to_numpy()))
+            if first:
+                best = np.argsort(-bound, axis=1, kind="stable")[:, :FIRST_VISITS]
+                r, c = np.repeat(np.arange(len(q)), best.shape[1]), best.ravel()
+            else:
+                wanted = q["least"].fillna(np.iinfo(np.int64).min).to_numpy(dtype=np.int64)
+                r, c = np.nonzero(bound >= wanted[:, None])
+            out.append(pd.DataFrame({"vec_id": q["vec_id"].to_numpy(dtype=np.int64)[r], "v": q["v"].to_numpy()[r], "block": b["block"].to_numpy(dtype=np.int32)[c], "bound": bound[r, c]}))
+        return pd.concat(out) if out else _empty("vec_id v block bound").astype({"v": "object"})
+
+    return cells.groupBy("i", "j").applyInPandas(compare, columns)
+
+
+def _search(blocks: DataFrame, visits: DataFrame, k: int) -> DataFrame:
+    """query_id, vec_id, score: the k best of each visit."""
+    down = visits.groupBy("block").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("down"))
+    down = small_side(stage(down, "topk-down"))
+    cells = blocks.join(down, "block").select("block", F.explode(F.sequence(F.lit(0), F.col("down") - 1)).alias("j"), F.lit(False).alias("asks"), "vec_id", "v").unionByName(
+        visits.join(down, "block").select("block", F.pmod(F.xxhash64("vec_id", "v"), "down").cast("int").alias("j"), F.lit(True).alias("asks"), "vec_id", "v")
     )
 
     def search(cell: pd.DataFrame) -> pd.DataFrame:
@@ -156,11 +222,33 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
             if asks.any() and not asks.all():
                 q, c, score = block_top_k(ids[~asks], v[~asks], ids[asks], v[asks], k)
                 out.append(pd.DataFrame({"query_id": ids[asks][q], "vec_id": ids[~asks][c], "score": score}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+        return pd.concat(out) if out else _empty("query_id vec_id score")
+
+    return stage(cells.groupBy("block", "j").applyInPandas(search, "query_id long, vec_id long, score long"), "topk-found")
+
 
-    found = cells.groupBy("i", "j").applyInPandas(search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+def _placed(found: DataFrame) -> DataFrame:
+    return found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
+
+
+def all_visits(blocks: DataFrame, queries: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """The first visits' results, and the further visits that their k-th scores leave."""
+    summaries = _summaries(blocks)
+    best = Window.partitionBy("vec_id", "v").orderBy(F.desc("bound"), "block")
+    first = _visits(queries, summaries, True).withColumn("place", F.row_number().over(best)).filter(F.col("place") <= FIRST_VISITS).select("vec_id", "v", "block")
+    first = stage(first, "topk-first")
+    found = _search(blocks, first, k)
+    least = _placed(found).filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("least"))
+    rest = _visits(queries.join(least, "vec_id", "left"), summaries, False).join(first, ["vec_id", "v", "block"], "left_anti")
+    return found, stage(rest, "topk-rest")
+
+
+def top_k(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """query_id, rank, vec_id, score; both sides: vec_id long and v, an array of longs."""
+    queries = stage(queries.filter("vec_id is not null").select("vec_id", "v").distinct(), "topk-queries")
+    blocks = in_blocks(candidates.filter("vec_id is not null").select("vec_id", "v").distinct())
+    found, rest = all_visits(blocks, queries, k)
+    return _placed(found.unionByName(_search(blocks, rest, k))).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

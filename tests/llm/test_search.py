@@ -37,6 +37,35 @@ def test_early_stop_on_clear_leaders():
     assert sorted(c.tolist()) == [0, 1, 2, 3, 4] and set(s.tolist()) == {200_000}
 
 
+def test_reading_stops_and_blocks_are_skipped(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    v = rng.integers(-2, 3, (4000, 6))
+    v[100:130] = rng.integers(4000, 6000, (30, 6))
+    queries = rng.integers(1, 20, (80, 6))
+    queries[40:] *= rng.choice([-1, 1], (40, 6))  # the leaders lead no more where signs are mixed
+    read = {}
+    q, c, s = topk.block_top_k(np.arange(4000), v, np.arange(80) + 10_000, queries, 5, read)
+    assert len(read) == 80 and all(read[k] < 4000 for k in range(40)) and any(d == 4000 for d in read.values())
+    assert all(sorted(s[q == k].tolist()) == sorted((v @ queries[k]).tolist())[-5:] for k in range(80))
+
+    centres = rng.integers(-900, 901, (40, 12))
+    v = np.repeat(centres, 50, axis=0) + rng.integers(-5, 6, (2000, 12))
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 50)
+    monkeypatch.setattr(topk, "SUMMARIES", 16)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 16)
+    rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, v array<bigint>")
+    asked = rows.filter("vec_id % 50 = 0")
+    blocks = topk.in_blocks(rows)
+    n_blocks = blocks.select("block").distinct().count()
+    _, rest = topk.all_visits(blocks, asked, 5)
+    visited = 40 * topk.FIRST_VISITS + rest.count()
+    assert n_blocks >= 40 and visited < 0.4 * 40 * n_blocks, (visited, 40 * n_blocks)
+    got = {}
+    for r in sorted(topk.top_k(rows, asked, 5).collect(), key=lambda r: (r.query_id, r["rank"])):
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert got == brute(list(range(2000)), v.astype(object), range(0, 2000, 50), 5, lambda a, b: int((a * b).sum()))
+
+
 def rows_of(rng, n):
     rows = [(i, [rng.uniform(-1, 1) for _ in range(6)]) for i in range(n)]
     rows += [(n + i, rows[3][1]) for i in range(30)] + [(7, rows[7][1])]
