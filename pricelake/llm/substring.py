@@ -6,7 +6,8 @@ puts both i + k and j + k in the cover. With anchor windows of length - v + 1 wo
 equal windows therefore hold a pair of equal anchors at the same offset, and only about
 sqrt(v) of v positions are hashed and shuffled. Anchors that several documents share are
 then extended: the full windows around them are hashed, and a window is a repeat where the
-least document with its words is smaller than its own.
+least document with its words is smaller than its own. Windows and texts are told apart by
+two hashes of 64 bits each.
 
 Equal texts are one class beforehand: only the smallest document of a class takes part,
 and in the others every window repeats. Windows are judged on the input.
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import ascii_words, batch_of, stage, utf8, window_hashes, word_hashes
+from pricelake.llm.common import ascii_words, batch_of, mix64, stage, utf8, window_hashes, word_hashes
 
 PERIOD = 31
 #: Up to so many rows, of so many numbers in all, are sent to every executor; beyond, texts are shuffled.
@@ -39,10 +40,10 @@ ALL = -1
 #: What names a text: its document, and a hash, as a doc_id may come with several texts.
 ROW = ["doc", "text_key"]
 
-CLASS = pa.schema([("doc", pa.int64()), ("text_key", pa.int64()), ("class_key", pa.int64()), ("n_words", pa.int64())])
+CLASS = pa.schema([("doc", pa.int64()), ("text_key", pa.int64()), ("class_key", pa.int64()), ("class_check", pa.int64()), ("n_words", pa.int64())])
 ANCHOR = pa.schema([("anchor", pa.int64()), ("doc", pa.int64()), ("text_key", pa.int64()), ("pos", pa.int32())])
 RUNS = pa.schema([("doc", pa.int64()), ("text_key", pa.int64()), ("runs", pa.list_(pa.int32()))])
-WINDOW = pa.schema([("window", pa.int64()), ("doc", pa.int64()), ("text_key", pa.int64()), ("pos", pa.int32())])
+WINDOW = pa.schema([("window", pa.int64()), ("check", pa.int64()), ("doc", pa.int64()), ("text_key", pa.int64()), ("pos", pa.int32())])
 KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
 NULL_DOC = (1 << 63) - 1
 
@@ -91,6 +92,15 @@ def inside(runs: np.ndarray, n: int) -> np.ndarray:
     return np.concatenate([np.empty(0, np.int64), *(np.arange(a, b) for a, b in runs)])
 
 
+def window_key(words: np.ndarray, width: int) -> np.ndarray:
+    return window_hashes(words, width)
+
+
+def window_check(words: np.ndarray, width: int) -> np.ndarray:
+    """A second hash of every window, of other numbers for its words: both make 128 bits."""
+    return window_hashes(mix64(words ^ np.uint64(0xA0761D6478BD642F)), width)
+
+
 def _columns(schema: pa.Schema, columns: list[list[np.ndarray]]) -> pa.RecordBatch:
     return batch_of(schema, *(np.concatenate(c).astype(f.type.to_pandas_dtype()) for c, f in zip(columns, schema)))
 
@@ -99,9 +109,10 @@ def _classes(docs: DataFrame) -> DataFrame:
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = [word_hashes(t) for t in utf8(batch["text"])]
-            yield batch_of(CLASS, batch["doc"], batch["text_key"], [xxhash.xxh3_64_intdigest(w.tobytes()) - (1 << 63) for w in words], [len(w) for w in words])
+            keys = [[xxhash.xxh3_64_intdigest(w.tobytes(), seed) - (1 << 63) for w in words] for seed in (0, 1)]
+            yield batch_of(CLASS, batch["doc"], batch["text_key"], *keys, [len(w) for w in words])
 
-    return docs.mapInArrow(digest, "doc long, text_key long, class_key long, n_words long")
+    return docs.mapInArrow(digest, "doc long, text_key long, class_key long, class_check long, n_words long")
 
 
 def _anchors(docs: DataFrame, length: int, period: int) -> DataFrame:
@@ -127,17 +138,17 @@ def _windows(docs: DataFrame, length: int) -> DataFrame:
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: list[list[np.ndarray]] = [[], [], [], []]
+            columns: list[list[np.ndarray]] = [[], [], [], [], []]
             for doc, key, text, runs in zip(batch["doc"].to_pylist(), batch["text_key"].to_pylist(), utf8(batch["text"]), batch["runs"]):
                 words = word_hashes(text)
                 at = inside(np.array(runs.as_py(), np.int64), max(0, len(words) - length + 1))
                 if len(at):
-                    for column, values in zip(columns, (window_hashes(words, length)[at].view(np.int64), np.full(len(at), doc), np.full(len(at), key), at)):
+                    for column, values in zip(columns, (window_key(words, length)[at].view(np.int64), window_check(words, length)[at].view(np.int64), np.full(len(at), doc), np.full(len(at), key), at)):
                         column.append(values)
             if columns[0]:
                 yield _columns(WINDOW, columns)
 
-    return docs.select(*ROW, "text", "runs").mapInArrow(extend, "window long, doc long, text_key long, pos int")
+    return docs.select(*ROW, "text", "runs").mapInArrow(extend, "window long, check long, doc long, text_key long, pos int")
 
 
 def _runs(positions: DataFrame, before: int, after: int) -> DataFrame:
@@ -169,8 +180,8 @@ def find_repeats(docs: DataFrame, length: int = 50, period: int = PERIOD) -> Dat
     a smaller document's text. Texts that keep every word have no row."""
     texts = _texts(docs)
     classes = stage(_classes(texts).filter(F.col("n_words") >= length), "substring-classes")
-    least = classes.groupBy("class_key", "n_words").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least <> most").drop("most")
-    copies = stage(classes.join(stage(least, "substring-least"), ["class_key", "n_words"]).filter("doc > least").select(*ROW).distinct(), "substring-copies")
+    least = classes.groupBy("class_key", "class_check", "n_words").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least <> most").drop("most")
+    copies = stage(classes.join(stage(least, "substring-least"), ["class_key", "class_check", "n_words"]).filter("doc > least").select(*ROW).distinct(), "substring-copies")
     texts = _with(texts, copies, "left_anti")
 
     anchors = _anchors(texts, length, period)
@@ -179,8 +190,8 @@ def find_repeats(docs: DataFrame, length: int = 50, period: int = PERIOD) -> Dat
     around = stage(_runs(met, length - (length - period + 1), 1), "substring-around")
 
     windows = _windows(_with(texts, around, "inner"), length)
-    first = windows.groupBy("window").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low <> high").drop("high")
-    repeats = windows.join(stage(first, "substring-first"), "window").filter("doc > low").select(*ROW, "pos")
+    first = windows.groupBy("window", "check").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low <> high").drop("high")
+    repeats = windows.join(stage(first, "substring-first"), ["window", "check"]).filter("doc > low").select(*ROW, "pos")
     everything = copies.select(*ROW, F.array(F.lit(ALL)).alias("runs"))
     return stage(_runs(repeats, 0, length).unionByName(everything), "substring-repeats")
 
