@@ -49,8 +49,8 @@ CALIBRATION_FOLDS = 5
 BROADCAST_LABELS = 1_000_000
 THRESHOLD = 0.7
 KNOWN_WORDS = 400_000
-#: Words whose runs are cut at a time, and runs a task remembers as sent.
-WORDS_AT_ONCE, KNOWN_RUNS = 20_000, 2_000_000
+#: Signs whose runs are cut at a time, if no single word has more, and runs a task remembers as sent.
+SIGNS_AT_ONCE, KNOWN_RUNS = 200_000, 2_000_000
 #: Runs whose values go to every executor, at most; the values of rarer ones are joined to documents.
 SENT_RUNS = 2_000_000
 START, END = "\x02", "\x03"
@@ -61,6 +61,19 @@ def words_of(text: str | None) -> list[str]:
     return text_of(text).lower().split()
 
 
+def portions(words: list[str]) -> Iterator[list[str]]:
+    """The words in order, in lists of about SIGNS_AT_ONCE signs at most."""
+    part, held = [], 0
+    for w in words:
+        if part and held + len(w) > SIGNS_AT_ONCE:
+            yield part
+            part, held = [], 0
+        part.append(w)
+        held += len(w) + ORDER
+    if part:
+        yield part
+
+
 def runs(words: list[str]) -> tuple[np.ndarray, dict[int, np.ndarray], np.ndarray]:
     """(word index, {k: hash of the k signs that end at each position}, positions).
 
@@ -96,16 +109,14 @@ def _counts(rows: DataFrame) -> DataFrame:
             by_label: tuple[Counter, Counter] = (Counter(), Counter())
             for text, label in zip(batch["text"], batch["label"].to_pylist()):
                 by_label[label].update(words_of(text.as_py()))
-            words = list(by_label[0].keys() | by_label[1].keys())
-            if not words:
-                continue
-            word, h, at = runs(words)
-            columns = [np.array([by_label[label][w] for w in words], np.int64)[word] for label in (1, 0)]
-            kinds, first, of = np.unique(h[ORDER][at], return_index=True, return_inverse=True)
-            columns = [np.bincount(of, weights=c, minlength=len(kinds)).astype(np.int64) for c in columns]
-            columns += [h[k][at][first].view(np.int64) for k in range(1, ORDER + 1)]
-            columns += [h[k][at - 1][first].view(np.int64) for k in range(1, ORDER)]
-            yield batch_of(COUNTS, *columns)
+            for words in portions(list(by_label[0].keys() | by_label[1].keys())):
+                word, h, at = runs(words)
+                columns = [np.array([by_label[label][w] for w in words], np.int64)[word] for label in (1, 0)]
+                kinds, first, of = np.unique(h[ORDER][at], return_index=True, return_inverse=True)
+                columns = [np.bincount(of, weights=c, minlength=len(kinds)).astype(np.int64) for c in columns]
+                columns += [h[k][at][first].view(np.int64) for k in range(1, ORDER + 1)]
+                columns += [h[k][at - 1][first].view(np.int64) for k in range(1, ORDER)]
+                yield batch_of(COUNTS, *columns)
 
     return rows.select("text", "label").mapInArrow(count, ", ".join(f"{f.name} long" for f in COUNTS))
 
@@ -127,8 +138,8 @@ def _kinds(docs: DataFrame) -> DataFrame:
             if len(met) > KNOWN_WORDS:
                 met.clear()
             met |= new
-            for start in range(0, len(words), WORDS_AT_ONCE):
-                _, h, at = runs(words[start : start + WORDS_AT_ONCE])
+            for part in portions(words):
+                _, h, at = runs(part)
                 kinds, first = np.unique(h[ORDER][at], return_index=True)
                 fresh = ~np.isin(kinds, sent, assume_unique=True)
                 first = first[fresh]
@@ -221,15 +232,17 @@ class RunValues:
         return at, self.keys[at] == hashes
 
     def by_word(self, words: list[str]) -> np.ndarray:
-        word, h, at = runs(words)
-        place, found = self.places(h[ORDER][at])
-        weights = np.where(found, self.values[place], 0.0) if len(self.keys) else np.zeros(len(at))
-        return np.bincount(word, weights=weights, minlength=len(words))
+        sums = [np.empty(0)]
+        for part in portions(words):
+            word, h, at = runs(part)
+            place, found = self.places(h[ORDER][at])
+            weights = np.where(found, self.values[place], 0.0) if len(self.keys) else np.zeros(len(at))
+            sums.append(np.bincount(word, weights=weights, minlength=len(part)))
+        return np.concatenate(sums)
 
     def lacking(self, words: list[str]) -> np.ndarray:
         """Distinct runs of the words that are not among these."""
-        _, h, at = runs(words)
-        kinds = np.unique(h[ORDER][at])
+        kinds = np.unique(np.concatenate([np.empty(0, np.uint64), *(h[ORDER][at] for _, h, at in map(runs, portions(words)))]))
         return kinds[~self.places(kinds)[1]]
 
 
@@ -247,8 +260,7 @@ class Evidence:
         if len(self.known) > KNOWN_WORDS:
             self.known = {}
         new = [w for w in words if w not in self.known]
-        for start in range(0, len(new), WORDS_AT_ONCE):
-            part = new[start : start + WORDS_AT_ONCE]
+        for part in portions(new):
             self.known.update(zip(part, self.sent.by_word(part).tolist()))
 
     def features(self, text: str | None, rare: RunValues | None = None) -> list[float]:

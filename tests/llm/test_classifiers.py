@@ -205,3 +205,27 @@ def test_buckets_grow_with_the_words(spark):
     rng = random.Random(1)
     docs = spark.createDataFrame([(" ".join(f"w{rng.randrange(60_000)}" for _ in range(3000)),) for _ in range(100)] + [(None,), ("",)], "text string")
     assert quality.bucket_count(docs) == 1 << 16 and quality.bucket_count(docs.limit(1)) == quality.LEAST_BUCKETS == quality.bucket_count(docs.limit(0))
+
+
+def test_runs_do_not_depend_on_the_portions(monkeypatch):
+    words = [f"w{i}" * (1 + i % 7) for i in range(500)] + ["long" * 300, "é"]
+    _, h, at = toxicity.runs(words)
+    values = toxicity.RunValues.sorted(h[toxicity.ORDER][at][::3].view(np.int64), np.arange(len(at[::3])) / 7)
+    whole, rest = values.by_word(words), values.lacking(words)
+    monkeypatch.setattr(toxicity, "SIGNS_AT_ONCE", 100)
+    assert [w for part in toxicity.portions(words) for w in part] == words
+    assert max(sum(map(len, part)) for part in toxicity.portions(words) if len(part) > 1) <= 100
+    assert np.array_equal(values.by_word(words), whole) and np.array_equal(values.lacking(words), rest)
+    assert len(values.by_word([])) == 0 and len(values.lacking([])) == 0
+
+
+def test_memory_of_long_words_follows_the_signs():
+    import tracemalloc
+
+    words = ["x" * 5000 + str(i) for i in range(4000)]  # 20 million signs
+    values = toxicity.RunValues.sorted(np.arange(3), np.ones(3))
+    tracemalloc.start()
+    values.by_word(words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6
