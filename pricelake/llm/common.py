@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -96,6 +98,22 @@ class Memo(dict):
         return value
 
 
+def releasing(function):
+    """``function`` of batches, after which the memory that it freed goes back to the system: a worker
+    lives on for other tasks, and what it holds counts for its executor."""
+
+    @wraps(function)
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return run
+
+
 def text_of(value: str | None) -> str:
     """A null text counts as the empty text."""
     return value or ""

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import batch_of, discard, distinct, small_side, stage, utf8, window_hashes, word_hashes
+from pricelake.llm.common import batch_of, discard, distinct, releasing, small_side, stage, utf8, window_hashes, word_hashes
 from pricelake.llm.components import components
 
 #: Elements ordered by their count: those of at least FREQUENT_SETS sets, and of the most
@@ -112,6 +112,7 @@ def _digests(docs: DataFrame, width: int, percent: int) -> DataFrame:
     least 1 + m of them. A task posts a set once, however many rows have it.
     """
 
+    @releasing
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
@@ -145,6 +146,7 @@ def _suspects(digests: DataFrame, percent: int) -> DataFrame:
 def _sets(docs: DataFrame, suspects: DataFrame, width: int) -> DataFrame:
     """set_id, n and elements of the suspects' sets; a set may occur more than once."""
 
+    @releasing
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
@@ -179,6 +181,7 @@ def _entries(sets: DataFrame, percent: int) -> DataFrame:
     """Index entries that may meet another's: element, set_id, n, reach."""
     sent = sets.sparkSession.sparkContext.broadcast(_frequent(sets))
 
+    @releasing
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, rank = sent.value
         for batch in batches:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from pricelake.llm.common import batch_of, distinct, mix64, pieces, small_batches, utf8, word_bounds, word_hashes
+from pricelake.llm.common import batch_of, distinct, mix64, pieces, releasing, small_batches, utf8, word_bounds, word_hashes
 from pricelake.llm.labels import fold, labelled
 
 #: Word buckets at most and at least; in between, the power of two that holds all distinct words.
@@ -152,6 +152,7 @@ def bucket_count(docs: DataFrame) -> int:
     All words whose hash lies in one of COUNTED equal ranges are counted exactly.
     """
 
+    @releasing
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.concatenate([np.empty(0, np.uint64), *(h[h < 2**64 // COUNTED] for h in map(folded_hashes, utf8(batch["text"])))])
@@ -166,6 +167,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     """Unit context vectors of all items, from all documents; unseen items have zero vectors."""
     buckets = bucket_count(docs)
 
+    @releasing
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, waiting, held = ContextSums(buckets), [], 0
         gap = np.zeros(REACH, np.int32)  # texts are neighbours of nothing but this filler
@@ -286,6 +288,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     chosen = labelled(labels, "quality").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
 
+    @releasing
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool = Pool(sent.value)
         for batch in batches:
@@ -303,6 +306,7 @@ def score(docs: DataFrame, vectors: np.ndarray, network: Network, name: str = "q
     docs = docs.drop(name)
     sent = docs.sparkSession.sparkContext.broadcast((vectors, network))
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, net = sent.value
         pool = Pool(table)
