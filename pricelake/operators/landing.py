@@ -35,12 +35,21 @@ def price(payload: Column, field: str) -> Column:
     return positive(digits_number(text))
 
 
-def lowered(payload: Column) -> Column:
-    """A map of the payload's fields, as VARIANT, by lower-cased key; the first of equal keys stays."""
-    entries = F.map_entries(F.try_variant_get(payload, "$", "map<string,variant>"))
-    pairs = F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
-    firsts = F.filter(pairs, lambda e, i: F.array_position(F.transform(pairs, lambda x: x["key"]), e["key"]) == i + 1)
-    return F.map_from_entries(firsts)
+def once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """``rows`` with further columns that are computed once for each row. A projection's expressions
+    are copied into the filters above it, as often as these name them; a generator's are not."""
+    return rows.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
+def with_lowered(payloads: DataFrame) -> DataFrame:
+    """The payload and ``f``, a map of its fields, as VARIANT, by lower-cased key; the first of equal keys stays."""
+    fields = F.try_variant_get("payload", "$", "map<string,variant>")
+    rows = once(payloads.select("payload"), _fields=fields)
+    rows = once(rows, _keys=F.transform(F.map_keys("_fields"), lambda k: F.lower(k)))
+    firsts = F.filter(F.arrays_zip(F.col("_keys").alias("key"), F.map_values("_fields").alias("value")), lambda e, i: F.array_position("_keys", e["key"]) == i + 1)
+    plain = F.size(F.array_distinct("_keys")) == F.size("_keys")
+    lowered = F.when(plain, F.map_from_arrays("_keys", F.map_values("_fields"))).otherwise(F.map_from_entries(firsts))
+    return once(rows, f=lowered).drop("_fields", "_keys")
 
 
 def text_of(value: Column) -> Column:
@@ -50,9 +59,14 @@ def text_of(value: Column) -> Column:
 
 
 def first_value(fields: Column, names: list[str]) -> Column:
-    """The first non-empty value of ``lowered`` fields by case-insensitive name, as VARIANT."""
-    values = F.array(*[F.try_element_at(fields, F.lit(n.lower())) for n in names])
-    return F.try_element_at(F.filter(values, lambda v: text_of(v).isNotNull()), F.lit(1))
+    """The first non-empty value of lower-cased fields by case-insensitive name, as VARIANT."""
+    values = [F.try_element_at(fields, F.lit(n.lower())) for n in names]
+    return F.coalesce(*[F.when(text_of(v).isNotNull(), v) for v in values])
+
+
+def first_text(fields: Column, names: list[str]) -> Column:
+    """The text of ``first_value``."""
+    return F.coalesce(*[text_of(F.try_element_at(fields, F.lit(n.lower()))) for n in names])
 
 
 #: Canonical columns and the adapters' columns that may hold them, the first filled one counts.
@@ -247,24 +261,27 @@ def bhx_offers(payloads: DataFrame) -> DataFrame:
     p, c = F.col("payload"), F.col
     at = lambda field: F.try_variant_get(p, f"$.{field}", "variant")
     entries = F.coalesce(F.try_variant_get(p, "$.productPrices", BHX_ENTRY), F.array().cast(BHX_ENTRY))
-    rows = payloads.select("payload", entries.alias("entries"), lowered(p).alias("f"))
+    rows = once(with_lowered(payloads), entries=entries)
     priced = F.transform("entries", lambda e, i: F.struct(payload_price(e["price"]).alias("price"), i.alias("place"), payload_price(e["sysPrice"]).alias("listed"), *[text_of(e[f]).alias(f) for f in ("discountPercent", "promotionText", "label")], *[truthy(e[f]).alias(f) for f in ("isBuyTogether", "quantityCondition")]))
-    rows = rows.withColumn("prices", F.filter(priced, lambda e: e["price"].isNotNull()))
-    rows = rows.withColumn("chosen", F.coalesce(F.array_min(F.filter("prices", lambda e: e["listed"] > e["price"])), F.array_min("prices")))
-    listed = [F.coalesce(F.transform(F.slice(F.try_variant_get(p, f"$.{f}", "array<variant>"), 1, LISTED_PROMOTIONS), _promotion_name), F.array(_promotion_name(at(f)))) for f in BHX_LISTS]
+    rows = once(rows, prices=F.filter(priced, lambda e: e["price"].isNotNull()))
+    rows = once(rows, chosen=F.coalesce(F.array_min(F.filter("prices", lambda e: e["listed"] > e["price"])), F.array_min("prices")))
+    several = lambda f: F.slice(F.try_variant_get(p, f"$.{f}", "array<variant>"), 1, LISTED_PROMOTIONS)
+    listed = [F.coalesce(several(f), F.when(at(f).isNotNull(), F.array(at(f))), F.array().cast("array<variant>")) for f in BHX_LISTS]
+    rows = once(rows, listed=F.concat(*listed))
     chosen = [c("chosen.label"), c("chosen.promotionText"), c("chosen.discountPercent"), F.when(c("chosen.isBuyTogether"), BUY_TOGETHER), F.when(c("chosen.quantityCondition"), BUY_MANY)]
-    texts = F.array_distinct(F.array_compact(F.concat(F.array(*[text_of(at(f)) for f in BHX_TEXTS], *chosen), *listed)))
+    texts = F.array_distinct(F.array_compact(F.concat(F.array(*[text_of(at(f)) for f in BHX_TEXTS], *chosen), F.transform("listed", _promotion_name))))
     cut = F.coalesce(c("chosen.listed") > c("chosen.price"), F.lit(False))
     of_entry = F.exists("entries", lambda e: truthy(e["isBuyTogether"]) | truthy(e["quantityCondition"]) | text_of(e["label"]).isNotNull() | text_of(e["promotionText"]).isNotNull() | payload_price(e["salePriceNonBlue"]).isNotNull())
     other = reduce(lambda a, b: a | b, [F.size("texts") > 0, *[_filled(at(f)) for f in (*BHX_LISTS, "lstCampaingInfo")], truthy(at("isShowPopupPromotion")), *[truthy(at(f)) for f in BHX_KINDS], F.coalesce(of_entry, F.lit(False))])
-    v = lambda *names: text_of(first_value(c("f"), list(names)))
+    v = lambda *names: first_text(c("f"), list(names))
     name, url = v("productName", "product_name", "name", "title", "displayName"), v("url", "productUrl", "product_url", "link", "href", "slug")
     campaigns = F.try_variant_get(p, "$.lstCampaingInfo", "array<struct<startTime:string,dueTime:string>>")
     times = lambda f: F.filter(F.transform(campaigns, lambda x: collapsed(x[f])), lambda t: t != "")
-    kept = rows.withColumn("texts", texts).withColumn("cut", cut).filter(c("chosen").isNotNull() & name.isNotNull() & (c("cut") | other))
+    rows = once(rows, texts=texts, cut=cut, name=name, link=url)
+    kept = rows.filter(c("chosen").isNotNull() & c("name").isNotNull() & (c("cut") | other))
     return kept.select(
-        name.alias("name"),
-        F.when(_web(url), url).otherwise(F.concat(F.lit(BHX_SITE), F.when(url.startswith("/"), "").otherwise("/"), url)).alias("url"),
+        "name",
+        F.when(_web(c("link")), c("link")).otherwise(F.concat(F.lit(BHX_SITE), F.when(c("link").startswith("/"), "").otherwise("/"), c("link"))).alias("url"),
         v("image", "imageUrl", "image_url", "thumbnail", "picture", "avatar").alias("image"),
         c("chosen.price").alias("sale_price"),
         F.when(c("cut"), c("chosen.listed")).alias("original_price"),
@@ -310,14 +327,14 @@ def bhx_walk_offers(payloads: DataFrame) -> DataFrame:
     p, c = F.col("payload"), F.col
     entries = F.coalesce(F.try_variant_get(p, "$.productPrices", BHX_ENTRY), F.array().cast(BHX_ENTRY))
     priced = F.transform("entries", lambda e, i: F.struct(payload_price(e["price"]).alias("price"), i.alias("place"), payload_price(e["sysPrice"]).alias("listed"), text_of(e["discountPercent"]).alias("discount")))
-    rows = payloads.select("payload", entries.alias("entries"), lowered(p).alias("f"))
-    rows = rows.withColumn("prices", F.filter(priced, lambda e: e["price"] > 0))
-    rows = rows.withColumn("chosen", F.coalesce(F.array_min(F.filter("prices", lambda e: e["listed"] > e["price"])), F.array_min("prices")))
+    rows = once(with_lowered(payloads), entries=entries)
+    rows = once(rows, prices=F.filter(priced, lambda e: e["price"] > 0))
+    rows = once(rows, chosen=F.coalesce(F.array_min(F.filter("prices", lambda e: e["listed"] > e["price"])), F.array_min("prices")))
 
     def first(names: tuple[str, ...]) -> Column:
         """The first field that isn't empty, of any kind."""
-        values = F.array(*[F.try_element_at(c("f"), F.lit(n.lower())) for n in names])
-        return F.try_element_at(F.filter(values, lambda v: ~F.coalesce(F.is_variant_null(v), F.lit(True)) & (F.to_json(v) != '""')), F.lit(1))
+        values = [F.try_element_at(c("f"), F.lit(n.lower())) for n in names]
+        return F.coalesce(*[F.when(~F.coalesce(F.is_variant_null(v), F.lit(True)) & (F.to_json(v) != '""'), v) for v in values])
 
     part = lambda value, names: F.coalesce(*[text_of(F.try_variant_get(value, f"$.{n}", "variant")) for n in names])
     names = {
@@ -330,8 +347,9 @@ def bhx_walk_offers(payloads: DataFrame) -> DataFrame:
         "promotion": ("promotionText", "promotion_text", "campaign", "label"),
         "unit": ("unit", "unitName", "quantity"),
     }
-    rows = rows.select("chosen", *[first(n).alias(field) for field, n in names.items()])
-    rows = rows.withColumns({"head": F.try_variant_get("picture", "$[0]", "variant"), **{f: text_of(c(f)) for f in ("name", "link", "discount", "promotion", "unit")}})
+    rows = once(rows.select("chosen", "f"), **{field: first(n) for field, n in names.items()})
+    texts = ("name", "link", "discount", "promotion", "unit")
+    rows = once(rows.withColumnsRenamed({f: f"_{f}" for f in texts}), head=F.try_variant_get("picture", "$[0]", "variant"), **{f: text_of(c(f"_{f}")) for f in texts})
     image = F.coalesce(text_of(c("picture")), part(c("picture"), BHX_SIZES), text_of(c("head")), part(c("head"), BHX_SIZES[:2]))
     kept = rows.filter(c("name").isNotNull() & (c("chosen").isNotNull() | c("sale").isNotNull() | c("link").isNotNull() | c("picture").isNotNull()))
     entry = c("chosen").isNotNull()
@@ -350,21 +368,30 @@ def bhx_walk_offers(payloads: DataFrame) -> DataFrame:
 
 def winmart_offers(payloads: DataFrame) -> DataFrame:
     """Prices by case-insensitive names; a differing raw price stands for a missing listed one."""
-    rows = payloads.select("payload", lowered(F.col("payload")).alias("f"))
-    v = lambda *names: first_value(F.col("f"), list(names))
-    raw, promo = money(v("price", "sellingPrice", "finalPrice", "retailPrice")), money(v("promoPrice", "salePrice", "discountPrice", "promotionPrice", "specialPrice"))
-    listed = F.coalesce(money(v("listedPrice", "listPrice", "originalPrice", "oldPrice", "basePrice", "regularPrice")), F.when(promo.isNotNull() & (raw != promo), raw))
+    values = {
+        "raw": ("price", "sellingPrice", "finalPrice", "retailPrice"),
+        "promo": ("promoPrice", "salePrice", "discountPrice", "promotionPrice", "specialPrice"),
+        "listed": ("listedPrice", "listPrice", "originalPrice", "oldPrice", "basePrice", "regularPrice"),
+        "current": ("currentPrice",),
+        "amount": ("discountAmount", "discount", "saveAmount"),
+        "percent": ("discountPercent", "discountRate", "percentDiscount"),
+    }
+    rows = once(with_lowered(payloads), **{f"_{field}": first_value(F.col("f"), list(names)) for field, names in values.items()})
+    rows = once(rows, **{field: money(F.col(f"_{field}")) for field in values})
+    v = lambda *names: first_text(F.col("f"), list(names))
+    raw, promo = F.col("raw"), F.col("promo")
+    listed = F.coalesce("listed", F.when(promo.isNotNull() & (raw != promo), raw))
     zero = lambda x: F.when(x != 0, x)
     return rows.select(
-        text_of(v("productId", "product_id", "id", "sku", "code", "itemId")).alias("source_product_id"),
-        text_of(v("productName", "product_name", "name", "title", "displayName")).alias("product_name_raw"),
-        text_of(v("unit", "uomName", "uom", "measureUnit")).alias("unit_raw"),
+        v("productId", "product_id", "id", "sku", "code", "itemId").alias("source_product_id"),
+        v("productName", "product_name", "name", "title", "displayName").alias("product_name_raw"),
+        v("unit", "uomName", "uom", "measureUnit").alias("unit_raw"),
         listed.alias("listed_price"),
         promo.alias("promo_price"),
-        F.coalesce(money(v("currentPrice")), zero(promo), zero(raw), listed).alias("current_price"),
-        money(v("discountAmount", "discount", "saveAmount")).alias("discount_amount"),
-        money(v("discountPercent", "discountRate", "percentDiscount")).alias("discount_percent"),
-        *[text_of(v(*names)).alias(field) for field, names in WINMART_TEXTS.items()],
+        F.coalesce("current", zero(promo), zero(raw), listed).alias("current_price"),
+        F.col("amount").alias("discount_amount"),
+        F.col("percent").alias("discount_percent"),
+        *[v(*names).alias(field) for field, names in WINMART_TEXTS.items()],
         "payload",
     )
 

@@ -43,7 +43,7 @@ def landing_bhx_walk(spark, sf_dir):
     link = _text("http://i/", pk())
     picture = F.when(pk() % 4 == 0, F.to_variant_object(F.array(link))).when(pk() % 4 == 1, F.to_variant_object(F.struct(F.concat(link, F.lit("/src")).alias("src"), F.lit("small").alias("small"))))
     picture = picture.when(pk() % 4 == 2, F.parse_json(F.concat(F.lit('"'), link, F.lit('/head"')))).otherwise(F.to_variant_object(F.array(F.struct(F.concat(link, F.lit("/url")).alias("url"), F.lit("l").alias("large")))))
-    rows = views.read(spark, sf_dir, "part").select(F.to_variant_object(F.struct(
+    rows = views.parts(spark, sf_dir).select(F.to_variant_object(F.struct(
         F.col("p_name").alias("displayName"), prices.alias("productPrices"), F.when(pk() % 3 == 0, size * 1000).alias("finalPrice"), F.when(pk() % 3 == 2, _text(size * 800, "₫")).alias("discount_price"),
         F.when(pk() % 3 == 0, size * 2000).alias("marketPrice"), picture.alias("picture"), F.when(pk() % 2 == 0, _text("p", pk())).otherwise(_text("http://x/p", pk())).alias("slug"), F.when(pk() % 3 == 0, "-5").alias("discount"),
     )).alias("payload"))

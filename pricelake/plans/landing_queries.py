@@ -22,7 +22,7 @@ def _text(*parts):
 
 def payloads(spark, sf_dir, **fields):
     """The parts as payloads of one retailer."""
-    rows = views.read(spark, sf_dir, "part")
+    rows = views.parts(spark, sf_dir)
     return rows.select(pk(), F.try_parse_json(F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))).alias("payload"))
 
 
@@ -153,7 +153,7 @@ def outermost_products(spark, sf_dir):
     inner = F.concat(F.lit('{"price":'), F.col("p_size").cast("string"), F.lit(',"name":"'), F.col("p_name"), F.lit('","id":'), pk().cast("string"), F.lit("}"))
     outer = F.concat(F.lit('{"title":"t","a":[{"price":1,"name":"z'), (pk() % 7).cast("string"), F.lit('"}],"sku":"s"}'))
     deep = F.concat(F.repeat(F.lit('{"x":['), 250), inner, F.lit(","), outer, F.repeat(F.lit("]}"), 250))
-    return walk.product_walk(views.read(spark, sf_dir, "part").select(deep.alias("line")), outermost=True)
+    return walk.product_walk(views.parts(spark, sf_dir).select(deep.alias("line")), outermost=True)
 
 
 @query("""SELECT p_partkey, NULL AS id, CASE WHEN p_partkey % 2 = 0 THEN 'a' ELSE 'b' END AS name, 'u' AS url, 'top' AS parent_name FROM part UNION ALL SELECT p_partkey, '7', 'top', 'top', '' FROM part""")
@@ -162,7 +162,7 @@ def menu_key_order(spark, sf_dir):
     node = lambda name: f'{{"url":"/u/","name":"{name}"}}'
     fields = F.when(pk() % 2 == 0, f'"z":{node("b")},"m":[[{node("a")}]]').otherwise(f'"z":{node("a")},"m":[[{node("b")}]]')
     lines = F.concat(F.lit('{"path":"","children":[' + node("first") + '],"id":7,"url":"top","name":"  top ",'), fields, F.lit("}"))
-    return walk.menu_categories(views.read(spark, sf_dir, "part").select("p_partkey", lines.alias("line")), "p_partkey")
+    return walk.menu_categories(views.parts(spark, sf_dir).select("p_partkey", lines.alias("line")), "p_partkey")
 
 
 @query("""SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN '-28%' ELSE '-' || CAST(round_even(CAST(p_size * 100 AS DOUBLE) / (p_size + 7), 0) AS INTEGER) || '%' END AS label FROM part""")
@@ -229,7 +229,7 @@ def cards(spark, sf_dir):
         F.array(_text("Mua ", n, " chai được tặng 1 ly"), _text("MUA ", n, " hộp với giá 99.000"), _text("mua ", n, " tính tiền 1"), _text("Mua ", n, " gói\nđược tặng 2 gói"), F.lit("Giá tốt mỗi ngày"), _text("mua ", n, " giá tốt")),
         (pk() % 6).cast("int") + 1,
     )
-    return views.read(spark, sf_dir, "part").select(
+    return views.parts(spark, sf_dir).select(
         pk().alias("card_id"), F.when(pk() % 7 != 0, _text("item", pk() % 300)).alias("item_no"), F.concat(F.lit("x\n"), F.col("p_name"), F.lit(" lon\n"), line).alias("card_text"), _text("http://p/", pk() % 11).alias("url")
     )
 

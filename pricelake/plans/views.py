@@ -21,6 +21,18 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Rows of a part that one task works on; a compact file is one or two splits, however many rows it has.
+ROWS_A_TASK = 20_000
+
+
+def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts, dealt to tasks by their number, for work that costs much more than reading them."""
+    rows = read(spark, sf_dir, "part")
+    n = rows.count()
+    tasks = max(-(-n // ROWS_A_TASK), min(spark.sparkContext.defaultParallelism, -(-n // 1000)))
+    return rows.repartition(tasks, "p_partkey") if tasks > 1 else rows
+
+
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     rows = read(spark, sf_dir, "events").withColumn("k", k)
@@ -63,7 +75,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
     name = F.concat("p_name", F.lit(" "), F.col("p_size").cast("string"), pick(UNITS, key))
     unit = F.when(key % 7 != 0, pick(SELLING, key))
-    rows = with_package(read(spark, sf_dir, "part").withColumn("product_name", name), name, F.lit(None).cast("string"), unit)
+    rows = with_package(parts(spark, sf_dir).withColumn("product_name", name), name, F.lit(None).cast("string"), unit)
     return rows.select(
         F.concat(F.lit("p"), key.cast("string")).alias("retailer_product_id"),
         F.concat(F.lit("r"), (key % 5).cast("string")).alias("retailer_id"),

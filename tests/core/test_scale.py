@@ -1,8 +1,11 @@
 import hashlib
+import re
+
+import pytest
 
 from pyspark.sql import functions as F
 
-from pricelake.operators import entities
+from pricelake.operators import entities, landing
 
 
 def test_a_price_of_zero_is_part_of_an_offer(spark):
@@ -11,3 +14,17 @@ def test_a_price_of_zero_is_part_of_an_offer(spark):
     got = [r.promotion_id for r in entities.offers(spark.createDataFrame(rows, schema)).select("promotion_id").collect()]
     texts = ("0||0", "||0", "1.5||0", "||")
     assert got == ["promo_" + hashlib.sha256(f"r|s|p|2024-01-01|price_discount|{t}|".encode()).hexdigest()[:24] for t in texts]
+
+
+@pytest.mark.parametrize("adapter", [landing.bhx_offers, landing.bhx_walk_offers, landing.winmart_offers])
+def test_a_payload_is_taken_apart_once(spark, adapter):
+    """Filters above an adapter's columns don't hold copies of the expressions behind these."""
+    lines = ['{"Name":"first","name":"second","price":"1.000đ","url":"/u","gifts":[{"title":" g "},7,null,{"startTime":"t"}],"combos":"c","id":5,"productPrices":[{"price":1000}]}']
+    rows = spark.createDataFrame([(x,) for x in lines], "line string").select(F.try_parse_json("line").alias("payload"))
+    offers = adapter(rows)
+    plan = offers._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"try_variant_get\(payload#\d+, \$, MapType", plan)) == 1
+    got = offers.first().asDict()
+    assert got.get("name", got.get("product_name_raw")) == "first"
+    if adapter is landing.bhx_offers:
+        assert got["promotion"] == 'c; g; 7; {"startTime": "t"}' and got["sale_price"] == 1000
