@@ -1,11 +1,12 @@
 import hashlib
+import json
 import re
 
 import pytest
-
 from pyspark.sql import functions as F
 
-from pricelake.operators import entities, landing
+from pricelake.operators import entities, landing, walk
+from pricelake.plans import landing_queries, views
 
 
 def test_a_price_of_zero_is_part_of_an_offer(spark):
@@ -28,3 +29,18 @@ def test_a_payload_is_taken_apart_once(spark, adapter):
     assert got.get("name", got.get("product_name_raw")) == "first"
     if adapter is landing.bhx_offers:
         assert got["promotion"] == 'c; g; 7; {"startTime": "t"}' and got["sale_price"] == 1000
+
+
+def test_objects_of_one_shape_are_judged_once():
+    walk._of_product.cache_clear()
+    deep = json.loads('{"x":[' * 300 + '{"name":"n","price":1}' + "]}" * 300)
+    assert len([n for n in walk.objects(deep, walk.looks_like_product) if walk.looks_like_product(n)]) == 1
+    assert walk._of_product.cache_info().misses == 2
+
+
+def test_parts_of_one_small_file_are_dealt_to_tasks(spark, tmp_path):
+    rows = spark.range(5000).select(F.col("id").alias("p_partkey"), F.lit("n").alias("p_name"), F.lit("b").alias("p_brand"), F.lit("t").alias("p_type"), F.lit(7).alias("p_size"), F.lit(1.0).alias("p_retailprice"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    at = (spark, str(tmp_path))
+    for made in (views.parts(*at), views.listings(*at), views.listings_x(*at), landing_queries.cards(*at), landing_queries.payloads(*at, id=F.col("p_partkey"))):
+        assert made.rdd.getNumPartitions() > 1 and made.count() >= 5000
