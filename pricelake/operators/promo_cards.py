@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,62 +21,72 @@ def plain(text: Column) -> Column:
     return F.lower(strip_marks(text, d_stroke=False))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _is_phrase(phrase: Column) -> Column:
-    low = plain(phrase)
-    word = low.contains(MECHANIC_WORDS[0])
-    for w in MECHANIC_WORDS[1:]:
-        word = word | low.contains(w)
-    return (phrase != "") & (F.length(phrase) <= LONGEST) & low.rlike(r"\bmua\s+\d+") & word
+    def spoken(low: Column) -> Column:
+        word = low.contains(MECHANIC_WORDS[0])
+        for w in MECHANIC_WORDS[1:]:
+            word = word | low.contains(w)
+        return word & low.rlike(r"\bmua\s+\d+")
+
+    return (phrase != "") & (F.length(phrase) <= LONGEST) & let(plain(phrase), spoken)
+
+
+def _lines(card: Column) -> Column:
+    return F.filter(F.transform(F.split(card, r"\R"), collapsed), lambda x: x != "")
 
 
 def phrases(card: Column) -> Column:
     """Promotion phrases of a card's text: its lines; only if none, windows of two, then three lines."""
-    lines = F.filter(F.transform(F.split(card, r"\R"), collapsed), lambda x: x != "")
-    alone = F.filter(lines, _is_phrase)
-    window = lambda n: F.transform(lines, lambda _, i: collapsed(F.array_join(F.slice(lines, i + 1, n), " ")))
-    wide = F.filter(F.concat(window(2), window(3)), _is_phrase)
-    chosen = F.when(F.size(alone) > 0, alone).otherwise(wide)
-    folded = F.transform(chosen, plain)
-    return F.filter(chosen, lambda x, i: F.array_position(folded, plain(x)) == i + 1)
+    window = lambda lines, n: F.transform(lines, lambda _, i: collapsed(F.array_join(F.slice(lines, i + 1, n), " ")))
+    wide = lambda lines: F.filter(F.concat(window(lines, 2), window(lines, 3)), _is_phrase)
+    alone = lambda lines: let(F.filter(lines, _is_phrase), lambda found: F.when(F.size(found) > 0, found).otherwise(wide(lines)))
+    firsts = lambda chosen: let(F.transform(chosen, plain), lambda low: F.filter(chosen, lambda _, i: F.array_position(low, low[i]) == i + 1))
+    return let(let(_lines(card), alone), firsts)
 
 
 def mechanic(phrase: Column) -> Column:
     """What a phrase offers, tried in order: buy and get, bundle price, buy and pay."""
-    low = plain(phrase)
     get = r"\bmua\s+(\d+)\s*([a-z0-9]+)?\b.{0,100}?(?:duoc\s+)?tang\s+(\d+)\s*([a-z0-9]+)?"
     bundle = r"\bmua\s+(\d+)\s*([a-z0-9]+)?\b.{0,80}?voi\s+gia\s+([\d.,]+)"
     pay = r"\bmua\s+(\d+)\b.{0,80}?tinh\s+tien\s+(\d+)"
-    n = lambda pattern, k: F.nullif(F.regexp_extract(low, pattern, k), F.lit("")).try_cast("int")
-    t = lambda pattern, k: F.nullif(F.regexp_extract(low, pattern, k), F.lit(""))
-    kind = F.when(low.rlike(get), "buy_x_get_y").when(low.rlike(bundle), "bundle_price").when(low.rlike(pay), "buy_x_pay_y").otherwise("unknown")
-    price = digits_number(t(bundle, 3))
-    only = lambda k, x: F.when(kind == k, x)
-    return F.struct(
-        kind.alias("promo_mechanic_type"),
-        F.when(kind == "buy_x_get_y", n(get, 1)).when(kind == "buy_x_pay_y", n(pay, 1)).alias("buy_quantity"),
-        only("buy_x_get_y", t(get, 2)).alias("buy_uom"),
-        only("buy_x_get_y", n(get, 3)).alias("gift_quantity"),
-        only("buy_x_get_y", t(get, 4)).alias("gift_uom"),
-        only("bundle_price", n(bundle, 1)).alias("bundle_quantity"),
-        only("bundle_price", t(bundle, 2)).alias("bundle_uom"),
-        only("bundle_price", price).alias("bundle_price"),
-        only("bundle_price", F.when(n(bundle, 1) > 0, F.round((price / n(bundle, 1)).cast("decimal(28,12)"), 2))).alias("effective_unit_price"),
-        only("buy_x_pay_y", n(pay, 2)).alias("pay_quantity"),
-    )
+
+    def terms(low: Column, kind: Column) -> Column:
+        t = lambda pattern, k: F.nullif(F.regexp_extract(low, pattern, k), F.lit(""))
+        n = lambda pattern, k: t(pattern, k).try_cast("int")
+        price = digits_number(t(bundle, 3))
+        only = lambda k, x: F.when(kind == k, x)
+        return F.struct(
+            kind.alias("promo_mechanic_type"),
+            F.when(kind == "buy_x_get_y", n(get, 1)).when(kind == "buy_x_pay_y", n(pay, 1)).alias("buy_quantity"),
+            only("buy_x_get_y", t(get, 2)).alias("buy_uom"),
+            only("buy_x_get_y", n(get, 3)).alias("gift_quantity"),
+            only("buy_x_get_y", t(get, 4)).alias("gift_uom"),
+            only("bundle_price", n(bundle, 1)).alias("bundle_quantity"),
+            only("bundle_price", t(bundle, 2)).alias("bundle_uom"),
+            only("bundle_price", price).alias("bundle_price"),
+            only("bundle_price", F.when(n(bundle, 1) > 0, F.round((price / n(bundle, 1)).cast("decimal(28,12)"), 2))).alias("effective_unit_price"),
+            only("buy_x_pay_y", n(pay, 2)).alias("pay_quantity"),
+        )
+
+    kind = lambda low: F.when(low.rlike(get), "buy_x_get_y").when(low.rlike(bundle), "bundle_price").when(low.rlike(pay), "buy_x_pay_y").otherwise("unknown")
+    return let(plain(phrase), lambda low: let(kind(low), lambda k: terms(low, k)))
 
 
 def product_name(anchor: Column, card: Column) -> Column:
     """The link's text, else the card's first line of at least eight signs that is no phrase and no price."""
-    found = F.transform(phrases(card), plain)
 
-    def fits(line: Column) -> Column:
+    def fits(line: Column, found: Column) -> Column:
         low = plain(line)
         spoken = low.contains("mua ") | low.contains(" voi gia ") | low.contains(" duoc tang ")
         priced = line.contains("₫") | low.rlike(r"\d+[.,]\d{3}\s*d\b")
         return (F.length(line) >= 8) & ~F.array_contains(found, low) & ~spoken & ~priced
 
-    lines = F.filter(F.transform(F.split(card, r"\R"), collapsed), lambda x: x != "")
-    return F.coalesce(F.nullif(collapsed(anchor), F.lit("")), F.try_element_at(F.filter(lines, fits), F.lit(1)))
+    return F.coalesce(F.nullif(collapsed(anchor), F.lit("")), let(F.transform(phrases(card), plain), lambda found: F.try_element_at(F.filter(_lines(card), lambda line: fits(line, found)), F.lit(1))))
 
 
 def promo_rows(cards: DataFrame) -> DataFrame:
@@ -116,7 +128,7 @@ def attach(products: DataFrame, promos: DataFrame) -> DataFrame:
     return rows.withColumns(
         {
             "promo_card_match_count": F.size("promos").cast("long"),
-            "uom_statuses": F.transform("promos", lambda m: uom_status(m["uom_hint"], own)),
+            "uom_statuses": let(own, lambda units: F.transform("promos", lambda m: uom_status(m["uom_hint"], units))),
             "has_promo_mechanic": F.size("promos") > 0,
             "is_price_discount": cut,
             "is_on_promotion": cut | (F.size("promos") > 0),
