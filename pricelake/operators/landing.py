@@ -152,18 +152,19 @@ def epoch_text(seconds: Column) -> Column:
 
 
 def lotte_offers(payloads: DataFrame) -> DataFrame:
-    p = F.col("payload")
+    p, c = F.col("payload"), F.col
     sale = F.coalesce(price(p, "price.VND.special_price"), price(p, "price.VND.default"))
     listed = F.coalesce(price(p, "price.VND.price"), price(p, "price.VND.default_original"))
     image, url = F.coalesce(clean(p, "image_url"), clean(p, "thumbnail_url")), clean(p, "url")
     labels = F.try_variant_get(p, "$.label", "array<struct<name:string>>")
-    good = clean(p, "name").isNotNull() & sale.isNotNull() & _web(image) & url.startswith(LOTTE_SITE) & url.contains("/product/")
-    return payloads.filter(good).select(
-        clean(p, "name").alias("name"),
-        url.alias("url"),
-        image.alias("image"),
-        sale.alias("sale_price"),
-        F.when(listed != sale, listed).alias("original_price"),
+    rows = once(payloads, _name=clean(p, "name"), _url=url, _image=image, _sale=sale, _listed=listed)
+    good = c("_name").isNotNull() & c("_sale").isNotNull() & _web(c("_image")) & c("_url").startswith(LOTTE_SITE) & c("_url").contains("/product/")
+    return rows.filter(good).select(
+        c("_name").alias("name"),
+        c("_url").alias("url"),
+        c("_image").alias("image"),
+        c("_sale").alias("sale_price"),
+        F.when(c("_listed") != c("_sale"), c("_listed")).alias("original_price"),
         F.coalesce(clean(p, "price.VND.default_discount_label"), F.lit("")).alias("discount"),
         F.lit("").alias("promotion"),
         clean(p, "sku").alias("sku"),
@@ -187,22 +188,22 @@ def mm_offers(payloads: DataFrame) -> DataFrame:
     """Promotions and categories as arrays; the sale lasts from the least start to the greatest end; a
     lower card price wins."""
     p = F.col("payload")
-    plain, listed, card = price(p, "sale_price"), price(p, "unit_price"), price(p, "mcard_price")
+    plain, listed, card = F.col("_plain"), F.col("_listed"), F.col("_card")
     sale = F.when(card.isNotNull() & (plain.isNull() | (card < plain)), card).otherwise(plain)
     raw = F.try_variant_get(p, "$.promotions", "array<struct<id:string,name:string,start_date:string,end_date:string>>")
     promotions = F.coalesce(F.transform(raw, lambda x: F.struct(x["id"].alias("id"), F.coalesce(collapsed(x["name"]), F.lit("")).alias("name"), local_time(x["start_date"]).alias("start_at"), local_time(x["end_date"]).alias("end_at"))), F.array().cast("array<struct<id:string,name:string,start_at:string,end_at:string>>"))
     filled = lambda field: F.filter(F.transform("promotions", lambda x: x[field]), lambda t: t != "")
-    image = clean(p, "thumbnail_image")
-    rows = payloads.filter(clean(p, "name").isNotNull() & clean(p, "slug").isNotNull() & sale.isNotNull() & _web(image))
+    prices = once(payloads, _name=clean(p, "name"), _slug=clean(p, "slug"), _image=clean(p, "thumbnail_image"), _plain=price(p, "sale_price"), _listed=price(p, "unit_price"), _card=price(p, "mcard_price"))
+    rows = once(prices, _sale=sale).filter(F.col("_name").isNotNull() & F.col("_slug").isNotNull() & F.col("_sale").isNotNull() & _web(F.col("_image")))
     kinds = "array<struct<id:string,name:string,name_en:string,slug:string>>"
     tidy = lambda x, f: F.coalesce(collapsed(x[f]), F.lit("")).alias(f)
     categories = F.filter(F.try_variant_get(p, "$.categories", kinds), lambda x: x.isNotNull())
     categories = F.coalesce(F.transform(categories, lambda x: F.struct(x["id"].alias("id"), tidy(x, "name"), tidy(x, "name_en"), tidy(x, "slug"))), F.array().cast(kinds))
-    rows = rows.select("payload", categories.alias("categories"), promotions.alias("promotions"), sale.alias("sale_price"), F.when(listed > sale, listed).alias("original_price"))
+    rows = once(rows, categories=categories, promotions=promotions, sale_price=F.col("_sale"), original_price=F.when(listed > F.col("_sale"), listed))
     return rows.select(
-        clean(p, "name").alias("name"),
-        F.concat(F.lit(MM_SITE + "/products/"), clean(p, "slug")).alias("url"),
-        image.alias("image"),
+        F.col("_name").alias("name"),
+        F.concat(F.lit(MM_SITE + "/products/"), F.col("_slug")).alias("url"),
+        F.col("_image").alias("image"),
         "sale_price",
         "original_price",
         discount_label(F.col("sale_price"), F.col("original_price")).alias("discount"),
