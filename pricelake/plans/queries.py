@@ -34,7 +34,7 @@ def doubles(df: DataFrame) -> DataFrame:
 
 def fact(spark: SparkSession, sf_dir: str, mapped: bool = False) -> DataFrame:
     mappings = identity.map_products(views.listings_x(spark, sf_dir)) if mapped else None
-    return gold.price_snapshot(views.observations(spark, sf_dir), views.listings(spark, sf_dir), mappings)
+    return gold.price_snapshot(views.dealt_observations(spark, sf_dir), views.listings(spark, sf_dir), mappings)
 
 
 FACT_COLUMNS = ["price_snapshot_id", "date_key", "snapshot_date", "retailer_id", "store_code", "retailer_product_id", "observation_id", "product_name", "listed_price", "current_price", "effective_unit_price", "comparison_unit"]
@@ -67,7 +67,7 @@ def snapshot_with_identity(spark, sf_dir):
     """The fact's canonical ids: an equi left join with approved mappings."""
     mapped = identity.map_products(views.listings_x(spark, sf_dir))
     mapped = mapped.withColumn("retailer_product_id", F.split_part("retailer_product_id", F.lit("_"), F.lit(1)))
-    latest = gold.latest_observations(views.observations(spark, sf_dir)).join(views.listings(spark, sf_dir).select("retailer_product_id"), "retailer_product_id")
+    latest = gold.latest_observations(views.dealt_observations(spark, sf_dir)).join(views.listings(spark, sf_dir).select("retailer_product_id"), "retailer_product_id")
     at = F.when(F.col("retailer_id") == "view", "r0").when(F.col("retailer_id") == "click", "r1").otherwise("r2")
     approved = mapped.filter("review_status = 'matched'").select("retailer_id", "retailer_product_id", "canonical_product_id").dropDuplicates(["retailer_id", "retailer_product_id"])
     return latest.withColumn("retailer_id", at).join(approved, ["retailer_id", "retailer_product_id"], "left").select("observation_id", "canonical_product_id")

@@ -25,12 +25,23 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 ROWS_A_TASK = 20_000
 
 
+def dealt(rows: DataFrame, n: int, key: str, each: int = ROWS_A_TASK) -> DataFrame:
+    """``n`` rows, dealt by a key to tasks of about ``each`` rows, however many rows there are; to all cores
+    where these have a twentieth of that at least."""
+    tasks = max(-(-n // each), min(rows.sparkSession.sparkContext.defaultParallelism, -(-n * 20 // each)))
+    return rows.repartition(tasks, key) if tasks > 1 else rows
+
+
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The parts, dealt to tasks by their number, for work that costs much more than reading them."""
     rows = read(spark, sf_dir, "part")
-    n = rows.count()
-    tasks = max(-(-n // ROWS_A_TASK), min(spark.sparkContext.defaultParallelism, -(-n // 1000)))
-    return rows.repartition(tasks, "p_partkey") if tasks > 1 else rows
+    return dealt(rows, rows.count(), "p_partkey")
+
+
+def dealt_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The observations, dealt by listing: their grains, the join with listings and checks of grains
+    need no other shuffle, and sort and count a bounded number of rows in a task."""
+    return dealt(observations(spark, sf_dir), read(spark, sf_dir, "events").count(), "retailer_product_id", 200_000)
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from pricelake.operators import entities, landing, walk
+from pricelake.operators import entities, gold, landing, walk
 from pricelake.plans import landing_queries, views
 
 
@@ -44,3 +44,12 @@ def test_parts_of_one_small_file_are_dealt_to_tasks(spark, tmp_path):
     at = (spark, str(tmp_path))
     for made in (views.parts(*at), views.listings(*at), views.listings_x(*at), landing_queries.cards(*at), landing_queries.payloads(*at, id=F.col("p_partkey"))):
         assert made.rdd.getNumPartitions() > 1 and made.count() >= 5000
+
+
+def test_observations_are_shuffled_once_into_bounded_tasks(spark, tmp_path):
+    rows = spark.range(20_000).select(F.col("id").alias("event_id"), F.timestamp_seconds(F.col("id") + 1704067200).alias("ts"), (F.col("id") % 50).alias("user_id"), F.lit("view").alias("event_type"), F.lit(1.5).alias("value"), F.lit('{"k": 3}').alias("props"))
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    assert views.dealt(rows, 1_000_000, "user_id", 200_000).rdd.getNumPartitions() == 5
+    latest = gold.latest_observations(views.dealt_observations(spark, str(tmp_path)))
+    assert len(re.findall(r"Exchange \w+", latest._jdf.queryExecution().executedPlan().toString())) == 1
+    assert latest.count() == 50
