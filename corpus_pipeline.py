@@ -2,6 +2,7 @@
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and
 read again as the next stage's docs. All but the last return the columns of documents.
+Stages whose rows Python makes set the session's Arrow batches to a few MB, for the write.
 A null or empty text passes the stages as their operators define; an empty table gives an
 empty table.
 """
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.llm import bpe, jaccard, mixing, pii, quality
-from pricelake.llm.common import free_name, small_side, stage
+from pricelake.llm.common import free_name, keep_batches_small, small_side, stage
 from pricelake.llm.labels import fold
 
 
@@ -21,6 +22,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     All stay where the labels fit no network (fewer than eight, or of one kind only).
     """
+    keep_batches_small(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(fold(F.col("doc_id"), 4) != 2)
     vectors, network = quality.fit(docs, labels)
     if not network.fitted:
@@ -52,6 +54,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts is replaced by its kind; n_chars follows the text."""
+    keep_batches_small(spark)
     clean = pii.redact(docs)
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
 
@@ -63,6 +66,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row's encoding and its decoding."""
+    keep_batches_small(spark)
     return bpe.round_trip(docs, bpe.vocabulary_path())
 
 

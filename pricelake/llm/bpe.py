@@ -34,7 +34,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from pricelake.llm.common import Memo, batch_of, text_of
+from pricelake.llm.common import Memo, batch_of, releasing, text_of
 
 #: The pretoken pattern that goes with this kind of vocabulary.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -279,6 +279,7 @@ def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
     encoder to the id digest and to the decoder, whose text goes to the text digest, so
     neither a document's ids nor its decoded text is ever whole in memory."""
 
+    @releasing
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(vocabulary)
         for batch in batches:

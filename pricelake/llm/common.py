@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local: dict[str, str] = {}
-#: While a table is written: shuffles behind it are freed afterwards, and whole texts go to
-#: Python in batches small enough for several copies of one.
-STAGING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+#: Whole texts go to Python in batches small enough for several copies of one.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+#: While a table is written: shuffles behind it are freed afterwards.
+STAGING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", **BATCHES}
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -45,6 +46,13 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, value)
 
 
+def keep_batches_small(spark: SparkSession) -> None:
+    """BATCHES from now on, for rows that a caller of the session writes later: their batches are cut as
+    the session says then, and Spark's own 10,000 rows of whole texts are held several times in a task."""
+    for name, value in BATCHES.items():
+        spark.conf.set(name, value)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
@@ -98,6 +106,13 @@ class Memo(dict):
         return value
 
 
+def release() -> None:
+    """Freed memory goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def releasing(function):
     """``function`` of batches, after which the memory that it freed goes back to the system: a worker
     lives on for other tasks, and what it holds counts for its executor."""
@@ -107,9 +122,7 @@ def releasing(function):
         try:
             yield from function(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
-                trim(0)
+            release()
 
     return run
 

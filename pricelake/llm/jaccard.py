@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import batch_of, discard, distinct, releasing, small_side, stage, utf8, window_hashes, word_hashes
+from pricelake.llm.common import batch_of, discard, distinct, release, releasing, small_side, stage, utf8, window_hashes, word_hashes
 from pricelake.llm.components import components
 
 #: Elements ordered by their count: those of at least FREQUENT_SETS sets, and of the most
@@ -180,6 +180,7 @@ def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def _entries(sets: DataFrame, percent: int) -> DataFrame:
     """Index entries that may meet another's: element, set_id, n, reach."""
     sent = sets.sparkSession.sparkContext.broadcast(_frequent(sets))
+    release()
 
     @releasing
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

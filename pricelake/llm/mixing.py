@@ -25,6 +25,7 @@ names, only travel along.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -41,6 +42,8 @@ BROADCAST_BLOCKS = 200_000
 SHARDS, MOST_SHARDS, WORDS_PER_SHARD = 64, 8192, 50_000_000
 SEED = 20240607
 
+ARROW = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -90,6 +93,14 @@ def split_quotas(draws: list[int], shards: int, seed: int = SEED) -> np.ndarray:
     return out
 
 
+def local_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows of the driver's. As an Arrow table they lie in the plan; a list of Python's is read by
+    Python workers, which every executor would start, and keep for a minute, for nothing else."""
+    fields = [field.split() for field in schema.split(", ")]
+    columns = zip(*rows) if rows else [()] * len(fields)
+    return spark.createDataFrame(pa.table({name: pa.array(c, ARROW[kind]) for c, (name, kind) in zip(columns, fields)}), schema)
+
+
 def _shards(words: int) -> int:
     """More shards for more words, so that each is of a size that one task can order."""
     return min(MOST_SHARDS, max(SHARDS, -(-words // WORDS_PER_SHARD)))
@@ -119,7 +130,8 @@ def mix(docs: DataFrame, shards: int | None = None, seed: int = SEED, texts: boo
     owed = [round(t) for t in targets]
     passes = [o // r.size if r.size else 0 for o, r in zip(owed, per_source)]
     rest = [o - p * r.size for o, p, r in zip(owed, passes, per_source)]
-    plan = spark.createDataFrame(
+    plan = local_rows(
+        spark,
         [(r.source_key, r.size, t, p, left, r.blocks) for r, t, p, left in zip(per_source, targets, passes, rest)],
         "source_key string, source_size long, target double, passes int, rest long, n_blocks long",
     )
@@ -142,13 +154,14 @@ def mix(docs: DataFrame, shards: int | None = None, seed: int = SEED, texts: boo
     # the tree's leaves: each shard has its own stretch of every source's permuted sequence
     quota = split_quotas([counts.get(r.source_key, 0) for r in per_source], shards or _shards(sum(owed)), seed)
     ends = quota.cumsum(axis=0)
-    leaves = spark.createDataFrame(
+    leaves = local_rows(
+        spark,
         [(r.source_key, int(s), int(e[s] - quota[s, k]), int(e[s])) for k, (r, e) in enumerate(zip(per_source, ends.T)) for s in np.flatnonzero(quota[:, k])],
         "source_key string, shard int, first long, past long",
     )
     stretches = leaves.withColumn("draw", F.explode(F.sequence("first", F.col("past") - 1))).select("source_key", "shard", "draw")
     per_block = (
-        stretches.join(drawn, ["source_key", "draw"])
+        stretches.hint("merge").join(drawn, ["source_key", "draw"])
         .groupBy("source_key", "block")
         .agg(F.sort_array(F.collect_list(F.struct("pass", "shard"))).alias("block_draws"), F.max("room").alias("room"), F.max("words").alias("words"))
     )

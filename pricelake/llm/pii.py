@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import Memo, batch_of, text_of
+from pricelake.llm.common import Memo, batch_of, releasing, text_of
 
 #: Kinds in the order of results.
 KINDS = ("email", "ip", "card", "phone")
@@ -528,6 +528,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     """doc_id and spans (kind, start, end, base), by kind and start."""
     weights = docs.sparkSession.sparkContext.broadcast(trained())
 
+    @releasing
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = SemiMarkov(weights.value)
         for batch in batches:
@@ -556,6 +557,7 @@ def redact(docs: DataFrame) -> DataFrame:
     """docs with personal data in ``text`` replaced; all columns stay, a null text stays null."""
     weights = docs.sparkSession.sparkContext.broadcast(trained())
 
+    @releasing
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = SemiMarkov(weights.value)
         for batch in batches:

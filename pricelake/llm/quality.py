@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from pricelake.llm.common import batch_of, distinct, mix64, pieces, releasing, small_batches, utf8, word_bounds, word_hashes
+from pricelake.llm.common import batch_of, distinct, mix64, pieces, release, releasing, small_batches, utf8, word_bounds, word_hashes
 from pricelake.llm.labels import fold, labelled
 
 #: Word buckets at most and at least; in between, the power of two that holds all distinct words.
@@ -298,7 +298,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
         found = rows.mapInArrow(features, "label int, features array<double>").toPandas()
     x = np.stack(found["features"].to_list()) if len(found) else np.zeros((0, Pool.WIDTH))
     order = np.lexsort([*x.T[-3:], found["label"].to_numpy()]) if len(found) else []
-    return vectors, fit_network(x[order], found["label"].to_numpy(float)[order])
+    network = fit_network(x[order], found["label"].to_numpy(float)[order])
+    del rows, found, x
+    release()  # the driver lives on too
+    return vectors, network
 
 
 def score(docs: DataFrame, vectors: np.ndarray, network: Network, name: str = "quality_score") -> DataFrame:

@@ -111,3 +111,9 @@ def test_like_a_plain_loop(spark):
         for d in r.draws:
             got[r.doc_id, d.shard] += 1
     assert got == want
+
+
+def test_the_mix_starts_no_python_worker(spark, monkeypatch):
+    docs = spark.range(200).selectExpr("id AS doc_id", "repeat('w ', int(id % 9)) AS text", "'s' || id % 3 AS source", "'x' AS shard")
+    monkeypatch.setattr(spark.sparkContext, "pythonExec", "/nowhere/python")
+    assert mixing.drawn(docs).count() > 200 and mixing.drawn(docs.limit(0)).count() == 0

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -54,3 +55,22 @@ def test_quality_stage_keeps_all_without_a_network(spark, tmp_path, labels):
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     kept = corpus_pipeline.quality_stage(spark, docs, str(tmp_path))
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == list(range(41))
+
+
+@pytest.mark.parametrize("step", [corpus_pipeline.quality_stage, corpus_pipeline.pii_stage, corpus_pipeline.bpe_stage])
+def test_written_later_a_stage_still_works_in_small_batches(spark, tmp_path, step):
+    names = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"]
+    docs = spark.range(2500).coalesce(1).selectExpr("id AS doc_id", "if(id % 5 = 0, 'bad *** bad', 'some good words') || id AS text")
+    spark.range(400).selectExpr("id AS doc_id", "int(id % 5 > 0) AS quality", "0 AS toxic").write.parquet(f"{tmp_path}/labels.parquet")
+
+    def counted(batches):
+        yield from (b.slice(0, 0).from_arrays([pa.array([b.num_rows])], names=["n"]) for b in batches)
+
+    for name in names:
+        spark.conf.unset(name)
+    try:
+        sizes = [r.n for r in step(spark, docs, str(tmp_path)).mapInArrow(counted, "n long").collect()]
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    assert sum(sizes) >= 1500 and max(sizes) <= 1000
