@@ -31,11 +31,11 @@ def collapsed(text: Column) -> Column:
 
 
 def strip_marks(text: Column, d_stroke: bool = True) -> Column:
-    """Without accents; ``d_stroke``: also đ to d."""
+    """Without accents; ``d_stroke``: also đ to d. Texts of ASCII alone have none and skip the long tables."""
     source, target = _composed()
     if d_stroke:
         source, target = source + "đĐ", target + "dD"
-    return F.regexp_replace(F.translate(text, source, target), r"\p{Mn}+", "")
+    return F.when(F.octet_length(text) > F.length(text), F.regexp_replace(F.translate(text, source, target), r"\p{Mn}+", "")).otherwise(text)
 
 
 def folded(text: Column) -> Column:
